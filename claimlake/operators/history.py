@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlake.functions.predicates import changed
 
@@ -56,13 +57,20 @@ def _ts(value, dtype) -> Column:
 def _salted_join_key(df: DataFrame, key: str, null_flag: int) -> DataFrame:
     """Add (``__jf``, ``__jk``): (0, key) for real keys; (flag, row hash) for NULL keys.
 
-    The flag differs per side, so salted rows can never match anything.
+    The flag differs per side, so salted rows can never match anything, and
+    the hash spreads them over all partitions. The hash is only computed
+    for NULL keys (``coalesce`` is lazy). Integral keys stay integral.
     """
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string")
-    k = F.col(f"`{key}`").cast("string")
+    dtype = df.schema[key].dataType
+    k = F.col(f"`{key}`")
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        jk = F.coalesce(k.cast("long"), row_hash)
+    else:
+        jk = F.coalesce(k.cast("string"), row_hash.cast("string"))
     return df.withColumns({
         _JF: F.when(k.isNull(), F.lit(null_flag)).otherwise(F.lit(0)),
-        _JK: F.coalesce(k, row_hash),
+        _JK: jk,
     })
 
 
@@ -72,12 +80,6 @@ def _duplicate_guard(df: DataFrame, what: str) -> DataFrame:
     return df.withColumn(_N, F.count(F.lit(1)).over(w))
 
 
-def _raise_on_duplicate(what: str) -> Column:
-    return F.when((F.col(_JF) == 0) & (F.col(_N) > 1),
-                  F.raise_error(F.concat(F.lit(f"{what}: several source rows for key "),
-                                         F.col(_JK))))
-
-
 def _check_columns(target: DataFrame, source: DataFrame, audit: Audit | None) -> list[str]:
     tcols = set(target.columns)
     missing = [c for c in source.columns if c not in tcols]
@@ -172,7 +174,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     if on_duplicate == "error":
         guard = (F.col(_JF + "s") == 0) & (F.col(_N) > 1)
         rows = F.when(guard, F.raise_error(F.concat(
-            F.lit("scd2_apply: several source rows for key "), F.col(_JK + "s")))).otherwise(rows)
+            F.lit("scd2_apply: several source rows for key "), F.col(_JK + "s").cast("string")))).otherwise(rows)
     merged = j.select(F.inline(rows))
     return history.select(out_cols).unionByName(merged.select(out_cols))
 
@@ -242,14 +244,17 @@ def unmatched(source: DataFrame, target: DataFrame, key: str,
               current: str | None = "is_current") -> DataFrame:
     """C4: source rows with no (current) target row on ``key``: an anti-join.
 
-    NULL source keys match nothing and are always returned; they skip the
-    join entirely so they cannot pile onto one partition.
+    NULL source keys match nothing and are always returned. They take a
+    salted, never-matching join key so they neither pile onto one partition
+    nor need a second scan of the source.
     """
     tgt = target if current is None else target.filter(F.col(current) == F.lit(True))
-    keys = tgt.select(F.col(key).alias("__k")).filter(F.col("__k").isNotNull())
-    with_key = source.filter(F.col(key).isNotNull())
-    anti = with_key.join(keys, with_key[key] == keys["__k"], "left_anti")
-    return anti.unionByName(source.filter(F.col(key).isNull()))
+    src = _salted_join_key(source, key, 2)
+    ktype = src.schema[_JK].dataType
+    keys = tgt.filter(F.col(key).isNotNull()).select(
+        F.lit(0).alias("__jft"), F.col(key).cast(ktype).alias("__jkt"))
+    anti = src.join(keys, (src[_JF] == keys["__jft"]) & (src[_JK] == keys["__jkt"]), "left_anti")
+    return anti.drop(_JF, _JK)
 
 
 def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
@@ -299,7 +304,7 @@ def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
 
 def _raise_on_dup_col() -> Column:
     return F.when((F.col(_JF + "s") == 0) & (F.col(_N) > 1), F.raise_error(F.concat(
-        F.lit("upsert_flagged: several source rows for key "), F.col(_JK + "s")))).alias("__guard")
+        F.lit("upsert_flagged: several source rows for key "), F.col(_JK + "s").cast("string")))).alias("__guard")
 
 
 def snapshot(df: DataFrame, current: str = "is_current") -> DataFrame:

@@ -179,4 +179,6 @@ def ntz_schema(name: str):
 
 
 def empty_silver(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], ntz_schema(name))
+    from claimlake.sources.tables import empty_table
+
+    return empty_table(spark, ntz_schema(name))
