@@ -7,24 +7,43 @@ second engine runs for the same result. Column names match the oracle's.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlake.operators import marts, reports
+from claimlake.functions.keys import prefixed_key, surrogate_key
+from claimlake.functions.predicates import changed_between
+from claimlake.operators import conform as cf
+from claimlake.operators import history as hist
+from claimlake.operators import marts, nested, quality, reports
 from claimlake.plans import jobs, standins as st
+from claimlake.session import scratch_path
+from claimlake.sources import ingest, tables
+from claimlake.sources.schemas import GOLD_DDL, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def register(name: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def _gold_ntz(name: str):
+    return schema(GOLD_DDL[name].replace("timestamp", "timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- star + reports
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 on an empty table: every quality-checked transaction inserted at batch 1."""
-    from claimlake.operators.history import scd2_insert
-
     q = jobs.transactions_quality(st.bronze_transactions(spark, sf_dir))
-    return scd2_insert(st.empty_silver(spark, "transactions"), q, "TransactionID",
-                       ts=st.ts_ntz(st.BATCH_TS_1))
+    return hist.scd2_insert(st.empty_silver(spark, "transactions"), q, "TransactionID",
+                            ts=st.ts_ntz(st.BATCH_TS_1))
 
 
 def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,17 +58,355 @@ def gold_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.dim_department(jobs.departments_silver(st.departments_bronze(spark, sf_dir)))
 
 
+@register("e1_charges_by_provider")
 def e1_charges_by_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.charges_by_provider(gold_fact(spark, sf_dir), gold_providers(spark, sf_dir),
                                        gold_departments(spark, sf_dir))
 
 
+@register("e2_monthly_charges")
 def e2_monthly_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_charges(gold_fact(spark, sf_dir), gold_providers(spark, sf_dir),
                                    gold_departments(spark, sf_dir), st.REPORT_YEAR)
 
 
-QUERIES: dict[str, Query] = {
-    "e1_charges_by_provider": e1_charges_by_provider,
-    "e2_monthly_charges": e2_monthly_charges,
-}
+@register("p1_silver_transactions")
+def p1_silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_transactions(spark, sf_dir)
+
+
+@register("p17_fact_transactions")
+def p17_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_fact(spark, sf_dir)
+
+
+@register("i10_casts")
+def i10_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact query's own column names, inserted by position with casts."""
+    t = marts.publishable(silver_transactions(spark, sf_dir))
+    sel = t.select(
+        "TransactionID", "SRC_TransactionID", "EncounterID",
+        surrogate_key("PatientID", "datasource").alias("FK_Patient_ID"),
+        prefixed_key("ProviderID", "datasource").alias("FK_Provider_ID"),
+        surrogate_key("DeptID", "datasource").alias("FK_Dept_ID"),
+        "ICDCode", F.col("ProcedureCode").alias("CPT_Code"), "VisitType", "ServiceDate", "PaidDate",
+        F.col("Amount").alias("Charge_Amt"), F.col("PaidAmount").alias("Paid_Amt"), "AmountType",
+        "ClaimID", "datasource", st.ts_ntz(st.REFRESHED_AT),
+    )
+    return cf.conform_to(sel, _gold_ntz("fact_transactions"), by="position")
+
+
+@register("p12_dim_provider")
+def p12_dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_providers(spark, sf_dir)
+
+
+@register("p13_dim_department")
+def p13_dim_department(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_departments(spark, sf_dir)
+
+
+@register("b11_prefixed_key")
+def b11_prefixed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = st.table(spark, sf_dir, "supplier")
+    ds = (F.when(F.col("s_nationkey") < 10, F.lit("hos-a")).when(F.col("s_nationkey") < 20, F.lit("hos-b"))
+          .when(F.col("s_nationkey") < 23, F.lit("hos-c")).otherwise(F.lit(None).cast("string")))
+    x = s.select("s_suppkey", ds.alias("datasource"))
+    return x.select("s_suppkey", "datasource",
+                    prefixed_key(F.col("s_suppkey").cast("string"), "datasource").alias("FK_ProviderID"))
+
+
+@register("e6_distinct")
+def e6_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + E6 + I9: the same providers extracted twice, unioned, made distinct."""
+    b = st.providers_bronze(spark, sf_dir)
+    return jobs.providers_silver(b, b)
+
+
+# ---------------------------------------------------------------- conform / quality
+def _patients_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = st.patients_bronze(spark, sf_dir)
+    return jobs.patients_quality(a, b)
+
+
+@register("b3_conform")
+def b3_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = st.patients_bronze(spark, sf_dir)
+    return cf.union_sources(cf.conform(a, jobs.PATIENT_MODEL_A), cf.conform(b, jobs.PATIENT_MODEL_B))
+
+
+@register("b6_quarantine")
+def b6_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _patients_quality(spark, sf_dir)
+
+
+@register("g3_quarantined_first")
+def g3_quarantined_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quarantined_first(_patients_quality(spark, sf_dir))
+
+
+@register("p3_silver_patients")
+def p3_silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.apply_batch(st.empty_silver(spark, "patients"), _patients_quality(spark, sf_dir),
+                            "patients", st.ts_ntz(st.BATCH_TS_1))
+
+
+@register("p11_dim_patient")
+def p11_dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_patient(p3_silver_patients(spark, sf_dir))
+
+
+@register("b5_surrogate_key")
+def b5_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cf.with_source_key(st.encounters_bronze(spark, sf_dir, 2), "EncounterID")
+
+
+@register("h1_union_by_name")
+def h1_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = st.encounters_bronze(spark, sf_dir, 2)
+    a = enc.filter(F.col("datasource") == "hos-a")
+    b = enc.filter(F.col("datasource") == "hos-b")
+    b = b.select(*reversed(b.columns))  # hospital B lists its columns in another order
+    return cf.union_sources(a, b, by="name")
+
+
+@register("h2_union_by_position")
+def h2_union_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = st.encounters_bronze(spark, sf_dir, 2)
+    a = enc.filter(F.col("datasource") == "hos-a")
+    b = enc.filter(F.col("datasource") == "hos-b")
+    return cf.union_sources(a, b, by="position")
+
+
+# ---------------------------------------------------------------- history (SCD2)
+def _enc_quality(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    return jobs.encounters_quality(st.encounters_bronze(spark, sf_dir, day))
+
+
+def _enc_loaded_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.apply_batch(st.empty_silver(spark, "encounters"), _enc_quality(spark, sf_dir, 1),
+                            "encounters", st.ts_ntz(st.BATCH_TS_1))
+
+
+@register("d5_scd2")
+def d5_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.apply_batch(_enc_loaded_day1(spark, sf_dir), _enc_quality(spark, sf_dir, 2),
+                            "encounters", st.ts_ntz(st.BATCH_TS_2))
+
+
+@register("d1_expire")
+def d1_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hist.scd2_expire(_enc_loaded_day1(spark, sf_dir), _enc_quality(spark, sf_dir, 2),
+                            "EncounterID", ts=st.ts_ntz(st.BATCH_TS_2), audit=hist.TX_AUDIT)
+
+
+@register("d2_insert")
+def d2_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's two passes: D1 then D2 (must equal D5)."""
+    return hist.scd2_insert(d1_expire(spark, sf_dir), _enc_quality(spark, sf_dir, 2), "EncounterID",
+                            ts=st.ts_ntz(st.BATCH_TS_2), audit=hist.TX_AUDIT)
+
+
+@register("b12_changed")
+def b12_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _enc_quality(spark, sf_dir, 1).alias("t")
+    s = _enc_quality(spark, sf_dir, 2).alias("s")
+    tracked = [c for c in _enc_quality(spark, sf_dir, 1).columns if c != "EncounterID"]
+    j = t.join(s, F.col("t.EncounterID") == F.col("s.EncounterID"), "inner")
+    return j.select(F.col("t.EncounterID").alias("EncounterID"),
+                    changed_between("t", "s", tracked).alias("is_changed"),
+                    changed_between("t", "s", tracked, null_safe=True).alias("is_changed_null_safe"))
+
+
+@register("c4_unmatched")
+def c4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hist.unmatched(_enc_quality(spark, sf_dir, 2), _enc_loaded_day1(spark, sf_dir), "EncounterID")
+
+
+@register("b8_publishable")
+def b8_publishable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.publishable(d5_scd2(spark, sf_dir))
+
+
+@register("d6_snapshot")
+def d6_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hist.snapshot(d5_scd2(spark, sf_dir))
+
+
+@register("e4_versions")
+def e4_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hist.versions_per_key(d5_scd2(spark, sf_dir), "EncounterID")
+
+
+@register("e5_rows_per_key")
+def e5_rows_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hist.rows_per_source_key(d5_scd2(spark, sf_dir), ["SRC_EncounterID", "datasource"], "PatientID")
+
+
+@register("s5_latest_per_key")
+def s5_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.latest_per_key(st.codes_staged(spark, sf_dir), "icd_code", ["updated_date", "inserted_date"])
+
+
+@register("d4_upsert_flagged")
+def d4_upsert_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.icd_silver(st.codes_known(spark, sf_dir), st.codes_staged(spark, sf_dir))
+
+
+@register("p15_dim_icd")
+def p15_dim_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_icd(d4_upsert_flagged(spark, sf_dir), st.ts_ntz(st.REFRESHED_AT))
+
+
+@register("p14_dim_cpt_code")
+def p14_dim_cpt_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = jobs.apply_batch(st.empty_silver(spark, "cptcodes"), jobs.cpt_quality(st.cpt_bronze(spark, sf_dir)),
+                              "cptcodes", st.ts_ntz(st.BATCH_TS_1))
+    return marts.dim_cpt_code(silver, st.ts_ntz(st.REFRESHED_AT))
+
+
+# ---------------------------------------------------------------- registry JSON
+NPI_DATE = _dt.date(2024, 1, 3)
+
+
+@register("j1_flatten_registry")
+def j1_flatten_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.flatten_registry(st.npi_detail_docs(spark, sf_dir), NPI_DATE)
+
+
+@register("j5_detail_for")
+def j5_detail_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detail = nested.detail_for(st.npi_list_docs(spark, sf_dir), st.npi_detail_docs(spark, sf_dir))
+    return nested.flatten_registry(detail, NPI_DATE)
+
+
+@register("p16_dim_npi")
+def p16_dim_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = jobs.npi_silver(st.empty_silver(spark, "npi_extract"),
+                             nested.flatten_registry(st.npi_detail_docs(spark, sf_dir), NPI_DATE), NPI_DATE)
+    return marts.dim_npi(silver, st.ts_ntz(st.REFRESHED_AT))
+
+
+@register("j6_hierarchy_leaves")
+def j6_hierarchy_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, edges, roots = st.hierarchy(spark, sf_dir)
+    return nested.code_rows_from(nested.hierarchy_leaves(nodes, edges, roots), NPI_DATE)
+
+
+# ---------------------------------------------------------------- sources / sinks
+@register("a2_path_view")
+def a2_path_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.path_view(spark, "claimlake_region", f"{sf_dir}/region.parquet")
+
+
+@register("a7_append")
+def a7_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A7: append the same extract twice to a fresh bronze folder, scan it back."""
+    root = scratch_path(spark, "bronze")
+    nation = st.table(spark, sf_dir, "nation")
+    for _ in range(2):
+        tables.write_bronze(nation, f"{root}/hosa/nation", mode="append")
+    return tables.read_bronze(spark, root, "hosa", "nation")
+
+
+@register("a8_overwrite_skip_empty")
+def a8_overwrite_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite with the extract; an empty extract later leaves it in place."""
+    path = f"{scratch_path(spark, 'bronze')}/npi_extract"
+    flat = nested.flatten_registry(st.npi_detail_docs(spark, sf_dir), NPI_DATE)
+    tables.write_bronze(flat, path, mode="overwrite", skip_empty=True)
+    tables.write_bronze(flat.where(F.lit(False)), path, mode="overwrite", skip_empty=True)
+    return spark.read.parquet(path)
+
+
+@register("a13_full_refresh")
+def a13_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + A11 + A12 + A13: declared table, then INSERT OVERWRITE by position."""
+    import uuid
+
+    name = f"claimlake_dim_department_{uuid.uuid4().hex[:8]}"
+    tables.ensure_table(spark, name, schema(GOLD_DDL["dim_department"]), location=scratch_path(spark, "gold"))
+    dims = gold_departments(spark, sf_dir)
+    tables.full_refresh(dims, name)
+    tables.full_refresh(dims, name)  # a second refresh replaces, never appends
+    return spark.table(name)
+
+
+@register("a11_replace_table")
+def a11_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged replacement: v1 written and swapped in, then v2 replaces it in one catalog change."""
+    import uuid
+
+    name = f"claimlake_dim_provider_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "gold")
+    dims = gold_providers(spark, sf_dir)
+    tables.replace_table(dims.where(F.col("datasource") == "hos-a"), name, root)
+    tables.replace_table(dims, name, root)
+    return spark.table(name)
+
+
+@register("a15_mapped_load")
+def a15_mapped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "landing")
+    mapping = [
+        {"Container": "raw", "FilePath": "HospitalA", "FileName": "nation.csv",
+         "DatabaseName": "rcmhospital_a", "TableName": "Nation"},
+        {"Container": "raw", "FilePath": "HospitalA", "FileName": "region.csv",
+         "DatabaseName": "rcmhospital_a", "TableName": "Region"},
+    ]
+    for m, t in zip(mapping, ("nation", "region")):
+        st.table(spark, sf_dir, t).write.option("header", True).csv(
+            f"{root}/{m['Container']}/{m['FilePath']}/{m['FileName']}")
+    loaded = ingest.load_mapped_files(spark, mapping, root, {
+        "Nation": schema("n_nationkey int, n_name string, n_regionkey int"),
+        "Region": schema("r_regionkey int, r_name string"),
+    })
+    return loaded["rcmhospital_a.Nation"]
+
+
+@register("a17_full_extract")
+def a17_full_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.extract_full(st.table(spark, sf_dir, "supplier"), "hos-a")
+
+
+@register("a18_incremental_extract")
+def a18_incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.extract_incremental(st.table(spark, sf_dir, "orders"), "o_orderdate",
+                                      _dt.date(1998, 1, 1), "hos-b")
+
+
+def _load_sources(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
+    enc = st.encounters_bronze(spark, sf_dir, 2)
+    tx = st.bronze_transactions(spark, sf_dir)
+    prov = st.providers_bronze(spark, sf_dir)
+    dept = st.departments_bronze(spark, sf_dir)
+    pa, pb = st.patients_bronze(spark, sf_dir)
+    out: dict[tuple[str, str], DataFrame] = {}
+    for ds in ("hos-a", "hos-b"):
+        for name, df in (("dbo.encounters", enc), ("dbo.transactions", tx), ("dbo.providers", prov),
+                         ("dbo.departments", dept)):
+            out[(ds, name)] = df.filter(F.col("datasource") == ds).drop("datasource")
+    out[("hos-a", "dbo.patients")] = pa.drop("datasource")
+    out[("hos-b", "dbo.patients")] = pb.drop("datasource")
+    return out
+
+
+def _all_active(spark: SparkSession) -> DataFrame:
+    return ingest.load_config(spark).withColumn("is_active", F.lit(1))
+
+
+@register("a19_load_log")
+def a19_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 first run (A16 plan, A17/A18 extracts, A19 log) with every config row active."""
+    run = ingest.run_loads(spark, _all_active(spark), _load_sources(spark, sf_dir), None,
+                           st.ts_ntz(st.BATCH_TS_1))
+    return run.log
+
+
+@register("a20_latest_watermark")
+def a20_latest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A20 over two runs' logs; the second run extracts incrementally from the first's time."""
+    src = _load_sources(spark, sf_dir)
+    first = ingest.run_loads(spark, _all_active(spark), src, None, st.ts_ntz(st.BATCH_TS_1))
+    second = ingest.run_loads(spark, _all_active(spark), src, first.log, st.ts_ntz(st.BATCH_TS_2))
+    return ingest.latest_watermark(first.log.unionByName(second.log))

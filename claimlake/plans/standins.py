@@ -182,3 +182,124 @@ def empty_silver(spark: SparkSession, name: str) -> DataFrame:
     from claimlake.sources.tables import empty_table
 
     return empty_table(spark, ntz_schema(name))
+
+
+def cpt_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CPT rows from part; parts above size 45 are retired codes."""
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").cast("string").alias("cpt_codes"),
+        F.col("p_type").alias("procedure_code_category"),
+        F.col("p_name").alias("procedure_code_descriptions"),
+        F.when(F.col("p_size") > 45, F.lit("retired")).otherwise(F.lit("active")).alias("code_status"),
+    )
+
+
+def codes_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ICD codes already in silver: parts up to size 45 (larger ones are new)."""
+    return codes_bronze(spark, sf_dir).join(
+        table(spark, sf_dir, "part").filter(F.col("p_size") <= 45)
+        .select(F.col("p_partkey").cast("string").alias("icd_code")), "icd_code", "left_semi")
+
+
+def codes_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ICD bronze after two daily appends (S5): every code on day 1, and PROMO
+    codes again on day 2 with a revised description."""
+    p = table(spark, sf_dir, "part")
+    day1 = codes_bronze(spark, sf_dir)
+    day2 = p.filter(F.col("p_type") == "PROMO").select(
+        F.col("p_partkey").cast("string").alias("icd_code"),
+        F.col("p_type").alias("icd_code_type"),
+        F.concat(F.col("p_name"), F.lit(" (revised)")).alias("code_description"),
+        F.lit(_dt.date(2024, 1, 2)).alias("inserted_date"),
+        F.lit(_dt.date(2024, 1, 2)).alias("updated_date"),
+        F.lit(True).alias("is_current_flag"),
+    )
+    return day1.unionByName(day2)
+
+
+def _npi_result(s: DataFrame) -> Column:
+    """One registry result per supplier: individuals (NPI-1) in nations below
+    12, organisations otherwise; absent fields are left out of the JSON."""
+    individual = F.col("s_nationkey") < 12
+    nk = F.col("s_nationkey").cast("string")
+    none = F.lit(None).cast("string")
+    basic = F.struct(
+        F.when(individual, F.col("s_name")).otherwise(none).alias("first_name"),
+        F.when(individual, nk).otherwise(none).alias("last_name"),
+        F.when(~individual, F.col("s_name")).otherwise(none).alias("authorized_official_first_name"),
+        F.when(~individual, nk).otherwise(none).alias("authorized_official_last_name"),
+        F.when(~individual & (F.col("s_acctbal") > 5000), F.lit("Director")).otherwise(none)
+        .alias("authorized_official_title_or_position"),
+        F.when(~individual, F.concat(F.lit("Org "), nk)).otherwise(none).alias("organization_name"),
+        F.lit("2024-01-01").alias("last_updated"),
+    )
+    return F.struct(
+        F.col("s_suppkey").cast("string").alias("number"),
+        F.when(individual, F.lit("NPI-1")).otherwise(F.lit("NPI-2")).alias("enumeration_type"),
+        basic.alias("basic"),
+    )
+
+
+def npi_detail_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detail answer per supplier number; suppliers with a negative
+    balance answer with an empty ``results`` list."""
+    s = table(spark, sf_dir, "supplier")
+    results = F.when(F.col("s_acctbal") >= 0, F.array(_npi_result(s))).otherwise(
+        F.array().cast("array<struct<number:string,enumeration_type:string,basic:struct<"
+                       "first_name:string,last_name:string,authorized_official_first_name:string,"
+                       "authorized_official_last_name:string,authorized_official_title_or_position:string,"
+                       "organization_name:string,last_updated:string>>>"))
+    return s.select(F.col("s_suppkey").cast("string").alias("number"),
+                    F.to_json(F.struct(results.alias("results"))).alias("body"))
+
+
+def npi_list_docs(spark: SparkSession, sf_dir: str, region: int = 1) -> DataFrame:
+    """List answers of a search (suppliers of one region), 20 numbers per page
+    like the registry's page size: pages group by ``s_suppkey div 20``, so
+    no page -- and no task -- ever holds more than 20 numbers."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == region)
+    hits = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left_semi")
+    pages = hits.groupBy(F.floor(F.col("s_suppkey") / 20).alias("page")).agg(
+        F.collect_list(F.struct(F.col("s_suppkey").cast("string").alias("number"))).alias("results"))
+    return pages.select("page", F.to_json(F.struct("results")).alias("body"))
+
+
+def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, edges, roots) of a region -> nation -> supplier code tree.
+
+    Suppliers are leaves (code ``S<key>``, title = name); those with a
+    negative balance have no code and are not emitted. Suppliers with a
+    balance above 9000 are also linked straight from their region, so they
+    are reached twice.
+    """
+    r, n, s = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
+
+    def title(c: str) -> Column:
+        return F.struct(F.col(c).alias("@value"))
+
+    def url(kind: str, c: str) -> Column:
+        return F.concat(F.lit(kind + "/"), F.col(c).cast("string"))
+
+    nodes = (
+        r.select(url("region", "r_regionkey").alias("url"), F.lit(True).alias("has_child"),
+                 F.lit(None).cast("string").alias("code"), title("r_name").alias("title"))
+        .unionByName(n.select(url("nation", "n_nationkey").alias("url"), F.lit(True).alias("has_child"),
+                              F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"),
+                              title("n_name").alias("title")))
+        .unionByName(s.select(url("supplier", "s_suppkey").alias("url"), F.lit(False).alias("has_child"),
+                              F.when(F.col("s_acctbal") < 0, F.lit(None).cast("string"))
+                              .otherwise(F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))).alias("code"),
+                              title("s_name").alias("title")))
+    )
+    featured = s.filter(F.col("s_acctbal") > 9000).join(n, s["s_nationkey"] == n["n_nationkey"])
+    edges = (
+        n.select(url("region", "n_regionkey").alias("url"), url("nation", "n_nationkey").alias("child_url"))
+        .unionByName(s.select(url("nation", "s_nationkey").alias("url"),
+                              url("supplier", "s_suppkey").alias("child_url")))
+        .unionByName(featured.select(url("region", "n_regionkey").alias("url"),
+                                     url("supplier", "s_suppkey").alias("child_url")))
+    )
+    roots = r.select(url("region", "r_regionkey").alias("url"))
+    return nodes, edges, roots

@@ -61,3 +61,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder under the shared checkpoint folder, for staged writes.
+
+    Never a machine-local temp folder: on a cluster this is the shared
+    location the platform names in ``spark.checkpoint.dir``.
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/claimlake-{name}/{uuid.uuid4().hex}"

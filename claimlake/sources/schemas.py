@@ -90,7 +90,9 @@ GOLD_DDL = {
 
 # ---- fixed values: control tables
 CONTROL_DDL = {
-    "load_logs": "data_source string, tablename string, numberofrowscopied int, "
+    # numberofrowscopied is INT in the reference; bigint here, since one
+    # load of a large table passes 2^31 rows.
+    "load_logs": "data_source string, tablename string, numberofrowscopied bigint, "
                  "watermarkcolumnname string, loaddate timestamp",
     "load_config": "database string, datasource string, tablename string, loadtype string, "
                    "watermark string, is_active int, targetpath string",
