@@ -68,6 +68,18 @@ def month_key(c: str | Column) -> Column:
     return F.date_format(as_col(c), "yyyyMM")
 
 
+def month_number(c: str | Column) -> Column:
+    """``year * 100 + month`` as an int: the same grouping as ``month_key``,
+    without formatting text for every row."""
+    col = as_col(c)
+    return F.year(col) * 100 + F.month(col)
+
+
+def month_text(n: str | Column) -> Column:
+    """``month_number`` back to the ``yyyyMM`` text (4-digit years)."""
+    return F.lpad(as_col(n).cast("string"), 6, "0")
+
+
 def is_publishable(current: str | Column | None = "is_current",
                    clean: str | Column | None = "is_quarantined") -> Column:
     """``is_current = true AND is_quarantined = false`` (NULL fails both)."""

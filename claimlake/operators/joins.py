@@ -27,31 +27,45 @@ class SizeProbe:
     bounded: bool
 
 
-def probe_size(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> SizeProbe:
-    """Measure rows and payload bytes of ``df`` reading at most ``max_rows + 1`` rows.
-
-    One small job: a limit, then a single aggregate. Variable-width values
-    are measured with ``octet_length``; fixed-width ones use their width.
-    """
-    widths: list[Column] = []
+def _probe_agg(df: DataFrame, max_rows: int, tag: int) -> DataFrame:
+    row_bytes = F.lit(0).cast("long")
     for field in df.schema.fields:
         dt = field.dataType
         c = F.col(f"`{field.name}`")
         if isinstance(dt, (T.StringType, T.BinaryType)):
-            widths.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
+            w = F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
         elif type(dt) in _FIXED_WIDTH:
-            widths.append(F.lit(_FIXED_WIDTH[type(dt)]).cast("long"))
+            w = F.lit(_FIXED_WIDTH[type(dt)]).cast("long")
         else:  # nested: measure its JSON text
-            widths.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long"))
-    row_bytes = F.lit(0).cast("long")
-    for w in widths:
+            w = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
         row_bytes = row_bytes + w
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")
-    ).first()
-    rows, size = int(probe["rows"]), int(probe["bytes"])
-    return SizeProbe(rows, size, rows <= max_rows and size <= max_bytes)
+    return df.limit(max_rows + 1).agg(
+        F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long").alias("bytes"))
+
+
+def probe_sizes(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[SizeProbe]:
+    """Measure rows and payload bytes of each DataFrame, reading at most
+    ``max_rows + 1`` rows of each, all in one small job.
+
+    Variable-width values are measured with ``octet_length``; fixed-width
+    ones use their width. This is the proof a broadcast needs: a bound on
+    the data actually shipped, not an estimate from file sizes.
+    """
+    probes = [_probe_agg(df, max_rows, i) for i, df in enumerate(dfs)]
+    union = probes[0]
+    for p in probes[1:]:
+        union = union.unionByName(p)
+    got = {r["tag"]: (int(r["rows"]), int(r["bytes"])) for r in union.collect()}
+    return [SizeProbe(rows, size, rows <= max_rows and size <= max_bytes)
+            for rows, size in (got[i] for i in range(len(dfs)))]
+
+
+def probe_size(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> SizeProbe:
+    """``probe_sizes`` for one DataFrame."""
+    return probe_sizes([df], max_rows, max_bytes)[0]
 
 
 def checked_broadcast(dim: DataFrame, mode: str = "auto",

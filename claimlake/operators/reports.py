@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions.keys import display_name
-from claimlake.functions.predicates import in_year, month_key
+from claimlake.functions.predicates import in_year, month_number, month_text
 from claimlake.operators.joins import (
     DEFAULT_BROADCAST_BYTES,
     DEFAULT_BROADCAST_ROWS,
-    probe_size,
+    probe_sizes,
     with_dim,
 )
 
@@ -58,8 +58,7 @@ def _report(fact: DataFrame, providers: DataFrame, departments: DataFrame,
             money_type: str | None, broadcast: str, max_rows: int, max_bytes: int) -> DataFrame:
     prov, dept = _provider_side(providers), _department_side(departments)
     if broadcast == "auto":
-        small = (probe_size(prov, max_rows, max_bytes).bounded
-                 and probe_size(dept, max_rows, max_bytes).bounded)
+        small = all(p.bounded for p in probe_sizes([prov, dept], max_rows, max_bytes))
         mode = "always" if small else "never"
     else:
         mode = broadcast
@@ -104,7 +103,10 @@ def monthly_charges(fact: DataFrame, providers: DataFrame, departments: DataFram
     The year test is a half-open date range, so it reaches the parquet scan.
     """
     fact = fact.filter(in_year("ServiceDate", year))
-    out = _report(fact, providers, departments, {"YYYYMM": month_key("ServiceDate")},
+    # Group on an int month; the yyyyMM text is made once per output row.
+    out = _report(fact, providers, departments, {"__month": month_number("ServiceDate")},
                   {"Total_Charge_Amt": "Amount", "Total_Paid_Amt": "PaidAmount"},
                   money_type, broadcast, max_rows, max_bytes)
+    out = out.select("Provider_Name", "Dept_Name", month_text("__month").alias("YYYYMM"),
+                     "Total_Charge_Amt", "Total_Paid_Amt")
     return out.orderBy(F.col("Provider_Name").asc_nulls_first(), F.col("YYYYMM").asc_nulls_first())

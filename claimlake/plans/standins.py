@@ -37,8 +37,17 @@ def ts_ntz(value: _dt.datetime) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The DataFrame (file listing + footer schema) is made
+    once per session and path; every query still scans the files afresh."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _parity_source(c: str) -> Column:
