@@ -50,8 +50,16 @@ NPI_AUDIT = Audit("is_current_flag", "inserted_date", "updated_date")
 
 
 def _ts(value, dtype) -> Column:
-    c = value if isinstance(value, Column) else F.lit(value)
-    return c.cast(dtype)
+    """The batch time as a literal of the target column's type.
+
+    A naive ``datetime`` for a ``timestamp_ntz`` column is built from its
+    text, so it does not pass through the Python process's local zone.
+    """
+    if isinstance(value, Column):
+        return value.cast(dtype)
+    if isinstance(value, _dt.datetime) and isinstance(dtype, T.TimestampNTZType) and value.tzinfo is None:
+        return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
+    return F.lit(value).cast(dtype)
 
 
 def _salted_join_key(df: DataFrame, key: str, null_flag: int) -> DataFrame:

@@ -410,3 +410,28 @@ def a20_latest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = ingest.run_loads(spark, _all_active(spark), src, None, st.ts_ntz(st.BATCH_TS_1))
     second = ingest.run_loads(spark, _all_active(spark), src, first.log, st.ts_ntz(st.BATCH_TS_2))
     return ingest.latest_watermark(first.log.unionByName(second.log))
+
+
+# ---------------------------------------------------------------- streaming
+@register("st1_stream_scd2")
+def st1_stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 as a Structured Streaming run: day 1's extract lands, the stream
+    applies it; day 2's extract lands, the same stream (same checkpoint)
+    applies only the new files. Must equal ``d5_scd2``."""
+    import uuid
+
+    from claimlake.streaming.incremental import run_once
+
+    root = scratch_path(spark, "stream")
+    table_name = f"claimlake_encounters_{uuid.uuid4().hex[:8]}"
+    clock = {0: st.BATCH_TS_1, 1: st.BATCH_TS_2}
+    day1, day2 = (st.encounters_bronze(spark, sf_dir, d) for d in (1, 2))
+    kwargs = dict(landing=f"{root}/landing", bronze_schema=day1.schema, table=table_name,
+                  table_root=f"{root}/silver", target_schema=st.ntz_schema("encounters"), key="EncounterID",
+                  quality=jobs.encounters_quality, batch_time=clock.__getitem__,
+                  checkpoint=f"{root}/checkpoint")
+    day1.write.mode("append").parquet(f"{root}/landing")
+    run_once(spark, **kwargs)
+    day2.write.mode("append").parquet(f"{root}/landing")
+    run_once(spark, **kwargs)
+    return spark.table(table_name)

@@ -34,7 +34,7 @@ REPORT_YEAR = 1998
 
 def ts_ntz(value: _dt.datetime) -> Column:
     """A time-zone-free timestamp literal (compares equal in any session zone)."""
-    return F.lit(value).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}

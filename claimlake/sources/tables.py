@@ -67,15 +67,18 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, root: str, partition_by: list[str] | None = None) -> str:
-    """A11 + A13 in one commit: stage ``df`` under ``{root}/{name}/v-<id>``, then
-    point table ``name`` at it (creating it if absent). Returns the new path.
+def replace_table(df: DataFrame, name: str, root: str, partition_by: list[str] | None = None,
+                  tag: str | None = None) -> str:
+    """A11 + A13 in one commit: stage ``df`` under ``{root}/{name}/v-[tag-]<id>``,
+    then point table ``name`` at it (creating it if absent). Returns the new path.
 
     Unlike TRUNCATE-then-INSERT there is no moment with an empty table, and
-    ``df`` may read the table being replaced.
+    ``df`` may read the table being replaced. ``tag`` (e.g. a stream epoch)
+    is part of the folder name, so it is committed with the swap itself.
     """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{uuid.uuid4().hex}"
+    version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -110,3 +113,13 @@ def full_refresh(df: DataFrame, name: str, schema: T.StructType | None = None,
     spark = df.sparkSession
     target = schema or spark.table(name).schema
     conform_to(df, target, by=by).write.insertInto(name, overwrite=True)
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The storage folder a catalog table currently points at (None if absent)."""
+    if not spark.catalog.tableExists(name):
+        return None
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    return None
