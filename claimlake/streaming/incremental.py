@@ -86,3 +86,6 @@ def run_once(spark: SparkSession, **kwargs) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    # batches run in the stream's own session; drop this session's cached file list
+    if spark.catalog.tableExists(kwargs["table"]):
+        spark.catalog.refreshTable(kwargs["table"])
