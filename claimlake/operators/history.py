@@ -9,13 +9,15 @@ Scale notes
   narrow scan: never shuffled, never joined.
 * Only current rows meet the batch, in one full outer join on the key (the
   reference needs two MERGE passes, i.e. two joins and two commits).
-* NULL keys never match (S2). Instead of letting them hash to one join
-  partition -- a third of all rows could be quarantined NULL-key rows --
-  each gets a never-matching join key made from a hash of the row, so they
-  spread over all partitions and fall out of the join as one-sided rows.
-* Duplicate keys in a batch (S6) are detected without an extra pass: a
-  window count over the join key shares the join's shuffle, and a duplicate
-  raises at run time.
+* NULL keys never match (S2), so NULL-key rows never enter the join: on
+  both sides they are split off by complementary filters and handled by a
+  narrow projection. A third of a batch may be quarantined NULL-key rows,
+  or exact copies of one junk row; none of it can pile onto one join task
+  (and full outer joins cannot be split by AQE's skew handling).
+* Among non-NULL keys, current target keys are unique, and a batch key
+  occurring twice raises (S6) -- so the join has no hot key at all. The
+  check is a window count that shares the join's shuffle (no extra pass)
+  and raises right after it.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from claimlake.functions.predicates import changed
 
-_JF, _JK, _T, _S, _N = "__jf", "__jk", "__t", "__s", "__n"
+_T, _S, _N = "__t", "__s", "__n"
 _SRC = "__s_"
 
 
@@ -62,30 +64,20 @@ def _ts(value, dtype) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def _salted_join_key(df: DataFrame, key: str, null_flag: int) -> DataFrame:
-    """Add (``__jf``, ``__jk``): (0, key) for real keys; (flag, row hash) for NULL keys.
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
 
-    The flag differs per side, so salted rows can never match anything, and
-    the hash spreads them over all partitions. The hash is only computed
-    for NULL keys (``coalesce`` is lazy). Integral keys stay integral.
-    """
-    dtype = df.schema[key].dataType
-    k = F.col(f"`{key}`")
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        jk = F.coalesce(k.cast("long"), row_hash)
-    else:
-        jk = F.coalesce(k.cast("string"), row_hash.cast("string"))
-    return df.withColumns({
-        _JF: F.when(k.isNull(), F.lit(null_flag)).otherwise(F.lit(0)),
-        _JK: jk,
-    })
 
+def _guard_duplicates(src: DataFrame, key: str, what: str) -> DataFrame:
+    """Raise when a (non-NULL) key occurs more than once in ``src``.
 
-def _duplicate_guard(df: DataFrame, what: str) -> DataFrame:
-    """Count rows per join key with a window that shares the join's shuffle."""
-    w = Window.partitionBy(_JF, _JK)
-    return df.withColumn(_N, F.count(F.lit(1)).over(w))
+    The window is partitioned by the join key, so its shuffle is the one
+    the following join needs; the check costs no extra pass.
+    """
+    counted = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(key))))
+    guard = F.when(F.col(_N) > 1, F.raise_error(F.concat(
+        F.lit(f"{what}: several source rows for key "), _c(key).cast("string"))))
+    return counted.filter(guard.isNull()).drop(_N)
 
 
 def _check_columns(target: DataFrame, source: DataFrame, audit: Audit | None) -> list[str]:
@@ -104,13 +96,41 @@ def _tracked(source: DataFrame, key: str, tracked: Sequence[str] | None) -> list
     return [c for c in source.columns if c != key] if tracked is None else list(tracked)
 
 
-def _pass_through(target: DataFrame, audit: Audit) -> DataFrame:
-    """History rows: ``is_current`` not TRUE (NULL counts as history, S18)."""
-    return target.filter(~F.coalesce(F.col(audit.current) == F.lit(True), F.lit(False)))
+def _is_current(audit: Audit) -> Column:
+    """``current = TRUE``; NULL counts as history."""
+    return F.coalesce(_c(audit.current) == F.lit(True), F.lit(False))
+
 
+def _new_rows(target_fields: T.StructType, business: list[str], audit: Audit, ts,
+              prefix: str = "") -> list[Column]:
+    """Target-shaped columns for source rows inserted as current at ``ts``."""
+    types = {f.name: f.dataType for f in target_fields.fields}
+    vals = {audit.current: F.lit(True), audit.modified: _ts(ts, types[audit.modified]),
+            audit.inserted: _ts(ts, types[audit.inserted])}
+    out = []
+    for f in target_fields.fields:
+        c = f.name
+        if c in vals:
+            out.append(vals[c].alias(c))
+        elif c in business:
+            out.append(_c(prefix + c).cast(f.dataType).alias(c))
+        else:
+            out.append(F.lit(None).cast(f.dataType).alias(c))
+    return out
 
-def _current(target: DataFrame, audit: Audit) -> DataFrame:
-    return target.filter(F.col(audit.current) == F.lit(True))
+
+def scd2_initial(source: DataFrame, target_schema: T.StructType,
+                 ts: _dt.datetime | _dt.date | Column, audit: Audit = TX_AUDIT) -> DataFrame:
+    """First load of an empty SCD2 table: every row becomes current at ``ts``.
+
+    Equal to ``scd2_insert`` into an empty table, but a plain projection:
+    no join, no shuffle.
+    """
+    names = {f.name for f in target_schema.fields}
+    missing = [c for c in source.columns if c not in names]
+    if missing:
+        raise ValueError(f"source columns not in target: {missing}")
+    return source.select(*_new_rows(target_schema, list(source.columns), audit, ts))
 
 
 def scd2_apply(target: DataFrame, source: DataFrame, key: str,
@@ -135,56 +155,39 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     """
     if ts is None:
         raise ValueError("ts (the batch time) is required; pass one value per run")
+    if on_duplicate not in ("error", "unchecked"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     business = _check_columns(target, source, audit)
     tracked = _tracked(source, key, tracked)
     out_cols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
-    ts_mod, ts_ins = _ts(ts, types[audit.modified]), _ts(ts, types[audit.inserted])
+    ts_mod = _ts(ts, types[audit.modified])
+    has_key = _c(key).isNotNull()
 
-    history = _pass_through(target, audit)
-    cur = _salted_join_key(_current(target, audit), key, 1).withColumn(_T, F.lit(True))
-    src = source.select(*[F.col(f"`{c}`").alias(_SRC + c) for c in business])
-    src = _salted_join_key(src, _SRC + key, 2).withColumn(_S, F.lit(True))
+    # Narrow branches: history and NULL-key current rows pass; NULL-key batch rows insert.
+    untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
+    src_null = source.filter(~has_key).select(*_new_rows(target.schema, business, audit, ts))
+
+    cur = target.filter(_is_current(audit) & has_key).withColumn(_T, F.lit(True))
+    src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
-        src = _duplicate_guard(src, "scd2_apply")
-    elif on_duplicate != "unchecked":
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    src = src.withColumnsRenamed({_JF: _JF + "s", _JK: _JK + "s"})
-
-    j = cur.join(src, (cur[_JF] == src[_JF + "s"]) & (cur[_JK] == src[_JK + "s"]), "full_outer")
-
-    def keep() -> Column:
-        return F.struct(*[F.col(f"`{c}`").alias(c) for c in out_cols])
-
-    def expired() -> Column:
-        vals = {audit.current: F.lit(False), audit.modified: ts_mod}
-        return F.struct(*[vals.get(c, F.col(f"`{c}`")).alias(c) for c in out_cols])
-
-    def fresh() -> Column:
-        vals = {audit.current: F.lit(True), audit.modified: ts_mod, audit.inserted: ts_ins}
-        fields = []
-        for c in out_cols:
-            if c in vals:
-                fields.append(vals[c].alias(c))
-            elif c in business:
-                fields.append(F.col(_SRC + c).cast(types[c]).alias(c))
-            else:
-                fields.append(F.lit(None).cast(types[c]).alias(c))
-        return F.struct(*fields)
-
-    diff = changed(((F.col(f"`{c}`"), F.col(_SRC + c).cast(types[c])) for c in tracked), null_safe)
+        src = _guard_duplicates(src, _SRC + key, "scd2_apply")
+    src = src.withColumn(_S, F.lit(True))
+    j = cur.join(src, cur[key] == src[_SRC + key], "full_outer")
+
+    keep = F.struct(*[_c(c).alias(c) for c in out_cols])
+    exp_vals = {audit.current: F.lit(False), audit.modified: ts_mod}
+    expired = F.struct(*[exp_vals.get(c, _c(c)).alias(c) for c in out_cols])
+    fresh = F.struct(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
+    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
     rows = (
-        F.when(F.col(_T).isNull(), F.array(fresh()))
-        .when(F.col(_S).isNull(), F.array(keep()))
-        .when(diff, F.array(expired(), fresh()))
-        .otherwise(F.array(keep()))
+        F.when(F.col(_T).isNull(), F.array(fresh))
+        .when(F.col(_S).isNull(), F.array(keep))
+        .when(diff, F.array(expired, fresh))
+        .otherwise(F.array(keep))
     )
-    if on_duplicate == "error":
-        guard = (F.col(_JF + "s") == 0) & (F.col(_N) > 1)
-        rows = F.when(guard, F.raise_error(F.concat(
-            F.lit("scd2_apply: several source rows for key "), F.col(_JK + "s").cast("string")))).otherwise(rows)
     merged = j.select(F.inline(rows))
-    return history.select(out_cols).unionByName(merged.select(out_cols))
+    return untouched.unionByName(merged).unionByName(src_null)
 
 
 def scd2_expire(target: DataFrame, source: DataFrame, key: str,
@@ -194,7 +197,7 @@ def scd2_expire(target: DataFrame, source: DataFrame, key: str,
     """First MERGE pass -- expire current rows whose tracked columns changed.
 
     Returns the whole table; nothing is inserted. A duplicated source key
-    that matches a current row raises (S6).
+    raises (S6).
     """
     if ts is None:
         raise ValueError("ts is required")
@@ -203,26 +206,22 @@ def scd2_expire(target: DataFrame, source: DataFrame, key: str,
     types = {f.name: f.dataType for f in target.schema.fields}
     out_cols = target.columns
     ts_mod = _ts(ts, types[audit.modified])
+    has_key = _c(key).isNotNull()
 
-    untouched = target.filter(
-        ~F.coalesce(F.col(audit.current) == F.lit(True), F.lit(False)) | F.col(key).isNull())
-    cur = target.filter((F.col(audit.current) == F.lit(True)) & F.col(key).isNotNull())
-    src = (source.filter(F.col(key).isNotNull())
-           .select(*[F.col(f"`{c}`").alias(_SRC + c) for c in business]))
-    src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_SRC + key)))
+    untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
+    cur = target.filter(_is_current(audit) & has_key)
+    src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
+    src = _guard_duplicates(src, _SRC + key, "scd2_expire")
     j = cur.join(src, cur[key] == src[_SRC + key], "left")
-    diff = changed(((F.col(f"`{c}`"), F.col(_SRC + c).cast(types[c])) for c in tracked), null_safe)
-    hit = F.col(_SRC + key).isNotNull() & diff
-    guard = F.when(F.col(_N) > 1, F.raise_error(F.concat(
-        F.lit("scd2_expire: several source rows for key "), F.col(_SRC + key))))
+    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
+    hit = _c(_SRC + key).isNotNull() & diff
     expired = j.select(*[
-        (F.when(hit, F.lit(False)).otherwise(F.col(c)) if c == audit.current
-         else F.when(hit, ts_mod).otherwise(F.col(c)) if c == audit.modified
-         else F.col(f"`{c}`")).alias(c)
+        (F.when(hit, F.lit(False)).otherwise(_c(c)) if c == audit.current
+         else F.when(hit, ts_mod).otherwise(_c(c)) if c == audit.modified
+         else _c(c)).alias(c)
         for c in out_cols
-    ] + [guard.alias("__guard")])
-    expired = expired.filter(F.col("__guard").isNull()).drop("__guard")
-    return untouched.select(out_cols).unionByName(expired)
+    ])
+    return untouched.unionByName(expired)
 
 
 def scd2_insert(target: DataFrame, source: DataFrame, key: str,
@@ -236,33 +235,23 @@ def scd2_insert(target: DataFrame, source: DataFrame, key: str,
     if ts is None:
         raise ValueError("ts is required")
     business = _check_columns(target, source, audit)
-    types = {f.name: f.dataType for f in target.schema.fields}
     new = unmatched(source, target, key, current=audit.current)
-    vals = {audit.current: F.lit(True), audit.modified: _ts(ts, types[audit.modified]),
-            audit.inserted: _ts(ts, types[audit.inserted])}
-    new_rows = new.select(*[
-        (vals[c] if c in vals else
-         F.col(f"`{c}`").cast(types[c]) if c in business else F.lit(None).cast(types[c])).alias(c)
-        for c in target.columns
-    ])
-    return target.unionByName(new_rows)
+    return target.unionByName(new.select(*_new_rows(target.schema, business, audit, ts)))
 
 
 def unmatched(source: DataFrame, target: DataFrame, key: str,
               current: str | None = "is_current") -> DataFrame:
     """C4: source rows with no (current) target row on ``key``: an anti-join.
 
-    NULL source keys match nothing and are always returned. They take a
-    salted, never-matching join key so they neither pile onto one partition
-    nor need a second scan of the source.
+    NULL source keys match nothing and are always returned; they bypass the
+    join (a narrow branch), so copies of one NULL-key row cannot crowd a
+    join task.
     """
-    tgt = target if current is None else target.filter(F.col(current) == F.lit(True))
-    src = _salted_join_key(source, key, 2)
-    ktype = src.schema[_JK].dataType
-    keys = tgt.filter(F.col(key).isNotNull()).select(
-        F.lit(0).alias("__jft"), F.col(key).cast(ktype).alias("__jkt"))
-    anti = src.join(keys, (src[_JF] == keys["__jft"]) & (src[_JK] == keys["__jkt"]), "left_anti")
-    return anti.drop(_JF, _JK)
+    tgt = target if current is None else target.filter(_c(current) == F.lit(True))
+    keys = tgt.filter(_c(key).isNotNull()).select(_c(key).alias("__k"))
+    with_key = source.filter(_c(key).isNotNull())
+    anti = with_key.join(keys, with_key[key] == keys["__k"], "left_anti")
+    return anti.unionByName(source.filter(_c(key).isNull()))
 
 
 def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
@@ -282,42 +271,39 @@ def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
     updates = dict(updates or {c: c for c in (*tracked, "updated_date") if c in business})
     out_cols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
+    has_key = _c(key).isNotNull()
 
-    tgt = _salted_join_key(target, key, 1).withColumn(_T, F.lit(True))
-    src = source.select(*[F.col(f"`{c}`").alias(_SRC + c) for c in business])
-    src = _salted_join_key(src, _SRC + key, 2).withColumn(_S, F.lit(True))
+    def as_target(prefix: str) -> list[Column]:
+        return [(_c(prefix + c).cast(types[c]) if c in business else F.lit(None).cast(types[c])).alias(c)
+                for c in out_cols]
+
+    untouched = target.filter(~has_key).select(out_cols)
+    src_null = source.filter(~has_key).select(*as_target(""))
+    tgt = target.filter(has_key).withColumn(_T, F.lit(True))
+    src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
-        src = _duplicate_guard(src, "upsert_flagged")
-    src = src.withColumnsRenamed({_JF: _JF + "s", _JK: _JK + "s"})
-    j = tgt.join(src, (tgt[_JF] == src[_JF + "s"]) & (tgt[_JK] == src[_JK + "s"]), "full_outer")
+        src = _guard_duplicates(src, _SRC + key, "upsert_flagged")
+    src = src.withColumn(_S, F.lit(True))
+    j = tgt.join(src, tgt[key] == src[_SRC + key], "full_outer")
 
     only_src = F.col(_T).isNull()
     hit = F.col(_S).isNotNull() & F.col(_T).isNotNull() & changed(
-        (F.col(f"`{c}`"), F.col(_SRC + c).cast(types[c])) for c in tracked)
+        (_c(c), _c(_SRC + c).cast(types[c])) for c in tracked)
     cols = []
-    for c in out_cols:
-        from_src = F.col(_SRC + c).cast(types[c]) if c in business else F.lit(None).cast(types[c])
+    for c, from_src in zip(out_cols, as_target(_SRC)):
         if c == flag:
             upd = F.lit(flag_value)
         elif c in updates:
-            upd = F.col(_SRC + updates[c]).cast(types[c])
+            upd = _c(_SRC + updates[c]).cast(types[c])
         else:
-            upd = F.col(f"`{c}`")
-        cols.append(F.when(only_src, from_src).when(hit, upd).otherwise(F.col(f"`{c}`")).alias(c))
-    out = j.select(*cols, *([_raise_on_dup_col()] if on_duplicate == "error" else []))
-    if on_duplicate == "error":
-        out = out.filter(F.col("__guard").isNull()).drop("__guard")
-    return out
-
-
-def _raise_on_dup_col() -> Column:
-    return F.when((F.col(_JF + "s") == 0) & (F.col(_N) > 1), F.raise_error(F.concat(
-        F.lit("upsert_flagged: several source rows for key "), F.col(_JK + "s").cast("string")))).alias("__guard")
+            upd = _c(c)
+        cols.append(F.when(only_src, from_src).when(hit, upd).otherwise(_c(c)).alias(c))
+    return untouched.unionByName(j.select(*cols)).unionByName(src_null)
 
 
 def snapshot(df: DataFrame, current: str = "is_current") -> DataFrame:
     """The current rows of a historised table."""
-    return df.filter(F.col(current) == F.lit(True))
+    return df.filter(_c(current) == F.lit(True))
 
 
 def versions_per_key(df: DataFrame, key: str, name: str = "n_versions") -> DataFrame:
@@ -330,5 +316,5 @@ def rows_per_source_key(df: DataFrame, keys: Iterable[str], counted: str,
                         name: str = "n_rows") -> DataFrame:
     """E5: ``count(counted)`` (NULLs skipped) per source id and source, descending."""
     keys = list(keys)
-    return (df.groupBy(*keys).agg(F.count(F.col(counted)).alias(name))
+    return (df.groupBy(*keys).agg(F.count(_c(counted)).alias(name))
             .orderBy(F.col(name).desc(), *[F.col(k).asc_nulls_last() for k in keys]))

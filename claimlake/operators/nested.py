@@ -106,8 +106,19 @@ def edges_from_documents(nodes: DataFrame, url: str = "url", child: str = "child
     return nodes.select(F.col(url).alias("url"), F.explode(F.col(child)).alias("child_url"))
 
 
+def expand_counts(df: DataFrame, n: str = "__n", chunk: int = 1024) -> DataFrame:
+    """Repeat each row ``n`` times (and drop ``n``), with arrays of at most
+    ``max(chunk, n / chunk)`` elements: first ``ceil(n / chunk)`` chunk rows,
+    then up to ``chunk`` copies per chunk row."""
+    cols = [c for c in df.columns if c != n]
+    chunks = df.select(*cols, F.col(n), F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col(n) - 1) / chunk).cast("long"))).alias("__chunk"))
+    size = F.least(F.lit(chunk).cast("long"), F.col(n) - F.col("__chunk") * chunk)
+    return chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("__copy")).drop("__copy")
+
+
 def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
-                     max_depth: int = 64, checkpoint_every: int = 1) -> DataFrame:
+                     max_depth: int = 64, checkpoint_every: int = 1, expand: bool = True) -> DataFrame:
     """Walk ``child`` links from the roots and return the leaves reached.
 
     ``nodes``: ``url``, ``has_child`` (the document has a ``child`` field,
@@ -116,14 +127,20 @@ def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
 
     A node without a ``child`` field and with both ``code`` and ``title`` is
     emitted; one with an empty list emits nothing. There is no visited set,
-    so a node reached along two paths is emitted twice. Each level is one
-    join of the frontier with the nodes and one with the edges; the
-    frontier is checkpointed into the session's checkpoint folder every
-    ``checkpoint_every`` levels so a lost executor never replays the whole
-    walk. A walk still going after ``max_depth`` levels (a cycle) raises.
+    so a node reached along two paths is emitted twice.
+
+    The frontier is kept as (url, number of paths): each level is one join
+    with the nodes, one with the edges, and a sum of path counts per child
+    (partially aggregated, so a node reached from many parents is folded
+    map-side). Its size is bounded by the number of nodes, however many
+    paths a DAG has; copies are produced only at the end (``expand``;
+    otherwise a ``paths`` column is returned). The frontier is checkpointed
+    into the session's checkpoint folder every ``checkpoint_every`` levels,
+    so a lost executor never replays the whole walk. A walk still going
+    after ``max_depth`` levels (a cycle) raises.
     """
     node_cols = nodes.select("url", "has_child", "code", "title")
-    frontier = roots.select("url")
+    frontier = roots.groupBy("url").agg(F.count(F.lit(1)).alias("__n"))
     found: list[DataFrame] = []
     for depth in range(max_depth + 1):
         if depth and depth % checkpoint_every == 0:
@@ -132,17 +149,16 @@ def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
             break
         reached = frontier.join(node_cols, "url", "inner")
         found.append(reached.filter(~F.col("has_child") & F.col("code").isNotNull()
-                                    & F.col("title").isNotNull()).select("url", "code", "title"))
-        frontier = (reached.filter(F.col("has_child")).select("url")
-                    .join(edges, "url", "inner").select(F.col("child_url").alias("url")))
+                                    & F.col("title").isNotNull()).select("url", "code", "title", "__n"))
+        frontier = (reached.filter(F.col("has_child")).select("url", "__n")
+                    .join(edges, "url", "inner")
+                    .groupBy(F.col("child_url").alias("url")).agg(F.sum("__n").alias("__n")))
     else:
         raise RuntimeError(f"hierarchy deeper than {max_depth} levels (a cycle?)")
-    if not found:
-        return nodes.select("url", "code", "title").where(F.lit(False))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out
+    return expand_counts(out) if expand else out.withColumnRenamed("__n", "paths")
 
 
 def code_rows_from(leaves: DataFrame, batch_date: _dt.date | Column) -> DataFrame:

@@ -33,8 +33,15 @@ def flag_quarantine(df: DataFrame, required: Iterable[str],
 
 
 def quarantined_first(df: DataFrame, flag: str = "is_quarantined") -> DataFrame:
-    """Flagged rows first (a review listing)."""
-    return df.orderBy(F.col(flag).desc_nulls_last())
+    """Flagged rows first (a review listing).
+
+    A sort on a two-valued flag alone would range-partition every row into
+    at most two tasks; a row hash as tie-breaker lets the range partitioner
+    spread each half over all tasks (order within a flag is unspecified
+    anyway).
+    """
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.orderBy(F.col(f"`{flag}`").desc_nulls_last(), tie)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:

@@ -42,8 +42,7 @@ def _gold_ntz(name: str):
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 on an empty table: every quality-checked transaction inserted at batch 1."""
     q = jobs.transactions_quality(st.bronze_transactions(spark, sf_dir))
-    return hist.scd2_insert(st.empty_silver(spark, "transactions"), q, "TransactionID",
-                            ts=st.ts_ntz(st.BATCH_TS_1))
+    return hist.scd2_initial(q, st.ntz_schema("transactions"), st.ts_ntz(st.BATCH_TS_1))
 
 
 def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

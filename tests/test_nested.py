@@ -93,3 +93,32 @@ def test_hierarchy_cycle_raises(spark):
     edges = spark.createDataFrame([("x", "y"), ("y", "x")], "url string, child_url string")
     with pytest.raises(RuntimeError, match="deeper than"):
         hierarchy_leaves(nodes, edges, spark.createDataFrame([("x",)], "url string"), max_depth=5)
+
+
+@pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 3000])
+def test_expand_counts(spark, n):
+    from claimlake.operators.nested import expand_counts
+
+    df = spark.createDataFrame([("x", n)], "v string, __n long")
+    out = expand_counts(df)
+    assert out.columns == ["v"] and out.count() == n
+
+
+def test_hierarchy_many_paths_counts(spark):
+    """A ladder DAG: 2^k paths reach the bottom; the frontier stays one row per node."""
+    k = 12
+    nodes = [(f"n{i}", True, None, None) for i in range(k)] + [(f"m{i}", True, None, None) for i in range(k)]
+    nodes += [(f"n{k}", False, "LEAF", "bottom")]
+    edges = []
+    for i in range(k):
+        nxt = f"n{i + 1}"
+        edges += [(f"n{i}", nxt), (f"n{i}", f"m{i}"), (f"m{i}", nxt)]
+    ndf = spark.createDataFrame(nodes, "url string, has_child boolean, code string, t string").select(
+        "url", "has_child", "code", F.when(F.col("t").isNotNull(), F.struct(F.col("t").alias("@value"))).alias("title"))
+    edf = spark.createDataFrame(edges, "url string, child_url string")
+    roots = spark.createDataFrame([("n0",)], "url string")
+    counted = hierarchy_leaves(ndf, edf, roots, expand=False).collect()
+    # reached at depths k..2k, one row per depth with a binomial path count
+    assert {r["code"] for r in counted} == {"LEAF"} and len(counted) == k + 1
+    assert sum(r["paths"] for r in counted) == 2 ** k
+    assert hierarchy_leaves(ndf, edf, roots).count() == 2 ** k
