@@ -183,8 +183,9 @@ def _enc_quality(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
 
 
 def _enc_loaded_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.apply_batch(st.empty_silver(spark, "encounters"), _enc_quality(spark, sf_dir, 1),
-                            "encounters", st.ts_ntz(st.BATCH_TS_1))
+    """Day 1 is the first load of the empty table: every row current at batch 1."""
+    return hist.scd2_initial(_enc_quality(spark, sf_dir, 1), st.ntz_schema("encounters"),
+                             st.ts_ntz(st.BATCH_TS_1))
 
 
 @register("d5_scd2")
