@@ -137,7 +137,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
                tracked: Sequence[str] | None = None,
                ts: _dt.datetime | _dt.date | Column | None = None,
                audit: Audit = TX_AUDIT, null_safe: bool = False,
-               on_duplicate: str = "error") -> DataFrame:
+               on_duplicate: str = "error", null_keys: str = "insert") -> DataFrame:
     """D5 (= D1 then D2, and D3): apply one batch to an SCD2 table.
 
     * matched current row, tracked columns changed (B12, NULL-unsafe by
@@ -151,12 +151,15 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
 
     ``on_duplicate``: ``error`` raises when a non-NULL key occurs twice in
     the batch (a MERGE engine would refuse it, S6); ``unchecked`` trusts the
-    caller (e.g. after ``latest_per_key``).
+    caller (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
+    reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
     """
     if ts is None:
         raise ValueError("ts (the batch time) is required; pass one value per run")
     if on_duplicate not in ("error", "unchecked"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+    if null_keys not in ("insert", "skip"):
+        raise ValueError(f"unknown null_keys {null_keys!r}")
     business = _check_columns(target, source, audit)
     tracked = _tracked(source, key, tracked)
     out_cols = target.columns
@@ -187,7 +190,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
         .otherwise(F.array(keep))
     )
     merged = j.select(F.inline(rows))
-    return untouched.unionByName(merged).unionByName(src_null)
+    out = untouched.unionByName(merged)
+    return out if null_keys == "skip" else out.unionByName(src_null)
 
 
 def scd2_expire(target: DataFrame, source: DataFrame, key: str,

@@ -27,8 +27,8 @@ class SizeProbe:
     bounded: bool
 
 
-def _probe_agg(df: DataFrame, max_rows: int, tag: int) -> DataFrame:
-    row_bytes = F.lit(0).cast("long")
+def _row_bytes(df: DataFrame) -> Column:
+    total = F.lit(0).cast("long")
     for field in df.schema.fields:
         dt = field.dataType
         c = F.col(f"`{field.name}`")
@@ -38,10 +38,15 @@ def _probe_agg(df: DataFrame, max_rows: int, tag: int) -> DataFrame:
             w = F.lit(_FIXED_WIDTH[type(dt)]).cast("long")
         else:  # nested: measure its JSON text
             w = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
-        row_bytes = row_bytes + w
-    return df.limit(max_rows + 1).agg(
-        F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long").alias("bytes"))
+        total = total + w
+    return total
+
+
+def _probe_agg(df: DataFrame, max_rows: int, tag: int) -> DataFrame:
+    # Width is computed before the limit, so only one long per row reaches the limit task.
+    widths = df.select(_row_bytes(df).alias("__w")).limit(max_rows + 1)
+    return widths.agg(F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
+                      F.coalesce(F.sum("__w"), F.lit(0)).cast("long").alias("bytes"))
 
 
 def probe_sizes(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -215,3 +215,8 @@ def test_upsert_duplicate_raises(spark):
     s = spark.createDataFrame([("A00", "ICD-10", "x", D1, D1, True), ("A00", "ICD-10", "y", D1, D1, True)], ICD)
     with pytest.raises(Exception, match="several source rows"):
         upsert_flagged(t, s, "icd_code").collect()
+
+
+def test_scd2_skip_null_keys(spark):
+    out = scd2_apply(base_target(spark), base_source(spark), "k", ts=T1, null_keys="skip")
+    assert out.filter(F.col("k").isNull()).count() == 1  # only the existing NULL-key row

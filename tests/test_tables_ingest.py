@@ -76,3 +76,13 @@ def test_load_mapped_files(spark, tmp_dir):
           "DatabaseName": "rcmhospital_a", "TableName": "Departments"}]
     out = ingest.load_mapped_files(spark, m, tmp_dir, {"departments": schema("DeptID string, Name string")})
     assert rows(out["rcmhospital_a.Departments"]) == [("D1", "Cardio")]
+
+
+def test_overwrite_table_and_quoted_view_path(spark, tmp_dir):
+    df = spark.createDataFrame([(1,)], "x int")
+    tables.overwrite_table(df, "ow_t")
+    tables.overwrite_table(df.union(df), "ow_t")
+    assert spark.table("ow_t").count() == 2
+    odd = f"{tmp_dir}/it's here"
+    df.write.parquet(odd)
+    assert tables.path_view(spark, "odd_view_t", odd).count() == 1
