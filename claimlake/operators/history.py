@@ -137,7 +137,9 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
                tracked: Sequence[str] | None = None,
                ts: _dt.datetime | _dt.date | Column | None = None,
                audit: Audit = TX_AUDIT, null_safe: bool = False,
-               on_duplicate: str = "error", null_keys: str = "insert") -> DataFrame:
+               on_duplicate: str = "error", null_keys: str = "insert",
+               key_broadcast: str = "auto", max_key_rows: int = 20_000_000,
+               max_key_bytes: int = 256 * 1024 * 1024) -> DataFrame:
     """D5 (= D1 then D2, and D3): apply one batch to an SCD2 table.
 
     * matched current row, tracked columns changed (B12, NULL-unsafe by
@@ -153,6 +155,14 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     the batch (a MERGE engine would refuse it, S6); ``unchecked`` trusts the
     caller (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
     reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
+
+    ``key_broadcast``: a daily batch touches few of the table's keys. With
+    ``auto`` the batch's distinct keys are measured (at most
+    ``max_key_rows + 1`` rows, real bytes); within the bound they are
+    broadcast and the current rows are split map-side into affected
+    (left semi) and untouched (left anti) -- only affected rows are
+    shuffled into the join. Beyond the bound (or ``never``), all current
+    rows take part in the join.
     """
     if ts is None:
         raise ValueError("ts (the batch time) is required; pass one value per run")
@@ -171,7 +181,19 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
     src_null = source.filter(~has_key).select(*_new_rows(target.schema, business, audit, ts))
 
-    cur = target.filter(_is_current(audit) & has_key).withColumn(_T, F.lit(True))
+    cur = target.filter(_is_current(audit) & has_key)
+    if key_broadcast not in ("auto", "never"):
+        raise ValueError(f"unknown key_broadcast {key_broadcast!r}")
+    if key_broadcast == "auto":
+        from claimlake.operators.joins import probe_size
+
+        keys = source.filter(has_key).select(_c(key).alias("__bk")).distinct()
+        if probe_size(keys, max_key_rows, max_key_bytes).bounded:
+            keys = F.broadcast(keys)
+            hit = cur[key] == keys["__bk"]
+            untouched = untouched.unionByName(cur.join(keys, hit, "left_anti").select(out_cols))
+            cur = cur.join(keys, hit, "left_semi")
+    cur = cur.withColumn(_T, F.lit(True))
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")

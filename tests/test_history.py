@@ -220,3 +220,11 @@ def test_upsert_duplicate_raises(spark):
 def test_scd2_skip_null_keys(spark):
     out = scd2_apply(base_target(spark), base_source(spark), "k", ts=T1, null_keys="skip")
     assert out.filter(F.col("k").isNull()).count() == 1  # only the existing NULL-key row
+
+
+def test_scd2_key_broadcast_paths_agree(spark):
+    t, s = base_target(spark), base_source(spark)
+    split = rows(scd2_apply(t, s, "k", ts=T1, key_broadcast="auto"))
+    full = rows(scd2_apply(t, s, "k", ts=T1, key_broadcast="never"))
+    tiny = rows(scd2_apply(t, s, "k", ts=T1, max_key_rows=1))  # over the bound: full join
+    assert split == full == tiny
