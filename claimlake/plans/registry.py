@@ -267,6 +267,7 @@ def p14_dim_cpt_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- registry JSON
 NPI_DATE = _dt.date(2024, 1, 3)
+NPI_DATE_2 = _dt.date(2024, 1, 4)
 
 
 @register("j1_flatten_registry")
@@ -287,6 +288,15 @@ def p16_dim_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.dim_npi(silver, st.ts_ntz(st.REFRESHED_AT))
 
 
+@register("p8_npi_scd2")
+def p8_npi_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 over two days: dates as audit values, five tracked fields."""
+    day1 = nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, 1), NPI_DATE)
+    day2 = nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, 2), NPI_DATE_2)
+    silver = jobs.npi_silver(st.empty_silver(spark, "npi_extract"), day1, NPI_DATE)
+    return jobs.npi_silver(silver, day2, NPI_DATE_2)
+
+
 @register("j6_hierarchy_leaves")
 def j6_hierarchy_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, edges, roots = st.hierarchy(spark, sf_dir)

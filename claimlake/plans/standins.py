@@ -227,9 +227,11 @@ def codes_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day1.unionByName(day2)
 
 
-def _npi_result(s: DataFrame) -> Column:
+def _npi_result(s: DataFrame, day: int = 1) -> Column:
     """One registry result per supplier: individuals (NPI-1) in nations below
-    12, organisations otherwise; absent fields are left out of the JSON."""
+    12, organisations otherwise; absent fields are left out of the JSON.
+    On day 2, suppliers above 8000 were updated, and organisations below a
+    1000 balance no longer report their organisation name."""
     individual = F.col("s_nationkey") < 12
     nk = F.col("s_nationkey").cast("string")
     none = F.lit(None).cast("string")
@@ -240,8 +242,10 @@ def _npi_result(s: DataFrame) -> Column:
         F.when(~individual, nk).otherwise(none).alias("authorized_official_last_name"),
         F.when(~individual & (F.col("s_acctbal") > 5000), F.lit("Director")).otherwise(none)
         .alias("authorized_official_title_or_position"),
-        F.when(~individual, F.concat(F.lit("Org "), nk)).otherwise(none).alias("organization_name"),
-        F.lit("2024-01-01").alias("last_updated"),
+        F.when(~individual & ((F.lit(day) == 1) | (F.col("s_acctbal") >= 1000)), F.concat(F.lit("Org "), nk))
+        .otherwise(none).alias("organization_name"),
+        (F.when(F.col("s_acctbal") > 8000, F.lit("2024-02-01")).otherwise(F.lit("2024-01-01")) if day == 2
+         else F.lit("2024-01-01")).alias("last_updated"),
     )
     return F.struct(
         F.col("s_suppkey").cast("string").alias("number"),
@@ -250,11 +254,11 @@ def _npi_result(s: DataFrame) -> Column:
     )
 
 
-def npi_detail_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def npi_detail_docs(spark: SparkSession, sf_dir: str, day: int = 1) -> DataFrame:
     """One detail answer per supplier number; suppliers with a negative
     balance answer with an empty ``results`` list."""
     s = table(spark, sf_dir, "supplier")
-    results = F.when(F.col("s_acctbal") >= 0, F.array(_npi_result(s))).otherwise(
+    results = F.when(F.col("s_acctbal") >= 0, F.array(_npi_result(s, day))).otherwise(
         F.array().cast("array<struct<number:string,enumeration_type:string,basic:struct<"
                        "first_name:string,last_name:string,authorized_official_first_name:string,"
                        "authorized_official_last_name:string,authorized_official_title_or_position:string,"

@@ -46,9 +46,9 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (a bare local test session) is a scratch
-    folder created; on a cluster the shared folder named by the platform is
-    always used as is.
+    Only a local-mode session without one (tests) gets a scratch folder; on
+    a cluster the shared folder named by the platform is used as is, and a
+    missing setting is an error rather than a silent machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,7 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="claimlake-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (all executors and "
+                               "the driver must reach it) before running iterative or staged jobs")
+        configured = tempfile.mkdtemp(prefix="claimlake-ckpt-")  # local test session only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
