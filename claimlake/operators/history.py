@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from claimlake.functions.predicates import changed
 
-_T, _S, _N = "__t", "__s", "__n"
+_T, _S, _N, _R = "__t", "__s", "__n", "__r"
 _SRC = "__s_"
 
 
@@ -193,7 +193,11 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
             hit = cur[key] == keys["__bk"]
             untouched = untouched.unionByName(cur.join(keys, hit, "left_anti").select(out_cols))
             cur = cur.join(keys, hit, "left_semi")
-    cur = cur.withColumn(_T, F.lit(True))
+    # A table written by the original two-pass loads can hold several current
+    # rows for one key; each expires, but the new version is emitted once.
+    # The row number is partitioned like the join, so it adds no shuffle.
+    cur = cur.withColumns({_T: F.lit(True),
+                           _R: F.row_number().over(Window.partitionBy(_c(key)).orderBy(_c(key)))})
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")
@@ -208,7 +212,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     rows = (
         F.when(F.col(_T).isNull(), F.array(fresh))
         .when(F.col(_S).isNull(), F.array(keep))
-        .when(diff, F.array(expired, fresh))
+        .when(diff & (F.col(_R) == 1), F.array(expired, fresh))
+        .when(diff, F.array(expired))
         .otherwise(F.array(keep))
     )
     merged = j.select(F.inline(rows))

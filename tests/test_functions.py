@@ -94,3 +94,34 @@ def test_is_publishable(spark):
 def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10, "x double")
     assert df.agg(money_sum("x")).first()[0] == 3.0
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_VALS = st.one_of(st.none(), st.sampled_from(["a", "b", "NULL", "null", ""]))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(_VALS, _VALS, _VALS, _VALS), min_size=1, max_size=8))
+def test_changed_matches_sql_model(spark, pairs):
+    """B12 against a model of SQL three-valued logic: OR of `<>`, NULL read as FALSE."""
+    df = spark.createDataFrame(pairs, "a1 string, b1 string, a2 string, b2 string")
+    got = [r[0] for r in df.select(changed([(F.col("a1"), F.col("b1")), (F.col("a2"), F.col("b2"))])).collect()]
+
+    def neq(x, y):
+        return None if x is None or y is None else x != y
+
+    def or3(x, y):
+        if x is True or y is True:
+            return True
+        return None if x is None or y is None else False
+
+    assert got == [bool(or3(neq(a1, b1), neq(a2, b2))) for a1, b1, a2, b2 in pairs]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(_VALS, _VALS), min_size=1, max_size=8))
+def test_quarantine_matches_model(spark, data):
+    df = spark.createDataFrame(data, "id string, first string")
+    got = [r[0] for r in df.select(quarantine_flag(["id", "first"], {"first": ["null"]})).collect()]
+    assert got == [i is None or f is None or f.lower() == "null" for i, f in data]

@@ -228,3 +228,13 @@ def test_scd2_key_broadcast_paths_agree(spark):
     full = rows(scd2_apply(t, s, "k", ts=T1, key_broadcast="never"))
     tiny = rows(scd2_apply(t, s, "k", ts=T1, max_key_rows=1))  # over the bound: full join
     assert split == full == tiny
+
+
+def test_scd2_target_with_two_current_rows_per_key(spark):
+    """A table from the original two-pass loads may hold two current rows for a key."""
+    t = target(spark, [("dup", "x", 1, T0, T0, True), ("dup", "x", 1, T0, T0, True)])
+    s = source(spark, [("dup", "y", 1)])
+    got = rows(scd2_apply(t, s, "k", ts=T1))
+    assert got == [("dup", "x", 1, T0, T1, False), ("dup", "x", 1, T0, T1, False), ("dup", "y", 1, T1, T1, True)]
+    # and it matches the two MERGE passes
+    assert got == rows(scd2_insert(scd2_expire(t, s, "k", ts=T1), s, "k", ts=T1))
