@@ -1,10 +1,10 @@
 """Bronze, silver and gold storage.
 
-Plain parquet plus the session catalog: no table format is assumed. Every
-replacement is staged: the new content is written to a fresh directory and
-the table is pointed at it in one catalog change, so readers never see a
-half-written or empty table (S12), and a plan may read the table it
-replaces (the old files stay until the caller removes them).
+Plain parquet plus the session catalog: no table format is assumed.
+``replace_table`` stages the new content in a fresh directory and points the
+table at it in one catalog change, so readers never see a half-written or
+empty table (S12), and a plan may read the table it replaces. Old version
+folders stay until the caller's retention job removes them.
 """
 
 from __future__ import annotations
@@ -107,18 +107,26 @@ def replace_table(df: DataFrame, name: str, root: str, partition_by: list[str] |
 
 
 def full_refresh(df: DataFrame, name: str, schema: T.StructType | None = None,
-                 by: str = "position") -> None:
-    """A11 + A12 + A13: ``INSERT OVERWRITE`` an existing table with ``df``.
+                 by: str = "position", root: str | None = None) -> None:
+    """A11 + A12 + A13: replace an existing table's rows with ``df``.
 
     ``df`` is shaped like the table first (positional by default, with store
-    casts), then written by position in one overwrite -- one commit, where
-    the reference truncates and inserts in two.
+    casts, as ``INSERT INTO t SELECT`` does). With ``root`` the rows are
+    staged under it and swapped in with one catalog change
+    (``replace_table``): readers never see an empty table and a failed run
+    changes nothing. Without ``root`` this is Spark's ``INSERT OVERWRITE``,
+    which removes the old files when the job starts (like the reference's
+    TRUNCATE + INSERT, S12).
     """
     from claimlake.operators.conform import conform_to
 
     spark = df.sparkSession
     target = schema or spark.table(name).schema
-    conform_to(df, target, by=by).write.insertInto(name, overwrite=True)
+    shaped = conform_to(df, target, by=by)
+    if root is not None:
+        replace_table(shaped, name, root)
+    else:
+        shaped.write.insertInto(name, overwrite=True)
 
 
 def table_location(spark: SparkSession, name: str) -> str | None:

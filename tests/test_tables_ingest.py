@@ -86,3 +86,13 @@ def test_overwrite_table_and_quoted_view_path(spark, tmp_dir):
     odd = f"{tmp_dir}/it's here"
     df.write.parquet(odd)
     assert tables.path_view(spark, "odd_view_t", odd).count() == 1
+
+
+def test_full_refresh_staged(spark, tmp_dir):
+    name = "dim_department_staged_t"
+    src = spark.createDataFrame([("D1-hos-a", "D1", "Cardio", "hos-a")], "a string, b string, c string, d string")
+    tables.replace_table(tables.empty_table(spark, gold("dim_department")), name, tmp_dir)
+    tables.full_refresh(src, name, root=tmp_dir)
+    # the next refresh reads the table it replaces
+    tables.full_refresh(spark.table(name).union(spark.table(name)), name, root=tmp_dir)
+    assert spark.table(name).count() == 2
