@@ -14,7 +14,9 @@ from claimlake.functions.predicates import is_publishable
 
 
 def _lit_ts(value: _dt.datetime | Column) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
+    """The refresh time: a Column keeps the caller's type (e.g. a zone-free
+    ``timestamp_ntz``); a ``datetime`` becomes a ``timestamp`` literal."""
+    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
 def publishable(df: DataFrame, current: bool = True, clean: bool = True,

@@ -140,8 +140,9 @@ def run_loads(spark: SparkSession, config: DataFrame, sources: Mapping[tuple[str
             raise KeyError(f"no source for {k}")
         if p["mode"] == "incremental" and p["watermark"]:
             bound = last.get(k)
-            ex = extract_incremental(sources[k], p["watermark"],
-                                     None if bound is None else F.lit(bound).cast("date"), p["datasource"])
+            if isinstance(bound, _dt.datetime):
+                bound = bound.date()  # the day of the last load; no zone round trip
+            ex = extract_incremental(sources[k], p["watermark"], bound, p["datasource"])
         else:
             ex = extract_full(sources[k], p["datasource"])
         extracts[k] = ex

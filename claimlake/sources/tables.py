@@ -73,8 +73,7 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, root: str, partition_by: list[str] | None = None,
-                  tag: str | None = None) -> str:
+def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None) -> str:
     """A11 + A13 in one commit: stage ``df`` under ``{root}/{name}/v-[tag-]<id>``,
     then point table ``name`` at it (creating it if absent). Returns the new path.
 
@@ -85,24 +84,16 @@ def replace_table(df: DataFrame, name: str, root: str, partition_by: list[str] |
     spark = df.sparkSession
     version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
         spark.catalog.refreshTable(name)
     else:
         db = name.split(".")[0] if "." in name else None
         if db:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{path}'")
     return path
 
 
