@@ -9,7 +9,7 @@ in ``claimlake.plans.oracle`` so DuckDB can check every query.
 | ------------- | ---------- | ------------------------------------- |
 | transactions  | lineitem   | l_orderkey even -> hos-a, odd -> hos-b |
 | encounters    | orders     | o_orderkey even -> hos-a, odd -> hos-b |
-| patients      | customer   | c_custkey even -> hospital A shape, odd -> hospital B shape |
+| patients      | customer   | nations below 13 -> hospital A shape, the rest -> hospital B shape |
 | providers     | supplier   | every supplier in both hospitals; suppliers with a negative balance are not (yet) loaded, so some facts have no provider |
 | departments   | nation     | every nation in both hospitals; region 4 not loaded, so some providers have no department |
 | CPT / ICD     | part       | code = p_partkey, category = p_type, description = p_name |
@@ -162,9 +162,9 @@ def patients_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
                "Address", "ModifiedDate"]
     b_names = ["ID", "F_Name", "L_Name", "M_Name", "SSN", "PhoneNumber", "Gender", "DOB", "Address",
                "Updated_Date"]
-    a = c.filter(F.col("c_custkey") % 2 == 0).select(
+    a = c.filter(F.col("c_nationkey") < 13).select(
         *[e.alias(n) for e, n in zip(common, a_names)], F.lit("hos-a").alias("datasource"))
-    b = c.filter(F.col("c_custkey") % 2 == 1).select(
+    b = c.filter(F.col("c_nationkey") >= 13).select(
         *[e.alias(n) for e, n in zip(common, b_names)], F.lit("hos-b").alias("datasource"))
     return a, b
 
