@@ -94,11 +94,15 @@ def detail_for(list_docs: DataFrame, detail_docs: DataFrame, number: str = "numb
     """Keep the detail documents whose number was listed (inner join).
 
     A number listed twice fetches its detail twice in the reference, so the
-    join keeps that multiplicity. ``detail_docs`` has one row per fetched
-    number (column ``number``) and its raw answer (``body``).
+    result keeps that multiplicity. ``detail_docs`` has one row per fetched
+    number (column ``number``) and its raw answer (``body``). Listed numbers
+    are counted first (a partial aggregate), so a number listed very many
+    times is one join row, expanded afterwards in bounded chunks.
     """
-    nums = listed_numbers(list_docs, body).withColumnRenamed("number", "__n")
-    return detail_docs.join(nums, detail_docs[number] == nums["__n"], "inner").drop("__n")
+    nums = listed_numbers(list_docs, body).groupBy(F.col("number").alias("__num")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    joined = detail_docs.join(nums, detail_docs[number] == nums["__num"], "inner").drop("__num")
+    return expand_counts(joined)
 
 
 def edges_from_documents(nodes: DataFrame, url: str = "url", child: str = "child") -> DataFrame:

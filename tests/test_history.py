@@ -238,3 +238,12 @@ def test_scd2_target_with_two_current_rows_per_key(spark):
     assert got == [("dup", "x", 1, T0, T1, False), ("dup", "x", 1, T0, T1, False), ("dup", "y", 1, T1, T1, True)]
     # and it matches the two MERGE passes
     assert got == rows(scd2_insert(scd2_expire(t, s, "k", ts=T1), s, "k", ts=T1))
+
+
+def test_scd2_plan_splits_current_rows_map_side(spark, tmp_dir):
+    path = f"{tmp_dir}/tgt"
+    base_target(spark).write.parquet(path)
+    plan = scd2_apply(spark.read.parquet(path), base_source(spark), "k", ts=T1)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastExchange" in plan
+    assert "FullOuter" in plan
