@@ -157,8 +157,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
 
     ``key_broadcast``: a daily batch touches few of the table's keys. With
-    ``auto`` the batch's distinct keys are measured (at most
-    ``max_key_rows + 1`` rows, real bytes); within the bound they are
+    ``auto`` the batch's keys are measured (at most ``max_key_rows + 1``
+    rows, real bytes); within the bound they are
     broadcast and the current rows are split map-side into affected
     (left semi) and untouched (left anti) -- only affected rows are
     shuffled into the join. Beyond the bound (or ``never``), all current
@@ -187,7 +187,10 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     if key_broadcast == "auto":
         from claimlake.operators.joins import probe_size
 
-        keys = source.filter(has_key).select(_c(key).alias("__bk")).distinct()
+        # The batch's key column itself is probed and broadcast: its row count
+        # bounds the distinct keys, the probe needs no shuffle, and repeated
+        # keys do not change a semi or anti join.
+        keys = source.filter(has_key).select(_c(key).alias("__bk"))
         if probe_size(keys, max_key_rows, max_key_bytes).bounded:
             keys = F.broadcast(keys)
             hit = cur[key] == keys["__bk"]
