@@ -152,8 +152,10 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     * NULL source keys never match and are inserted again each run (S2).
 
     ``on_duplicate``: ``error`` raises when a non-NULL key occurs twice in
-    the batch (a MERGE engine would refuse it, S6); ``unchecked`` trusts the
-    caller (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
+    the batch (S6); ``merge`` behaves like the reference's two MERGE passes:
+    it raises only when several batch rows meet the same current row, and
+    inserts every copy of an unmatched key; ``unchecked`` trusts the caller
+    (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
     reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
 
     ``key_broadcast``: a daily batch touches few of the table's keys. With
@@ -166,7 +168,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     """
     if ts is None:
         raise ValueError("ts (the batch time) is required; pass one value per run")
-    if on_duplicate not in ("error", "unchecked"):
+    if on_duplicate not in ("error", "merge", "unchecked"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     if null_keys not in ("insert", "skip"):
         raise ValueError(f"unknown null_keys {null_keys!r}")
@@ -204,8 +206,14 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")
+    elif on_duplicate == "merge":
+        src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(_SRC + key))))
     src = src.withColumn(_S, F.lit(True))
     j = cur.join(src, cur[key] == src[_SRC + key], "full_outer")
+    if on_duplicate == "merge":  # several batch rows for one current row: MERGE refuses
+        j = j.filter(F.when(F.col(_T).isNotNull() & (F.col(_N) > 1), F.raise_error(F.concat(
+            F.lit("scd2_apply: several source rows match the current row for key "),
+            _c(key).cast("string")))).isNull())
 
     keep = F.struct(*[_c(c).alias(c) for c in out_cols])
     exp_vals = {audit.current: F.lit(False), audit.modified: ts_mod}
@@ -230,8 +238,8 @@ def scd2_expire(target: DataFrame, source: DataFrame, key: str,
                 audit: Audit = TX_AUDIT, null_safe: bool = False) -> DataFrame:
     """First MERGE pass -- expire current rows whose tracked columns changed.
 
-    Returns the whole table; nothing is inserted. A duplicated source key
-    raises (S6).
+    Returns the whole table; nothing is inserted. Several source rows for
+    one current row raise, as a MERGE does (S6).
     """
     if ts is None:
         raise ValueError("ts is required")
@@ -245,8 +253,13 @@ def scd2_expire(target: DataFrame, source: DataFrame, key: str,
     untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
     cur = target.filter(_is_current(audit) & has_key)
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
-    src = _guard_duplicates(src, _SRC + key, "scd2_expire")
+    src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(_SRC + key))))
     j = cur.join(src, cur[key] == src[_SRC + key], "left")
+    # as MERGE: several source rows meeting one current row is an error;
+    # duplicated keys without a current row are left to the insert pass
+    j = j.filter(F.when(F.col(_N) > 1, F.raise_error(F.concat(
+        F.lit("scd2_expire: several source rows match the current row for key "),
+        _c(key).cast("string")))).isNull())
     diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
     hit = _c(_SRC + key).isNotNull() & diff
     expired = j.select(*[

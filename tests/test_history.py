@@ -247,3 +247,16 @@ def test_scd2_plan_splits_current_rows_map_side(spark, tmp_dir):
         .executedPlan().toString()
     assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastExchange" in plan
     assert "FullOuter" in plan
+
+
+def test_merge_mode_duplicates_like_two_passes(spark):
+    t = base_target(spark)
+    dup_new = source(spark, [("fresh", "a", 1), ("fresh", "b", 1), ("same", "x", 1)])
+    got = rows(scd2_apply(t, dup_new, "k", ts=T1, on_duplicate="merge"))
+    assert got == rows(scd2_insert(scd2_expire(t, dup_new, "k", ts=T1), dup_new, "k", ts=T1))
+    assert sum(1 for r in got if r[0] == "fresh") == 2  # both copies inserted, as the insert pass does
+    dup_matched = source(spark, [("chg", "y", 1), ("chg", "z", 1)])
+    with pytest.raises(Exception, match="several source rows"):
+        scd2_apply(t, dup_matched, "k", ts=T1, on_duplicate="merge").collect()
+    with pytest.raises(Exception, match="several source rows"):
+        scd2_expire(t, dup_matched, "k", ts=T1).collect()
