@@ -73,18 +73,23 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None) -> str:
+def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None,
+                  cluster_by: list[str] | None = None) -> str:
     """A11 + A13 in one commit: stage ``df`` under ``{root}/{name}/v-[tag-]<id>``,
     then point table ``name`` at it (creating it if absent). Returns the new path.
 
     Unlike TRUNCATE-then-INSERT there is no moment with an empty table, and
     ``df`` may read the table being replaced. ``tag`` (e.g. a stream epoch)
     is part of the folder name, so it is committed with the swap itself.
+    ``cluster_by`` sorts rows within each write task (no shuffle), so each
+    parquet row group covers a narrow range of those columns and range
+    filters on them skip row groups.
     """
     spark = df.sparkSession
     version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}"
-    df.write.mode("errorifexists").parquet(path)
+    out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
+    out.write.mode("errorifexists").parquet(path)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
