@@ -7,15 +7,16 @@ Scale notes
 -----------
 * History rows (``is_current`` false or NULL) are passed through by a
   narrow scan: never shuffled, never joined.
-* Only current rows meet the batch, in one full outer join on the key (the
-  reference needs two MERGE passes, i.e. two joins and two commits).
+* Only current rows meet the batch: a left join from the current rows
+  (expire, pass 1) and an anti-join for batch keys without a current row
+  (insert, pass 2), on one key partitioning, producing one new version in
+  one write (the reference runs two MERGE statements and two commits).
 * NULL keys never match (S2), so NULL-key rows never enter the join: on
   both sides they are split off by complementary filters and handled by a
   narrow projection. A third of a batch may be quarantined NULL-key rows,
-  or exact copies of one junk row; none of it can pile onto one join task
-  (and full outer joins cannot be split by AQE's skew handling).
+  or exact copies of one junk row; none of it can pile onto one join task.
 * Among non-NULL keys, current target keys are unique, and a batch key
-  occurring twice raises (S6) -- so the join has no hot key at all. The
+  occurring twice raises (S6) -- so the joins have no hot key at all. The
   check is a window count that shares the join's shuffle (no extra pass)
   and raises right after it.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from claimlake.functions.predicates import changed
 
-_T, _S, _N, _R = "__t", "__s", "__n", "__r"
+_T, _S, _N, _R, _D, _A = "__t", "__s", "__n", "__r", "__d", "__a"
 _SRC = "__s_"
 
 
@@ -198,37 +199,47 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
             hit = cur[key] == keys["__bk"]
             untouched = untouched.unionByName(cur.join(keys, hit, "left_anti").select(out_cols))
             cur = cur.join(keys, hit, "left_semi")
-    # A table written by the original two-pass loads can hold several current
-    # rows for one key; each expires, but the new version is emitted once.
-    # The row number is partitioned like the join, so it adds no shuffle.
-    cur = cur.withColumns({_T: F.lit(True),
-                           _R: F.row_number().over(Window.partitionBy(_c(key)).orderBy(_c(key)))})
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")
     elif on_duplicate == "merge":
         src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(_SRC + key))))
-    src = src.withColumn(_S, F.lit(True))
-    j = cur.join(src, cur[key] == src[_SRC + key], "full_outer")
+
+    # Pass 1 as a left join from the current rows. Its output keeps the
+    # current side's hash partitioning, so the per-key window below adds no
+    # shuffle. A table written by the original two-pass loads can hold
+    # several current rows for one key: each changed row expires, and the new
+    # version is emitted once, only if none of them stays current.
+    j = cur.join(src, cur[key] == src[_SRC + key], "left")
     if on_duplicate == "merge":  # several batch rows for one current row: MERGE refuses
-        j = j.filter(F.when(F.col(_T).isNotNull() & (F.col(_N) > 1), F.raise_error(F.concat(
+        j = j.filter(F.when(F.col(_SRC + key).isNotNull() & (F.col(_N) > 1), F.raise_error(F.concat(
             F.lit("scd2_apply: several source rows match the current row for key "),
             _c(key).cast("string")))).isNull())
-
+    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
+    per_key = Window.partitionBy(_c(key))
+    j = j.withColumns({
+        _S: _c(_SRC + key).isNotNull(),
+        _D: diff,
+    }).withColumns({
+        _A: F.min(F.col(_D).cast("int")).over(per_key),
+        _R: F.row_number().over(per_key.orderBy(_c(key))),
+    })
     keep = F.struct(*[_c(c).alias(c) for c in out_cols])
     exp_vals = {audit.current: F.lit(False), audit.modified: ts_mod}
     expired = F.struct(*[exp_vals.get(c, _c(c)).alias(c) for c in out_cols])
     fresh = F.struct(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
-    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
     rows = (
-        F.when(F.col(_T).isNull(), F.array(fresh))
-        .when(F.col(_S).isNull(), F.array(keep))
-        .when(diff & (F.col(_R) == 1), F.array(expired, fresh))
-        .when(diff, F.array(expired))
+        F.when(~F.col(_S), F.array(keep))
+        .when(F.col(_D) & (F.col(_A) == 1) & (F.col(_R) == 1), F.array(expired, fresh))
+        .when(F.col(_D), F.array(expired))
         .otherwise(F.array(keep))
     )
-    merged = j.select(F.inline(rows))
-    out = untouched.unionByName(merged)
+    matched = j.select(F.inline(rows))
+    # Pass 2 for keys without any current row: a new key, or one with only history.
+    cur_keys = cur.select(_c(key).alias("__ck"))
+    unmatched_src = src.join(cur_keys, src[_SRC + key] == cur_keys["__ck"], "left_anti")
+    inserted = unmatched_src.select(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
+    out = untouched.unionByName(matched).unionByName(inserted)
     return out if null_keys == "skip" else out.unionByName(src_null)
 
 

@@ -20,8 +20,10 @@ NOTES = {
                           "shuffle of fact-derived rows is the partial aggregate's output).",
     "scd2_apply over a stored target": "History and NULL-key rows: narrow scan. Untouched current rows: "
                                        "broadcast left-anti join, no shuffle. Only batch-affected current "
-                                       "rows and the batch are shuffled (2 exchanges); the duplicate guard's "
-                                       "window reuses the batch exchange.",
+                                       "rows and the batch are shuffled; the expire pass is a left join whose "
+                                       "per-key windows add no exchange, the insert pass an anti-join on the "
+                                       "same key partitioning; the duplicate guard's window reuses the batch "
+                                       "exchange.",
     "latest_per_key": "max(struct) per key with a partial aggregate before the shuffle: a hot key is folded "
                       "map-side.",
     "unmatched": "Anti-join on non-NULL keys; NULL-key rows bypass the join in a narrow branch.",
