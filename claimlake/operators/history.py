@@ -185,6 +185,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     src_null = source.filter(~has_key).select(*_new_rows(target.schema, business, audit, ts))
 
     cur = target.filter(_is_current(audit) & has_key)
+    small_batch = False
     if key_broadcast not in ("auto", "never"):
         raise ValueError(f"unknown key_broadcast {key_broadcast!r}")
     if key_broadcast == "auto":
@@ -199,6 +200,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
             hit = cur[key] == keys["__bk"]
             untouched = untouched.unionByName(cur.join(keys, hit, "left_anti").select(out_cols))
             cur = cur.join(keys, hit, "left_semi")
+            small_batch = True
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")
@@ -237,6 +239,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     matched = j.select(F.inline(rows))
     # Pass 2 for keys without any current row: a new key, or one with only history.
     cur_keys = cur.select(_c(key).alias("__ck"))
+    if small_batch:  # affected current keys come from the measured batch keys: bounded
+        cur_keys = F.broadcast(cur_keys)
     unmatched_src = src.join(cur_keys, src[_SRC + key] == cur_keys["__ck"], "left_anti")
     inserted = unmatched_src.select(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
     out = untouched.unionByName(matched).unionByName(inserted)
