@@ -270,3 +270,12 @@ def test_scd2_duplicate_current_rows_one_unchanged(spark):
     got = rows(scd2_apply(t, s, "k", ts=T1))
     assert got == [("dup", "x", 1, T0, T1, False), ("dup", "y", 1, T0, T0, True)]
     assert got == rows(scd2_insert(scd2_expire(t, s, "k", ts=T1), s, "k", ts=T1))
+
+
+def test_upsert_null_keys_and_unmatched_without_flag(spark):
+    t = spark.createDataFrame([(None, "ICD-10", "x", D0, D0, True), ("A00", "ICD-10", "c", D0, D0, True)], ICD)
+    s = spark.createDataFrame([(None, "ICD-10", "y", D1, D1, True)], ICD)
+    out = upsert_flagged(t, s, "icd_code")
+    assert out.count() == 3  # NULL keys never match: the target one stays, the source one is inserted
+    assert sorted(r["code_description"] for r in out.filter(F.col("icd_code").isNull()).collect()) == ["x", "y"]
+    assert unmatched(s, t, "icd_code", current=None).count() == 1

@@ -35,3 +35,17 @@ def test_stream_applies_new_files_once(spark, tmp_dir):
                      ("E2-hos-a", "Inpatient", True), (None, "Inpatient", True)]
     run_once(spark, **kw)  # nothing new landed: no batch, no change
     assert rows(spark.table("enc_stream_t"), "EncounterID", "EncounterType", "is_current") == after
+
+
+def test_stream_keeps_newest_version_within_a_batch(spark, tmp_dir):
+    d = dt.date(2024, 1, 1)
+    both = _enc(spark, [("E1", "P1", d, "Inpatient", "PR", "D1", 1, d, d, "hos-a"),
+                        ("E1", "P1", d, "Emergency", "PR", "D1", 1, d, dt.date(2024, 1, 5), "hos-a")])
+    kw = dict(landing=f"{tmp_dir}/landing", bronze_schema=both.schema, table="enc_stream_newest_t",
+              table_root=f"{tmp_dir}/silver", target_schema=silver("encounters"), key="EncounterID",
+              quality=jobs.encounters_quality, batch_time=lambda e: dt.datetime(2024, 1, 6),
+              checkpoint=f"{tmp_dir}/ckpt", newest_by=["SRC_ModifiedDate"])
+    both.write.mode("append").parquet(kw["landing"])
+    run_once(spark, **kw)
+    assert rows(spark.table("enc_stream_newest_t"), "EncounterID", "EncounterType", "is_current") == [
+        ("E1-hos-a", "Emergency", True)]
