@@ -160,8 +160,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
 
     ``key_broadcast``: a daily batch touches few of the table's keys. With
-    ``auto`` the batch's keys are measured (at most ``max_key_rows + 1``
-    rows, real bytes); within the bound they are
+    ``auto`` the batch's key column is measured (rows and real bytes, by a
+    distributed count); within the bound the keys are
     broadcast and the current rows are split map-side into affected
     (left semi) and untouched (left anti) -- only affected rows are
     shuffled into the join. Beyond the bound (or ``never``), all current

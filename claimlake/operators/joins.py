@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Upper bounds for shipping a dimension to every executor. Rows and bytes are
-# both measured (on at most max_rows + 1 rows), never guessed from file sizes.
+# both measured by a distributed count, never guessed from file sizes.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -42,23 +42,26 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def _probe_agg(df: DataFrame, max_rows: int, tag: int) -> DataFrame:
-    # Width is computed before the limit, so only one long per row reaches the limit task.
-    widths = df.select(_row_bytes(df).alias("__w")).limit(max_rows + 1)
-    return widths.agg(F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
-                      F.coalesce(F.sum("__w"), F.lit(0)).cast("long").alias("bytes"))
+def _probe_agg(df: DataFrame, tag: int) -> DataFrame:
+    # A plain aggregate: each task counts its own rows and bytes (partial
+    # aggregation) and only those partial sums are shuffled. A limit inside a
+    # plan would instead funnel up to partitions x limit rows into one task.
+    return df.select(_row_bytes(df).alias("__w")).agg(
+        F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("__w"), F.lit(0)).cast("long").alias("bytes"))
 
 
 def probe_sizes(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[SizeProbe]:
-    """Measure rows and payload bytes of each DataFrame, reading at most
-    ``max_rows + 1`` rows of each, all in one small job.
+    """Measure rows and payload bytes of each DataFrame, all in one job.
 
     Variable-width values are measured with ``octet_length``; fixed-width
-    ones use their width. This is the proof a broadcast needs: a bound on
-    the data actually shipped, not an estimate from file sizes.
+    ones use their width. Only the probed columns are read, and each task
+    reduces its rows to one partial count before the shuffle. This is the
+    proof a broadcast needs: a bound on the data actually shipped, not an
+    estimate from file sizes.
     """
-    probes = [_probe_agg(df, max_rows, i) for i, df in enumerate(dfs)]
+    probes = [_probe_agg(df, i) for i, df in enumerate(dfs)]
     union = probes[0]
     for p in probes[1:]:
         union = union.unionByName(p)

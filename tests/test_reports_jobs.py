@@ -71,7 +71,7 @@ def test_probe_size_bounds(spark):
     df = spark.range(100).select(F.col("id"), F.lit("abcd").alias("s"))
     p = probe_size(df, max_rows=1000, max_bytes=10_000)
     assert (p.rows, p.bytes, p.bounded) == (100, 100 * (8 + 4), True)
-    assert not probe_size(df, max_rows=10).bounded          # reads at most 11 rows
+    assert not probe_size(df, max_rows=10).bounded
     assert not probe_size(df, max_bytes=100).bounded
 
 
@@ -118,3 +118,11 @@ def test_encounters_job_and_versions(spark):
     t2 = jobs.apply_batch(spark.createDataFrame(t1.collect(), silver("encounters")), q, "encounters",
                           dt.datetime(2024, 6, 2))
     assert t2.count() == 3  # unchanged E1 kept once; the NULL-id row is inserted again (S2)
+
+
+def test_probe_is_a_partial_aggregate_without_limit(spark):
+    df = spark.range(0, 1000, numPartitions=16).select(F.col("id"))
+    from claimlake.operators.joins import _probe_agg
+
+    plan = _probe_agg(df, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Limit" not in plan
