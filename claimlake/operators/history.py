@@ -204,8 +204,9 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
     if on_duplicate == "error":
         src = _guard_duplicates(src, _SRC + key, "scd2_apply")
-    elif on_duplicate == "merge":
-        src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(_SRC + key))))
+    per_key = Window.partitionBy(_c(key))
+    if on_duplicate == "merge":  # current rows per key, on the join's partitioning
+        cur = cur.withColumn(_N, F.count(F.lit(1)).over(per_key))
 
     # Pass 1 as a left join from the current rows. Its output keeps the
     # current side's hash partitioning, so the per-key window below adds no
@@ -213,12 +214,16 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     # several current rows for one key: each changed row expires, and the new
     # version is emitted once, only if none of them stays current.
     j = cur.join(src, cur[key] == src[_SRC + key], "left")
-    if on_duplicate == "merge":  # several batch rows for one current row: MERGE refuses
-        j = j.filter(F.when(F.col(_SRC + key).isNotNull() & (F.col(_N) > 1), F.raise_error(F.concat(
+    if on_duplicate == "merge":
+        # More joined rows than current rows for a key means a current row met
+        # several batch rows: MERGE refuses. Unmatched batch copies (which the
+        # insert pass loads, as the reference does) are never buffered here.
+        j = j.withColumn("__joined", F.count(F.lit(1)).over(per_key))
+        many = F.col(_SRC + key).isNotNull() & (F.col("__joined") > F.col(_N))
+        j = j.filter(F.when(many, F.raise_error(F.concat(
             F.lit("scd2_apply: several source rows match the current row for key "),
             _c(key).cast("string")))).isNull())
     diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
-    per_key = Window.partitionBy(_c(key))
     j = j.withColumns({
         _S: _c(_SRC + key).isNotNull(),
         _D: diff,
