@@ -17,8 +17,9 @@ Scale notes
   or exact copies of one junk row; none of it can pile onto one join task.
 * Among non-NULL keys, current target keys are unique, and a batch key
   occurring twice raises (S6) -- so the joins have no hot key at all. The
-  check is a window count that shares the join's shuffle (no extra pass)
-  and raises right after it.
+  checks use the joins' key partitioning (no extra shuffle) and never
+  buffer a key's rows: a window count over current rows, and a hash
+  aggregate over new keys.
 """
 
 from __future__ import annotations
@@ -153,7 +154,9 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     * NULL source keys never match and are inserted again each run (S2).
 
     ``on_duplicate``: ``error`` raises when a non-NULL key occurs twice in
-    the batch (S6); ``merge`` behaves like the reference's two MERGE passes:
+    the batch (S6) -- checked without buffering any key's rows: against the
+    current rows for matched keys, by a hash aggregate for new keys;
+    ``merge`` behaves like the reference's two MERGE passes:
     it raises only when several batch rows meet the same current row, and
     inserts every copy of an unmatched key; ``unchecked`` trusts the caller
     (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
@@ -202,10 +205,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
             cur = cur.join(keys, hit, "left_semi")
             small_batch = True
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
-    if on_duplicate == "error":
-        src = _guard_duplicates(src, _SRC + key, "scd2_apply")
     per_key = Window.partitionBy(_c(key))
-    if on_duplicate == "merge":  # current rows per key, on the join's partitioning
+    if on_duplicate in ("error", "merge"):  # current rows per key, on the join's partitioning
         cur = cur.withColumn(_N, F.count(F.lit(1)).over(per_key))
 
     # Pass 1 as a left join from the current rows. Its output keeps the
@@ -214,7 +215,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     # several current rows for one key: each changed row expires, and the new
     # version is emitted once, only if none of them stays current.
     j = cur.join(src, cur[key] == src[_SRC + key], "left")
-    if on_duplicate == "merge":
+    if on_duplicate in ("error", "merge"):
         # More joined rows than current rows for a key means a current row met
         # several batch rows: MERGE refuses. Unmatched batch copies (which the
         # insert pass loads, as the reference does) are never buffered here.
@@ -249,6 +250,16 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     unmatched_src = src.join(cur_keys, src[_SRC + key] == cur_keys["__ck"], "left_anti")
     inserted = unmatched_src.select(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
     out = untouched.unionByName(matched).unionByName(inserted)
+    if on_duplicate == "error":
+        # A new key twice in one batch: counted by a hash aggregate on the
+        # batch's existing key partitioning (no row is buffered, however hot
+        # the key), in a branch that yields no rows and raises on a count > 1.
+        counts = unmatched_src.groupBy(_c(_SRC + key)).agg(F.count(F.lit(1)).alias("__cnt"))
+        raised = counts.where(F.when(F.col("__cnt") > 1, F.raise_error(F.concat(
+            F.lit("scd2_apply: several source rows for key "), _c(_SRC + key).cast("string")))).isNull())
+        check = raised.where(F.col("__cnt") < 0).select(
+            *[F.lit(None).cast(types[c]).alias(c) for c in out_cols])
+        out = out.unionByName(check)
     return out if null_keys == "skip" else out.unionByName(src_null)
 
 

@@ -279,3 +279,11 @@ def test_upsert_null_keys_and_unmatched_without_flag(spark):
     assert out.count() == 3  # NULL keys never match: the target one stays, the source one is inserted
     assert sorted(r["code_description"] for r in out.filter(F.col("icd_code").isNull()).collect()) == ["x", "y"]
     assert unmatched(s, t, "icd_code", current=None).count() == 1
+
+
+def test_scd2_new_key_twice_raises(spark):
+    s = source(spark, [("brand_new", "a", 1), ("brand_new", "b", 1)])
+    with pytest.raises(Exception, match="several source rows"):
+        scd2_apply(base_target(spark), s, "k", ts=T1).collect()
+    with pytest.raises(Exception, match="several source rows"):
+        scd2_apply(base_target(spark), s, "k", ts=T1, key_broadcast="never").collect()
