@@ -70,16 +70,18 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _guard_duplicates(src: DataFrame, key: str, what: str) -> DataFrame:
-    """Raise when a (non-NULL) key occurs more than once in ``src``.
+def _duplicate_check(keys: DataFrame, key: str, shape: T.StructType, what: str) -> DataFrame:
+    """A branch with no rows that raises when a key occurs twice in ``keys``.
 
-    The window is partitioned by the join key, so its shuffle is the one
-    the following join needs; the check costs no extra pass.
+    The count is a hash aggregate (partial counts per task, then per key),
+    so a key holding a third of all rows is folded map-side and no task ever
+    buffers its rows. Union the result into the output so it runs with it.
     """
-    counted = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(key))))
-    guard = F.when(F.col(_N) > 1, F.raise_error(F.concat(
-        F.lit(f"{what}: several source rows for key "), _c(key).cast("string"))))
-    return counted.filter(guard.isNull()).drop(_N)
+    counts = keys.groupBy(_c(key)).agg(F.count(F.lit(1)).alias("__cnt"))
+    raised = counts.where(F.when(F.col("__cnt") > 1, F.raise_error(F.concat(
+        F.lit(f"{what}: several source rows for key "), _c(key).cast("string")))).isNull())
+    return raised.where(F.col("__cnt") < 0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in shape.fields])
 
 
 def _check_columns(target: DataFrame, source: DataFrame, audit: Audit | None) -> list[str]:
@@ -250,16 +252,9 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     unmatched_src = src.join(cur_keys, src[_SRC + key] == cur_keys["__ck"], "left_anti")
     inserted = unmatched_src.select(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
     out = untouched.unionByName(matched).unionByName(inserted)
-    if on_duplicate == "error":
-        # A new key twice in one batch: counted by a hash aggregate on the
-        # batch's existing key partitioning (no row is buffered, however hot
-        # the key), in a branch that yields no rows and raises on a count > 1.
-        counts = unmatched_src.groupBy(_c(_SRC + key)).agg(F.count(F.lit(1)).alias("__cnt"))
-        raised = counts.where(F.when(F.col("__cnt") > 1, F.raise_error(F.concat(
-            F.lit("scd2_apply: several source rows for key "), _c(_SRC + key).cast("string")))).isNull())
-        check = raised.where(F.col("__cnt") < 0).select(
-            *[F.lit(None).cast(types[c]).alias(c) for c in out_cols])
-        out = out.unionByName(check)
+    if on_duplicate == "error":  # a new key twice in one batch (matched ones raised above)
+        out = out.unionByName(_duplicate_check(unmatched_src.select(_SRC + key), _SRC + key,
+                                               target.schema, "scd2_apply"))
     return out if null_keys == "skip" else out.unionByName(src_null)
 
 
@@ -359,8 +354,6 @@ def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
     src_null = source.filter(~has_key).select(*as_target(""))
     tgt = target.filter(has_key).withColumn(_T, F.lit(True))
     src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
-    if on_duplicate == "error":
-        src = _guard_duplicates(src, _SRC + key, "upsert_flagged")
     src = src.withColumn(_S, F.lit(True))
     j = tgt.join(src, tgt[key] == src[_SRC + key], "full_outer")
 
@@ -376,7 +369,11 @@ def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
         else:
             upd = _c(c)
         cols.append(F.when(only_src, from_src).when(hit, upd).otherwise(_c(c)).alias(c))
-    return untouched.unionByName(j.select(*cols)).unionByName(src_null)
+    out = untouched.unionByName(j.select(*cols)).unionByName(src_null)
+    if on_duplicate == "error":
+        out = out.unionByName(_duplicate_check(src.select(_SRC + key), _SRC + key, target.schema,
+                                               "upsert_flagged"))
+    return out
 
 
 def snapshot(df: DataFrame, current: str = "is_current") -> DataFrame:
