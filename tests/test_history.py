@@ -287,3 +287,11 @@ def test_scd2_new_key_twice_raises(spark):
         scd2_apply(base_target(spark), s, "k", ts=T1).collect()
     with pytest.raises(Exception, match="several source rows"):
         scd2_apply(base_target(spark), s, "k", ts=T1, key_broadcast="never").collect()
+
+
+def test_upsert_new_key_twice_raises(spark):
+    t = spark.createDataFrame([("A00", "ICD-10", "c", D0, D0, True)], ICD)
+    s = spark.createDataFrame([("B00", "ICD-10", "x", D1, D1, True), ("B00", "ICD-10", "y", D1, D1, True)], ICD)
+    with pytest.raises(Exception, match="several source rows"):
+        upsert_flagged(t, s, "icd_code").collect()
+    assert upsert_flagged(t, s, "icd_code", on_duplicate="unchecked").count() == 3
