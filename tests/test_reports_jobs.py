@@ -126,3 +126,18 @@ def test_probe_is_a_partial_aggregate_without_limit(spark):
 
     plan = _probe_agg(df, 0)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Limit" not in plan
+
+
+def test_checked_broadcast_modes_and_multi_probe(spark):
+    from claimlake.operators.joins import checked_broadcast, probe_sizes
+
+    small = spark.range(5)
+    big = spark.range(50)
+    p_small, p_big = probe_sizes([small, big], max_rows=10)
+    assert (p_small.rows, p_small.bounded, p_big.rows, p_big.bounded) == (5, True, 50, False)
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    hinted = fact.join(checked_broadcast(small, "always"), F.col("k") == F.col("id"))
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert checked_broadcast(small, "never") is small
+    with pytest.raises(ValueError):
+        checked_broadcast(small, "sometimes")
