@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from claimlake.plans.registry import QUERIES
 from tools.check_oracles import digest, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,11 +18,11 @@ def test_entry_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_duckdb(spark, name):
     df = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
