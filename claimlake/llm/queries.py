@@ -21,6 +21,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.near_dedup import near_groups
+
+    return near_groups(read_table(spark, sf_dir, "documents"), width=3, threshold=0.85)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm.mixing import mixed_sizes
 
@@ -30,5 +36,6 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_sharding": op3_sharding,
+    "op5_near_dedup": op5_near_dedup,
     "op6_mixing": op6_mixing,
 }
