@@ -33,9 +33,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.quality import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_sharding": op3_sharding,
     "op5_near_dedup": op5_near_dedup,
     "op6_mixing": op6_mixing,
+    "op10_quality": op10_quality,
 }

@@ -73,10 +73,15 @@ class Words:
         self.start, self.end = edge[0::2], edge[1::2]
         forward, back = _powers(len(body) + 1)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[low] * forward[:-1], dtype=np.uint64)))
-        self.hash = mix64((sums[self.end] - sums[self.start]) * back[self.start])
+        self._sums, self._back = sums, back
+        self.hash = self.span_hash(self.start, self.end)
         self.doc = np.searchsorted(at, self.start)
         self.first = np.searchsorted(self.doc, np.arange(n + 1))  # each text's first word
-        self.low = low
+        self.text_start, self.text_end = ends[:-1] + np.arange(n), at
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges of the lower-cased body, wherever they stand."""
+        return mix64((self._sums[end] - self._sums[start]) * self._back[start])
 
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
