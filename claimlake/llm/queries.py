@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimlake.llm.common import read_table
 
@@ -21,6 +22,17 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from claimlake.llm.bpe import encode
+
+    docs = encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"], decoded="decoded")
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm.near_dedup import near_groups
 
@@ -42,6 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_sharding": op3_sharding,
+    "op4_bpe": op4_bpe,
     "op5_near_dedup": op5_near_dedup,
     "op6_mixing": op6_mixing,
     "op10_quality": op10_quality,
