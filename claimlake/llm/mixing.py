@@ -14,8 +14,10 @@ source nearer to its target, so a source misses its target by at most half a
 document.
 
 Defined cases: a null text has no words and is never in the way; a null source
-is a source of its own, ranked last; rows that repeat an id share a key and
-are ordered by size; an empty table gives an empty result.
+is a source of its own, ranked last; rows that repeat an id share a key, and
+those that repeat id and size are taken alike; an empty table gives an empty
+result; other columns are ignored by ``mixed_sizes`` and kept by
+``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -72,36 +74,61 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     return caps.select(*sizes.columns, F.least("cap", F.coalesce(level * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", keep: Sequence[str] = (),
-        weights: Sequence[float] = WEIGHTS, share: float = 1.0) -> DataFrame:
-    """One row per document: id, ``keep`` columns, size, source_size, target, taken (words) and ``times``."""
+def _keyed(docs: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
+    """``docs`` with __skey (never null), __size, __key and __slice."""
     size = n_words(text)
-    skey = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))  # a key that is never null
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), skey.alias("skey"), size.alias("size"),
-                       quality_weight(text, size).alias("w"))
-    rows = rows.withColumn("key", -F.log(uniform("id")) / F.col("w"))
+    rows = docs.withColumn("__skey", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))).withColumn("__size", size)
+    rows = rows.withColumn("__key", -F.log(uniform(id_col)) / quality_weight(text, F.col("__size")))
     # 1 - exp(-key) grows with the key and lies in [0, 1): equal slices of it hold like numbers of rows
-    rows = stored(rows.withColumn("slice", F.least(F.floor((1 - F.exp(-F.col("key"))) * SLICES), F.lit(SLICES - 1)).cast("int")), "keys")
-    slices = stored(rows.groupBy("skey", "source", "slice").agg(F.sum("size").alias("words")), "slices")
-    sizes = slices.groupBy("skey", "source").agg(F.sum("words").alias("source_size"))
+    return rows.withColumn("__slice", F.least(F.floor((1 - F.exp(-F.col("__key"))) * SLICES), F.lit(SLICES - 1)).cast("int"))
+
+
+def plan(rows: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
+    """Per source (``__skey``): sizes, target, epochs, and the last (slice, key, id, size) of the fractional selection.
+
+    ``rows`` holds (__skey, source, id, __size, __key, __slice) of all documents.
+    """
+    slices = stored(rows.groupBy("__skey", "source", "__slice").agg(F.sum("__size").alias("words")), "slices")
+    sizes = slices.groupBy("__skey", "source").agg(F.sum("words").alias("source_size"))
     goals = source_targets(sizes, weights, share).withColumn(
         "epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goals = stored(goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).drop("source"), "goals")
-    before = Window.partitionBy("skey").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("__skey").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     ends = slices.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    border = ends.join(goals.select("skey", "rest"), "skey").where("start <= rest AND start + words > rest")
-    border = border.groupBy("skey").agg(F.min("slice").alias("border"), F.min_by("start", "slice").alias("start"))
-    goals = stored(goals.join(border, "skey", "left").fillna({"border": SLICES, "start": 0}), "goals")
-    rows = lookup(rows, goals, "skey", hot_keys(rows, "skey"))
-    in_order = Window.partitionBy("skey", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    at_border = rows.where("slice = border").withColumn(
-        "picked", F.col("start") + F.sum("size").over(in_order) - F.col("size") / 2 <= F.col("rest"))
-    off_border = rows.where("slice != border").withColumn("picked", F.col("slice") < F.col("border"))
-    picked = off_border.unionByName(at_border)
-    return picked.withColumn("times", F.col("epochs") + (F.col("picked") & (F.col("rest") > 0)).cast("long"))
-
-
-def mixed_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """id, size, source_size, target, taken: what the mix takes of each document, in words."""
-    return mix(docs, id_col, text, source).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+    border = ends.join(goals.select("__skey", "rest"), "__skey").where("start <= rest AND start + words > rest")
+    border = stored(border.groupBy("__skey").agg(F.min("__slice").alias("border"), F.min_by("start", "__slice").alias("start"), F.max("rest").alias("rest")), "border")
+    # only the border slices are sorted and summed: one 4096th of the keys of a source
+    at = rows.join(border.withColumnRenamed("border", "__slice"), ["__skey", "__slice"])
+    in_order = Window.partitionBy("__skey", "__slice").orderBy("__key", "id", "__size").rowsBetween(Window.unboundedPreceding, 0)
+    at = at.withColumn("up_to", F.col("start") + F.sum("__size").over(in_order)).where("up_to - __size / 2 <= rest")
+    last = at.groupBy("__skey").agg(F.max(F.struct("__slice", "__key", "id", "__size")).alias("last"))
+    goals = goals.join(border.select("__skey", "border"), "__skey", "left").join(last, "__skey", "left")
+    return stored(goals.withColumn("border", F.coalesce("border", F.lit(SLICES))), "goals")
+
+
+def _times(id_col: str, prefix: str = "") -> Column:
+    """How often a document is taken: a function of its own key and its source's goal."""
+    mine = F.struct("__slice", "__key", F.col(id_col).alias("id"), "__size")
+    epochs, border, rest, last = (F.col(prefix + c) for c in ("epochs", "border", "rest", "last"))
+    picked = (F.col("__slice") < border) | F.coalesce(mine <= last, F.lit(False))
+    return epochs + (picked & (rest > 0)).cast("long")
+
+
+def mixed_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+                weights: Sequence[float] = WEIGHTS, share: float = 1.0) -> DataFrame:
+    """One row per document: id, size, source_size, target, taken (in words)."""
+    rows = _keyed(docs, id_col, text, source).select("__skey", F.col(source).alias("source"), F.col(id_col).alias("id"), "__size", "__key", "__slice")
+    rows = stored(rows, "keys")
+    out = lookup(rows, plan(rows, weights, share), "__skey", hot_keys(rows, "__skey"))
+    return out.select(F.col("id").alias(id_col), F.col("__size").alias("size"), "source_size", "target", (_times("id") * F.col("__size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+                    weights: Sequence[float] = WEIGHTS, share: float = 1.0) -> DataFrame:
+    """The mix itself: whole rows of ``docs``, each as often as it is taken."""
+    keyed = _keyed(docs, id_col, text, source)
+    slim = stored(keyed.select("__skey", F.col(source).alias("source"), F.col(id_col).alias("id"), "__size", "__key", "__slice"), "keys")
+    goals = plan(slim, weights, share).select("__skey", "epochs", "border", "rest", "last")
+    out = lookup(keyed, goals.withColumnsRenamed({c: f"__{c}" for c in ("epochs", "border", "rest", "last")}), "__skey", hot_keys(slim, "__skey"))
+    out = out.withColumn("__times", _times(id_col, "__")).where("__times > 0")
+    return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int"))).alias("__copy")).drop("__copy")

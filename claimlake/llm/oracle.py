@@ -11,6 +11,30 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY h)
 """
 
+OP2 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+_LINE = f"trim(translate(l, '{_UPPER}', '{_LOWER}'), ' ' || chr(9) || chr(13))"
+
+OP7 = f"""
+WITH l AS (SELECT doc_id, source, {_LINE} AS k FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l FROM documents)),
+b AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 10),
+d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, (SELECT coalesce(list(k), []) FROM b) AS gone FROM documents),
+c AS (SELECT doc_id, lines, list_filter(lines, lambda l: NOT list_contains(gone, {_LINE})) AS rest FROM d)
+SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(len(lines) - len(rest) AS INTEGER) AS n_removed,
+       sha256(array_to_string(rest, chr(10))) AS text_sha256 FROM c
+"""
+
 OP6 = r"""
 WITH d AS (
   SELECT doc_id, source, length(text) AS chars,
@@ -38,4 +62,4 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (epochs + CASE WHEN rest > 0 AND up_to - size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
 
-ORACLE = {"op1_exact_dedup": OP1, "op6_mixing": OP6}
+ORACLE = {"op1_exact_dedup": OP1, "op2_topk_search": OP2, "op6_mixing": OP6, "op7_line_dedup": OP7}

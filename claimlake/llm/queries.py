@@ -16,6 +16,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.topk_search import top_k
+
+    return top_k(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm.sharding import balanced_shards
 
@@ -45,6 +51,28 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(read_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.line_dedup import drop_boilerplate
+
+    cleaned = drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"),
+                          F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.license_scan import find_licenses
+
+    return find_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlake.llm.substring_dedup import drop_repeats
+
+    cleaned = drop_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.size("removed").alias("n_removed"), "removed",
+                          F.sha2(F.coalesce("cleaned", F.lit("")).cast("binary"), 256).alias("cleaned_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm.quality import quality_scores
 
@@ -53,9 +81,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_topk_search": op2_topk_search,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_near_dedup": op5_near_dedup,
     "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
 }
