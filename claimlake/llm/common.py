@@ -57,7 +57,8 @@ def hot_keys(df: DataFrame, key: str, aggs: Sequence[Column] = ()) -> DataFrame:
     """
     hashed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"), (F.spark_partition_id() % MERGE_GROUPS).alias("g"))
     sketches = hashed.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("s"), F.count("*").alias("rows"))
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"), F.sum("rows").alias("rows")).where("rows > 0")
+    # by a key that is always false: a combine without a key fails on a partition without rows
+    merged = sketches.groupBy(F.col("g") < 0).agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"), F.sum("rows").alias("rows"))
     found = merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(s, {HOT_ONE_IN})")).alias("f"))
     found = stored(found.where(f"f.count * {HOT_ONE_IN} >= rows AND f.count > 1").select(F.col("f.item").alias("h"), "rows"), "hot-candidates")
     counted = (df.where(F.col(key).isNotNull()).withColumn("__h", F.xxhash64(key))
