@@ -5,7 +5,7 @@ samples per set give 20 band keys of 5 samples each (at similarity 0.85 all
 20 bands miss a pair with probability 8e-6) and an odd sketch: every sample
 flips one bit of a 512-bit map, so the XOR of two maps tells how many samples
 differ. Candidate pairs from the bands are first estimated from the popcount
-of that XOR and dropped below ``threshold - MARGIN`` (over five standard
+of that XOR and dropped below ``threshold - MARGIN`` (over four standard
 deviations), then confirmed on their full sets.
 
 Groups. Documents with one and the same set form a class, and only one member
@@ -39,7 +39,7 @@ from claimlake.llm.textscan import mix64, shingle_sets
 SAMPLES, BANDS, BAND_ROWS, SKETCH_WORDS = 128, 20, 5, 8
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Estimates have a standard deviation of about 0.032 at similarity 0.85.
-MARGIN = 0.2
+MARGIN = 0.15
 #: Members of a bucket that one task compares with as many others.
 CHUNK = 512
 #: Pairs of two components that one pair of chunks offers first.
@@ -131,13 +131,19 @@ def _compare(cut: float, first: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rep, label, sketch = zip(*(
+                key = batch.column("key")[i].as_py()
+                rep, label, sketch, bands = zip(*(
                     (np.array(batch.column(f"rep{s}")[i].values), np.array(batch.column(f"label{s}")[i].values),
-                     np.array(batch.column(f"sketch{s}")[i].values.flatten()).view(np.uint64).reshape(-1, SKETCH_WORDS)) for s in "xy"), strict=True)
+                     np.array(batch.column(f"sketch{s}")[i].values.flatten()).view(np.uint64).reshape(-1, SKETCH_WORDS),
+                     np.array(batch.column(f"bands{s}")[i].values.flatten()).reshape(-1, BANDS)) for s in "xy"), strict=True)
                 for a in range(0, len(rep[0]), 64):
                     odd = np.bitwise_count(sketch[0][a : a + 64, None, :] ^ sketch[1][None, :, :]).sum(axis=2, dtype=np.int64)
                     est = 1 + SKETCH_BITS / (4.0 * SAMPLES) * np.log(np.maximum(1 - 2.0 * odd / SKETCH_BITS, 1e-9))
                     p, q = np.nonzero((est >= cut) & (label[0][a : a + 64, None] != label[1][None, :]))
+                    # a pair that meets in several buckets is offered by the first of them only
+                    both = bands[0][a + p] == bands[1][q]
+                    here = bands[0][a + p, both.argmax(axis=1)] == key
+                    p, q = p[here], q[here]
                     if not len(p):
                         continue
                     e, p = est[p, q], p + a
@@ -167,13 +173,13 @@ def _cross_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, cut: fl
     rows = rows.join(big, ["key", "label"], "left").join(small, "key", "left")
     chunk = F.when(F.col("own").isNotNull(), F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("rep"), "own").alias("part"))).otherwise(
         F.struct(F.lit(None).cast("long").alias("of"), F.pmod(F.xxhash64("label"), "parts").alias("part")))
-    rows = rows.select("key", "rep", "label", chunk.alias("chunk")).join(reps.select("rep", "sketch"), "rep")
+    rows = rows.select("key", "rep", "label", chunk.alias("chunk")).join(reps.select("rep", "sketch", "bands"), "rep")
     chunks = stored(rows.groupBy("key", "chunk").agg(
-        F.collect_list("rep").alias("rep"), F.collect_list("label").alias("label"), F.collect_list("sketch").alias("sketch")), "chunks")
-    x, y = (chunks.select("key", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch"))) for s in "xy")
+        *(F.collect_list(c).alias(c) for c in ("rep", "label", "sketch", "bands"))), "chunks")
+    x, y = (chunks.select("key", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch", "bands"))) for s in "xy")
     pairs = x.join(y, "key").where(
         "(chunkx < chunky OR (chunkx = chunky AND chunkx.of IS NULL)) AND NOT (chunkx.of <=> chunky.of AND chunkx.of IS NOT NULL)")
-    pairs = pairs.drop("key", "chunkx", "chunky").mapInArrow(_compare(cut, first), "a long, b long")
+    pairs = pairs.drop("chunkx", "chunky").mapInArrow(_compare(cut, first), "a long, b long")
     return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross-pairs")
 
 
