@@ -12,8 +12,9 @@ Groups. Documents with one and the same set form a class, and only one member
 represents it. Within a bucket, all members are compared with the bucket's
 pivot (a star, linear in the bucket), confirmed links are merged into
 components, and only members of different components are compared further:
-per pair of chunks first the most promising pairs of each two components, then,
-where these did not link them, every pair that the sketches allow. So groups
+by finer sketches (1024 samples), per pair of chunks first the most promising
+pairs of each two components, then, where these did not link them, every pair
+that the sketches allow. So groups
 of near copies never become all pairs, and no candidate is capped or dropped.
 
 Defined cases: a document without words or text has an empty set and is linked
@@ -40,6 +41,8 @@ SAMPLES, BANDS, BAND_ROWS, SKETCH_WORDS = 128, 20, 5, 8
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Estimates have a standard deviation of about 0.032 at similarity 0.85.
 MARGIN = 0.15
+#: Samples and 64-bit words of the finer sketches that members of unsettled buckets get (deviation about 0.012).
+FINE_SAMPLES, FINE_WORDS, FINE_MARGIN = 1024, 32, 0.05
 #: Members of a bucket that one task compares with as many others.
 CHUNK = 512
 #: Pairs of two components that one pair of chunks offers first.
@@ -49,16 +52,17 @@ SLICE = 512
 #: The filter that picks the texts to read again has at most this many bits (128 MB).
 FILTER_BITS = 1 << 30
 
-_MUL = np.random.default_rng(11).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = np.random.default_rng(12).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
-_SALT = mix64(np.arange(1, SAMPLES + 1, dtype=np.uint64))
+_MUL = np.random.default_rng(11).integers(0, 1 << 63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = np.random.default_rng(12).integers(0, 1 << 63, FINE_SAMPLES, dtype=np.uint64)
+_SALT = mix64(np.arange(1, FINE_SAMPLES + 1, dtype=np.uint64))
 
 
-def min_hashes(h: np.ndarray) -> np.ndarray:
-    """SAMPLES MinHash values of a set of shingle hashes, a block of the set at a time."""
-    out = np.full(SAMPLES, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for a in range(0, len(h), 4096):
-        np.minimum(out, (h[a : a + 4096, None] * _MUL + _ADD).min(axis=0), out=out)
+def min_hashes(h: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """MinHash values of a set of shingle hashes, a block of the set at a time."""
+    out = np.full(samples, np.uint64(0xFFFFFFFFFFFFFFFF))
+    block = (1 << 19) // samples
+    for a in range(0, len(h), block):
+        np.minimum(out, (h[a : a + block, None] * _MUL[:samples] + _ADD[:samples]).min(axis=0), out=out)
     return out
 
 
@@ -71,10 +75,10 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples, as SKETCH_WORDS 64-bit words."""
-    at = (mix64(samples ^ _SALT) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+def odd_sketch(samples: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """Parity bitmap of the samples, as 64-bit words."""
+    at = (mix64(samples ^ _SALT[: len(samples)]) % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -105,7 +109,8 @@ def _signatures(width: int):
     return run
 
 
-def _sets(width: int):
+def _per_set(width: int, value):
+    """(id, set_key, items) of each text, items being ``value`` of its set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, SLICE):
@@ -113,7 +118,7 @@ def _sets(width: int):
                 sets = list(shingle_sets(part.column("text"), width))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([set_key(h) for h in sets], pa.binary()),
-                     pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["id", "set_key", "items"])
+                     pa.array([value(h) for h in sets], pa.list_(pa.int64()))], ["id", "set_key", "items"])
 
     return run
 
@@ -134,11 +139,11 @@ def _compare(cut: float, first: int | None):
                 key = batch.column("key")[i].as_py()
                 rep, label, sketch, bands = zip(*(
                     (np.array(batch.column(f"rep{s}")[i].values), np.array(batch.column(f"label{s}")[i].values),
-                     np.array(batch.column(f"sketch{s}")[i].values.flatten()).view(np.uint64).reshape(-1, SKETCH_WORDS),
+                     np.array(batch.column(f"sketch{s}")[i].values.flatten()).view(np.uint64).reshape(-1, FINE_WORDS),
                      np.array(batch.column(f"bands{s}")[i].values.flatten()).reshape(-1, BANDS)) for s in "xy"), strict=True)
                 for a in range(0, len(rep[0]), 64):
                     odd = np.bitwise_count(sketch[0][a : a + 64, None, :] ^ sketch[1][None, :, :]).sum(axis=2, dtype=np.int64)
-                    est = 1 + SKETCH_BITS / (4.0 * SAMPLES) * np.log(np.maximum(1 - 2.0 * odd / SKETCH_BITS, 1e-9))
+                    est = 1 + FINE_WORDS * 16.0 / FINE_SAMPLES * np.log(np.maximum(1 - odd / (FINE_WORDS * 32.0), 1e-9))
                     p, q = np.nonzero((est >= cut) & (label[0][a : a + 64, None] != label[1][None, :]))
                     # a pair that meets in several buckets is offered by the first of them only
                     both = bands[0][a + p] == bands[1][q]
@@ -160,12 +165,16 @@ def _compare(cut: float, first: int | None):
     return run
 
 
-def _cross_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, cut: float, first: int | None) -> DataFrame:
-    """Candidate pairs within buckets between different components (columns a < b, distinct)."""
+def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, label) of the buckets with members of different components."""
     rows = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
     rows = stored(rows, "bucket-labels")
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    rows = stored(lookup(rows, mixed, "key", hot_keys(rows, "key")), "mixed-buckets")
+    return stored(lookup(rows, mixed, "key", hot_keys(rows, "key")), "mixed-buckets")
+
+
+def _cross_pairs(rows: DataFrame, fine: DataFrame, cut: float, first: int | None) -> DataFrame:
+    """Candidate pairs within unsettled buckets between different components (columns a < b, distinct)."""
     per = rows.groupBy("key", "label").count()
     small = per.where(f"count <= {CHUNK}").groupBy("key").agg(F.ceil(F.sum("count") / CHUNK).cast("int").alias("parts"))
     # a large component has chunks of its own; the small ones of a bucket share chunks
@@ -173,7 +182,7 @@ def _cross_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, cut: fl
     rows = rows.join(big, ["key", "label"], "left").join(small, "key", "left")
     chunk = F.when(F.col("own").isNotNull(), F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("rep"), "own").alias("part"))).otherwise(
         F.struct(F.lit(None).cast("long").alias("of"), F.pmod(F.xxhash64("label"), "parts").alias("part")))
-    rows = rows.select("key", "rep", "label", chunk.alias("chunk")).join(reps.select("rep", "sketch", "bands"), "rep")
+    rows = rows.select("key", "rep", "label", chunk.alias("chunk")).join(fine, "rep")
     chunks = stored(rows.groupBy("key", "chunk").agg(
         *(F.collect_list(c).alias(c) for c in ("rep", "label", "sketch", "bands"))), "chunks")
     x, y = (chunks.select("key", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch", "bands"))) for s in "xy")
@@ -183,14 +192,13 @@ def _cross_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, cut: fl
     return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross-pairs")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text: str, width: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) that reach the threshold on their full sets.
+def _read_again(ends: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text: str, width: int, value) -> DataFrame:
+    """(rep, items): ``value`` of the shingle set of each of the classes ``ends`` (rep), from their texts.
 
-    Only texts of candidates are read again: a bitmap filter over hashed ids
-    (at most FILTER_BITS) is broadcast into the scan, so other texts are
-    neither shuffled nor split into shingles.
+    Only these texts are read again: a bitmap filter over hashed ids (at most
+    FILTER_BITS) is broadcast into the scan, so other texts are neither
+    shuffled nor split into shingles.
     """
-    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     need = stored(reps.join(ends, "rep").select("rep", F.col("id").alias("need_id"), "set_key"), "needed")
     bits = min(FILTER_BITS, 1 << max(20, 5 + need.count().bit_length()))
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
@@ -200,9 +208,15 @@ def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, te
     byte = F.conv(F.hex(F.substring("__bits", F.floor(pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn("__bucket", F.bitmap_bucket_number(slot("id")))
     texts = texts.join(F.broadcast(bitmaps), "__bucket").where(F.getbit(byte, pos % 8) == 1).select("id", "text")
-    sets = texts.mapInArrow(_sets(width), f"id {dict(texts.dtypes)['id']}, set_key binary, items array<long>")
-    sets = stored(need.join(sets, (need["set_key"] == sets["set_key"]) & need["need_id"].eqNullSafe(sets["id"])).select("rep", "items")
+    sets = texts.mapInArrow(_per_set(width, value), f"id {dict(texts.dtypes)['id']}, set_key binary, items array<long>")
+    return stored(need.join(sets, (need["set_key"] == sets["set_key"]) & need["need_id"].eqNullSafe(sets["id"])).select("rep", "items")
                   .dropDuplicates(["rep"]), "sets")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text: str, width: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) that reach the threshold on their full sets."""
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = _read_again(ends, docs, reps, id_col, text, width, lambda h: h.view(np.int64))
     both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("x")), "a").join(
         sets.select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
@@ -233,9 +247,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     stars = stored(stars.where(estimate(F.col("x"), F.col("y")) >= cut).select("a", "b"), "stars")
     links = _confirm(stars, docs, reps, id_col, text, width, threshold)
     labels = components(links)
-    tested = stars
+    tested, fine = stars, None
     for first in (FIRST, None):
-        pairs = _cross_pairs(buckets.select("key", "rep"), reps, labels, cut, first).join(tested, ["a", "b"], "left_anti")
+        rows_left = _unsettled(buckets.select("key", "rep"), labels)
+        if fine is None:
+            fine = _read_again(rows_left.select("rep").distinct(), docs, reps, id_col, text, width,
+                               lambda h: odd_sketch(min_hashes(h, FINE_SAMPLES), FINE_WORDS))
+            fine = stored(fine.withColumnRenamed("items", "sketch").join(reps.select("rep", "bands"), "rep"), "fine-sketches")
+        pairs = _cross_pairs(rows_left, fine, threshold - FINE_MARGIN, first).join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "untested")
         if pairs.isEmpty():
             continue
