@@ -11,8 +11,9 @@ equal surroundings, so short phrases that occur everywhere do not add up.
 Globally, the earliest occurrence of a digest (smallest id, then position)
 stays. In a document, later occurrences that overlap are joined to runs, and
 runs of at least ``min_words`` words are removed; their original character
-offsets are returned. A digest with a large share of all rows is resolved by
-broadcast; the others are grouped by one shuffle of 40 bytes a unit.
+offsets are returned. The first place of a digest with a large share of all
+rows is found map-side and broadcast, and its rows are salted; the others are
+grouped by digest, in one shuffle of 40 bytes a unit.
 
 Defined cases: a null or empty text has no units; a null id ranks last; rows
 that repeat id and text count as one document and get the same spans; a
@@ -35,6 +36,7 @@ from claimlake.llm.textscan import Words, groups, mix64, utf8
 MIN_WORDS = 50
 LONG = 24
 CUT_ONE_IN = 16
+SALTS = 256
 
 
 def _capital(body: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -132,10 +134,11 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     rows = stored(texts.mapInArrow(_units, f"id {id_type}, body long, digest long, begin int, end int"), "units")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "body", "begin")
     hot = hot_keys(rows, "digest", [F.min(place).alias("first")])
-    often = rows.join(F.broadcast(hot.drop("n")), "digest")
-    hot = F.broadcast(hot.select("digest"))
-    rest = rows.join(hot, "digest", "left_anti").withColumn("first", F.min(place).over(Window.partitionBy("digest")))
-    later = often.unionByName(rest).where(place != F.col("first"))
+    # all rows take one way: a hot digest knows its first place and is dealt over SALTS groups that need not meet
+    rows = rows.join(F.broadcast(hot.drop("n")), "digest", "left")
+    salt = F.when(F.col("first").isNotNull(), F.pmod(F.xxhash64("id", "begin"), F.lit(SALTS))).otherwise(F.lit(0))
+    rows = rows.withColumn("salt", salt).withColumn("first", F.coalesce("first", F.min(place).over(Window.partitionBy("digest", "salt"))))
+    later = rows.where(place != F.col("first"))
     found = later.groupBy("id", "body").agg(F.collect_set(F.struct("begin", "end", F.col("first.id").alias("first_id"))).alias("__repeats"))
     found = stored(found.withColumnsRenamed({"id": "__id", "body": "__body"}), "repeats")
     keep = [c for c in docs.columns if c != text]
