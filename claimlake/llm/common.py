@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,35 +48,46 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hot_keys(df: DataFrame, key: str, aggs: Sequence[Column] = ()) -> DataFrame:
+class Hot(NamedTuple):
+    """Hot keys: their stored ``rows`` (key, n, aggregates) and the ``hashes`` of the keys, HOT_ONE_IN at most."""
+
+    rows: DataFrame
+    hashes: list[int]
+
+    def holds(self, key: str) -> Column:
+        return F.xxhash64(key).isin(self.hashes) & F.col(key).isNotNull() if self.hashes else F.lit(False)
+
+
+def hot_keys(df: DataFrame, key: str, aggs: Sequence[Column] = ()) -> Hot:
     """The hot values of ``key`` (not null) with their exact row counts ``n`` and ``aggs``.
 
     Two passes over ``df`` (store it first if it is costly): sketches per task,
     merged in groups and then once, name the candidates; a second pass counts
     the candidates exactly, folded map-side, and keeps those that really hold
-    ``1 / HOT_ONE_IN`` of the rows. The result has at most HOT_ONE_IN rows and is stored.
+    ``1 / HOT_ONE_IN`` of the rows.
     """
     hashed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"), (F.spark_partition_id() % MERGE_GROUPS).alias("g"))
     sketches = hashed.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("s"), F.count("*").alias("rows"))
     # by a key that is always false: a combine without a key fails on a partition without rows
     merged = sketches.groupBy(F.col("g") < 0).agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"), F.sum("rows").alias("rows"))
     found = merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(s, {HOT_ONE_IN})")).alias("f"))
-    found = stored(found.where(f"f.count * {HOT_ONE_IN} >= rows AND f.count > 1").select(F.col("f.item").alias("h"), "rows"), "hot-candidates")
-    counted = (df.where(F.col(key).isNotNull()).withColumn("__h", F.xxhash64(key))
-               .join(F.broadcast(found.select(F.col("h").alias("__h"), F.col("rows").alias("__rows"))), "__h")
-               .groupBy(key).agg(F.count("*").alias("n"), F.max("__rows").alias("__rows"), *aggs))
-    return stored(counted.where(f"n * {HOT_ONE_IN} >= __rows").drop("__rows"), "hot")
+    found = found.where(f"f.count * {HOT_ONE_IN} >= rows AND f.count > 1").select(F.col("f.item").alias("h"), "rows").collect()
+    maybe, total = Hot(df, [r["h"] for r in found]), found[0]["rows"] if found else 0
+    counted = df.where(maybe.holds(key)).groupBy(key).agg(F.count("*").alias("n"), *aggs)
+    rows = stored(counted.where(F.col("n") * HOT_ONE_IN >= total), "hot")
+    return Hot(rows, [r["h"] for r in rows.select(F.xxhash64(key).alias("h")).collect()] if found else [])
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, hot: Hot) -> DataFrame:
     """Inner join of ``left`` with ``right`` (one row per ``key``).
 
     Rows of hot keys meet the bounded hot part of ``right`` map-side; the rest
     shuffles, and no key of the rest holds more than a small share of the rows.
     """
-    hot = F.broadcast(hot.select(key))
-    return left.join(F.broadcast(right.join(hot, key, "left_semi")), key).unionByName(
-        left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key))
+    if not hot.hashes:
+        return left.join(right, key)
+    often = hot.holds(key)
+    return left.where(often).join(F.broadcast(right.where(often)), key).unionByName(left.where(~often).join(right.where(~often), key))
 
 
 def ranked(df: DataFrame, part: Sequence[str], cell: Column, order: Sequence[Column], name: str = "rank") -> DataFrame:

@@ -33,7 +33,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """
     rows = stored(docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"), F.monotonically_increasing_id().alias("row")), "digests")
     best = F.max(F.struct("id", "row")).alias("best")  # nulls sort first: a null id never wins against another
-    winners = hot_keys(rows, "digest", [best])
+    winners = hot_keys(rows, "digest", [best]).rows
     hot = rows.join(F.broadcast(winners), "digest")
     group = Window.partitionBy("digest")
     cold = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
@@ -50,7 +50,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     shuffle, so whole texts are shuffled once and no group is large.
     """
     digests = stored(docs.select(F.col(id_col).alias("id"), text_digest(text).alias("__digest")), "digests")
-    winners = hot_keys(digests, "__digest", [F.max("id").alias("__keep")]).drop("n")
+    winners = hot_keys(digests, "__digest", [F.max("id").alias("__keep")]).rows.drop("n")
     left = docs.withColumn("__digest", text_digest(text)).join(F.broadcast(winners.withColumn("__hot", F.lit(True))), "__digest", "left")
     left = left.where(F.col("__hot").isNull() | F.col(id_col).eqNullSafe(F.col("__keep")))
     ties = [F.col(c) for c, kind in docs.dtypes if c not in (id_col, text) and not kind.startswith(("map", "variant"))]

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import ascii_lower, hot_keys, lookup, stored
+from claimlake.llm.common import Hot, ascii_lower, hot_keys, lookup, stored
 
 MIN_SITES = 10
 SKETCH_BITS = 12
@@ -36,7 +36,7 @@ def line_digest(line: Column) -> Column:
     return F.when(body != "", F.unhex(F.md5(body.cast("binary"))))
 
 
-def boilerplate(lines: DataFrame, hot: DataFrame, min_sites: int) -> DataFrame:
+def boilerplate(lines: DataFrame, hot: Hot, min_sites: int) -> DataFrame:
     """The digests of (digest, site) rows that stand on at least ``min_sites`` distinct sites."""
     often = stored(lines.groupBy("digest").count().where(F.col("count") >= min_sites).select("digest"), "frequent-lines")
     rows = stored(lookup(lines.select("digest", "site"), often, "digest", hot), "frequent-rows")

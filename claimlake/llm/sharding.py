@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import hot_keys, lookup, ranked, stored, union_all
+from claimlake.llm.common import Hot, hot_keys, lookup, ranked, stored, union_all
 
 HUB_CELLS, SALTS = 64, 64
 
@@ -48,7 +48,7 @@ def cut_edges(rows: DataFrame) -> DataFrame:
     return per.agg(F.coalesce(F.sum("cut"), F.lit(0)).alias("cut"))
 
 
-def propagate(linked: DataFrame, hot: DataFrame, quota: list[int], rounds: int) -> DataFrame:
+def propagate(linked: DataFrame, hot: Hot, quota: list[int], rounds: int) -> DataFrame:
     """Rounds of proposals over (row, hub, shard) until nothing moves."""
     shards = len(quota)
     for _ in range(rounds):

@@ -133,7 +133,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     id_type = dict(texts.dtypes)["id"]
     rows = stored(texts.mapInArrow(_units, f"id {id_type}, body long, digest long, begin int, end int"), "units")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "body", "begin")
-    hot = hot_keys(rows, "digest", [F.min(place).alias("first")])
+    hot = hot_keys(rows, "digest", [F.min(place).alias("first")]).rows
     # all rows take one way: a hot digest knows its first place and is dealt over SALTS groups that need not meet
     rows = rows.join(F.broadcast(hot.drop("n")), "digest", "left")
     salt = F.when(F.col("first").isNotNull(), F.pmod(F.xxhash64("id", "begin"), F.lit(SALTS))).otherwise(F.lit(0))
