@@ -10,6 +10,7 @@ rows handled map-side, while all other keys shuffle as usual.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
@@ -39,6 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Jobs started inside send at most ``rows`` rows at once to a Python worker; the setting is put back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, nothing else (``lower`` would change other letters too)."""
     return F.translate(col, UPPER, LOWER)

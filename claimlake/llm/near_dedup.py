@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import hot_keys, lookup, stored
+from claimlake.llm.common import arrow_batches, hot_keys, lookup, stored
 from claimlake.llm.graph import components
 from claimlake.llm.textscan import mix64, shingle_sets
 
@@ -188,8 +188,9 @@ def _cross_pairs(rows: DataFrame, fine: DataFrame, cut: float, first: int | None
     x, y = (chunks.select("key", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch", "bands"))) for s in "xy")
     pairs = x.join(y, "key").where(
         "(chunkx < chunky OR (chunkx = chunky AND chunkx.of IS NULL)) AND NOT (chunkx.of <=> chunky.of AND chunkx.of IS NOT NULL)")
-    pairs = pairs.drop("chunkx", "chunky").mapInArrow(_compare(cut, first), "a long, b long")
-    return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross-pairs")
+    with arrow_batches(rows.sparkSession, 16):  # a row holds two chunks
+        pairs = pairs.drop("chunkx", "chunky").mapInArrow(_compare(cut, first), "a long, b long")
+        return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross-pairs")
 
 
 def _read_again(ends: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text: str, width: int, value) -> DataFrame:
@@ -209,8 +210,9 @@ def _read_again(ends: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str,
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn("__bucket", F.bitmap_bucket_number(slot("id")))
     texts = texts.join(F.broadcast(bitmaps), "__bucket").where(F.getbit(byte, pos % 8) == 1).select("id", "text")
     sets = texts.mapInArrow(_per_set(width, value), f"id {dict(texts.dtypes)['id']}, set_key binary, items array<long>")
-    return stored(need.join(sets, (need["set_key"] == sets["set_key"]) & need["need_id"].eqNullSafe(sets["id"])).select("rep", "items")
-                  .dropDuplicates(["rep"]), "sets")
+    with arrow_batches(docs.sparkSession, SLICE):
+        return stored(need.join(sets, (need["set_key"] == sets["set_key"]) & need["need_id"].eqNullSafe(sets["id"])).select("rep", "items")
+                      .dropDuplicates(["rep"]), "sets")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text: str, width: int, threshold: float) -> DataFrame:
@@ -229,8 +231,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     cut = threshold - MARGIN
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
     id_type = dict(texts.dtypes)["id"]
-    rows = stored(texts.mapInArrow(
-        _signatures(width), f"row long, id {id_type}, n long, set_key binary, bands array<long>, sketch array<long>"), "signatures")
+    with arrow_batches(docs.sparkSession, SLICE):
+        rows = stored(texts.mapInArrow(
+            _signatures(width), f"row long, id {id_type}, n long, set_key binary, bands array<long>, sketch array<long>"), "signatures")
     keyed = rows.where("set_key IS NOT NULL").select("row", "id", "n", "set_key")
     classes = keyed.groupBy("set_key").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("best"))
     members = stored(lookup(keyed, classes, "set_key", hot_keys(keyed, "set_key")).select(

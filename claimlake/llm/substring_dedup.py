@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import hot_keys, stored
+from claimlake.llm.common import arrow_batches, hot_keys, stored
 from claimlake.llm.textscan import Words, groups, mix64, utf8
 
 MIN_WORDS = 50
@@ -131,7 +131,8 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     """All columns but the text, then ``cleaned`` and ``removed`` (start, end in characters, first_id)."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     id_type = dict(texts.dtypes)["id"]
-    rows = stored(texts.mapInArrow(_units, f"id {id_type}, body long, digest long, begin int, end int"), "units")
+    with arrow_batches(docs.sparkSession, 512):
+        rows = stored(texts.mapInArrow(_units, f"id {id_type}, body long, digest long, begin int, end int"), "units")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "body", "begin")
     hot = hot_keys(rows, "digest", [F.min(place).alias("first")]).rows
     # all rows take one way: a hot digest knows its first place and is dealt over SALTS groups that need not meet

@@ -18,7 +18,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Texts are scanned in groups of about this many bytes, which bounds memory.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
