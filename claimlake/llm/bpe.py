@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 #: Distinct words whose ids a worker keeps; beyond that it starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 #: Rows of one Arrow batch that leave a task.
 SLICE = 64
 _ANY = 1 << 60
@@ -89,7 +89,7 @@ class Automaton:
 
     def arc(self, last: int, token: int) -> bool:
         """Is there an arc ``token`` in the state behind ``last``? Found once, then looked up in ``arcs``."""
-        if len(self.arcs) >= 4 * CACHED_WORDS:
+        if len(self.arcs) >= 2 * CACHED_WORDS:
             self.arcs.clear()
         known = self.arcs[last * self.size + token] = self._walk(last, token)
         return known
