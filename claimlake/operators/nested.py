@@ -35,13 +35,18 @@ DOC_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RESULT_SCHEMA))]
 BASIC_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in NPI_BASIC_FIELDS])
 
 
-def explode_results(raw: DataFrame, body: str = "body") -> DataFrame:
+def explode_results(raw: DataFrame, body: str = "body", malformed: str = "fail") -> DataFrame:
     """Parse each document and emit one row per element of ``results``.
 
-    A document without ``results``, with an empty list, or that is not JSON,
-    emits nothing. Other columns of ``raw`` are carried along.
+    A document without ``results`` or with an empty list emits nothing. One
+    that is not JSON fails the job, so that nothing is lost unseen; with
+    ``malformed="skip"`` it emits nothing. Other columns of ``raw`` are carried along.
     """
     doc = F.from_json(F.col(body), DOC_SCHEMA)
+    if malformed != "skip":
+        broken = F.col(body).isNotNull() & F.get_json_object(body, "$").isNull()
+        message = F.concat(F.lit("not a JSON document: "), F.substring(body, 1, 80))
+        doc = F.when(broken, F.raise_error(message).cast(DOC_SCHEMA)).otherwise(doc)
     keep = [c for c in raw.columns if c != body]
     return raw.select(*keep, F.explode(doc["results"]).alias("result"))
 
@@ -51,7 +56,8 @@ def _field(basic_raw: Column, basic: Column, keys: Column, name: str) -> Column:
     return F.when(F.coalesce(F.array_contains(keys, name), F.lit(False)), basic[name]).otherwise(F.lit(""))
 
 
-def flatten_registry(raw: DataFrame, batch_date: _dt.date | Column, body: str = "body") -> DataFrame:
+def flatten_registry(raw: DataFrame, batch_date: _dt.date | Column, body: str = "body",
+                     malformed: str = "fail") -> DataFrame:
     """NPI answers -> flat rows ``npi_id, first_name, last_name, position,
     organisation_name, last_updated, refreshed_at``.
 
@@ -61,7 +67,7 @@ def flatten_registry(raw: DataFrame, batch_date: _dt.date | Column, body: str =
     while JSON nulls stay NULL, exactly as ``dict.get(k, '')`` does (J3):
     key presence is read with ``json_object_keys`` on the raw ``basic``.
     """
-    rows = explode_results(raw, body)
+    rows = explode_results(raw, body, malformed)
     r = F.col("result")
     basic_raw = r["basic"]
     basic = F.from_json(basic_raw, BASIC_SCHEMA)
@@ -122,7 +128,7 @@ def expand_counts(df: DataFrame, n: str = "__n", chunk: int = 1024) -> DataFrame
 
 
 def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
-                     max_depth: int = 64, checkpoint_every: int = 1, expand: bool = True) -> DataFrame:
+                     max_depth: int | None = None, checkpoint_every: int = 1, expand: bool = True) -> DataFrame:
     """Walk ``child`` links from the roots and return the leaves reached.
 
     ``nodes``: ``url``, ``has_child`` (the document has a ``child`` field,
@@ -140,13 +146,15 @@ def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
     paths a DAG has; copies are produced only at the end (``expand``;
     otherwise a ``paths`` column is returned). The frontier is checkpointed
     into the session's checkpoint folder every ``checkpoint_every`` levels,
-    so a lost executor never replays the whole walk. A walk still going
-    after ``max_depth`` levels (a cycle) raises.
+    so a lost executor never replays the whole walk. A walk without a cycle
+    ends within as many levels as there are nodes; one that is still going
+    then (or after ``max_depth`` levels, if given) raises.
     """
     node_cols = nodes.select("url", "has_child", "code", "title")
     frontier = roots.groupBy("url").agg(F.count(F.lit(1)).alias("__n"))
     found: list[DataFrame] = []
-    for depth in range(max_depth + 1):
+    levels = nodes.count() if max_depth is None else max_depth
+    for depth in range(levels + 2):
         if depth and depth % checkpoint_every == 0:
             frontier = cut_lineage(frontier)
         if frontier.isEmpty():
@@ -158,7 +166,7 @@ def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
                     .join(edges, "url", "inner")
                     .groupBy(F.col("child_url").alias("url")).agg(F.sum("__n").alias("__n")))
     else:
-        raise RuntimeError(f"hierarchy deeper than {max_depth} levels (a cycle?)")
+        raise RuntimeError(f"hierarchy deeper than {levels} levels (a cycle?)")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

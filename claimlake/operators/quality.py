@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions.predicates import quarantine_flag
@@ -51,11 +52,14 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
     Written as ``max(struct(order, row))`` per key, which Spark aggregates
     partially on the map side: a hot key (say a third of all rows) is
     reduced to one row per task before the shuffle instead of being sorted
-    in one task as a window would. NULL keys are one group, as in SQL.
+    in one task as a window would. Rows whose key is (or holds) NULL match no
+    other row (S2): all of them are kept.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(f"`{c}`") for c in order], *[F.col(f"`{c}`") for c in rest])
-    best = df.groupBy(*keys).agg(F.max(packed).alias("__best"))
-    return best.select(*keys, *[F.col(f"__best.`{c}`").alias(c) for c in order + rest]).select(df.columns)
+    known = reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in keys])
+    best = df.filter(known).groupBy(*keys).agg(F.max(packed).alias("__best"))
+    best = best.select(*keys, *[F.col(f"__best.`{c}`").alias(c) for c in order + rest]).select(df.columns)
+    return best.unionByName(df.filter(~known))

@@ -1,7 +1,7 @@
 """Session helpers: a local session for tests/bench, and the checkpoint folder.
 
-On a cluster the session comes from the platform; nothing here overrides a
-setting that is already present.
+On a cluster the session comes from the platform; ``local_session`` sets its
+own values for tests and the bench only.
 """
 
 from __future__ import annotations

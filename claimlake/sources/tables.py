@@ -80,12 +80,19 @@ def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None,
 
     Unlike TRUNCATE-then-INSERT there is no moment with an empty table, and
     ``df`` may read the table being replaced. ``tag`` (e.g. a stream epoch)
-    is part of the folder name, so it is committed with the swap itself.
+    is part of the folder name, so it is committed with the swap itself; a swap
+    without one keeps the last. Rows of another shape than the table's are refused.
     ``cluster_by`` sorts rows within each write task (no shuffle), so each
     parquet row group covers a narrow range of those columns and range
     filters on them skip row groups.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        shape = lambda s: [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
+        if shape(df.schema) != shape(spark.table(name).schema):
+            raise ValueError(f"columns of the new rows differ from those of table {name}")
+        if tag is None:  # what streams have committed stays on record
+            tag = (table_location(spark, name) or "").rstrip("/").rpartition("/v-")[2].rpartition("-")[0]
     version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}"
     out = df.sortWithinPartitions(*cluster_by) if cluster_by else df

@@ -16,6 +16,7 @@ be harmless for rows with keys, but would insert NULL-key rows twice, S2.)
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import re
 from collections.abc import Callable
 
@@ -28,14 +29,23 @@ from claimlake.operators.quality import latest_per_key
 from claimlake.session import ensure_checkpoint_dir
 from claimlake.sources.tables import empty_table, replace_table, table_location
 
-_EPOCH = re.compile(r"/v-e(\d+)-[0-9a-f]+/?$")
+_EPOCH = re.compile(r"s([0-9a-f]{12})\.(\d+)")
 
 
-def committed_epoch(spark: SparkSession, table: str) -> int:
-    """The last stream epoch applied to ``table`` (-1 if none)."""
-    loc = table_location(spark, table)
-    m = _EPOCH.search(loc or "")
-    return int(m.group(1)) if m else -1
+def stream_id(checkpoint: str) -> str:
+    """A short name of the stream: epochs count from 0 anew with every checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def committed_epochs(spark: SparkSession, table: str) -> dict[str, int]:
+    """The last epoch of each stream applied to ``table``, from its version folder's name."""
+    name = (table_location(spark, table) or "").rstrip("/").rpartition("/")[2]
+    return {s: int(e) for s, e in _EPOCH.findall(name)}
+
+
+def committed_epoch(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The last epoch of the stream with this checkpoint applied to ``table`` (-1 if none)."""
+    return committed_epochs(spark, table).get(stream_id(checkpoint), -1)
 
 
 def scd2_stream(spark: SparkSession, landing: str, bronze_schema: T.StructType, table: str,
@@ -55,12 +65,14 @@ def scd2_stream(spark: SparkSession, landing: str, bronze_schema: T.StructType,
     """
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimlake-streams/{table}"
+    own = stream_id(checkpoint)
     clock = batch_time or (lambda _epoch: _dt.datetime.now())
 
     def apply(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        if epoch <= committed_epoch(session, table):
-            return  # replay of a batch that already committed
+        epochs = committed_epochs(session, table)
+        if epoch <= epochs.get(own, -1):
+            return  # replay of a batch of this stream that already committed
         rows = quality(batch)
         if newest_by:
             rows = latest_per_key(rows, key, newest_by)
@@ -70,7 +82,7 @@ def scd2_stream(spark: SparkSession, landing: str, bronze_schema: T.StructType,
             current = empty_table(session, target_schema)
         new = scd2_apply(current, rows, key, ts=clock(epoch), audit=audit, null_safe=null_safe,
                          on_duplicate="unchecked" if newest_by else "error")
-        replace_table(new, table, table_root, tag=f"e{epoch:012d}")
+        replace_table(new, table, table_root, tag="-".join(f"s{s}.{e}" for s, e in sorted((epochs | {own: epoch}).items())))
 
     stream = spark.readStream.schema(bronze_schema).parquet(landing)
     writer = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

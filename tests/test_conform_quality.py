@@ -75,7 +75,7 @@ def test_latest_per_key(spark):
     ], "code string, updated date, descr string")
     got = rows(latest_per_key(df, "code", "updated"))
     assert got == [("A", dt.date(2024, 1, 2), "new"), ("B", dt.date(2024, 1, 1), "only"),
-                   (None, dt.date(2024, 1, 3), "n2")]
+                   (None, dt.date(2024, 1, 1), "n1"), (None, dt.date(2024, 1, 3), "n2")]  # S2: NULL keys match nothing
 
 
 def test_latest_per_key_hot_key_partial_aggregation(spark):
@@ -88,3 +88,10 @@ def test_latest_per_key_hot_key_partial_aggregation(spark):
     assert "partial_max" in plan
     assert out.filter(F.col("k") == "HOT").first()["ts"] == 14999
     assert out.count() == 5001
+
+
+def test_latest_per_key_keeps_every_null_key_row(spark):
+    from claimlake.operators.quality import latest_per_key
+
+    df = spark.createDataFrame([(None, 1, "a"), (None, 1, "a"), (None, 2, "b"), ("k", 1, "old"), ("k", 2, "new")], "key string, at int, v string")
+    assert sorted((r["key"] or "", r["v"]) for r in latest_per_key(df, "key", "at").collect()) == [("", "a"), ("", "a"), ("", "b"), ("k", "new")]

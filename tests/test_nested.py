@@ -38,7 +38,7 @@ def test_flatten_npi_types_and_missing_fields(spark):
         json.dumps({"other": 1}),      # missing -> no rows
         "not json",
     ]
-    out = rows(flatten_registry(docs(spark, bodies), DAY))
+    out = rows(flatten_registry(docs(spark, bodies), DAY, malformed="skip"))
     assert out == [
         ("1", "Ann", "Lee", "", "", "2024-01-01", DAY),
         ("2", "Bo", "Fox", "CEO", "Clinic", "", DAY),
@@ -95,6 +95,20 @@ def test_hierarchy_cycle_raises(spark):
         hierarchy_leaves(nodes, edges, spark.createDataFrame([("x",)], "url string"), max_depth=5)
 
 
+def test_malformed_document_fails_the_job(spark):
+    with pytest.raises(Exception, match="not a JSON document"):
+        flatten_registry(docs(spark, ["{}", "{broken"]), DAY).collect()
+
+
+def test_deep_chain_is_walked_to_its_end(spark):
+    n = 70
+    nodes = spark.createDataFrame([(f"n{i}", i < n - 1, f"C{i}", ("t",)) for i in range(n)],
+                                  "url string, has_child boolean, code string, title struct<`@value`:string>")
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(n - 1)], "url string, child_url string")
+    got = hierarchy_leaves(nodes, edges, spark.createDataFrame([("n0",)], "url string"))
+    assert [r["code"] for r in got.select("code").collect()] == [f"C{n - 1}"]
+
+
 @pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 3000])
 def test_expand_counts(spark, n):
     from claimlake.operators.nested import expand_counts

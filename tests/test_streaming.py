@@ -25,11 +25,11 @@ def test_stream_applies_new_files_once(spark, tmp_dir):
               quality=jobs.encounters_quality, batch_time=clock.__getitem__, checkpoint=f"{tmp_dir}/ckpt")
     day1.write.mode("append").parquet(kw["landing"])
     run_once(spark, **kw)
-    assert committed_epoch(spark, "enc_stream_t") == 0
+    assert committed_epoch(spark, "enc_stream_t", kw["checkpoint"]) == 0
     assert spark.table("enc_stream_t").count() == 2
     day2.write.mode("append").parquet(kw["landing"])
     run_once(spark, **kw)
-    assert committed_epoch(spark, "enc_stream_t") == 1
+    assert committed_epoch(spark, "enc_stream_t", kw["checkpoint"]) == 1
     after = rows(spark.table("enc_stream_t"), "EncounterID", "EncounterType", "is_current")
     assert after == [("E1-hos-a", "Emergency", True), ("E1-hos-a", "Inpatient", False),
                      ("E2-hos-a", "Inpatient", True), (None, "Inpatient", True)]
@@ -49,3 +49,14 @@ def test_stream_keeps_newest_version_within_a_batch(spark, tmp_dir):
     run_once(spark, **kw)
     assert rows(spark.table("enc_stream_newest_t"), "EncounterID", "EncounterType", "is_current") == [
         ("E1-hos-a", "Emergency", True)]
+
+
+def test_second_checkpoint_loses_nothing(spark, tmp_dir):
+    d = dt.date(2024, 1, 1)
+    for n, key in enumerate(("E1", "E2")):  # epoch 0 of either stream
+        batch = _enc(spark, [(key, "P1", d, "Inpatient", "PR", "D1", 1, d, d, "hos-a")])
+        batch.write.mode("append").parquet(f"{tmp_dir}/landing{n}")
+        run_once(spark, landing=f"{tmp_dir}/landing{n}", bronze_schema=batch.schema, table="enc_two_streams_t",
+                 table_root=f"{tmp_dir}/silver", target_schema=silver("encounters"), key="EncounterID",
+                 quality=jobs.encounters_quality, batch_time=lambda e: dt.datetime(2024, 1, 6), checkpoint=f"{tmp_dir}/ckpt{n}")
+    assert rows(spark.table("enc_two_streams_t"), "EncounterID") == [("E1-hos-a",), ("E2-hos-a",)]

@@ -96,3 +96,12 @@ def test_full_refresh_staged(spark, tmp_dir):
     # the next refresh reads the table it replaces
     tables.full_refresh(spark.table(name).union(spark.table(name)), name, root=tmp_dir)
     assert spark.table(name).count() == 2
+
+
+def test_replace_table_refuses_another_shape(spark, tmp_dir):
+    import pytest
+
+    tables.replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), "shape_t", tmp_dir)
+    with pytest.raises(ValueError, match="differ"):
+        tables.replace_table(spark.createDataFrame([(1, "a")], "id int, title string"), "shape_t", tmp_dir)
+    assert [tuple(r) for r in spark.table("shape_t").collect()] == [(1, "a")]
