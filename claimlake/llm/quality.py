@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import stored
+from claimlake.llm.common import arrow_batches, stored
 from claimlake.llm.textscan import Words, groups, utf8
 
 #: At most so many labelled rows are used to fit the model.
 TRAIN_ROWS = 10_000
+#: Texts that one Arrow batch brings to a Python worker in training.
+TRAIN_SLICE = 512
 BUCKETS, RANK, EPOCHS, BATCH, RATE, DECAY, SEED = 4096, 8, 12, 128, 0.02, 1e-4, 5
 THRESHOLD = 0.3
 _STATS = 16
@@ -177,21 +179,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
     id_type = dict(sample.dtypes)["id"]
     rows = rows.select("id", "label", "text").mapInArrow(_featurize, f"id {id_type}, label int, features array<int>, values array<float>")
-    rows = rows.orderBy(F.xxhash64("id"), "id", "label", F.size("features")).limit(TRAIN_ROWS).toArrow().to_pydict()
+    with arrow_batches(docs.sparkSession, TRAIN_SLICE):
+        rows = rows.orderBy(F.xxhash64("id"), "id", "label", F.size("features")).limit(TRAIN_ROWS).toArrow().to_pydict()
     return fit([(y, np.array(f, np.int64), np.array(v)) for y, f, v in zip(rows["label"], rows["features"], rows["values"], strict=True)])
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` of every document and its ``score`` (0 to 1)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, words in _scan(batch):
-                s = _sigmoid(model.logits(*features(words), b - a))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(columns))), pa.array(s)], [*columns, "__score"])
-
-    got = docs.select(*columns, F.col(text).alias("__text"))
-    schema = got.select(*columns).schema.add("__score", "double")
-    return got.mapInArrow(run, schema)
+    """``columns`` of every document and its ``__score`` (0 to 1); only the text travels to Python."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            body, ends = utf8(texts)
+            logits = [np.zeros(0)]
+            for a, b in groups(np.diff(ends)):
+                logits.append(model.logits(*features(Words(body[ends[a] : ends[b]], ends[a : b + 1] - ends[a])), b - a))
+            yield pa.array(_sigmoid(np.concatenate(logits)))
+
+    return docs.select(*columns, F.arrow_udf(run, "double")(F.col(text)).alias("__score"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
