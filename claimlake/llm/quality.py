@@ -180,8 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     id_type = dict(sample.dtypes)["id"]
     rows = rows.select("id", "label", "text").mapInArrow(_featurize, f"id {id_type}, label int, features array<int>, values array<float>")
     with arrow_batches(docs.sparkSession, TRAIN_SLICE):
-        rows = rows.orderBy(F.xxhash64("id"), "id", "label", F.size("features")).limit(TRAIN_ROWS).toArrow().to_pydict()
-    return fit([(y, np.array(f, np.int64), np.array(v)) for y, f, v in zip(rows["label"], rows["features"], rows["values"], strict=True)])
+        table = rows.orderBy(F.xxhash64("id"), "id", "label", F.size("features")).limit(TRAIN_ROWS).toArrow()
+    lists = [table[c].combine_chunks() for c in ("features", "values")]
+    # views of the Arrow buffers: lists of Python numbers would take several times the memory of the driver
+    parts = [np.split(x.flatten().to_numpy(), np.cumsum(x.value_lengths().to_numpy())[:-1]) for x in lists]
+    return fit(list(zip(table["label"].to_pylist(), *parts, strict=True)) if table.num_rows else [])
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
