@@ -5,21 +5,20 @@ new content and leave writing to ``claimlake.sources.tables``.
 
 Scale notes
 -----------
-* History rows (``is_current`` false or NULL) are passed through by a
-  narrow scan: never shuffled, never joined.
-* Only current rows meet the batch: a left join from the current rows
-  (expire, pass 1) and an anti-join for batch keys without a current row
-  (insert, pass 2), on one key partitioning, producing one new version in
-  one write (the reference runs two MERGE statements and two commits).
-* NULL keys never match (S2), so NULL-key rows never enter the join: on
-  both sides they are split off by complementary filters and handled by a
-  narrow projection. A third of a batch may be quarantined NULL-key rows,
-  or exact copies of one junk row; none of it can pile onto one join task.
-* Among non-NULL keys, current target keys are unique, and a batch key
-  occurring twice raises (S6) -- so the joins have no hot key at all. The
-  checks use the joins' key partitioning (no extra shuffle) and never
-  buffer a key's rows: a window count over current rows, and a hash
-  aggregate over new keys.
+* A batch meets the table in two joins and no window: current rows that met
+  a changed batch row expire (pass 1), and batch rows whose key has no
+  current row left are inserted (pass 2). Both passes give one new version
+  in one write (the reference runs two MERGE statements and two commits).
+* The batch is measured first (rows and real bytes). A batch that fits a
+  broadcast is joined map-side: the table is never shuffled, and is read
+  twice (whole rows once, key and tracked columns of current rows once).
+  A larger batch whose keys fit sends only the current rows with those
+  keys through a shuffle; beyond that all current rows are shuffled.
+* History rows (``is_current`` false or NULL) are never shuffled.
+* NULL keys never match (S2). They are inserted map-side, outside of any
+  shuffle, so copies of one junk row cannot crowd a join task.
+* A key repeated in the batch (S6) is found by a hash aggregate, folded
+  map-side; no operator here buffers the rows of one key.
 """
 
 from __future__ import annotations
@@ -28,13 +27,13 @@ import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlake.functions.predicates import changed
 
-_T, _S, _N, _R, _D, _A = "__t", "__s", "__n", "__r", "__d", "__a"
+_T, _S = "__t", "__s"
 _SRC = "__s_"
 
 
@@ -124,17 +123,120 @@ def _new_rows(target_fields: T.StructType, business: list[str], audit: Audit, ts
 
 
 def scd2_initial(source: DataFrame, target_schema: T.StructType,
-                 ts: _dt.datetime | _dt.date | Column, audit: Audit = TX_AUDIT) -> DataFrame:
+                 ts: _dt.datetime | _dt.date | Column, audit: Audit = TX_AUDIT,
+                 key: str | None = None) -> DataFrame:
     """First load of an empty SCD2 table: every row becomes current at ``ts``.
 
-    Equal to ``scd2_insert`` into an empty table, but a plain projection:
-    no join, no shuffle.
+    Equal to ``scd2_apply`` onto an empty table, without any join. With
+    ``key`` a non-NULL key that occurs twice raises, as it does in every
+    later load (S6); without it the caller vouches for the keys.
     """
     names = {f.name for f in target_schema.fields}
     missing = [c for c in source.columns if c not in names]
     if missing:
         raise ValueError(f"source columns not in target: {missing}")
-    return source.select(*_new_rows(target_schema, list(source.columns), audit, ts))
+    out = source.select(*_new_rows(target_schema, list(source.columns), audit, ts))
+    if key is None:
+        return out
+    keys = source.filter(_c(key).isNotNull()).select(key)
+    return out.unionByName(_duplicate_check(keys, key, out.schema, "scd2_initial"))
+
+
+@dataclass(frozen=True)
+class _Batch:
+    """A batch ready to meet the table: ``rows`` (columns prefixed, non-NULL
+    keys, a broadcast if ``whole``) and, if they fit, its broadcast ``keys``."""
+
+    rows: DataFrame
+    keys: DataFrame | None
+    whole: bool
+
+
+def _built_bytes(rows: int, payload: int, width: int) -> int:
+    """Size of a broadcast hash table: the payload, and per row a key copy,
+    pointers and eight bytes a column."""
+    return 2 * payload + rows * (96 + 8 * width)
+
+
+def _measured(source: DataFrame, key: str, business: list[str], mode: str, max_rows: int,
+              max_bytes: int) -> _Batch:
+    if mode not in ("auto", "never"):
+        raise ValueError(f"unknown key_broadcast {mode!r}")
+    keyed = source.filter(_c(key).isNotNull())
+    rows = keyed.select(*[_c(c).alias(_SRC + c) for c in business])
+    if mode == "never":
+        return _Batch(rows, None, False)
+    from claimlake.operators.joins import probe_sizes
+
+    keys = keyed.select(_c(key).alias("__bk"))
+    all_rows, only_keys = probe_sizes([rows, keys])
+
+    def fits(p, width: int) -> bool:
+        return p.rows <= max_rows and _built_bytes(p.rows, p.bytes, width) <= max_bytes
+
+    if fits(all_rows, len(business)):
+        return _Batch(F.broadcast(rows), F.broadcast(keys), True)
+    return _Batch(rows, F.broadcast(keys) if fits(only_keys, 1) else None, False)
+
+
+def _split(target: DataFrame, batch: _Batch, key: str, audit: Audit) -> tuple[DataFrame | None, DataFrame]:
+    """(rows that pass by, rows that meet the batch)."""
+    if batch.whole:  # joined map-side: all rows go through one scan
+        return None, target
+    live = _is_current(audit) & _c(key).isNotNull()
+    if batch.keys is None:
+        return target.filter(~live), target.filter(live)
+    hit = (_c(key) == F.col("__bk")) & _is_current(audit)
+    return target.join(batch.keys, hit, "left_anti"), target.filter(live).join(batch.keys, hit, "left_semi")
+
+
+def _expire(target: DataFrame, batch: _Batch, key: str, diff: Column, audit: Audit, ts: Column,
+            unique: bool) -> DataFrame:
+    """Pass 1: the whole table, current rows that met a changed batch row expired.
+
+    ``unique``: batch keys are unique (checked or vouched for), so one outer
+    join does it. Otherwise a semi and an anti join, which repeat no row, and
+    a check that no current row meets several changed batch rows.
+    """
+    passed, rows = _split(target, batch, key, audit)
+    vals = {audit.current: F.lit(False), audit.modified: ts}
+    cols = target.columns
+    match = (_c(key) == _c(_SRC + key)) & _is_current(audit)
+    if unique:
+        hit = _c(_SRC + key).isNotNull() & diff
+        out = rows.join(batch.rows, match, "left").select(*[
+            (F.when(hit, vals[c]).otherwise(_c(c)) if c in vals else _c(c)).alias(c) for c in cols])
+    else:
+        kept = rows.join(batch.rows, match & diff, "left_anti")
+        gone = rows.filter(_is_current(audit)).join(batch.rows, match & diff, "left_semi")
+        out = kept.unionByName(gone.select(*[vals.get(c, _c(c)).alias(c) for c in cols]))
+        met = (rows.filter(_is_current(audit)).withColumn("__row", F.monotonically_increasing_id())
+               .join(batch.rows, match & diff).groupBy("__row")
+               .agg(F.count(F.lit(1)).alias("__cnt"), F.min(_c(key)).alias("__key")))
+        raised = met.where(F.when(F.col("__cnt") > 1, F.raise_error(F.concat(
+            F.lit("scd2: several source rows match the current row for key "),
+            F.col("__key").cast("string")))).isNull())
+        out = out.unionByName(raised.where(F.col("__cnt") < 0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]))
+    return out if passed is None else passed.select(cols).unionByName(out)
+
+
+def _without(source: DataFrame, key: str, keys: DataFrame, bounded: bool) -> DataFrame:
+    """Source rows whose key is not among ``keys`` (column ``__ck``); NULL keys never are.
+
+    ``bounded``: the distinct ``keys`` are among those of a batch measured to
+    fit, so they are broadcast and no row of the source is shuffled.
+    Otherwise NULL keys bypass the join's shuffle.
+    """
+    hit = _c(key) == F.col("__ck")
+    if bounded:
+        return source.join(F.broadcast(keys.distinct()), hit, "left_anti")
+    return (source.filter(_c(key).isNotNull()).join(keys, hit, "left_anti")
+            .unionByName(source.filter(_c(key).isNull())))
+
+
+MAX_KEY_ROWS = 4_000_000
+MAX_BUILT_BYTES = 256 * 1024 * 1024
 
 
 def scd2_apply(target: DataFrame, source: DataFrame, key: str,
@@ -142,8 +244,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
                ts: _dt.datetime | _dt.date | Column | None = None,
                audit: Audit = TX_AUDIT, null_safe: bool = False,
                on_duplicate: str = "error", null_keys: str = "insert",
-               key_broadcast: str = "auto", max_key_rows: int = 20_000_000,
-               max_key_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+               key_broadcast: str = "auto", max_key_rows: int = MAX_KEY_ROWS,
+               max_key_bytes: int = MAX_BUILT_BYTES) -> DataFrame:
     """D5 (= D1 then D2, and D3): apply one batch to an SCD2 table.
 
     * matched current row, tracked columns changed (B12, NULL-unsafe by
@@ -155,22 +257,22 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     * current rows whose key is absent from the batch stay current (S7);
     * NULL source keys never match and are inserted again each run (S2).
 
+    A table written by the original two-pass loads can hold several current
+    rows for one key: each changed one expires, and the new version is
+    inserted only if none of them stays current.
+
     ``on_duplicate``: ``error`` raises when a non-NULL key occurs twice in
-    the batch (S6) -- checked without buffering any key's rows: against the
-    current rows for matched keys, by a hash aggregate for new keys;
-    ``merge`` behaves like the reference's two MERGE passes:
-    it raises only when several batch rows meet the same current row, and
-    inserts every copy of an unmatched key; ``unchecked`` trusts the caller
-    (e.g. after ``latest_per_key``). ``null_keys``: ``insert`` (the
-    reference's behaviour) or ``skip`` (NULL-key batch rows are not loaded).
-
-    ``key_broadcast``: a daily batch touches few of the table's keys. With
-    ``auto`` the batch's key column is measured (rows and real bytes, by a
-    distributed count); within the bound the keys are
-    broadcast and the current rows are split map-side into affected
-    (left semi) and untouched (left anti) -- only affected rows are
-    shuffled into the join. Beyond the bound (or ``never``), all current
-    rows take part in the join.
+    the batch (S6); ``merge`` behaves like the reference's two MERGE passes:
+    it raises only when several batch rows would change the same current row,
+    and inserts every copy of a key without a current row; ``unchecked``
+    trusts the caller (e.g. after ``latest_per_key``). ``null_keys``:
+    ``insert`` (the reference's behaviour) or ``skip`` (NULL-key batch rows
+    are not loaded).
+
+    ``key_broadcast``: ``auto`` measures the batch (one distributed count,
+    run when this is called) against ``max_key_rows`` and the size that its
+    broadcast table would have (``max_key_bytes``): see the scale notes
+    above. ``never`` shuffles.
     """
     if ts is None:
         raise ValueError("ts (the batch time) is required; pass one value per run")
@@ -179,127 +281,54 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     if null_keys not in ("insert", "skip"):
         raise ValueError(f"unknown null_keys {null_keys!r}")
     business = _check_columns(target, source, audit)
-    tracked = _tracked(source, key, tracked)
-    out_cols = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
-    ts_mod = _ts(ts, types[audit.modified])
-    has_key = _c(key).isNotNull()
-
-    # Narrow branches: history and NULL-key current rows pass; NULL-key batch rows insert.
-    untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
-    src_null = source.filter(~has_key).select(*_new_rows(target.schema, business, audit, ts))
-
-    cur = target.filter(_is_current(audit) & has_key)
-    small_batch = False
-    if key_broadcast not in ("auto", "never"):
-        raise ValueError(f"unknown key_broadcast {key_broadcast!r}")
-    if key_broadcast == "auto":
-        from claimlake.operators.joins import probe_size
-
-        # The batch's key column itself is probed and broadcast: its row count
-        # bounds the distinct keys, the probe needs no shuffle, and repeated
-        # keys do not change a semi or anti join.
-        keys = source.filter(has_key).select(_c(key).alias("__bk"))
-        if probe_size(keys, max_key_rows, max_key_bytes).bounded:
-            keys = F.broadcast(keys)
-            hit = cur[key] == keys["__bk"]
-            untouched = untouched.unionByName(cur.join(keys, hit, "left_anti").select(out_cols))
-            cur = cur.join(keys, hit, "left_semi")
-            small_batch = True
-    src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
-    per_key = Window.partitionBy(_c(key))
-    if on_duplicate in ("error", "merge"):  # current rows per key, on the join's partitioning
-        cur = cur.withColumn(_N, F.count(F.lit(1)).over(per_key))
-
-    # Pass 1 as a left join from the current rows. Its output keeps the
-    # current side's hash partitioning, so the per-key window below adds no
-    # shuffle. A table written by the original two-pass loads can hold
-    # several current rows for one key: each changed row expires, and the new
-    # version is emitted once, only if none of them stays current.
-    j = cur.join(src, cur[key] == src[_SRC + key], "left")
-    if on_duplicate in ("error", "merge"):
-        # More joined rows than current rows for a key means a current row met
-        # several batch rows: MERGE refuses. Unmatched batch copies (which the
-        # insert pass loads, as the reference does) are never buffered here.
-        j = j.withColumn("__joined", F.count(F.lit(1)).over(per_key))
-        many = F.col(_SRC + key).isNotNull() & (F.col("__joined") > F.col(_N))
-        j = j.filter(F.when(many, F.raise_error(F.concat(
-            F.lit("scd2_apply: several source rows match the current row for key "),
-            _c(key).cast("string")))).isNull())
-    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
-    j = j.withColumns({
-        _S: _c(_SRC + key).isNotNull(),
-        _D: diff,
-    }).withColumns({
-        _A: F.min(F.col(_D).cast("int")).over(per_key),
-        _R: F.row_number().over(per_key.orderBy(_c(key))),
-    })
-    keep = F.struct(*[_c(c).alias(c) for c in out_cols])
-    exp_vals = {audit.current: F.lit(False), audit.modified: ts_mod}
-    expired = F.struct(*[exp_vals.get(c, _c(c)).alias(c) for c in out_cols])
-    fresh = F.struct(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
-    rows = (
-        F.when(~F.col(_S), F.array(keep))
-        .when(F.col(_D) & (F.col(_A) == 1) & (F.col(_R) == 1), F.array(expired, fresh))
-        .when(F.col(_D), F.array(expired))
-        .otherwise(F.array(keep))
-    )
-    matched = j.select(F.inline(rows))
-    # Pass 2 for keys without any current row: a new key, or one with only history.
-    cur_keys = cur.select(_c(key).alias("__ck"))
-    if small_batch:  # affected current keys come from the measured batch keys: bounded
-        cur_keys = F.broadcast(cur_keys)
-    unmatched_src = src.join(cur_keys, src[_SRC + key] == cur_keys["__ck"], "left_anti")
-    inserted = unmatched_src.select(*_new_rows(target.schema, business, audit, ts, prefix=_SRC))
-    out = untouched.unionByName(matched).unionByName(inserted)
-    if on_duplicate == "error":  # a new key twice in one batch (matched ones raised above)
-        out = out.unionByName(_duplicate_check(unmatched_src.select(_SRC + key), _SRC + key,
-                                               target.schema, "scd2_apply"))
-    return out if null_keys == "skip" else out.unionByName(src_null)
+    batch = _measured(source, key, business, key_broadcast, max_key_rows, max_key_bytes)
+    diff = F.coalesce(changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in _tracked(source, key, tracked)),
+                              null_safe), F.lit(False))
+    out = _expire(target, batch, key, diff, audit, _ts(ts, types[audit.modified]),
+                  unique=on_duplicate != "merge")
+
+    # Pass 2: keys that keep a current row need no new version.
+    _, rows = _split(target, batch, key, audit)
+    match = _c(key) == _c(_SRC + key)
+    live = rows.filter(_is_current(audit))
+    if on_duplicate == "merge":  # a row that meets a changed and an unchanged copy expires
+        live = live.join(batch.rows, match & diff, "left_anti")
+    stays = live.join(batch.rows, match & ~diff, "left_semi").select(_c(key).alias("__ck"))
+    fresh = source if null_keys == "insert" else source.filter(_c(key).isNotNull())
+    fresh = _without(fresh, key, stays, batch.keys is not None)
+    out = out.unionByName(fresh.select(*_new_rows(target.schema, business, audit, ts)))
+    if on_duplicate == "error":
+        keys = source.filter(_c(key).isNotNull()).select(key)
+        out = out.unionByName(_duplicate_check(keys, key, target.schema, "scd2_apply"))
+    return out
 
 
 def scd2_expire(target: DataFrame, source: DataFrame, key: str,
                 tracked: Sequence[str] | None = None,
                 ts: _dt.datetime | _dt.date | Column | None = None,
-                audit: Audit = TX_AUDIT, null_safe: bool = False) -> DataFrame:
+                audit: Audit = TX_AUDIT, null_safe: bool = False, key_broadcast: str = "auto",
+                max_key_rows: int = MAX_KEY_ROWS, max_key_bytes: int = MAX_BUILT_BYTES) -> DataFrame:
     """First MERGE pass -- expire current rows whose tracked columns changed.
 
-    Returns the whole table; nothing is inserted. Several source rows for
-    one current row raise, as a MERGE does (S6).
+    Returns the whole table; nothing is inserted. Several source rows that
+    would change one current row raise, as a conditional MERGE does (S6);
+    repeated keys without a current row are left to the insert pass. The
+    batch is measured as in ``scd2_apply``.
     """
     if ts is None:
         raise ValueError("ts is required")
     business = _check_columns(target, source, None)
-    tracked = _tracked(source, key, tracked)
     types = {f.name: f.dataType for f in target.schema.fields}
-    out_cols = target.columns
-    ts_mod = _ts(ts, types[audit.modified])
-    has_key = _c(key).isNotNull()
-
-    untouched = target.filter(~_is_current(audit) | ~has_key).select(out_cols)
-    cur = target.filter(_is_current(audit) & has_key)
-    src = source.filter(has_key).select(*[_c(c).alias(_SRC + c) for c in business])
-    src = src.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(_c(_SRC + key))))
-    j = cur.join(src, cur[key] == src[_SRC + key], "left")
-    # as MERGE: several source rows meeting one current row is an error;
-    # duplicated keys without a current row are left to the insert pass
-    j = j.filter(F.when(F.col(_N) > 1, F.raise_error(F.concat(
-        F.lit("scd2_expire: several source rows match the current row for key "),
-        _c(key).cast("string")))).isNull())
-    diff = changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in tracked), null_safe)
-    hit = _c(_SRC + key).isNotNull() & diff
-    expired = j.select(*[
-        (F.when(hit, F.lit(False)).otherwise(_c(c)) if c == audit.current
-         else F.when(hit, ts_mod).otherwise(_c(c)) if c == audit.modified
-         else _c(c)).alias(c)
-        for c in out_cols
-    ])
-    return untouched.unionByName(expired)
+    batch = _measured(source, key, business, key_broadcast, max_key_rows, max_key_bytes)
+    diff = F.coalesce(changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in _tracked(source, key, tracked)),
+                              null_safe), F.lit(False))
+    return _expire(target, batch, key, diff, audit, _ts(ts, types[audit.modified]), unique=False)
 
 
 def scd2_insert(target: DataFrame, source: DataFrame, key: str,
                 ts: _dt.datetime | _dt.date | Column | None = None,
-                audit: Audit = TX_AUDIT) -> DataFrame:
+                audit: Audit = TX_AUDIT, key_broadcast: str = "auto") -> DataFrame:
     """Second MERGE pass -- insert source rows that have no current row.
 
     Unmatched duplicates are all inserted, as the reference's insert-only
@@ -308,23 +337,26 @@ def scd2_insert(target: DataFrame, source: DataFrame, key: str,
     if ts is None:
         raise ValueError("ts is required")
     business = _check_columns(target, source, audit)
-    new = unmatched(source, target, key, current=audit.current)
+    new = unmatched(source, target, key, current=audit.current, key_broadcast=key_broadcast)
     return target.unionByName(new.select(*_new_rows(target.schema, business, audit, ts)))
 
 
-def unmatched(source: DataFrame, target: DataFrame, key: str,
-              current: str | None = "is_current") -> DataFrame:
+def unmatched(source: DataFrame, target: DataFrame, key: str, current: str | None = "is_current",
+              key_broadcast: str = "auto", max_key_rows: int = MAX_KEY_ROWS,
+              max_key_bytes: int = MAX_BUILT_BYTES) -> DataFrame:
     """C4: source rows with no (current) target row on ``key``: an anti-join.
 
-    NULL source keys match nothing and are always returned; they bypass the
-    join (a narrow branch), so copies of one NULL-key row cannot crowd a
-    join task.
+    NULL source keys match nothing and are always returned. If the source's
+    keys are measured to fit a broadcast, the target's keys are first
+    reduced map-side to those of the source; only beyond that bound are all
+    (current) target keys shuffled.
     """
     tgt = target if current is None else target.filter(_c(current) == F.lit(True))
-    keys = tgt.filter(_c(key).isNotNull()).select(_c(key).alias("__k"))
-    with_key = source.filter(_c(key).isNotNull())
-    anti = with_key.join(keys, with_key[key] == keys["__k"], "left_anti")
-    return anti.unionByName(source.filter(_c(key).isNull()))
+    keys = tgt.filter(_c(key).isNotNull()).select(_c(key).alias("__ck"))
+    batch = _measured(source, key, [key], key_broadcast, max_key_rows, max_key_bytes)
+    if batch.keys is not None:
+        keys = keys.join(batch.keys, F.col("__ck") == F.col("__bk"), "left_semi")
+    return _without(source, key, keys, batch.keys is not None)
 
 
 def upsert_flagged(target: DataFrame, source: DataFrame, key: str,

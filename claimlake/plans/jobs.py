@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from claimlake.operators.conform import conform, union_sources, with_source_key
 from claimlake.operators.history import NPI_AUDIT, PATIENT_AUDIT, TX_AUDIT, scd2_apply, upsert_flagged
 from claimlake.operators.quality import REQUIRED, SENTINELS, flag_quarantine, latest_per_key
+from claimlake.sources.schemas import SCD2_KEYS
 
 # Fixed values that must equal the reference's: the common patient model and
 # how each hospital's patient columns map onto it.
@@ -81,10 +82,8 @@ def cpt_quality(bronze_cpt: DataFrame) -> DataFrame:
 def apply_batch(target: DataFrame, quality: DataFrame, entity: str,
                 ts: _dt.datetime | _dt.date | Column, null_safe: bool = False) -> DataFrame:
     """P1/P2/P3/P6 write step: SCD2-apply one quality-checked batch."""
-    key = {"transactions": "TransactionID", "encounters": "EncounterID",
-           "patients": "Patient_Key", "cptcodes": "cpt_codes"}[entity]
     audit = PATIENT_AUDIT if entity == "patients" else TX_AUDIT
-    return scd2_apply(target, quality, key, ts=ts, audit=audit, null_safe=null_safe)
+    return scd2_apply(target, quality, SCD2_KEYS[entity], ts=ts, audit=audit, null_safe=null_safe)
 
 
 def icd_silver(target: DataFrame, staged: DataFrame) -> DataFrame:

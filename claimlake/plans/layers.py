@@ -42,14 +42,19 @@ def _bronze(spark: SparkSession, root: str, entity: str) -> list[DataFrame]:
 
 
 def build_silver(spark: SparkSession, bronze_root: str, table_root: str, ts: _dt.datetime,
-                 names: Names | None = None) -> None:
-    """Apply today's bronze extracts to the silver tables."""
+                 names: Names | None = None, cptcodes: DataFrame | None = None) -> None:
+    """Apply today's bronze extracts to the silver tables.
+
+    ``cptcodes``: the CPT code file's rows, on days when one has landed.
+    """
     n = (names or Names()).silver
     scd2 = {
         "transactions": jobs.transactions_quality(union_sources(*_bronze(spark, bronze_root, "transactions"))),
         "encounters": jobs.encounters_quality(union_sources(*_bronze(spark, bronze_root, "encounters"))),
         "patients": jobs.patients_quality(*_bronze(spark, bronze_root, "patients")),
     }
+    if cptcodes is not None:
+        scd2["cptcodes"] = jobs.cpt_quality(cptcodes)
     for entity, batch in scd2.items():
         current = _current(spark, n[entity], schemas.silver(entity))
         replace_table(jobs.apply_batch(current, batch, entity, ts), n[entity], table_root)

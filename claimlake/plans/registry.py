@@ -18,10 +18,10 @@ from claimlake.functions.predicates import changed_between
 from claimlake.operators import conform as cf
 from claimlake.operators import history as hist
 from claimlake.operators import marts, nested, quality, reports
-from claimlake.plans import jobs, standins as st
+from claimlake.plans import jobs, layers, standins as st
 from claimlake.session import scratch_path
 from claimlake.sources import ingest, tables
-from claimlake.sources.schemas import GOLD_DDL, schema
+from claimlake.sources.schemas import CONTROL_DDL, GOLD_DDL, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,10 +39,15 @@ def _gold_ntz(name: str):
 
 
 # ---------------------------------------------------------------- star + reports
+def _tx_quality(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    return jobs.transactions_quality(st.bronze_transactions(spark, sf_dir, day))
+
+
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 on an empty table: every quality-checked transaction inserted at batch 1."""
-    q = jobs.transactions_quality(st.bronze_transactions(spark, sf_dir))
-    return hist.scd2_initial(q, st.ntz_schema("transactions"), st.ts_ntz(st.BATCH_TS_1))
+    """The silver table that the facts read: all transactions, loaded once
+    (``p1_silver_transactions`` checks their keys, S6)."""
+    return hist.scd2_initial(_tx_quality(spark, sf_dir, 2), st.ntz_schema("transactions"),
+                             st.ts_ntz(st.BATCH_TS_1))
 
 
 def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +76,10 @@ def e2_monthly_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p1_silver_transactions")
 def p1_silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_transactions(spark, sf_dir)
+    """P1 over two days: the first load, then day 2's batch (23 tracked columns)."""
+    day1 = hist.scd2_initial(_tx_quality(spark, sf_dir, 1), st.ntz_schema("transactions"),
+                             st.ts_ntz(st.BATCH_TS_1), key="TransactionID")
+    return jobs.apply_batch(day1, _tx_quality(spark, sf_dir, 2), "transactions", st.ts_ntz(st.BATCH_TS_2))
 
 
 @register("p17_fact_transactions")
@@ -81,7 +89,7 @@ def p17_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("i10_casts")
 def i10_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact query's own column names, inserted by position with casts."""
+    """The fact query's own column names (fixed values), inserted by position with casts."""
     t = marts.publishable(silver_transactions(spark, sf_dir))
     sel = t.select(
         "TransactionID", "SRC_TransactionID", "EncounterID",
@@ -123,8 +131,8 @@ def e6_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- conform / quality
-def _patients_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = st.patients_bronze(spark, sf_dir)
+def _patients_quality(spark: SparkSession, sf_dir: str, day: int = 2) -> DataFrame:
+    a, b = st.patients_bronze(spark, sf_dir, day)
     return jobs.patients_quality(a, b)
 
 
@@ -146,8 +154,10 @@ def g3_quarantined_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p3_silver_patients")
 def p3_silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.apply_batch(st.empty_silver(spark, "patients"), _patients_quality(spark, sf_dir),
+    """P3 over two days: both hospitals' patients, 12 tracked columns."""
+    day1 = jobs.apply_batch(st.empty_silver(spark, "patients"), _patients_quality(spark, sf_dir, 1),
                             "patients", st.ts_ntz(st.BATCH_TS_1))
+    return jobs.apply_batch(day1, _patients_quality(spark, sf_dir, 2), "patients", st.ts_ntz(st.BATCH_TS_2))
 
 
 @register("p11_dim_patient")
@@ -185,7 +195,7 @@ def _enc_quality(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
 def _enc_loaded_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day 1 is the first load of the empty table: every row current at batch 1."""
     return hist.scd2_initial(_enc_quality(spark, sf_dir, 1), st.ntz_schema("encounters"),
-                             st.ts_ntz(st.BATCH_TS_1))
+                             st.ts_ntz(st.BATCH_TS_1), key="EncounterID")
 
 
 @register("d5_scd2")
@@ -258,11 +268,19 @@ def p15_dim_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.dim_icd(d4_upsert_flagged(spark, sf_dir), st.ts_ntz(st.REFRESHED_AT))
 
 
+@register("p6_silver_cptcodes")
+def p6_silver_cptcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 over two days: new, retired and quarantined codes."""
+    silver = st.empty_silver(spark, "cptcodes")
+    for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2)):
+        silver = jobs.apply_batch(silver, jobs.cpt_quality(st.cpt_bronze(spark, sf_dir, day)), "cptcodes",
+                                  st.ts_ntz(ts))
+    return silver
+
+
 @register("p14_dim_cpt_code")
 def p14_dim_cpt_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = jobs.apply_batch(st.empty_silver(spark, "cptcodes"), jobs.cpt_quality(st.cpt_bronze(spark, sf_dir)),
-                              "cptcodes", st.ts_ntz(st.BATCH_TS_1))
-    return marts.dim_cpt_code(silver, st.ts_ntz(st.REFRESHED_AT))
+    return marts.dim_cpt_code(p6_silver_cptcodes(spark, sf_dir), st.ts_ntz(st.REFRESHED_AT))
 
 
 # ---------------------------------------------------------------- registry JSON
@@ -272,7 +290,7 @@ NPI_DATE_2 = _dt.date(2024, 1, 4)
 
 @register("j1_flatten_registry")
 def j1_flatten_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.flatten_registry(st.npi_detail_docs(spark, sf_dir), NPI_DATE)
+    return nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, unknown=True), NPI_DATE)
 
 
 @register("j5_detail_for")
@@ -357,6 +375,7 @@ def a11_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a15_mapped_load")
 def a15_mapped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two mapped files loaded, and joined so that the answer holds both."""
     root = scratch_path(spark, "landing")
     mapping = [
         {"Container": "raw", "FilePath": "HospitalA", "FileName": "nation.csv",
@@ -371,7 +390,8 @@ def a15_mapped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Nation": schema("n_nationkey int, n_name string, n_regionkey int"),
         "Region": schema("r_regionkey int, r_name string"),
     })
-    return loaded["rcmhospital_a.Nation"]
+    nation, region = loaded["rcmhospital_a.Nation"], loaded["rcmhospital_a.Region"]
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "full_outer")
 
 
 @register("a17_full_extract")
@@ -385,12 +405,12 @@ def a18_incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       _dt.date(1998, 1, 1), "hos-b")
 
 
-def _load_sources(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
-    enc = st.encounters_bronze(spark, sf_dir, 2)
-    tx = st.bronze_transactions(spark, sf_dir)
+def _load_sources(spark: SparkSession, sf_dir: str, day: int) -> dict[tuple[str, str], DataFrame]:
+    enc = st.encounters_bronze(spark, sf_dir, day)
+    tx = st.bronze_transactions(spark, sf_dir, day)
     prov = st.providers_bronze(spark, sf_dir)
     dept = st.departments_bronze(spark, sf_dir)
-    pa, pb = st.patients_bronze(spark, sf_dir)
+    pa, pb = st.patients_bronze(spark, sf_dir, day)
     out: dict[tuple[str, str], DataFrame] = {}
     for ds in ("hos-a", "hos-b"):
         for name, df in (("dbo.encounters", enc), ("dbo.transactions", tx), ("dbo.providers", prov),
@@ -401,25 +421,74 @@ def _load_sources(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], Dat
     return out
 
 
-def _all_active(spark: SparkSession) -> DataFrame:
-    return ingest.load_config(spark).withColumn("is_active", F.lit(1))
+def _load_days(spark: SparkSession, sf_dir: str, days: int) -> tuple[str, str]:
+    """P19 for one or two days into a fresh bronze folder and log table: the
+    full loads of hospital B are inactive. Returns (folder, log table)."""
+    import uuid
+
+    log, root = f"claimlake_load_logs_{uuid.uuid4().hex[:8]}", scratch_path(spark, "bronze")
+    shape = schema(CONTROL_DDL["load_logs"].replace("timestamp", "timestamp_ntz"))
+    tables.ensure_table(spark, log, shape, location=scratch_path(spark, "log"))
+    inactive = (F.col("datasource") == "hos-b") & (F.col("loadtype") == "Full")
+    config = ingest.load_config(spark).withColumn("is_active", F.when(inactive, 0).otherwise(1))
+    for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2))[:days]:
+        ingest.run_loads(spark, config, _load_sources(spark, sf_dir, day), root, log, st.ts_ntz(ts))
+    return root, log
 
 
 @register("a19_load_log")
 def a19_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P19 first run (A16 plan, A17/A18 extracts, A19 log) with every config row active."""
-    run = ingest.run_loads(spark, _all_active(spark), _load_sources(spark, sf_dir), None,
-                           st.ts_ntz(st.BATCH_TS_1))
-    return run.log
+    """P19 first run (A16 plan, A17/A18 extracts written, A19 log appended)."""
+    return spark.table(_load_days(spark, sf_dir, 1)[1])
 
 
 @register("a20_latest_watermark")
 def a20_latest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A20 over two runs' logs; the second run extracts incrementally from the first's time."""
-    src = _load_sources(spark, sf_dir)
-    first = ingest.run_loads(spark, _all_active(spark), src, None, st.ts_ntz(st.BATCH_TS_1))
-    second = ingest.run_loads(spark, _all_active(spark), src, first.log, st.ts_ntz(st.BATCH_TS_2))
-    return ingest.latest_watermark(first.log.unionByName(second.log))
+    """A20 after two runs, with what the second wrote: its incremental loads
+    start at the largest value that the first one recorded."""
+    log = spark.table(_load_days(spark, sf_dir, 2)[1])
+    last = ingest.latest_watermark(log)
+    return last.join(log, ["data_source", "tablename"]).filter(F.col("loaddate") == F.col("last_loaddate")).select(
+        "data_source", "tablename", "last_loaddate", "numberofrowscopied", "watermarkvalue")
+
+
+@register("p19_loaded_encounters")
+def p19_loaded_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both hospitals' encounters as two runs left them in bronze."""
+    root, _ = _load_days(spark, sf_dir, 2)
+    return cf.union_sources(*[tables.read_bronze(spark, root, h, "encounters") for h in ("hosa", "hosb")])
+
+
+@register("a9_overwrite_table")
+def a9_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table's content and columns replaced by another extract."""
+    import uuid
+
+    name = f"claimlake_npi_{uuid.uuid4().hex[:8]}"
+    tables.overwrite_table(st.npi_list_docs(spark, sf_dir), name)
+    tables.overwrite_table(nested.flatten_registry(st.npi_detail_docs(spark, sf_dir), NPI_DATE), name)
+    return spark.table(name)
+
+
+@register("p9_icd_to_bronze")
+def p9_icd_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on two days: the code walk's rows appended to bronze each day."""
+    path = f"{scratch_path(spark, 'bronze')}/icd_codes"
+    nodes, edges, roots = st.hierarchy(spark, sf_dir)
+    for day in (NPI_DATE, NPI_DATE_2):
+        layers.icd_to_bronze(nodes, edges, roots, day, path)
+    return spark.read.parquet(path)
+
+
+@register("p10_npi_to_bronze")
+def p10_npi_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 on two days: the second answer replaces the first, a later empty one does not."""
+    path = f"{scratch_path(spark, 'bronze')}/npi_extract"
+    listed = st.npi_list_docs(spark, sf_dir)
+    layers.npi_to_bronze(listed, st.npi_detail_docs(spark, sf_dir, 1), NPI_DATE, path)
+    layers.npi_to_bronze(listed, st.npi_detail_docs(spark, sf_dir, 2), NPI_DATE_2, path)
+    layers.npi_to_bronze(listed.where(F.lit(False)), st.npi_detail_docs(spark, sf_dir, 2), NPI_DATE_2, path)
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- streaming

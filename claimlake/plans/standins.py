@@ -10,8 +10,8 @@ in ``claimlake.plans.oracle`` so DuckDB can check every query.
 | transactions  | lineitem   | l_orderkey even -> hos-a, odd -> hos-b |
 | encounters    | orders     | o_orderkey even -> hos-a, odd -> hos-b |
 | patients      | customer   | nations below 13 -> hospital A shape, the rest -> hospital B shape |
-| providers     | supplier   | every supplier in both hospitals; suppliers with a negative balance are not (yet) loaded, so some facts have no provider |
-| departments   | nation     | every nation in both hospitals; region 4 not loaded, so some providers have no department |
+| providers     | supplier   | every supplier in both hospitals; those with a negative balance name a department that does not exist |
+| departments   | nation     | every nation in both hospitals |
 | CPT / ICD     | part       | code = p_partkey, category = p_type, description = p_name |
 """
 
@@ -37,14 +37,14 @@ def ts_ntz(value: _dt.datetime) -> Column:
     return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The DataFrame (file listing + footer schema) is made
-    once per session and path; every query still scans the files afresh."""
+    once per application and path; every query still scans the files afresh."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -54,40 +54,65 @@ def _parity_source(c: str) -> Column:
     return F.when(F.col(c) % 2 == 0, F.lit("hos-a")).otherwise(F.lit("hos-b"))
 
 
-def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions in the bronze shape, one per line item."""
+def bronze_transactions(spark: SparkSession, sf_dir: str, day: int = 2) -> DataFrame:
+    """Transactions in the bronze shape, one per line item.
+
+    Day 1 holds those shipped before 2000. On day 2 all are extracted; open
+    accepted lines were settled (nothing paid, re-stamped), and closed lines
+    of kind N lost their line of business, which NULL-unsafe change tests
+    ignore. Open returns of line 7 have no id: quarantined NULL-key rows.
+    First lines of kind N name a provider that does not exist. The id takes
+    all columns that together are unique in ``lineitem``.
+    """
     li = table(spark, sf_dir, "lineitem")
+    if day == 1:
+        li = li.filter(F.col("l_shipdate") < F.lit(DAY1_CUTOFF))
     ship = F.col("l_shipdate").cast("date")
+    flag, open_line = F.col("l_returnflag"), F.col("l_linestatus") == "O"
+    paid = F.when(flag == "R", F.lit(0.0)).otherwise(F.col("l_extendedprice"))
+    business, modified = F.col("l_linestatus"), ship
+    if day == 2:
+        settled = open_line & (flag == "A")
+        paid = F.when(settled, F.lit(0.0)).otherwise(paid)
+        modified = F.when(settled, F.lit(_dt.date(2002, 1, 1))).otherwise(modified)
+        business = F.when(~open_line & (flag == "N"), F.lit(None).cast("string")).otherwise(business)
+    number = F.concat_ws("-", *[F.col(c).cast("string") for c in
+                                ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                         F.date_format(ship, "yyyyMMdd"))
+    no_id = open_line & (flag == "R") & (F.col("l_linenumber") == 7)
+    stray = (flag == "N") & (F.col("l_linenumber") == 1)
+    supplier = F.col("l_suppkey").cast("string")
     return li.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("TransactionID"),
+        F.when(no_id, F.lit(None).cast("string")).otherwise(number).alias("TransactionID"),
         F.col("l_orderkey").cast("string").alias("EncounterID"),
         F.col("l_partkey").cast("string").alias("PatientID"),
-        F.col("l_suppkey").cast("string").alias("ProviderID"),
+        F.when(stray, F.concat(F.lit("X"), supplier)).otherwise(supplier).alias("ProviderID"),
         F.col("l_linenumber").cast("string").alias("DeptID"),
         ship.alias("VisitDate"),
         ship.alias("ServiceDate"),
         F.date_add(ship, 30).alias("PaidDate"),
-        F.col("l_returnflag").alias("VisitType"),
+        flag.alias("VisitType"),
         F.col("l_extendedprice").alias("Amount"),
         F.col("l_linestatus").alias("AmountType"),
-        F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.col("l_extendedprice")).alias("PaidAmount"),
+        paid.alias("PaidAmount"),
         F.col("l_orderkey").cast("string").alias("ClaimID"),
-        F.col("l_suppkey").cast("string").alias("PayorID"),
+        supplier.alias("PayorID"),
         F.col("l_partkey").cast("int").alias("ProcedureCode"),
         F.col("l_partkey").cast("string").alias("ICDCode"),
-        F.col("l_linestatus").alias("LineOfBusiness"),
+        business.alias("LineOfBusiness"),
         F.lit(None).cast("string").alias("MedicaidID"),
         F.lit(None).cast("string").alias("MedicareID"),
         ship.alias("InsertDate"),
-        ship.alias("ModifiedDate"),
+        modified.alias("ModifiedDate"),
         _parity_source("l_orderkey").alias("datasource"),
     )
 
 
 def providers_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Providers of both hospitals (hospital prefix in the id, as in the sources)."""
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    """Providers of both hospitals (hospital prefix in the id, as in the
+    sources). Every NPI is above 2^31 (I9)."""
+    s = table(spark, sf_dir, "supplier")
+    dept = F.when(F.col("s_acctbal") < 0, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey"))
     out = []
     for ds, prefix in (("hos-a", "H1-"), ("hos-b", "H2-")):
         out.append(s.select(
@@ -95,15 +120,15 @@ def providers_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_name").alias("FirstName"),
             F.col("s_nationkey").cast("string").alias("LastName"),
             F.lit("General").alias("Specialization"),
-            F.col("s_nationkey").cast("string").alias("DeptID"),
-            (F.col("s_suppkey") + F.lit(2_000_000_000)).cast("long").alias("NPI"),
+            dept.cast("string").alias("DeptID"),
+            (F.col("s_suppkey") + F.lit(3_000_000_000)).cast("long").alias("NPI"),
             F.lit(ds).alias("datasource"),
         ))
     return out[0].unionByName(out[1])
 
 
 def departments_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 4)
+    n = table(spark, sf_dir, "nation")
     out = [n.select(F.col("n_nationkey").cast("string").alias("DeptID"), F.col("n_name").alias("Name"),
                     F.lit(ds).alias("datasource")) for ds in ("hos-a", "hos-b")]
     return out[0].unionByName(out[1])
@@ -142,21 +167,34 @@ def encounters_bronze(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
     )
 
 
-def patients_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def patients_bronze(spark: SparkSession, sf_dir: str, day: int = 2) -> tuple[DataFrame, DataFrame]:
     """Patients of hospital A (A's column names) and B (B's column names).
 
     Customers with a negative balance have no date of birth; market segment
-    BUILDING stands for a first name typed as the text 'NULL'.
+    BUILDING stands for a first name typed as the text 'NULL'; FURNITURE
+    customers of nation 7 have no id. Day 1 holds balances up to 8000. On day
+    2 all are extracted, MACHINERY customers moved, and those of nation 3
+    lost their phone number, which NULL-unsafe change tests ignore.
     """
     c = table(spark, sf_dir, "customer")
-    first = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("NULL")).otherwise(F.col("c_mktsegment"))
+    segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
+    first = F.when(segment == "BUILDING", F.lit("NULL")).otherwise(segment)
     dob = F.when(F.col("c_acctbal") < 0, F.lit(None).cast("date")).otherwise(
-        F.date_add(F.lit(_dt.date(1950, 1, 1)), F.col("c_nationkey") * 365))
+        F.date_add(F.lit(_dt.date(1950, 1, 1)), nation * 365))
+    no_id = (segment == "FURNITURE") & (nation == 7)
+    address = F.concat(F.lit("Street "), nation.cast("string"))
+    phone, modified = F.lit("555-0100"), F.lit(_dt.date(2023, 12, 31))
+    if day == 1:
+        c = c.filter(F.col("c_acctbal") <= 8000)
+    else:
+        moved = segment == "MACHINERY"
+        address = F.when(moved, F.concat(F.lit("Avenue "), nation.cast("string"))).otherwise(address)
+        modified = F.when(moved, F.lit(_dt.date(2024, 1, 1))).otherwise(modified)
+        phone = F.when(nation == 3, F.lit(None).cast("string")).otherwise(phone)
     common = [
-        F.col("c_custkey").cast("string"), first, F.col("c_name"),
-        F.col("c_nationkey").cast("string"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"),
-        F.lit("555-0100"), F.lit("U"), dob, F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")),
-        F.lit(_dt.date(2023, 12, 31)),
+        F.when(no_id, F.lit(None).cast("string")).otherwise(F.col("c_custkey").cast("string")), first,
+        F.col("c_name"), nation.cast("string"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"),
+        phone, F.lit("U"), dob, address, modified,
     ]
     a_names = ["PatientID", "FirstName", "LastName", "MiddleName", "SSN", "PhoneNumber", "Gender", "DOB",
                "Address", "ModifiedDate"]
@@ -193,14 +231,24 @@ def empty_silver(spark: SparkSession, name: str) -> DataFrame:
     return empty_table(spark, ntz_schema(name))
 
 
-def cpt_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CPT rows from part; parts above size 45 are retired codes."""
+def cpt_bronze(spark: SparkSession, sf_dir: str, day: int = 2) -> DataFrame:
+    """CPT rows from part. Day 1 holds parts up to size 48, all active. On day
+    2 all are there, those above size 45 are retired, those of size 10 lost
+    their description (quarantined), and those of size 11 their category."""
     p = table(spark, sf_dir, "part")
+    size, none = F.col("p_size"), F.lit(None).cast("string")
+    if day == 1:
+        p = p.filter(size <= 48)
+        category, description, status = F.col("p_type"), F.col("p_name"), F.lit("active")
+    else:
+        category = F.when(size == 11, none).otherwise(F.col("p_type"))
+        description = F.when(size == 10, none).otherwise(F.col("p_name"))
+        status = F.when(size > 45, F.lit("retired")).otherwise(F.lit("active"))
     return p.select(
         F.col("p_partkey").cast("string").alias("cpt_codes"),
-        F.col("p_type").alias("procedure_code_category"),
-        F.col("p_name").alias("procedure_code_descriptions"),
-        F.when(F.col("p_size") > 45, F.lit("retired")).otherwise(F.lit("active")).alias("code_status"),
+        category.alias("procedure_code_category"),
+        description.alias("procedure_code_descriptions"),
+        status.alias("code_status"),
     )
 
 
@@ -212,10 +260,13 @@ def codes_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def codes_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ICD bronze after two daily appends (S5): every code on day 1, and PROMO
-    codes again on day 2 with a revised description."""
+    """ICD bronze after two daily appends (S5): every code on day 1 (codes of
+    type SMALL lost their number: NULL keys), and PROMO codes again on day 2
+    with a revised description."""
     p = table(spark, sf_dir, "part")
     day1 = codes_bronze(spark, sf_dir)
+    lost = F.col("icd_code_type") == "SMALL"
+    day1 = day1.withColumn("icd_code", F.when(lost, F.lit(None).cast("string")).otherwise(F.col("icd_code")))
     day2 = p.filter(F.col("p_type") == "PROMO").select(
         F.col("p_partkey").cast("string").alias("icd_code"),
         F.col("p_type").alias("icd_code_type"),
@@ -254,11 +305,12 @@ def _npi_result(s: DataFrame, day: int = 1) -> Column:
     )
 
 
-def npi_detail_docs(spark: SparkSession, sf_dir: str, day: int = 1) -> DataFrame:
-    """One detail answer per supplier number; suppliers with a negative
-    balance answer with an empty ``results`` list."""
+def npi_detail_docs(spark: SparkSession, sf_dir: str, day: int = 1, unknown: bool = False) -> DataFrame:
+    """One detail answer per supplier number; with ``unknown``, suppliers with a
+    negative balance answer with an empty ``results`` list (J1)."""
     s = table(spark, sf_dir, "supplier")
-    results = F.when(F.col("s_acctbal") >= 0, F.array(_npi_result(s, day))).otherwise(
+    found = F.col("s_acctbal") >= 0 if unknown else F.lit(True)
+    results = F.when(found, F.array(_npi_result(s, day))).otherwise(
         F.array().cast("array<struct<number:string,enumeration_type:string,basic:struct<"
                        "first_name:string,last_name:string,authorized_official_first_name:string,"
                        "authorized_official_last_name:string,authorized_official_title_or_position:string,"
@@ -267,16 +319,20 @@ def npi_detail_docs(spark: SparkSession, sf_dir: str, day: int = 1) -> DataFrame
                     F.to_json(F.struct(results.alias("results"))).alias("body"))
 
 
-def npi_list_docs(spark: SparkSession, sf_dir: str, region: int = 1) -> DataFrame:
-    """List answers of a search (suppliers of one region), 20 numbers per page
-    like the registry's page size: pages group by ``s_suppkey div 20``, so
-    no page -- and no task -- ever holds more than 20 numbers."""
+def npi_list_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List answers over all suppliers, 20 numbers per page like the registry's
+    page size: pages group by ``s_suppkey div 20``, so no page -- and no task
+    -- ever holds more than 20 numbers. A second listing repeats those with a
+    balance above 9000."""
     s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == region)
-    hits = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left_semi")
-    pages = hits.groupBy(F.floor(F.col("s_suppkey") / 20).alias("page")).agg(
-        F.collect_list(F.struct(F.col("s_suppkey").cast("string").alias("number"))).alias("results"))
-    return pages.select("page", F.to_json(F.struct("results")).alias("body"))
+    number = F.struct(F.col("s_suppkey").cast("string").alias("number"))
+
+    def pages(rows: DataFrame, listing: str) -> DataFrame:
+        return rows.groupBy(F.lit(listing).alias("listing"), F.floor(F.col("s_suppkey") / 20).alias("page")).agg(
+            F.collect_list(number).alias("results"))
+
+    both = pages(s, "all").unionByName(pages(s.filter(F.col("s_acctbal") > 9000), "featured"))
+    return both.select("listing", "page", F.to_json(F.struct("results")).alias("body"))
 
 
 def hierarchy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -12,11 +12,13 @@ import datetime as _dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlake.operators.conform import conform_to
 from claimlake.sources.schemas import control
+from claimlake.sources.tables import ensure_table, write_bronze
 
 # Fixed values that must equal the reference's load config (10 rows).
 LOAD_CONFIG_ROWS = [
@@ -95,59 +97,65 @@ def extract_incremental(src: DataFrame, watermark: str, last: _dt.date | _dt.dat
     return extract_full(out, datasource)
 
 
-def load_log_row(df: DataFrame, data_source: str, tablename: str, watermark: str | None,
-                 loaddate: _dt.datetime | Column) -> DataFrame:
-    """One load-log row for an extract (a distributed count, no collect)."""
-    ts = loaddate if isinstance(loaddate, Column) else F.lit(loaddate)
-    return df.agg(F.count(F.lit(1)).alias("numberofrowscopied")).select(
-        F.lit(data_source).alias("data_source"),
-        F.lit(tablename).alias("tablename"),
-        F.col("numberofrowscopied").cast("long").alias("numberofrowscopied"),
-        F.lit(watermark).cast("string").alias("watermarkcolumnname"),
-        ts.alias("loaddate"),
-    )
-
-
 def latest_watermark(log: DataFrame) -> DataFrame:
-    """Last load time per source and table -- the next incremental bound."""
+    """Last load time per source and table."""
     return log.groupBy("data_source", "tablename").agg(F.max("loaddate").alias("last_loaddate"))
 
 
+def high_water(log: DataFrame) -> DataFrame:
+    """The last recorded watermark value per source and table: the next
+    incremental bound. (A load that found no rows records none.)"""
+    return log.filter(F.col("watermarkvalue").isNotNull()).groupBy("data_source", "tablename").agg(
+        F.max_by("watermarkvalue", "loaddate").alias("watermarkvalue"))
+
+
 @dataclass
 class LoadRun:
-    extracts: dict[tuple[str, str], DataFrame]
+    """What one run wrote: the folder of each table, and its log rows."""
+
+    paths: dict[tuple[str, str], str]
     log: DataFrame
 
 
 def run_loads(spark: SparkSession, config: DataFrame, sources: Mapping[tuple[str, str], DataFrame],
-              log: DataFrame | None, loaddate: _dt.datetime | Column) -> LoadRun:
-    """For each active config row, extract (full or since the last load) and log it.
+              root: str, log_table: str, loaddate: _dt.datetime | Column) -> LoadRun:
+    """Extract each active config row, write it to its target path and log it.
 
     ``sources`` maps ``(datasource, tablename)`` to the source DataFrame.
-    The previous ``log`` (or None on a first run) gives each incremental
-    bound. Returns the extracts (for the bronze writer) and the new log rows.
+    Full loads overwrite ``{root}/{targetpath}/{table}``, incremental ones
+    append the rows at or above the largest watermark value that an earlier
+    load wrote (A18). That is a value of the column itself, so the clocks of
+    source and loader need not agree. The logged count and value are observed
+    on the rows as they are written, without a second read. The log table is
+    created if absent, and appended to after all tables were written.
     """
-    plans = plan_loads(config).collect()  # a few metadata rows, never data
-    last: dict[tuple[str, str], object] = {}
-    if log is not None:
-        for r in latest_watermark(log).collect():  # one row per configured table
-            last[(r["data_source"], r["tablename"])] = r["last_loaddate"]
-    extracts: dict[tuple[str, str], DataFrame] = {}
-    logs: list[DataFrame] = []
-    for p in plans:
+    ensure_table(spark, log_table, control("load_logs"))
+    bounds = {(r["data_source"], r["tablename"]): r["watermarkvalue"]
+              for r in high_water(spark.table(log_table)).collect()}  # a row per configured table
+    paths: dict[tuple[str, str], str] = {}
+    logged: list[tuple] = []
+    for p in plan_loads(config).collect():  # a few metadata rows, never data
         k = (p["datasource"], p["tablename"])
         if k not in sources:
             raise KeyError(f"no source for {k}")
-        if p["mode"] == "incremental" and p["watermark"]:
-            bound = last.get(k)
-            if isinstance(bound, _dt.datetime):
-                bound = bound.date()  # the day of the last load; no zone round trip
-            ex = extract_incremental(sources[k], p["watermark"], bound, p["datasource"])
+        src, mark = sources[k], p["watermark"]
+        seen = Observation()
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if mark:
+            metrics.append(F.max(F.col(mark)).cast("string").alias("high"))
+        incremental = p["mode"] == "incremental" and bool(mark)
+        if incremental:
+            bound = F.lit(bounds[k]).cast(src.schema[mark].dataType) if k in bounds else None
+            extract = extract_incremental(src, mark, bound, p["datasource"])
         else:
-            ex = extract_full(sources[k], p["datasource"])
-        extracts[k] = ex
-        logs.append(load_log_row(ex, p["datasource"], p["tablename"], p["watermark"], loaddate))
-    new_log = logs[0] if logs else spark.createDataFrame([], control("load_logs"))
-    for extra in logs[1:]:
-        new_log = new_log.unionByName(extra)
-    return LoadRun(extracts, new_log)
+            extract = extract_full(src, p["datasource"])
+        paths[k] = f"{root.rstrip('/')}/{p['targetpath']}/{p['tablename'].rpartition('.')[2]}"
+        write_bronze(extract.observe(seen, *metrics), paths[k], "append" if incremental else "overwrite")
+        logged.append((*k, seen.get["rows"], mark, seen.get.get("high")))
+    shape = T.StructType.fromDDL("data_source string, tablename string, numberofrowscopied bigint, "
+                                 "watermarkcolumnname string, watermarkvalue string")
+    ts = loaddate if isinstance(loaddate, Column) else F.lit(loaddate)
+    log = conform_to(spark.createDataFrame(logged, shape).withColumn("loaddate", ts),
+                     spark.table(log_table).schema, by="name")
+    log.write.insertInto(log_table)
+    return LoadRun(paths, log)

@@ -91,16 +91,17 @@ GOLD_DDL = {
 # ---- fixed values: control tables
 CONTROL_DDL = {
     # numberofrowscopied is INT in the reference; bigint here, since one
-    # load of a large table passes 2^31 rows.
+    # load of a large table passes 2^31 rows. watermarkvalue is ours: the
+    # largest watermark that was written, the next incremental bound.
     "load_logs": "data_source string, tablename string, numberofrowscopied bigint, "
-                 "watermarkcolumnname string, loaddate timestamp",
+                 "watermarkcolumnname string, loaddate timestamp, watermarkvalue string",
     "load_config": "database string, datasource string, tablename string, loadtype string, "
                    "watermark string, is_active int, targetpath string",
     "file_map": "Container string, FilePath string, FileName string, DatabaseName string, TableName string",
 }
 
-# Tracked (change-detecting) columns of each SCD2 silver table: every
-# business column, i.e. all but the key and the audit/current columns.
+# The key of each SCD2 silver table. Tracked (change-detecting)
+# are all other business columns.
 SCD2_KEYS = {
     "transactions": "TransactionID",
     "encounters": "EncounterID",

@@ -22,11 +22,6 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).where(F.lit(False))
 
 
-def rows_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """A5: driver-side rows with a declared schema (fixtures, small metadata only)."""
-    return spark.createDataFrame(rows, schema)
-
-
 def read_bronze(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
     """A1: scan one hospital's entity, ``{root}/{source}/{entity}`` (schema from the footers)."""
     return spark.read.parquet(f"{root.rstrip('/')}/{source}/{entity}")

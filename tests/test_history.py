@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from claimlake.operators.history import (
     scd2_apply,
     scd2_expire,
+    scd2_initial,
     scd2_insert,
     snapshot,
     unmatched,
@@ -228,6 +229,14 @@ def test_scd2_key_broadcast_paths_agree(spark):
     full = rows(scd2_apply(t, s, "k", ts=T1, key_broadcast="never"))
     tiny = rows(scd2_apply(t, s, "k", ts=T1, max_key_rows=1))  # over the bound: full join
     assert split == full == tiny
+    # whole rows over the bound, keys within it: 6 keys of 21 bytes against 7 rows of three columns
+    keys_only = rows(scd2_apply(t, s, "k", ts=T1, max_key_bytes=6 * (96 + 8) + 100))
+    assert keys_only == split
+    for size in (None, 6 * (96 + 8) + 100, 1):
+        bound = {} if size is None else {"max_key_bytes": size}
+        assert rows(scd2_apply(t, s, "k", ts=T1, on_duplicate="merge", **bound)) == split
+        assert rows(scd2_insert(scd2_expire(t, s, "k", ts=T1, **bound), s, "k", ts=T1)) == split
+        assert rows(unmatched(s, t, "k", **bound)) == rows(unmatched(s, t, "k", key_broadcast="never"))
 
 
 def test_scd2_target_with_two_current_rows_per_key(spark):
@@ -295,3 +304,43 @@ def test_upsert_new_key_twice_raises(spark):
     with pytest.raises(Exception, match="several source rows"):
         upsert_flagged(t, s, "icd_code").collect()
     assert upsert_flagged(t, s, "icd_code", on_duplicate="unchecked").count() == 3
+
+
+def test_merge_refuses_only_several_changes(spark):
+    """A copy that equals the current row updates nothing, so one changed copy beside it is legal."""
+    t = target(spark, [("k", "x", 1, T0, T0, True)])
+    s = source(spark, [("k", "x", 1), ("k", "y", 1)])
+    got = rows(scd2_apply(t, s, "k", ts=T1, on_duplicate="merge"))
+    assert got == rows(scd2_insert(scd2_expire(t, s, "k", ts=T1), s, "k", ts=T1))
+    assert got == sorted([("k", "x", 1, T0, T1, False), ("k", "x", 1, T1, T1, True), ("k", "y", 1, T1, T1, True)],
+                         key=lambda r: tuple((x is None, str(x)) for x in r))
+    same = source(spark, [("k", "x", 1), ("k", "x", 1)])
+    assert rows(scd2_apply(t, same, "k", ts=T1, on_duplicate="merge")) == [("k", "x", 1, T0, T0, True)]
+
+
+def test_one_key_in_a_third_of_the_batch(spark):
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("junk")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit("a").alias("a"), F.lit(1).alias("b"))
+    for mode in ("auto", "never"):
+        out = scd2_apply(base_target(spark), many, "k", ts=T1, on_duplicate="merge", key_broadcast=mode)
+        assert out.filter(F.col("k") == "junk").count() == 1000
+        with pytest.raises(Exception, match="several source rows"):
+            scd2_apply(base_target(spark), many, "k", ts=T1, key_broadcast=mode).collect()
+
+
+def test_first_load_checks_keys(spark):
+    shape = target(spark, []).schema
+    ok = source(spark, [("a", "x", 1), (None, "x", 1), (None, "x", 1)])
+    assert scd2_initial(ok, shape, T1, key="k").count() == 3
+    with pytest.raises(Exception, match="several source rows"):
+        scd2_initial(source(spark, [("a", "x", 1), ("a", "y", 1)]), shape, T1, key="k").collect()
+
+
+def test_small_batch_plan_reads_the_table_twice(spark, tmp_dir):
+    path, new = f"{tmp_dir}/tgt2", f"{tmp_dir}/new2"
+    base_target(spark).write.parquet(path)
+    base_source(spark).write.parquet(new)
+    out = scd2_apply(spark.read.parquet(path), spark.read.parquet(new), "k", ts=T1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("tgt2") == 2 and "Window" not in plan and "SortMergeJoin" not in plan

@@ -41,7 +41,8 @@ def test_two_day_run(spark, tmp_dir):
     bronze, tables = f"{tmp_dir}/bronze", f"{tmp_dir}/tables"
     tx = hospital.transactions(spark)
     _land(spark, bronze, tx)
-    layers.build_silver(spark, bronze, tables, dt.datetime(2024, 6, 1), names)
+    cpt = spark.createDataFrame([("1", "c", "visit", "active"), ("2", "c", None, "active")], BRONZE_DDL["cptcodes"])
+    layers.build_silver(spark, bronze, tables, dt.datetime(2024, 6, 1), names, cptcodes=cpt)
     layers.build_gold(spark, tables, dt.datetime(2024, 6, 1), names)
     r1, _ = layers.run_reports(spark, 2024, names)
     assert {(r[0], r[1]): r[2] for r in r1.collect()}[("Ann Lee", "Cardiology")] == 351.35
@@ -58,6 +59,7 @@ def test_two_day_run(spark, tmp_dir):
     assert silver_tx.filter(F.col("TransactionID") == "T1-hos-a").count() == 2  # old version kept
     assert silver_tx.filter(F.col("TransactionID").isNull()).count() == 0
     assert spark.table(names.gold["dim_patient"]).count() == 2
+    assert [r["cpt_codes"] for r in spark.table(names.gold["dim_cpt_code"]).collect()] == ["1"]
     assert r2.first()["YYYYMM"] == "202402"
 
 

@@ -57,16 +57,27 @@ def test_plan_loads_and_extracts(spark):
     assert ingest.extract_full(src, "hos-a").select("datasource").distinct().first()[0] == "hos-a"
 
 
-def test_run_loads_day1_day2(spark):
-    cfg = ingest.load_config(spark)
-    src = {("hos-b", "dbo.patients"): spark.createDataFrame(
-        [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 5))], "id int, Updated_Date date")}
-    day1 = ingest.run_loads(spark, cfg, src, None, dt.datetime(2024, 1, 3))
-    assert day1.log.collect()[0]["numberofrowscopied"] == 2
-    day2 = ingest.run_loads(spark, cfg, src, day1.log, dt.datetime(2024, 1, 6))
-    assert day2.extracts[("hos-b", "dbo.patients")].count() == 1  # only rows since the last load
-    last = ingest.latest_watermark(day1.log.unionByName(day2.log)).first()
-    assert last["last_loaddate"] == dt.datetime(2024, 1, 6)
+def test_run_loads_writes_and_logs(spark, tmp_dir):
+    key, log = ("hos-b", "dbo.patients"), "load_logs_t"
+    source = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]
+
+    def load(rows_, at, config=None):
+        src = {key: spark.createDataFrame(rows_, "id int, Updated_Date date")}
+        return ingest.run_loads(spark, config or ingest.load_config(spark), src, tmp_dir, log, at)
+
+    first = load(source, dt.datetime(2024, 1, 3))  # the loader's clock is ahead of the source's day
+    assert first.paths == {key: f"{tmp_dir}/hosb/patients"}  # active rows of the config only
+    source.append((3, dt.date(2024, 1, 2)))  # stamped later on the source's own day
+    load(source, dt.datetime(2024, 1, 4))
+    assert rows(spark.read.parquet(first.paths[key]).select("id")) == [(1,), (2,), (2,), (3,)]
+    load([], dt.datetime(2024, 1, 5))  # nothing found: the bound stays
+    load(source, dt.datetime(2024, 1, 6))
+    got = [(r["numberofrowscopied"], r["watermarkvalue"]) for r in spark.table(log).orderBy("loaddate").collect()]
+    assert got == [(2, "2024-01-02"), (2, "2024-01-02"), (0, None), (2, "2024-01-02")]
+    assert ingest.latest_watermark(spark.table(log)).first()["last_loaddate"] == dt.datetime(2024, 1, 6)
+    full = ingest.load_config(spark).withColumn("loadtype", F.lit("Full"))
+    load(source, dt.datetime(2024, 1, 7), full)
+    assert spark.read.parquet(first.paths[key]).count() == 3
 
 
 def test_load_mapped_files(spark, tmp_dir):
