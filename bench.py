@@ -37,8 +37,8 @@ def stored_scenarios(spark, sf_dir: str) -> dict[str, float]:
 
     * ``d5_stored_incremental``: day 2's incremental extract (A18: rows
       modified since the day-1 load -- the changed and the new orders)
-      applied to a stored silver table (day 1): the batch's keys are
-      measured and broadcast, and only the affected current rows shuffle;
+      applied to a stored silver table (day 1): the batch is measured and
+      broadcast, and the table is not shuffled;
     * ``e2_stored_gold``: report 2 over stored gold fact and dimensions.
     """
     import datetime as dt

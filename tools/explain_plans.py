@@ -18,15 +18,12 @@ NOTES = {
     "e2_monthly_charges": "Report 2 (flagship). Year range pushed into the lineitem scan; both dimensions "
                           "broadcast after the size probe; one partial + final aggregation (the only "
                           "shuffle of fact-derived rows is the partial aggregate's output).",
-    "scd2_apply over a stored target": "History and NULL-key rows: narrow scan. Untouched current rows: "
-                                       "broadcast left-anti join, no shuffle. Only batch-affected current "
-                                       "rows and the batch are shuffled; the expire pass is a left join whose "
-                                       "per-key windows add no exchange, the insert pass an anti-join on the "
-                                       "same key partitioning; the duplicate guard's window reuses the batch "
-                                       "exchange.",
+    "scd2_apply over a stored target": "The batch is measured and broadcast: one scan of whole rows (expire, "
+                                       "outer join) and one of key and tracked columns (keys that keep a "
+                                       "current row). Only batch-sized data is shuffled.",
     "latest_per_key": "max(struct) per key with a partial aggregate before the shuffle: a hot key is folded "
                       "map-side.",
-    "unmatched": "Anti-join on non-NULL keys; NULL-key rows bypass the join in a narrow branch.",
+    "unmatched": "Target keys reduced map-side to the measured batch's, then a broadcast anti-join.",
 }
 
 
