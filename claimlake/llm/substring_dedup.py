@@ -1,24 +1,29 @@
-"""Substring dedup: line hashing with finer units (operator 9).
+"""Substring dedup: line hashing with windows of words in place of lines (operator 9).
 
 Lines alone would miss a passage that is pasted into the middle of another
-line, so a line is cut further: after a sentence's end, before a capitalised
-word that follows a small one, and after words chosen by their hash (one in
-16), which cuts equal passages alike wherever they stand. Units are compared
-as sequences of words with A-Z in lower case. What is grouped is the digest of
-two adjacent units (and of every unit of ``LONG`` words): equal pairs stand in
-equal surroundings, so short phrases that occur everywhere do not add up.
-
-Globally, the earliest occurrence of a digest (smallest id, then position)
-stays. In a document, later occurrences that overlap are joined to runs, and
-runs of at least ``min_words`` words are removed; their original character
-offsets are returned. The first place of a digest with a large share of all
-rows is found map-side and broadcast, and its rows are salted; the others are
-grouped by digest, in one shuffle of 40 bytes a unit.
-
-Defined cases: a null or empty text has no units; a null id ranks last; rows
-that repeat id and text count as one document and get the same spans; a
-passage repeated within one document keeps its first place; other columns
-pass through ``drop_repeats``; an empty table gives an empty result.
+line, so what is compared is every window of ``min_words`` words, with A-Z in
+lower case, wherever it starts. In a document, all windows that occur earlier
+(smaller id, then position) are joined to runs where they overlap, and the
+runs are removed; their original character offsets are returned. So every
+repeated passage of ``min_words`` words or more goes, up to its first and last
+word.
+
+Two passes keep this small. Winnowing picks an anchor for each window: of the
+runs of half as many words in it, the one with the smallest hash. Equal windows
+have equal anchors, so a window can only be repeated if its anchor's hash
+occurs twice. The first pass counts the anchors (about one in 13 words); the
+second shuffles only windows whose anchor is repeated. That filter is a bitmap
+of bounded size: hashes that meet in a bit let more windows pass and lose
+none. The first place of a window with a large share of all rows is found
+map-side and broadcast, and its rows are salted; the others are grouped by
+digest.
+
+Defined cases: a null or empty text and one of fewer than ``min_words`` words
+have no windows; a null id ranks last; rows that repeat id and text count as
+one document and get the same spans; a passage repeated within one document
+keeps its first place, and a window that overlaps its own first place is no
+repeat; other columns pass through ``drop_repeats``; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -31,48 +36,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import arrow_batches, hot_keys, stored
-from claimlake.llm.textscan import Words, groups, mix64, utf8
+from claimlake.llm.textscan import Words, groups, run_hashes, utf8
 
 MIN_WORDS = 50
-LONG = 24
-CUT_ONE_IN = 16
 SALTS = 256
-
-
-def _capital(body: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Words that begin with A-Z or a capital of the Latin-1 letters."""
-    first, second = body[start], body[np.minimum(start + 1, len(body) - 1)]
-    return ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-
-
-def unit_starts(words: Words) -> np.ndarray:
-    """Index of the first word of every unit."""
-    n = len(words.start)
-    if not n:
-        return np.zeros(0, np.int64)
-    lines = np.concatenate(([0], np.cumsum(words.body == 10)))
-    capital = _capital(words.body, words.start)
-    new = np.ones(n, bool)
-    ends = np.isin(words.body[words.end[:-1] - 1], (33, 46, 63))
-    new[1:] = ((words.doc[1:] != words.doc[:-1]) | (lines[words.start[1:]] != lines[words.start[:-1]]) | ends
-               | (capital[1:] & ~capital[:-1]) | (words.hash[:-1] % np.uint64(CUT_ONE_IN) == 0))
-    return np.flatnonzero(new)
-
-
-def digests(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(digest, text, first word, word after the last) of unit pairs and long units; words count from their text's first."""
-    at = unit_starts(words)
-    stop = np.append(at[1:], len(words.start))
-    order = np.arange(len(words.start), dtype=np.uint64) - np.repeat(at, stop - at).astype(np.uint64)
-    each = mix64(words.hash + (order + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    unit = mix64(np.add.reduceat(each, at) + (stop - at).astype(np.uint64)) if len(at) else each
-    doc = words.doc[at] if len(at) else np.zeros(0, np.int64)
-    pair = np.flatnonzero(doc[1:] == doc[:-1]) if len(at) else np.zeros(0, np.int64)
-    long_ = np.flatnonzero(stop - at >= LONG)
-    digest = np.concatenate((mix64(unit[pair] * np.uint64(0xD6E8FEB86659FD93) + unit[pair + 1]), unit[long_])) if len(at) else each
-    a, b = np.concatenate((at[pair], at[long_])), np.concatenate((stop[pair + 1] if len(pair) else pair, stop[long_]))
-    doc = np.concatenate((doc[pair], doc[long_]))
-    return digest, doc, a - words.first[doc], b - words.first[doc]
+#: The filter on the windows' anchors has at most this many bits (128 MB).
+FILTER_BITS = 1 << 30
+
+
+def anchors(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first words of all windows of ``length`` words, first words of their anchors, hashes of all runs as long as an anchor)."""
+    size = (length + 1) // 2
+    hashes = run_hashes(words, size)
+    n = len(words.start) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), hashes
+    best, span, wide = np.arange(len(hashes)), 1, length - size + 1
+    while span < wide:  # the smallest of ``span`` hashes, the first of equal ones
+        step = min(span, wide - span)
+        left, right = best[:-step], best[step:]
+        best, span = np.where(hashes[right] < hashes[left], right, left), span + step
+    at = np.flatnonzero(words.doc[:n] == words.doc[length - 1 :])
+    return at, best[at], hashes
 
 
 def _scan(texts: pa.Array):
@@ -81,66 +66,99 @@ def _scan(texts: pa.Array):
         yield a, b, Words(body[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, _, words in _scan(batch.column("text")):
-            digest, doc, begin, end = digests(words)
-            order = np.argsort(doc, kind="stable")
-            rows = pa.array(a + doc[order])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows), batch.column("body").take(rows), pa.array(digest[order].view(np.int64)),
-                 pa.array(begin[order].astype(np.int32)), pa.array(end[order].astype(np.int32))], ["id", "body", "digest", "begin", "end"])
+def _anchors(length: int):
+    """The hash of each anchor, once for each place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words in _scan(batch.column("text")):
+                _, picked, hashes = anchors(words, length)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[np.unique(picked)].view(np.int64))], ["anchor"])
 
+    return run
 
-def _runs(found: list[dict], min_words: int) -> list[tuple[int, int, object]]:
-    """Overlapping occurrences joined; runs of at least ``min_words`` words, with the id that holds the first one's original."""
-    out: list[list] = []
-    for x in sorted(found, key=lambda x: (x["begin"], x["end"])):
-        if out and x["begin"] < out[-1][1]:
-            out[-1][1] = max(out[-1][1], x["end"])
-        else:
-            out.append([x["begin"], x["end"], x["first_id"]])
-    return [tuple(r) for r in out if r[1] - r[0] >= min_words]
 
+def _windows(length: int):
+    """One row per anchor and place: the first window it stands for, and the digests of that window and the next ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, _, words in _scan(batch.column("text")):
+                at, picked, hashes = anchors(words, length)
+                new = np.flatnonzero(np.diff(picked, prepend=-1))
+                first, doc = at[new], words.doc[at[new]]
+                rows, ends = pa.array(a + doc), np.append(new, len(at)).astype(np.int32)
+                found = run_hashes(words, length)[at].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(rows), batch.column("body").take(rows), pa.array(hashes[picked[new]].view(np.int64)),
+                     pa.array((first - words.first[doc]).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(found))],
+                    ["id", "body", "anchor", "at", "digests"])
+
+    return run
 
-def _clean(min_words: int, columns: int, names: list[str], span: pa.DataType):
+
+def _clean(length: int, columns: int, names: list[str], span: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, repeats = batch.column(columns), batch.column(columns + 1)
             for a, b, words in _scan(texts):
                 chars = np.concatenate(([0], np.cumsum((words.body & 0xC0) != 0x80)))
-                spans, cleaned = [], []
-                for i, (text, found) in enumerate(zip(texts.slice(a, b - a).to_pylist(), repeats.slice(a, b - a).to_pylist(), strict=True)):
-                    zero, own, rest, last = chars[words.text_start[i]], [], [], 0
-                    for begin, end, first_id in _runs(found or [], min_words):
-                        w = words.first[i]
-                        x, y = int(chars[words.start[w + begin]] - zero), int(chars[words.end[w + end - 1]] - zero)
-                        own.append({"start": x, "end": y, "first_id": first_id})
-                        rest.append(text[last:x])
-                        last = y
-                    spans.append(own)
-                    cleaned.append(text if text is None else "".join(rest) + text[last:])
-                part = batch.slice(a, b - a)
+                part, found = batch.slice(a, b - a), repeats.slice(a, b - a)
+                counts = found.value_lengths().fill_null(0).to_numpy()
+                flat, row = found.flatten(), np.repeat(np.arange(b - a), counts)
+                begin = flat.field("begin").to_numpy().astype(np.int64) + words.first[row]
+                order = np.argsort(begin, kind="stable")  # also by text, as no window crosses two
+                begin, row = begin[order], row[order]
+                # overlapping windows are one run
+                new = np.flatnonzero(np.diff(begin, prepend=-length) >= length)
+                last = begin[np.append(new[1:], len(begin)) - 1] + length - 1 if len(begin) else begin
+                row, zero = row[new], chars[words.text_start[row[new]]]
+                start, end = chars[words.start[begin[new]]] - zero, chars[words.end[last]] - zero
+                first_id = flat.field("first_id").take(pa.array(order[new]))
+                cut = np.searchsorted(row, np.arange(b - a + 1))
+                spans = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.StructArray.from_arrays(
+                    [pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), first_id.cast(span[2].type)], fields=list(span)))
+                cleaned = part.column(columns).to_pylist()
+                for i in np.unique(row):
+                    text, rest, done = cleaned[i], [], 0
+                    for k in range(cut[i], cut[i + 1]):
+                        rest.append(text[done : start[k]])
+                        done = end[k]
+                    cleaned[i] = "".join(rest) + text[done:]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in range(columns)), pa.array(cleaned, pa.string()), pa.array(spans, pa.list_(span))], names)
+                    [*(part.column(k) for k in range(columns)), pa.array(cleaned, pa.string()), spans], names)
 
     return run
 
 
+def _held(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is among the ``wanted`` (and a few others, by chance): a bitmap is broadcast, no row is shuffled."""
+    bits = min(FILTER_BITS, 1 << max(20, 5 + wanted.count().bit_length()))
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    bitmaps = wanted.groupBy(F.bitmap_bucket_number(slot).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__bits"))
+    pos = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmaps), "__bucket")
+    return met.where(F.getbit(byte, pos % 8) == 1).select(*rows.columns)
+
+
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns but the text, then ``cleaned`` and ``removed`` (start, end in characters, first_id)."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     with arrow_batches(docs.sparkSession, 512):
-        rows = stored(texts.mapInArrow(_units, f"id {id_type}, body long, digest long, begin int, end int"), "units")
+        repeated = texts.select("text").mapInArrow(_anchors(min_words), "anchor long").groupBy("anchor").count().where("count > 1")
+        repeated = stored(repeated.select("anchor"), "anchors")
+        rows = texts.mapInArrow(_windows(min_words), f"id {id_type}, body long, anchor long, at int, digests array<long>")
+        rows = _held(rows, "anchor", repeated).select("id", "body", "at", F.posexplode("digests").alias("nth", "digest"))
+        rows = stored(rows.select("id", "body", "digest", (F.col("at") + F.col("nth")).alias("begin")), "windows")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "body", "begin")
     hot = hot_keys(rows, "digest", [F.min(place).alias("first")]).rows
     # all rows take one way: a hot digest knows its first place and is dealt over SALTS groups that need not meet
     rows = rows.join(F.broadcast(hot.drop("n")), "digest", "left")
     salt = F.when(F.col("first").isNotNull(), F.pmod(F.xxhash64("id", "begin"), F.lit(SALTS))).otherwise(F.lit(0))
     rows = rows.withColumn("salt", salt).withColumn("first", F.coalesce("first", F.min(place).over(Window.partitionBy("digest", "salt"))))
-    later = rows.where(place != F.col("first"))
-    found = later.groupBy("id", "body").agg(F.collect_set(F.struct("begin", "end", F.col("first.id").alias("first_id"))).alias("__repeats"))
+    own = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.body") == F.col("body"))
+    later = rows.where(~own | (F.col("begin") >= F.col("first.begin") + min_words))
+    found = later.groupBy("id", "body").agg(F.collect_set(F.struct("begin", F.col("first.id").alias("first_id"))).alias("__repeats"))
     found = stored(found.withColumnsRenamed({"id": "__id", "body": "__body"}), "repeats")
     keep = [c for c in docs.columns if c != text]
     joined = docs.select(*keep, F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"), F.col(id_col).alias("__key"))

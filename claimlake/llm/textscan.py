@@ -112,6 +112,14 @@ def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return out, of
 
 
+def run_hashes(words: Words, length: int) -> np.ndarray:
+    """Hashes of every run of ``length`` words, by its first word; runs that cross two texts count too."""
+    forward, back = _powers(len(words.hash) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.hash * forward[:-1], dtype=np.uint64)))
+    n = max(0, len(words.hash) - length + 1)
+    return mix64((sums[length : length + n] - sums[:n]) * back[:n])
+
+
 def shingle_sets(texts: pa.Array, width: int):
     """For each text in order, the sorted array of its distinct shingle hashes."""
     body, ends = utf8(texts)

@@ -246,6 +246,49 @@ def test_substrings(docs, empty, spark):
     assert substring_dedup.drop_repeats(docs).count() == len(rows())
 
 
+def brute_spans(texts, length):
+    """The repeated runs of ``length`` words or more of each (id, text), ids distinct: (start, end, first_id)."""
+    first, spans = {}, {}
+    for i, text in sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)):
+        words, runs = list(WORD.finditer(text or "")), []
+        low = [norm(w.group()) for w in words]
+        for at in range(len(words) - length + 1):
+            where = first.setdefault(tuple(low[at : at + length]), (i, at))
+            if where[0] != i or at >= where[1] + length:
+                if runs and at < runs[-1][1]:
+                    runs[-1][1] = at + length
+                else:
+                    runs.append([at, at + length, where[0]])
+        spans[i] = [(words[a].start(), words[b - 1].end(), of) for a, b, of in runs]
+    return spans
+
+
+def test_substrings_of_any_length_cut_anywhere(spark):
+    import random
+
+    rng = random.Random(5)
+    prose = lambda n: " ".join(rng.choice(("Der", "große", "Wald", "liegt", "still.", "Wer", "dort\n", "geht,", "x")) + rng.choice(("", "", str(rng.random())))
+                               for _ in range(n))
+    sources, shout = [prose(200) for _ in range(12)], {i + 32: i for i in ASCII}
+    texts = list(enumerate(sources))
+    for n in (48, 49, 50, 51, 52, 55, 59, 60, 75, 100):
+        for _ in range(4):
+            of, at = rng.choice(sources).split(" "), rng.randrange(90)
+            texts.append((len(texts), f"{prose(rng.randrange(30))} {' '.join(of[at : at + n]).translate(shout)} {prose(rng.randrange(30))}"))
+    twice = prose(55)
+    texts += [(200, f"{twice} {prose(9)} {twice}"), (201, "a " * 49), (202, "a " * 53), (203, "b " * 130), (204, ""), (205, None), (None, sources[3])]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in substring_dedup.drop_repeats(df).collect()}
+    expect = brute_spans(texts, 50)
+    assert {i: [tuple(s) for s in r.removed] for i, r in got.items()} == expect
+    assert sum(map(len, expect.values())) >= 34 and expect[203] and not expect[202]
+    for i, text in texts:
+        left = text
+        for start, end, _ in reversed(expect[i]):
+            left = left[:start] + left[end:]
+        assert got[i].cleaned == left
+
+
 def test_quality(spark, docs, empty):
     good = [" ".join(f"prose{(i * 31 + j * 17) % 900}" for j in range(80)) + "." for i in range(200)]
     bad = ["BUY!! " * (20 + i % 9) for i in range(60)]
