@@ -3,10 +3,15 @@
 Templates (a short list, given by the caller) and texts become word shingles:
 five words, or a shorter template's whole sequence. For every template length
 a text is covered by overlapping windows of that length, an eighth of it
-apart. A window's MinHash bands retrieve templates, and the window's shingles
-must contain at least ``threshold`` of the template's (exact containment).
-With 16 bands of one sample, a window of Jaccard similarity 0.6 or more misses
-its template with a probability below 1e-6.
+apart. These windows only retrieve templates, by their MinHash bands. For each
+template found, the exact containment of its shingles is then taken at every
+start nearer to this window than to the next one, and must reach ``threshold``
+somewhere; the first start with the largest containment is reported.
+
+A span that contains 0.8 of a template lies at most a 16th of its length from
+a window, which so contains 0.71 of it or more: a Jaccard similarity of 0.55.
+With 16 bands of one sample such a window misses the template with a
+probability below 3e-6.
 
 Only windows that share a shingle with some template are built: all others
 have containment zero. That test compares every shingle of every text with the
@@ -71,23 +76,46 @@ def _samples(shingles: Column) -> Column:
     return F.array(*[sample(seed) for seed in range(BANDS)])
 
 
-def _windows(shingles: Column, width: int, length: int, wanted: list[int]) -> Column:
-    """The windows of ``length`` words, an eighth of it apart, that hold one of the ``wanted`` shingles."""
-    step = max(1, length // 8)
-    hits = F.filter(F.sequence(F.lit(0), F.size(shingles) - 1), lambda p: F.element_at(shingles, p + 1).isin(wanted))
+def _hits(shingles: Column, wanted: list[int]) -> Column:
+    """Positions of the ``wanted`` shingles."""
+    at = F.when(F.size(shingles) > 0, F.sequence(F.lit(0), F.size(shingles) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(at, lambda p: F.element_at(shingles, p + 1).isin(wanted))
+
+
+def _windows(shingles: Column, hits: Column, width: int, length: int) -> Column:
+    """The windows of ``length`` words, an eighth of it apart, that hold one of the ``hits``.
+
+    ``around`` has the shingles of all spans of that length that start at
+    ``low`` to ``high``: nearer to this window than to the next one.
+    """
+    step, count = max(1, length // 8), length - width + 1
 
     def starts(p: Column) -> Column:
         first = F.floor((F.greatest(F.lit(0), p - (length - width)) + step - 1) / step)
         return F.transform(F.sequence(F.least(first, F.floor(p / step)), F.floor(p / step)), lambda g: g * step)
 
-    at = F.array_distinct(F.flatten(F.transform(F.when(F.size(shingles) > 0, hits), starts)))
-    return F.transform(at, lambda a: F.struct(
-        F.lit(length).alias("length"), a.alias("start"), F.array_distinct(F.slice(shingles, a.cast("int") + 1, length - width + 1)).alias("shingles")))
+    def window(a: Column) -> Column:
+        low, high = F.greatest(a - step // 2, F.lit(0)), a + (step - 1 - step // 2)
+        return F.struct(F.lit(length).alias("length"), F.lit(count).alias("count"), low.alias("low"), high.alias("high"),
+                        F.array_distinct(F.slice(shingles, a + 1, count)).alias("shingles"),
+                        F.slice(shingles, low + 1, high - low + count).alias("around"))
+
+    at = F.array_distinct(F.flatten(F.transform(hits, starts)))
+    return F.transform(at, lambda a: window(a.cast("int")))
+
+
+def _best_start() -> Column:
+    """(containment, -start) of the first best span from ``low`` to ``high``."""
+    def span(a: Column) -> Column:
+        shared = F.size(F.array_intersect(F.slice("around", a - F.col("low") + 1, F.col("count")), F.col("template")))
+        return F.struct((shared / F.size("template")).alias("containment"), (-a.cast("long")).alias("before"))
+
+    return F.array_max(F.transform(F.sequence("low", "high"), span))
 
 
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """One row per (id, license_id) found: containment, start_word, end_word of the first best window."""
+    """One row per (id, license_id) found: containment, start_word, end_word of the first best span."""
     spark = docs.sparkSession
     known = spark.createDataFrame(list(templates), "license_id string, body string").select("license_id", _words(F.col("body")).alias("words"))
     known = known.where("size(words) > 0 AND words[0] != ''").withColumn("length", F.size("words")).withColumn("width", F.least("length", F.lit(WIDTH)))
@@ -105,17 +133,20 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     rows = docs.select(F.col(id_col).alias("id"), F.explode(F.array(_words(F.col(text)))).alias("words"))
     rows = rows.select("id", *[_shingles(F.col("words"), w).alias(f"s{w}") for w in widths])
     rows = rows.where(" OR ".join(f"arrays_overlap(s{w}, array({', '.join(f'{h}L' for h in wanted[w])}))" for w in widths))
-    rows = stored(rows, "license-candidates")
+    rows = stored(rows.select("*", *[_hits(F.col(f"s{w}"), wanted[w]).alias(f"h{w}") for w in widths]), "license-candidates")
     classes = sorted({(r["width"], r["length"]) for r in kept})
-    per_class = [_windows(F.col(f"s{width}"), width, length, wanted[width]) for width, length in classes]
-    empty = F.array().cast("array<struct<length:int,start:bigint,shingles:array<bigint>>>")
-    windows = rows.select("id", F.explode(F.concat(*[F.coalesce(w, empty) for w in per_class])).alias("w")).select("id", "w.*")
-    banded = windows.where("size(shingles) > 0").select("*", F.posexplode(_samples(F.col("shingles"))).alias("band", "sample"))
-    shelf = F.broadcast(known.select("license_id", "length", F.array_distinct("shingles").alias("template"),
-                                     F.posexplode(_samples(F.col("shingles"))).alias("band", "sample")))
-    shared = F.size(F.array_intersect("shingles", "template")) / F.size("template")
-    found = banded.join(shelf, ["length", "band", "sample"]).withColumn("containment", shared).where(F.col("containment") >= threshold)
-    best = F.max(F.struct("containment", (-F.col("start")).alias("before"), "length")).alias("best")
+    per_class = [_windows(F.col(f"s{width}"), F.col(f"h{width}"), width, length) for width, length in classes]
+    windows = rows.select("id", F.explode(F.concat(*per_class)).alias("w")).select("id", "w.*").where("size(shingles) > 0")
+    windows = windows.withColumn("samples", _samples(F.col("shingles"))).drop("shingles")
+    banded = windows.select("*", F.posexplode("samples").alias("band", "sample"))
+    shelf = known.select("license_id", "length", F.array_distinct("shingles").alias("template"), _samples(F.col("shingles")).alias("others"))
+    shelf = F.broadcast(shelf.select("*", F.posexplode("others").alias("band", "sample")))
+    # a window that meets a template in several bands is verified in the first; no span contains more than all of them together
+    first = F.array_position(F.zip_with("samples", "others", lambda x, y: x == y), True) - 1
+    found = banded.join(shelf, ["length", "band", "sample"]).where(F.col("band") == first)
+    found = found.where(F.size(F.array_intersect("around", "template")) / F.size("template") >= threshold)
+    found = found.select("id", "license_id", "length", _best_start().alias("at")).select("id", "license_id", "length", "at.*").where(F.col("containment") >= threshold)
+    best = F.max(F.struct("containment", "before", "length")).alias("best")
     return found.groupBy("id", "license_id").agg(best).select(
         F.col("id").alias(id_col), "license_id", F.col("best.containment").alias("containment"), (-F.col("best.before")).alias("start_word"),
         (F.col("best.length") - F.col("best.before")).cast("long").alias("end_word"))

@@ -246,6 +246,27 @@ def test_substrings(docs, empty, spark):
     assert substring_dedup.drop_repeats(docs).count() == len(rows())
 
 
+def test_edited_licenses_at_every_offset(spark):
+    def shingles(words):
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    texts, expect = [], {}
+    for name in ("MIT", "Apache-2.0", "ISC"):
+        words = re.findall("[a-z0-9]+", dict(license_scan.TEMPLATES)[name].lower())
+        whole, n = set(shingles(words)), len(words)
+        for one in range(0, n, 6):
+            for two in (one, (one + 9) % n, n - 2):
+                edited = [f"edit{i}" if i in (one, two) else w for i, w in enumerate(words)]
+                offset = (7 * one + two) % 23
+                text = [f"pad{i}" for i in range(offset)] + edited + [f"end{i}" for i in range(30)]
+                found = [(len(whole & set(shingles(text[a : a + n]))) / len(whole), -a) for a in range(len(text))]
+                if max(found)[0] >= 0.8:
+                    expect[len(texts), name] = (*max(found), n - max(found)[1])
+                texts.append((len(texts), " ".join(text)))
+    got = license_scan.find_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.license_id): (r.containment, -r.start_word, r.end_word) for r in got} == expect and len(expect) > 50
+
+
 def brute_spans(texts, length):
     """The repeated runs of ``length`` words or more of each (id, text), ids distinct: (start, end, first_id)."""
     first, spans = {}, {}
