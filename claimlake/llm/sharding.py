@@ -49,7 +49,7 @@ def cut_edges(rows: DataFrame) -> DataFrame:
 
 
 def propagate(linked: DataFrame, hot: Hot, quota: list[int], rounds: int) -> DataFrame:
-    """Rounds of proposals over (row, hub, shard) until nothing moves."""
+    """Rounds of proposals over (row, hub, shard) until nothing moves, ``rounds`` at most."""
     shards = len(quota)
     for _ in range(rounds):
         room = [q - have for q, have in zip(quota, _per_shard(linked, shards), strict=True)]
@@ -63,16 +63,19 @@ def propagate(linked: DataFrame, hot: Hot, quota: list[int], rounds: int) -> Dat
         moves = lookup(linked, hubs, "hub", hot).where(
             (F.col("best.to") != F.col("shard")) & (F.col("best") > F.element_at("all", F.col("shard") + 1)))
         moves = stored(moves.select("row", "hub", "shard", F.col("best.to").alias("to")), "proposals")
+        if moves.isEmpty():
+            break
         accepted = ranked(moves, ["to"], _cell(), [F.col("hub"), F.col("row")]).where(F.col("rank") < _pick(room, F.col("to")))
         linked = stored(linked.join(accepted.select("row", "to"), "row", "left").select(
             "row", "hub", F.coalesce("to", "shard").alias("shard")), "labels")
-        if moves.isEmpty():
-            break
     return linked
 
 
-def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int = 16, rounds: int = 4) -> DataFrame:
-    """One row per document: id, size, text_crc32, law, shard, slot, grown_shard."""
+def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int = 16, rounds: int | None = None) -> DataFrame:
+    """One row per document: id, size, text_crc32, law, shard, slot, grown_shard.
+
+    A hub fills one shard a round, so a large one needs up to as many rounds as there are shards: by default a few more.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"),
@@ -83,7 +86,7 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     sizes = stored(rows.groupBy("hub").count().where("count > 1").select("hub"), "hubs")
     linked = stored(lookup(rows.select("row", "hub"), sizes, "hub", hot).withColumn(
         "shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")), "linked")
-    linked = propagate(linked, hot, quota, rounds)
+    linked = propagate(linked, hot, quota, shards + 4 if rounds is None else rounds)
     staying = ranked(linked, ["shard"], _cell(), [F.col("hub"), F.col("row")]).where(F.col("rank") < _pick(quota, F.col("shard")))
     staying = stored(staying.select("row", "shard"), "staying")
     free = stored(rows.select("row").join(staying, "row", "left_anti"), "free")

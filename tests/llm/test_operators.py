@@ -108,6 +108,14 @@ def test_sharding_law_and_groups(docs, empty, spark):
     assert max(hot.values()) >= 67  # twice what chance gives: pairs hold some of the room
 
 
+def test_sharding_fills_shards_with_a_hot_group(spark):
+    df = spark.range(1600).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('t', id) END AS text")
+    got = sharding.balanced_shards(df).collect()
+    assert set(collections.Counter(r.shard for r in got).values()) == {100}
+    hot = collections.Counter(r.shard for r in got if r.text_crc32 == zlib.crc32(b"hot"))
+    assert sum(hot.values()) == 534 and len(hot) == 6
+
+
 def library():
     import public_tokenizers
     from tokenizers import Tokenizer
