@@ -1,8 +1,9 @@
 """MinHash near-dedup with odd sketches (operator 5).
 
 A document is the set of its distinct ``width``-word shingles. 128 MinHash
-samples per set give 20 band keys of 5 samples each (at similarity 0.85 all
-20 bands miss a pair with probability 8e-6) and an odd sketch: every sample
+samples per set give band keys and an odd sketch. Bands are shaped by the
+threshold, so that all of them miss a pair at it with a probability of MISS at
+most (20 bands of 5 samples at 0.85: 8e-6; 22 of 4 at 0.8: 9e-6). Sketch: every sample
 flips one bit of a 512-bit map, so the XOR of two maps tells how many samples
 differ. Candidate pairs from the bands are first estimated from the popcount
 of that XOR and dropped below ``threshold - MARGIN`` (over four standard
@@ -37,7 +38,7 @@ from claimlake.llm.common import arrow_batches, hot_keys, lookup, stored
 from claimlake.llm.graph import components
 from claimlake.llm.textscan import mix64, shingle_sets
 
-SAMPLES, BANDS, BAND_ROWS, SKETCH_WORDS = 128, 20, 5, 8
+SAMPLES, SKETCH_WORDS, MISS = 128, 8, 1e-5
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Estimates have a standard deviation of about 0.032 at similarity 0.85.
 MARGIN = 0.15
@@ -66,11 +67,20 @@ def min_hashes(h: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     return out
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
+def band_shape(threshold: float) -> tuple[int, int]:
+    """(bands, samples in each): the longest bands that miss a pair at ``threshold`` with a probability of MISS at most, and no more than that takes."""
+    for size in range(SAMPLES, 1, -1):
+        for bands in range(1, SAMPLES // size + 1):
+            if (1 - threshold**size) ** bands <= MISS:
+                return bands, size
+    return SAMPLES, 1
+
+
+def band_keys(samples: np.ndarray, bands: int, size: int) -> np.ndarray:
     """One 64-bit key per band, different bands never share one."""
-    rows = samples[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
-    key = _SALT[:BANDS].copy()
-    for k in range(BAND_ROWS):
+    rows = samples[: bands * size].reshape(bands, size)
+    key = _SALT[:bands].copy()
+    for k in range(size):
         key = mix64(key + rows[:, k])
     return key.view(np.int64)
 
@@ -89,7 +99,7 @@ def set_key(h: np.ndarray) -> bytes | None:
     return np.array([mix64(h).sum(dtype=np.uint64), mix64(h ^ _SALT[0]).sum(dtype=np.uint64)]).tobytes() + len(h).to_bytes(4, "little")
 
 
-def _signatures(width: int):
+def _signatures(width: int, shape: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, SLICE):
@@ -99,7 +109,7 @@ def _signatures(width: int):
                     n.append(len(h))
                     keys.append(set_key(h))
                     samples = min_hashes(h) if len(h) else None
-                    bands.append(band_keys(samples) if len(h) else None)
+                    bands.append(band_keys(samples, *shape) if len(h) else None)
                     sketches.append(odd_sketch(samples) if len(h) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
@@ -140,7 +150,7 @@ def _compare(cut: float, first: int | None):
                 rep, label, sketch, bands = zip(*(
                     (np.array(batch.column(f"rep{s}")[i].values), np.array(batch.column(f"label{s}")[i].values),
                      np.array(batch.column(f"sketch{s}")[i].values.flatten()).view(np.uint64).reshape(-1, FINE_WORDS),
-                     np.array(batch.column(f"bands{s}")[i].values.flatten()).reshape(-1, BANDS)) for s in "xy"), strict=True)
+                     np.array(batch.column(f"bands{s}")[i].values.flatten()).reshape(len(batch.column(f"rep{s}")[i]), -1)) for s in "xy"), strict=True)
                 for a in range(0, len(rep[0]), 64):
                     odd = np.bitwise_count(sketch[0][a : a + 64, None, :] ^ sketch[1][None, :, :]).sum(axis=2, dtype=np.int64)
                     est = 1 + FINE_WORDS * 16.0 / FINE_SAMPLES * np.log(np.maximum(1 - odd / (FINE_WORDS * 32.0), 1e-9))
@@ -233,7 +243,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     id_type = dict(texts.dtypes)["id"]
     with arrow_batches(docs.sparkSession, SLICE):
         rows = stored(texts.mapInArrow(
-            _signatures(width), f"row long, id {id_type}, n long, set_key binary, bands array<long>, sketch array<long>"), "signatures")
+            _signatures(width, band_shape(threshold)), f"row long, id {id_type}, n long, set_key binary, bands array<long>, sketch array<long>"), "signatures")
     keyed = rows.where("set_key IS NOT NULL").select("row", "id", "n", "set_key")
     classes = keyed.groupBy("set_key").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("best"))
     members = stored(lookup(keyed, classes, "set_key", hot_keys(keyed, "set_key")).select(

@@ -199,6 +199,16 @@ def test_near_chain_and_star(spark):
     assert sorted(map(sorted, mine.values())) == sorted(groups)
 
 
+def test_near_bands_follow_the_threshold():
+    import numpy as np
+
+    assert near_dedup.band_shape(0.85) == (20, 5)
+    for threshold in (0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95):
+        bands, size = near_dedup.band_shape(threshold)
+        assert bands * size <= near_dedup.SAMPLES and (1 - threshold**size) ** bands <= near_dedup.MISS
+        assert len(set(near_dedup.band_keys(np.arange(128, dtype=np.uint64), bands, size))) == bands
+
+
 def test_mixing_targets(docs, empty, spark):
     got = mixing.mixed_sizes(docs).collect()
     assert len(got) == len(rows()) and all(0 <= r.taken <= 3 * r.size for r in got)
