@@ -33,6 +33,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 #: No source, and so no document, is taken more often than this.
 MOST = 3.0
+#: Quality weights: of natural text, and of other text.
+QUALITY = (1.0, 0.25)
 SLICES = 4096
 
 
@@ -44,7 +46,7 @@ def n_words(text: str) -> Column:
 def quality_weight(text: str, size: Column) -> Column:
     """1 for text with natural word lengths (2 to 12 characters on average), else 0.25."""
     mean = F.length(text) / F.greatest(size, F.lit(1))
-    return F.when(mean.between(2.0, 12.0), F.lit(1.0)).otherwise(F.lit(0.25))
+    return F.when(mean.between(2.0, 12.0), F.lit(QUALITY[0])).otherwise(F.lit(QUALITY[1]))
 
 
 def uniform(id_col: str) -> Column:
@@ -80,8 +82,10 @@ def _keyed(docs: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     size = n_words(text)
     rows = docs.withColumn("__skey", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))).withColumn("__size", size)
     rows = rows.withColumn("__key", -F.log(uniform(id_col)) / quality_weight(text, F.col("__size")))
-    # 1 - exp(-key) grows with the key and lies in [0, 1): equal slices of it hold like numbers of rows
-    return rows.withColumn("__slice", F.least(F.floor((1 - F.exp(-F.col("__key"))) * SLICES), F.lit(SLICES - 1)).cast("int"))
+    # 1 - exp(-w * key) spreads the keys of weight w evenly over [0, 1): the mean over the weights grows with the key, and no slice of it
+    # holds more than len(QUALITY) times the even share of any weight's keys
+    even = sum((1 - F.exp(-w * F.col("__key")) for w in QUALITY), F.lit(0.0)) / len(QUALITY)
+    return rows.withColumn("__slice", F.least(F.floor(even * SLICES), F.lit(SLICES - 1)).cast("int"))
 
 
 def plan(rows: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
@@ -98,7 +102,7 @@ def plan(rows: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
     ends = slices.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
     border = ends.join(goals.select("__skey", "rest"), "__skey").where("start <= rest AND start + words > rest")
     border = stored(border.groupBy("__skey").agg(F.min("__slice").alias("border"), F.min_by("start", "__slice").alias("start"), F.max("rest").alias("rest")), "border")
-    # only the border slices are sorted and summed: one 4096th of the keys of a source
+    # only the border slices are sorted and summed: at most one 2048th of the keys of a source
     at = rows.join(border.withColumnRenamed("border", "__slice"), ["__skey", "__slice"])
     in_order = Window.partitionBy("__skey", "__slice").orderBy("__key", "id", "__size").rowsBetween(Window.unboundedPreceding, 0)
     at = at.withColumn("up_to", F.col("start") + F.sum("__size").over(in_order)).where("up_to - __size / 2 <= rest")

@@ -227,6 +227,14 @@ def test_mixing_targets(docs, empty, spark):
     assert all(taken[r.doc_id] * r.size == r.taken for r in got)
 
 
+def test_mixing_slices_are_even_for_every_weight(spark):
+    for text in ("wort", "einwortohnezwischenraum"):
+        df = spark.range(20000).selectExpr("id AS doc_id", f"'{text}' AS text", "'s' AS source")
+        rows = mixing._keyed(df, "doc_id", "text", "source")
+        most = rows.groupBy("__slice").count().agg({"count": "max"}).first()[0]
+        assert most <= 40  # two 4096ths are about ten
+
+
 def test_lines(spark, empty):
     lines = [(i, f"own {i}\n  Shared LINE\t\n\nrare {i % 2}" if i % 2 else f"shared line\nown {i}", f"site{i % 6}") for i in range(24)]
     df = spark.createDataFrame([*lines, (99, None, "z"), (100, "", None), (101, "shared line", None)], "doc_id long, text string, source string")
