@@ -3,9 +3,9 @@
 A document is the set of its distinct ``width``-word shingles. 128 MinHash
 samples per set give band keys and an odd sketch. Bands are shaped by the
 threshold, so that all of them miss a pair at it with a probability of MISS at
-most (20 bands of 5 samples at 0.85: 8e-6; 22 of 4 at 0.8: 9e-6). Sketch: every sample
-flips one bit of a 512-bit map, so the XOR of two maps tells how many samples
-differ. Candidate pairs from the bands are first estimated from the popcount
+most (20 bands of 5 samples at 0.85: 8e-6; 22 of 4 at 0.8: 9e-6). For the
+sketch, every sample flips one bit of a 512-bit map, so the XOR of two maps
+tells how many samples differ. Candidate pairs from the bands are first estimated from the popcount
 of that XOR and dropped below ``threshold - MARGIN`` (over four standard
 deviations), then confirmed on their full sets.
 
@@ -21,7 +21,8 @@ of near copies never become all pairs, and no candidate is capped or dropped.
 Defined cases: a document without words or text has an empty set and is linked
 with nothing; a document with fewer words than ``width`` has its whole sequence
 as its only shingle; a null id ranks last; rows that repeat an id are separate
-rows here (``drop_near_copies`` keeps or drops them together); other columns
+rows here (``drop_near_copies`` keeps or drops them together, but rows without
+an id each on their own); other columns
 are ignored here and kept there; an empty table gives an empty result.
 """
 
@@ -236,10 +237,10 @@ def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, te
     return stored(both.where(linked).select("a", "b"), "links")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept, and its class (``class_id``)."""
+def _marks(docs: DataFrame, row: Column, id_col: str, text: str, width: int, threshold: float) -> DataFrame:
+    """``near_groups`` with the ``row`` of each document (``__row``)."""
     cut = threshold - MARGIN
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    texts = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     with arrow_batches(docs.sparkSession, SLICE):
         rows = stored(texts.mapInArrow(
@@ -281,13 +282,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     best = of_class.groupBy("label").agg(F.min("best").alias("component"))
     of_class = of_class.join(best, "label").select("rep", "component", F.col("best.id").alias("class_id"))
     grouped = members.drop("best").join(of_class, "rep").select(
-        "id", "n", F.col("component.id").alias("component_id"), (F.col("row") == F.col("component.row")).alias("kept"), "class_id")
-    alone = rows.where("set_key IS NULL").select("id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"), F.col("id").alias("class_id"))
-    return grouped.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept", "class_id")
+        "row", "id", "n", F.col("component.id").alias("component_id"), (F.col("row") == F.col("component.row")).alias("kept"), "class_id")
+    alone = rows.where("set_key IS NULL").select("row", "id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"), F.col("id").alias("class_id"))
+    return grouped.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept", "class_id", F.col("row").alias("__row"))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept, and its class (``class_id``)."""
+    return _marks(docs, F.monotonically_increasing_id(), id_col, text, width, threshold).drop("__row")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group; rows that share an id stay or go together."""
-    marks = near_groups(docs, id_col, text, width, threshold)
-    gone = marks.groupBy(id_col).agg(F.max("kept").alias("__kept")).where(~F.col("__kept")).select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one document of each group; rows that share an id stay or go together.
+
+    Rows without an id share none: they are numbered, which stores the table once more.
+    """
+    unknown, row, rows = F.col(id_col).isNull(), F.monotonically_increasing_id(), docs
+    if not docs.where(unknown).isEmpty():
+        row, rows = F.col("__row"), stored(docs.withColumn("__row", row), "numbered")
+    marks = _marks(rows, row, id_col, text, width, threshold)
+    gone = marks.groupBy(F.col(id_col).alias("__id"), F.when(unknown, F.col("__row")).alias("__own")).agg(F.max("kept").alias("__kept")).where("NOT __kept")
+    same = F.col(id_col) == F.col("__id")
+    if rows is not docs:  # one number per row, so rows without an id do not meet under one key
+        own = F.when(unknown, F.col("__row"))
+        same = F.col(id_col).eqNullSafe(F.col("__id")) & own.eqNullSafe(F.col("__own"))
+    return rows.join(gone, same, "left_anti").select(*docs.columns)

@@ -199,6 +199,14 @@ def test_near_chain_and_star(spark):
     assert sorted(map(sorted, mine.values())) == sorted(groups)
 
 
+def test_near_copies_without_an_id_go(spark):
+    copy = BASE.replace("word59", "other")
+    texts = [(1, BASE), (None, copy), (None, BASE), (None, "alone of its kind here"), (2, copy), (3, "x y z"), (3, BASE), (None, ""), (None, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    left = collections.Counter(tuple(r) for r in near_dedup.drop_near_copies(df).collect())
+    assert left == collections.Counter([texts[0], texts[3], *texts[5:]])
+
+
 def test_near_bands_follow_the_threshold():
     import numpy as np
 
