@@ -55,6 +55,40 @@ TEMPLATES = (
             "conditions are met:"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
             "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC-BY-4.0-notice", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0-notice", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights "
+                "(defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship "
+                "and/or a database (each, a \"Work\")."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+                "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+                "version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                 "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+                 "any later version."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
+    ("Apache-2.0-body", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and "
+                        "conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. \"Licensor\" "
+                        "shall mean the copyright owner or entity authorized by the copyright owner that is granting the License."),
+    ("GPL-2.0-body", "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU "
+                     "General Public License is intended to guarantee your freedom to share and change free software--to make sure the "
+                     "software is free for all its users. This General Public License applies to most of the Free Software Foundation's "
+                     "software and to any other program whose authors commit to using it. (Some other Free Software Foundation software is "
+                     "covered by the GNU Lesser General Public License instead.) You can apply it to your programs, too."),
+    ("GPL-3.0-body", "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for "
+                     "most software and other practical works are designed to take away your freedom to share and change the works. By "
+                     "contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a "
+                     "program--to make sure it remains free software for all its users. We, the Free Software Foundation, use the GNU "
+                     "General Public License for most of our software; it applies also to any other work released this way by its authors. "
+                     "You can apply it to your programs, too."),
+    ("LGPL-3.0-body", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU "
+                      "General Public License, supplemented by the additional permissions listed below."),
 )
 
 

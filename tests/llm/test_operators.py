@@ -280,6 +280,15 @@ def test_substrings(docs, empty, spark):
     assert substring_dedup.drop_repeats(docs).count() == len(rows())
 
 
+def test_common_licenses_are_covered(spark):
+    texts = [(1, "Text. Licensed under CC BY 4.0. More"), (2, "x " + "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+              "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+             (3, "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+              "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")]
+    got = license_scan.find_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {(1, "CC-BY-4.0-notice"), (2, "MPL-2.0"), (3, "GPL-2.0")} <= {(r.doc_id, r.license_id) for r in got}
+
+
 def test_edited_licenses_at_every_offset(spark):
     def shingles(words):
         return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
