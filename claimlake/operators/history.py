@@ -69,7 +69,7 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _duplicate_check(keys: DataFrame, key: str, shape: T.StructType, what: str) -> DataFrame:
+def duplicate_check(keys: DataFrame, key: str, shape: T.StructType, what: str) -> DataFrame:
     """A branch with no rows that raises when a key occurs twice in ``keys``.
 
     The count is a hash aggregate (partial counts per task, then per key),
@@ -139,7 +139,7 @@ def scd2_initial(source: DataFrame, target_schema: T.StructType,
     if key is None:
         return out
     keys = source.filter(_c(key).isNotNull()).select(key)
-    return out.unionByName(_duplicate_check(keys, key, out.schema, "scd2_initial"))
+    return out.unionByName(duplicate_check(keys, key, out.schema, "scd2_initial"))
 
 
 @dataclass(frozen=True)
@@ -158,18 +158,39 @@ def _built_bytes(rows: int, payload: int, width: int) -> int:
     return 2 * payload + rows * (96 + 8 * width)
 
 
+@dataclass(frozen=True)
+class BatchSize:
+    """Rows with a key, their payload and that of their keys, as counted where the batch was written."""
+
+    rows: int
+    bytes: int
+    key_bytes: int
+
+
+def size_metrics(source: DataFrame, key: str) -> list[Column]:
+    """Aggregates to observe while a batch is written: the fields of its ``BatchSize``."""
+    from claimlake.operators.joins import payload_bytes
+
+    keyed = _c(key).isNotNull()
+    total = lambda df: F.coalesce(F.sum(F.when(keyed, payload_bytes(df))), F.lit(0))
+    return [F.count(F.when(keyed, F.lit(1))).alias("rows"), total(source).alias("bytes"), total(source.select(key)).alias("key_bytes")]
+
+
 def _measured(source: DataFrame, key: str, business: list[str], mode: str, max_rows: int,
-              max_bytes: int) -> _Batch:
+              max_bytes: int, size: BatchSize | None = None) -> _Batch:
     if mode not in ("auto", "never"):
         raise ValueError(f"unknown key_broadcast {mode!r}")
     keyed = source.filter(_c(key).isNotNull())
     rows = keyed.select(*[_c(c).alias(_SRC + c) for c in business])
     if mode == "never":
         return _Batch(rows, None, False)
-    from claimlake.operators.joins import probe_sizes
+    from claimlake.operators.joins import SizeProbe, probe_sizes
 
     keys = keyed.select(_c(key).alias("__bk"))
-    all_rows, only_keys = probe_sizes([rows, keys])
+    if size is None:
+        all_rows, only_keys = probe_sizes([rows, keys])
+    else:
+        all_rows, only_keys = (SizeProbe(size.rows, b, True) for b in (size.bytes, size.key_bytes))
 
     def fits(p, width: int) -> bool:
         return p.rows <= max_rows and _built_bytes(p.rows, p.bytes, width) <= max_bytes
@@ -300,7 +321,58 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: str,
     out = out.unionByName(fresh.select(*_new_rows(target.schema, business, audit, ts)))
     if on_duplicate == "error":
         keys = source.filter(_c(key).isNotNull()).select(key)
-        out = out.unionByName(_duplicate_check(keys, key, target.schema, "scd2_apply"))
+        out = out.unionByName(duplicate_check(keys, key, target.schema, "scd2_apply"))
+    return out
+
+
+def scd2_current(current: DataFrame, source: DataFrame, key: str,
+                 tracked: Sequence[str] | None = None,
+                 ts: _dt.datetime | _dt.date | Column | None = None,
+                 audit: Audit = TX_AUDIT, null_safe: bool = False, on_duplicate: str = "error",
+                 key_broadcast: str = "auto", max_key_rows: int = MAX_KEY_ROWS,
+                 max_key_bytes: int = MAX_BUILT_BYTES, size: BatchSize | None = None) -> DataFrame:
+    """D5 for a table that keeps its current rows apart, one per key.
+
+    ``current`` holds current rows only, no key twice and none NULL (as
+    ``claimlake.sources.history_table`` stores them). Returns the rows kept,
+    the rows expired now and the new rows; the result of ``scd2_apply`` is
+    these and the untouched history.
+
+    One join gives kept, expired and changed rows: a changed row comes out
+    twice, as its expired self and as the batch's. A batch that fits a
+    broadcast needs one more scan, of the key column alone, for the keys that
+    the table lacks; a larger one is full-outer-joined, so that only the batch
+    is shuffled if ``current`` is bucketed by ``key``. ``on_duplicate``:
+    ``error`` or ``unchecked``. ``size``: of the batch, if it was counted as
+    it was written; otherwise the batch is measured.
+    """
+    if ts is None:
+        raise ValueError("ts is required")
+    if on_duplicate not in ("error", "unchecked"):
+        raise ValueError(f"on_duplicate {on_duplicate!r} needs scd2_apply")
+    business = _check_columns(current, source, audit)
+    types = {f.name: f.dataType for f in current.schema.fields}
+    batch = _measured(source, key, business, key_broadcast, max_key_rows, max_key_bytes, size)
+    diff = F.coalesce(changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in _tracked(source, key, tracked)),
+                              null_safe), F.lit(False))
+    joined = current.join(batch.rows, _c(key) == _c(_SRC + key), "left" if batch.whole else "full_outer")
+    mine, theirs = _c(key).isNotNull(), _c(_SRC + key).isNotNull()
+    copies = F.when(mine & theirs & diff, F.array(F.lit(0), F.lit(1))).when(mine, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
+    rows = joined.select("*", (theirs & diff).alias("__gone"), F.explode(copies).alias("__new"))
+    fresh = _new_rows(current.schema, business, audit, ts, _SRC)
+    gone = {audit.current: F.lit(False), audit.modified: _ts(ts, types[audit.modified])}
+    out = rows.select(*[
+        F.when(F.col("__new") == 1, new).when(F.col("__gone"), gone.get(c, _c(c))).otherwise(_c(c)).alias(c)
+        for c, new in zip(current.columns, fresh)])
+    if batch.whole:
+        seen = current.select(_c(key).alias("__ck")).join(batch.keys, F.col("__ck") == F.col("__bk"), "left_semi")
+        new = _without(source, key, seen, True)
+    else:
+        new = source.filter(_c(key).isNull())
+    out = out.unionByName(new.select(*_new_rows(current.schema, business, audit, ts)))
+    if on_duplicate == "error":
+        keys = source.filter(_c(key).isNotNull()).select(key)
+        out = out.unionByName(duplicate_check(keys, key, current.schema, "scd2_current"))
     return out
 
 
@@ -403,7 +475,7 @@ def upsert_flagged(target: DataFrame, source: DataFrame, key: str,
         cols.append(F.when(only_src, from_src).when(hit, upd).otherwise(_c(c)).alias(c))
     out = untouched.unionByName(j.select(*cols)).unionByName(src_null)
     if on_duplicate == "error":
-        out = out.unionByName(_duplicate_check(src.select(_SRC + key), _SRC + key, target.schema,
+        out = out.unionByName(duplicate_check(src.select(_SRC + key), _SRC + key, target.schema,
                                                "upsert_flagged"))
     return out
 

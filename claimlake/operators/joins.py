@@ -27,7 +27,8 @@ class SizeProbe:
     bounded: bool
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def payload_bytes(df: DataFrame) -> Column:
+    """Payload bytes of a row: real lengths of variable-width values, the width of the others."""
     total = F.lit(0).cast("long")
     for field in df.schema.fields:
         dt = field.dataType
@@ -46,7 +47,7 @@ def _probe_agg(df: DataFrame, tag: int) -> DataFrame:
     # A plain aggregate: each task counts its own rows and bytes (partial
     # aggregation) and only those partial sums are shuffled. A limit inside a
     # plan would instead funnel up to partitions x limit rows into one task.
-    return df.select(_row_bytes(df).alias("__w")).agg(
+    return df.select(payload_bytes(df).alias("__w")).agg(
         F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum("__w"), F.lit(0)).cast("long").alias("bytes"))
 

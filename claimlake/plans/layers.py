@@ -8,14 +8,18 @@ their own current version while the next one is written.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from claimlake.operators import marts, nested, reports
 from claimlake.operators.conform import union_sources
+from claimlake.operators.history import PATIENT_AUDIT, TX_AUDIT
 from claimlake.plans import jobs
-from claimlake.sources import schemas
+from claimlake.sources import history_table, loads, schemas
+from claimlake.sources.history_table import HistoryTable
 from claimlake.sources.tables import empty_table, read_bronze, replace_table, write_bronze
 
 HOSPITALS = ("hosa", "hosb")  # bronze folder per source (the load config's targetpath)
@@ -63,6 +67,52 @@ def build_silver(spark: SparkSession, bronze_root: str, table_root: str, ts: _dt
                   table_root)
 
 
+def silver_history(entity: str, table_root: str, names: Names | None = None, shape: T.StructType | None = None,
+                   buckets: int | None = None) -> HistoryTable:
+    """The stored SCD2 table of one entity (``shape``: the declared silver schema by default)."""
+    audit = PATIENT_AUDIT if entity == "patients" else TX_AUDIT
+    return HistoryTable((names or Names()).silver[entity], table_root, schemas.SCD2_KEYS[entity],
+                        shape or schemas.silver(entity), audit, buckets)
+
+
+def quality_batch(spark: SparkSession, entity: str, paths: Mapping[str, str]) -> DataFrame:
+    """P1-P3 (view part) over one run's load folders, by data source; a source without a load adds nothing."""
+    if entity == "patients":
+        frames = [spark.read.parquet(paths[ds]) if ds in paths else empty_table(spark, schemas.bronze(f"patients_{ds[-1]}"))
+                  for ds in ("hos-a", "hos-b")]
+        return jobs.patients_quality(*frames)
+    quality = {"transactions": jobs.transactions_quality, "encounters": jobs.encounters_quality}[entity]
+    return quality(union_sources(*[spark.read.parquet(path) for _, path in sorted(paths.items())]))
+
+
+def build_silver_from_loads(spark: SparkSession, runs_table: str, table_root: str, ts: _dt.datetime | Column,
+                            names: Names | None = None, shapes: Mapping[str, T.StructType] | None = None,
+                            buckets: int | None = None) -> int:
+    """P1-P5 from published loads; returns the last run applied.
+
+    Each SCD2 table takes the runs that it has not applied yet, one after the
+    other, and records the run in the commit of its rows: a job that failed
+    between two tables goes on where each of them is. Providers and
+    departments are reloaded from their sources' last full loads.
+    """
+    nm, shapes = names or Names(), shapes or {}
+    through = loads.last_run(spark, runs_table)
+    tables = {e: silver_history(e, table_root, nm, shapes.get(e), buckets) for e in ("transactions", "encounters", "patients")}
+    done = {e: history_table.state_of(spark, t).applied for e, t in tables.items()}
+    pending = loads.loads_between(spark, runs_table, min(done.values()), through)
+    for entity, table in tables.items():
+        for run, paths in sorted(loads.entity_loads(pending, entity).items()):
+            if run > done[entity]:
+                done[entity] = history_table.apply_stored(spark, table, quality_batch(spark, entity, paths), ts, run).applied
+        if done[entity] < through:
+            history_table.mark_applied(spark, table, through)
+    for entity, build in (("providers", jobs.providers_silver), ("departments", jobs.departments_silver)):
+        paths = loads.last_full_loads(spark, runs_table, entity, through)
+        if paths:
+            replace_table(build(*[spark.read.parquet(p) for p in paths]), nm.silver[entity], table_root)
+    return through
+
+
 def build_gold(spark: SparkSession, table_root: str, refreshed_at: _dt.datetime,
                names: Names | None = None) -> None:
     """Reload the star schema from silver (each table in one swap)."""

@@ -20,7 +20,7 @@ from claimlake.operators import history as hist
 from claimlake.operators import marts, nested, quality, reports
 from claimlake.plans import jobs, layers, standins as st
 from claimlake.session import scratch_path
-from claimlake.sources import ingest, tables
+from claimlake.sources import history_table, ingest, loads, tables
 from claimlake.sources.schemas import CONTROL_DDL, GOLD_DDL, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,10 +76,14 @@ def e2_monthly_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p1_silver_transactions")
 def p1_silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 over two days: the first load, then day 2's batch (23 tracked columns)."""
-    day1 = hist.scd2_initial(_tx_quality(spark, sf_dir, 1), st.ntz_schema("transactions"),
-                             st.ts_ntz(st.BATCH_TS_1), key="TransactionID")
-    return jobs.apply_batch(day1, _tx_quality(spark, sf_dir, 2), "transactions", st.ts_ntz(st.BATCH_TS_2))
+    """P1 over two days, stored: the first load, then day 2's batch (23 tracked columns) onto the current part."""
+    import uuid
+
+    names = layers.Names(silver={"transactions": f"claimlake_transactions_{uuid.uuid4().hex[:8]}"})
+    table = layers.silver_history("transactions", scratch_path(spark, "silver"), names, st.ntz_schema("transactions"))
+    for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2)):
+        history_table.apply_stored(spark, table, _tx_quality(spark, sf_dir, day), st.ts_ntz(ts))
+    return spark.table(table.name)
 
 
 @register("p17_fact_transactions")
@@ -459,6 +463,34 @@ def p19_loaded_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cf.union_sources(*[tables.read_bronze(spark, root, h, "encounters") for h in ("hosa", "hosb")])
 
 
+def _two_days_to_silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """P19 into P1-P3: two runs loaded and published, each followed by a silver run that applies what is new."""
+    import uuid
+
+    tag, root = uuid.uuid4().hex[:8], scratch_path(spark, "loads")
+    config = ingest.load_config(spark).withColumn("is_active", (F.col("tablename") == f"dbo.{entity}").cast("int"))
+    names = layers.Names(silver={e: f"claimlake_{e}_{tag}" for e in layers.Names().silver})
+    for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2)):
+        loads.publish_loads(spark, config, _load_sources(spark, sf_dir, day), f"{root}/bronze", f"claimlake_runs_{tag}", st.ts_ntz(ts))
+        layers.build_silver_from_loads(spark, f"claimlake_runs_{tag}", f"{root}/silver", st.ts_ntz(ts), names, {entity: st.ntz_schema(entity)})
+    return spark.table(names.silver[entity])
+
+
+@register("p19_two_days_transactions")
+def p19_two_days_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_days_to_silver(spark, sf_dir, "transactions")
+
+
+@register("p19_two_days_encounters")
+def p19_two_days_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_days_to_silver(spark, sf_dir, "encounters")
+
+
+@register("p19_two_days_patients")
+def p19_two_days_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_days_to_silver(spark, sf_dir, "patients")
+
+
 @register("a9_overwrite_table")
 def a9_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A managed table's content and columns replaced by another extract."""
