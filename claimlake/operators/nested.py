@@ -10,12 +10,14 @@ ICD hierarchy walk.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.session import cut_lineage
+from claimlake.session import cut_lineage, scratch_path
 
 # Fixed values that must equal the reference's: the NPI answer fields read,
 # the entity type whose own name is used, and the ICD code type stamped.
@@ -31,24 +33,40 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("enumeration_type", T.StringType()),
     T.StructField("basic", T.StringType()),  # kept as raw JSON text: key presence is tested on it
 ])
-DOC_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RESULT_SCHEMA))])
+_REJECT = "__rejected"  # where the parser leaves the text of a document that it cannot read
+DOC_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RESULT_SCHEMA)), T.StructField(_REJECT, T.StringType())])
 BASIC_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in NPI_BASIC_FIELDS])
 
 
 def explode_results(raw: DataFrame, body: str = "body", malformed: str = "fail") -> DataFrame:
-    """Parse each document and emit one row per element of ``results``.
+    """Parse each document once and emit one row per element of ``results``.
 
     A document without ``results`` or with an empty list emits nothing. One
-    that is not JSON fails the job, so that nothing is lost unseen; with
-    ``malformed="skip"`` it emits nothing. Other columns of ``raw`` are carried along.
+    that cannot be read (it is not JSON, or has another shape) fails the job,
+    so that nothing is lost unseen. With ``malformed="reject"`` it becomes one
+    row: ``rejected`` holds its text and ``result`` is NULL; store the output
+    and split it on ``rejected``. With ``"skip"`` it emits nothing. Other
+    columns of ``raw`` are carried along.
     """
-    doc = F.from_json(F.col(body), DOC_SCHEMA)
-    if malformed != "skip":
-        broken = F.col(body).isNotNull() & F.get_json_object(body, "$").isNull()
-        message = F.concat(F.lit("not a JSON document: "), F.substring(body, 1, 80))
-        doc = F.when(broken, F.raise_error(message).cast(DOC_SCHEMA)).otherwise(doc)
+    if malformed not in ("fail", "reject", "skip"):
+        raise ValueError(f"unknown malformed {malformed!r}")
     keep = [c for c in raw.columns if c != body]
-    return raw.select(*keep, F.explode(doc["results"]).alias("result"))
+    parsed = raw.select(*[f"`{c}`" for c in keep],
+                        F.from_json(F.col(body), DOC_SCHEMA, {"columnNameOfCorruptRecord": _REJECT}).alias("__doc"))
+    text, results = F.col("__doc")[_REJECT], F.col("__doc")["results"]
+    if malformed == "fail":
+        message = F.concat(F.lit("not a JSON document: "), F.substring(text, 1, 80))
+        results = F.when(text.isNotNull(), F.raise_error(message).cast(results_type())).otherwise(results)
+    elif malformed == "skip":
+        results = F.when(text.isNull(), results)
+    else:
+        results = F.when(text.isNotNull(), F.array(F.lit(None).cast(RESULT_SCHEMA))).otherwise(results)
+    rejected = [text.alias("rejected")] if malformed == "reject" else []
+    return parsed.select(*[f"`{c}`" for c in keep], *rejected, F.explode(results).alias("result"))
+
+
+def results_type() -> T.DataType:
+    return DOC_SCHEMA["results"].dataType
 
 
 def _field(basic_raw: Column, basic: Column, keys: Column, name: str) -> Column:
@@ -66,6 +84,8 @@ def flatten_registry(raw: DataFrame, batch_date: _dt.date | Column, body: str =
     without a type takes the second branch). Absent fields become ``''``
     while JSON nulls stay NULL, exactly as ``dict.get(k, '')`` does (J3):
     key presence is read with ``json_object_keys`` on the raw ``basic``.
+    With ``malformed="reject"`` a column ``rejected`` follows: the text of a
+    document that cannot be read, in a row without values, else NULL.
     """
     rows = explode_results(raw, body, malformed)
     r = F.col("result")
@@ -73,21 +93,30 @@ def flatten_registry(raw: DataFrame, batch_date: _dt.date | Column, body: str =
     basic = F.from_json(basic_raw, BASIC_SCHEMA)
     keys = F.json_object_keys(basic_raw)
     staged = rows.select(r["number"].alias("npi_id"), r["enumeration_type"].alias("etype"),
-                         basic.alias("b"), keys.alias("k"))
+                         basic.alias("b"), keys.alias("k"), *(["rejected"] if malformed == "reject" else []))
     b, k = F.col("b"), F.col("k")
     individual = F.col("etype") == F.lit(INDIVIDUAL_TYPE)
     ts = batch_date if isinstance(batch_date, Column) else F.lit(batch_date)
-    return staged.select(
-        "npi_id",
-        F.when(individual, _field(basic_raw, b, k, "first_name"))
-        .otherwise(_field(basic_raw, b, k, "authorized_official_first_name")).alias("first_name"),
-        F.when(individual, _field(basic_raw, b, k, "last_name"))
-        .otherwise(_field(basic_raw, b, k, "authorized_official_last_name")).alias("last_name"),
-        _field(basic_raw, b, k, "authorized_official_title_or_position").alias("position"),
-        _field(basic_raw, b, k, "organization_name").alias("organisation_name"),
-        _field(basic_raw, b, k, "last_updated").alias("last_updated"),
-        ts.cast("date").alias("refreshed_at"),
-    )
+    if malformed == "reject":
+        kept, none = F.col("rejected").isNull(), F.lit(None).cast("string")
+        flat = flatten_fields(individual, basic_raw, b, k, ts)
+        return staged.select("npi_id", *[F.when(kept, c).otherwise(none.cast("date") if n == "refreshed_at" else none).alias(n)
+                                         for n, c in flat.items()], "rejected")
+    return staged.select("npi_id", *[c.alias(n) for n, c in flatten_fields(individual, basic_raw, b, k, ts).items()])
+
+
+def flatten_fields(individual: Column, basic_raw: Column, b: Column, k: Column, ts: Column) -> dict[str, Column]:
+    """The flat columns of one result."""
+    return {
+        "first_name": F.when(individual, _field(basic_raw, b, k, "first_name"))
+        .otherwise(_field(basic_raw, b, k, "authorized_official_first_name")),
+        "last_name": F.when(individual, _field(basic_raw, b, k, "last_name"))
+        .otherwise(_field(basic_raw, b, k, "authorized_official_last_name")),
+        "position": _field(basic_raw, b, k, "authorized_official_title_or_position"),
+        "organisation_name": _field(basic_raw, b, k, "organization_name"),
+        "last_updated": _field(basic_raw, b, k, "last_updated"),
+        "refreshed_at": ts.cast("date"),
+    }
 
 
 def listed_numbers(list_docs: DataFrame, body: str = "body") -> DataFrame:
@@ -127,8 +156,39 @@ def expand_counts(df: DataFrame, n: str = "__n", chunk: int = 1024) -> DataFrame
     return chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("__copy")).drop("__copy")
 
 
+def _stored_level(level: DataFrame) -> tuple[DataFrame, int, int]:
+    """A level of the walk written to the checkpoint folder in one job, its nodes and those with children counted."""
+    seen, path = Observation(), scratch_path(level.sparkSession, "walk")
+    level.observe(seen, F.count(F.lit(1)).alias("nodes"), F.count_if("has_child").alias("inner")).write.parquet(path)
+    return level.sparkSession.read.schema(level.schema).parquet(path), seen.get["nodes"], seen.get["inner"]
+
+
+def _has_cycle(levels: list[DataFrame], edges: DataFrame) -> bool:
+    """Whether the nodes that a walk met at several levels hold a cycle.
+
+    Every node of a cycle is met again and again. Among the links between
+    repeated nodes those from a node without an incoming link are peeled off,
+    level by level: if nothing is left there is no cycle, if nothing more
+    comes off there is one.
+    """
+    inner = union_all([x.filter("has_child").select("url") for x in levels])
+    again = inner.groupBy("url").count().filter("count > 1").select("url")
+    links = edges.join(again, "url", "left_semi").join(again.withColumnRenamed("url", "child_url"), "child_url", "left_semi")
+    left = None
+    while True:
+        links = cut_lineage(links.select("url", "child_url"))
+        n = links.count()
+        if n == 0 or n == left:
+            return n > 0
+        links, left = links.join(links.select(F.col("child_url").alias("url")).distinct(), "url", "left_semi"), n
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
-                     max_depth: int | None = None, checkpoint_every: int = 1, expand: bool = True) -> DataFrame:
+                     max_depth: int | None = None, expand: bool = True) -> DataFrame:
     """Walk ``child`` links from the roots and return the leaves reached.
 
     ``nodes``: ``url``, ``has_child`` (the document has a ``child`` field,
@@ -139,37 +199,45 @@ def hierarchy_leaves(nodes: DataFrame, edges: DataFrame, roots: DataFrame,
     emitted; one with an empty list emits nothing. There is no visited set,
     so a node reached along two paths is emitted twice.
 
-    The frontier is kept as (url, number of paths): each level is one join
-    with the nodes, one with the edges, and a sum of path counts per child
-    (partially aggregated, so a node reached from many parents is folded
-    map-side). Its size is bounded by the number of nodes, however many
-    paths a DAG has; copies are produced only at the end (``expand``;
-    otherwise a ``paths`` column is returned). The frontier is checkpointed
-    into the session's checkpoint folder every ``checkpoint_every`` levels,
-    so a lost executor never replays the whole walk. A walk without a cycle
-    ends within as many levels as there are nodes; one that is still going
-    then (or after ``max_depth`` levels, if given) raises.
+    Links are joined with their child's fields once. Then each level is one
+    job: the frontier, kept as (node, number of paths), meets the links, and
+    path counts are summed per child (partially aggregated, so a node reached
+    from many parents is folded map-side). A level is bounded by the number
+    of nodes, however many paths a DAG has, and is stored in the checkpoint
+    folder, so a lost executor never replays the walk; leaves are read from
+    the stored levels, and copies are produced only at the end (``expand``;
+    otherwise a ``paths`` column is returned).
+
+    A cycle raises. It is looked for when the depth has doubled, so after at
+    most a few times the depth at which it closes. With ``max_depth`` a
+    deeper walk raises too.
     """
-    node_cols = nodes.select("url", "has_child", "code", "title")
-    frontier = roots.groupBy("url").agg(F.count(F.lit(1)).alias("__n"))
-    found: list[DataFrame] = []
-    levels = nodes.count() if max_depth is None else max_depth
-    for depth in range(levels + 2):
-        if depth and depth % checkpoint_every == 0:
-            frontier = cut_lineage(frontier)
-        if frontier.isEmpty():
+    fields = nodes.select("url", "has_child", "code", "title")
+    links = edges.join(fields.withColumnRenamed("url", "child_url"), "child_url")
+    named = ["has_child", "code", "title"]
+    level = roots.groupBy("url").agg(F.count(F.lit(1)).alias("__n")).join(fields, "url")
+    levels: list[DataFrame] = []
+    links_path = scratch_path(nodes.sparkSession, "links")
+    links.write.parquet(links_path)
+    links = nodes.sparkSession.read.schema(links.schema).parquet(links_path)
+    for depth in count():
+        stored, reached, inner = _stored_level(level)
+        if reached == 0:
             break
-        reached = frontier.join(node_cols, "url", "inner")
-        found.append(reached.filter(~F.col("has_child") & F.col("code").isNotNull()
-                                    & F.col("title").isNotNull()).select("url", "code", "title", "__n"))
-        frontier = (reached.filter(F.col("has_child")).select("url", "__n")
-                    .join(edges, "url", "inner")
-                    .groupBy(F.col("child_url").alias("url")).agg(F.sum("__n").alias("__n")))
-    else:
-        raise RuntimeError(f"hierarchy deeper than {levels} levels (a cycle?)")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
+        if max_depth is not None and depth > max_depth:
+            raise RuntimeError(f"hierarchy deeper than {max_depth} levels (a cycle?)")
+        levels.append(stored)
+        if inner == 0:
+            break
+        if depth >= 4 and depth & (depth - 1) == 0 and _has_cycle(levels, edges):
+            raise RuntimeError("hierarchy deeper than any number of levels: it has a cycle")
+        step = stored.filter("has_child").select("url", "__n").join(links, "url")
+        level = step.groupBy(F.col("child_url").alias("url")).agg(
+            F.sum("__n").alias("__n"), F.first(F.struct(*named)).alias("f")).select("url", "__n", "f.*")
+    if not levels:
+        levels = [stored]
+    out = union_all([x.filter(~F.col("has_child") & F.col("code").isNotNull() & F.col("title").isNotNull()).select("url", "code", "title", "__n")
+                     for x in levels])
     return expand_counts(out) if expand else out.withColumnRenamed("__n", "paths")
 
 

@@ -398,6 +398,24 @@ def a15_mapped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "full_outer")
 
 
+@register("a15_checked_load")
+def a15_checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer file with its columns in another order, and lines of nation 3 without a readable id:
+    rows bound by header name, and those lines set aside."""
+    root = scratch_path(spark, "landing")
+    mapping = [{"Container": "raw", "FilePath": "HospitalB", "FileName": "patients.csv", "DatabaseName": "rcmhospital_b", "TableName": "Customer"}]
+    c = st.table(spark, sf_dir, "customer")
+    lost = F.when(F.col("c_nationkey") == 3, "n/a").otherwise(F.col("c_custkey").cast("string"))
+    lines = c.select("c_name", F.col("c_nationkey").alias("C_NationKey"), lost.alias("c_custkey"), F.col("c_mktsegment").alias("extra"))
+    lines.write.option("header", True).csv(f"{root}/raw/HospitalB/patients.csv")
+    shape = schema("c_custkey long, c_name string, c_nationkey int")
+    got = ingest.land_mapped_files(spark, mapping, root, {"Customer": shape}, f"{root}/landed")["rcmhospital_b.Customer"]
+    count = lambda n: F.lit(n).cast("long")
+    rows = got.rows.select("*", F.lit(None).cast("string").alias("line"), count(got.n_rows).alias("n"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in shape.fields]
+    return rows.unionByName(got.rejects.select(*none, "line", count(got.n_rejects).alias("n")))
+
+
 @register("a17_full_extract")
 def a17_full_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.extract_full(st.table(spark, sf_dir, "supplier"), "hos-a")

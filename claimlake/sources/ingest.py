@@ -56,6 +56,53 @@ def plan_loads(config: DataFrame) -> DataFrame:
     )
 
 
+#: Where the CSV reader leaves the text of a line that does not fit the declared columns.
+REJECT = "__rejected"
+
+
+def checked_csv(spark: SparkSession, path: str, schema: T.StructType, malformed: str = "fail") -> DataFrame:
+    """A headered CSV bound to ``schema`` by the names in its header.
+
+    Columns may come in any order and in any case of letters; further columns
+    are read and dropped, a declared one that the header lacks raises. Every
+    file of a folder must have the same header (the reader compares them). A
+    line that does not fit (too few or too many fields, a value that is not of
+    its column's type) fails the job, or with ``malformed="reject"`` comes as
+    a row without values whose ``__rejected`` is the line.
+    """
+    if malformed not in ("fail", "reject"):
+        raise ValueError(f"unknown malformed {malformed!r}")
+    declared = {f.name.strip().lower(): f for f in schema.fields}
+    header = spark.read.csv(path, header=True).columns  # the first line of one file
+    names = [c.strip().lower() for c in header]
+    missing = [f.name for n, f in declared.items() if n not in names]
+    if missing or len(set(names)) < len(names):
+        raise ValueError(f"header {header} of {path} lacks {missing}" if missing else f"header {header} of {path} repeats a name")
+    bound = T.StructType([T.StructField(c, declared[n].dataType if n in declared else T.StringType()) for c, n in zip(header, names)])
+    by_name = dict(zip(names, header))
+    options = {"header": True, "enforceSchema": False}
+    if malformed == "fail":
+        rows = spark.read.csv(path, schema=bound, mode="FAILFAST", **options)
+    else:
+        rows = spark.read.csv(path, schema=bound.add(REJECT, T.StringType()), columnNameOfCorruptRecord=REJECT, **options)
+    fits = F.lit(True) if malformed == "fail" else F.col(REJECT).isNull()
+    cols = [F.when(fits, F.col(f"`{by_name[n]}`")).alias(f.name) for n, f in declared.items()]
+    return rows.select(*cols, *([] if malformed == "fail" else [REJECT]))
+
+
+def mapped_files(mapping: Iterable[Mapping[str, str]], root: str,
+                 schemas: Mapping[str, T.StructType]) -> dict[str, tuple[str, T.StructType]]:
+    """The path and declared schema of each mapped file, by ``DatabaseName.TableName``."""
+    by_name = {k.lower(): v for k, v in schemas.items()}
+    out: dict[str, tuple[str, T.StructType]] = {}
+    for m in mapping:
+        schema = by_name.get(m["TableName"].lower())
+        if schema is None:
+            raise KeyError(f"no schema declared for {m['TableName']}")
+        out[f"{m['DatabaseName']}.{m['TableName']}"] = (f"{root.rstrip('/')}/{m['Container']}/{m['FilePath']}/{m['FileName']}", schema)
+    return out
+
+
 def load_mapped_files(spark: SparkSession, mapping: Iterable[Mapping[str, str]], root: str,
                       schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
     """Read each mapped headered CSV with its declared schema.
@@ -63,17 +110,36 @@ def load_mapped_files(spark: SparkSession, mapping: Iterable[Mapping[str, str]],
     ``mapping`` rows carry ``Container, FilePath, FileName, DatabaseName,
     TableName``; the file is ``{root}/{Container}/{FilePath}/{FileName}``
     and the result is keyed ``DatabaseName.TableName``. ``schemas`` is
-    keyed by ``TableName`` (case-insensitive); no schema inference.
+    keyed by ``TableName`` (case-insensitive); no schema inference. Columns
+    are bound by header name, and a malformed line fails (``checked_csv``);
+    ``land_mapped_files`` sets such lines aside.
     """
-    by_name = {k.lower(): v for k, v in schemas.items()}
-    out: dict[str, DataFrame] = {}
-    for m in mapping:
-        table = m["TableName"]
-        path = f"{root.rstrip('/')}/{m['Container']}/{m['FilePath']}/{m['FileName']}"
-        schema = by_name.get(table.lower())
-        if schema is None:
-            raise KeyError(f"no schema declared for {table}")
-        out[f"{m['DatabaseName']}.{table}"] = spark.read.csv(path, header=True, schema=schema)
+    return {name: checked_csv(spark, path, schema) for name, (path, schema) in mapped_files(mapping, root, schemas).items()}
+
+
+@dataclass
+class Landed:
+    """One mapped file as landed: its ``rows``, the lines set aside (``line``), and how many of each."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    n_rows: int
+    n_rejects: int
+
+
+def land_mapped_files(spark: SparkSession, mapping: Iterable[Mapping[str, str]], root: str, schemas: Mapping[str, T.StructType],
+                      target: str) -> dict[str, Landed]:
+    """A15 with rejected lines as an output: each file is parsed once and written below
+    ``target/<table>``, rows and rejected lines apart; both are counted as they are written."""
+    out: dict[str, Landed] = {}
+    for name, (path, schema) in mapped_files(mapping, root, schemas).items():
+        seen, folder, bad = Observation(), f"{target.rstrip('/')}/{name}", F.col(REJECT).isNotNull()
+        parsed = checked_csv(spark, path, schema, malformed="reject").withColumn("__bad", bad)
+        parsed = parsed.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejects"))
+        parsed.write.partitionBy("__bad").parquet(folder)
+        landed = spark.read.schema(parsed.schema).parquet(folder)
+        out[name] = Landed(landed.filter("NOT __bad").select(*[f"`{f.name}`" for f in schema.fields]),
+                           landed.filter("__bad").select(F.col(REJECT).alias("line")), seen.get["rows"], seen.get["rejects"])
     return out
 
 

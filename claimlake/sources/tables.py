@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,11 +40,21 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append", skip_empty: boo
     """Append to, or overwrite, a parquet directory.
 
     ``skip_empty``: an extract with no rows leaves the old data in place
-    (the registry overwrite only runs when it fetched something). The
-    emptiness test reads at most one row. Returns whether it wrote.
+    (the registry overwrite only runs when it fetched something). The extract
+    is computed once, into a folder of the checkpoint folder, and its rows
+    are counted as they are written; what came is then copied to ``path``.
+    Readers of a bare path can meet the moment of the copy: keep the extract
+    as a table (``replace_table`` with ``skip_empty``) where that matters.
+    Returns whether it wrote.
     """
-    if skip_empty and df.isEmpty():
-        return False
+    if skip_empty:
+        from claimlake.session import scratch_path
+
+        seen, staged = Observation(), scratch_path(df.sparkSession, "staged")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+        if seen.get["rows"] == 0:
+            return False
+        df = df.sparkSession.read.schema(df.schema).parquet(staged)
     df.write.mode(mode).parquet(path)
     return True
 
@@ -63,13 +73,56 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location:
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part}{loc}")
 
 
-def overwrite_table(df: DataFrame, name: str) -> None:
-    """Replace a managed table's content and schema."""
-    df.write.mode("overwrite").saveAsTable(name)
+def _versions_root(spark: SparkSession, name: str) -> str:
+    """Where new versions of a table go: beside the folder it points at, or in the warehouse."""
+    at = table_location(spark, name)
+    if at is None:
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/versions"
+    tail = f"/{name.replace('.', '/')}/v-"
+    return at.partition(tail)[0] if tail in at else f"{at.rstrip('/')}__versions"
+
+
+def overwrite_table(df: DataFrame, name: str, root: str | None = None) -> None:
+    """Replace a table's content, and its columns if they changed.
+
+    The rows are staged first. With the same columns the table is then pointed
+    at them by one catalog change. With others it is dropped and created over
+    the staged rows, two catalog changes, after the rows are there.
+    """
+    spark = df.sparkSession
+    root = root or _versions_root(spark, name)
+    if not spark.catalog.tableExists(name) or _shape(df.schema) == _shape(spark.table(name).schema):
+        replace_table(df, name, root)
+        return
+    path = _stage(df, name, root)[0]
+    spark.sql(f"DROP TABLE {name}")
+    _create_over(spark, name, df.schema, path)
+
+
+def _shape(s: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
+
+
+def _stage(df: DataFrame, name: str, root: str, tag: str | None = None, cluster_by: list[str] | None = None) -> tuple[str, int]:
+    """Write ``df`` to a fresh version folder; returns it and the number of rows."""
+    version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
+    path, seen = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}", Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = out.sortWithinPartitions(*cluster_by) if cluster_by else out
+    out.write.mode("errorifexists").parquet(path)
+    return path, seen.get["rows"]
+
+
+def _create_over(spark: SparkSession, name: str, shape: T.StructType, path: str) -> None:
+    db = name.split(".")[0] if "." in name else None
+    if db:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{path}'")
 
 
 def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None,
-                  cluster_by: list[str] | None = None) -> str:
+                  cluster_by: list[str] | None = None, skip_empty: bool = False) -> str | None:
     """A11 + A13 in one commit: stage ``df`` under ``{root}/{name}/v-[tag-]<id>``,
     then point table ``name`` at it (creating it if absent). Returns the new path.
 
@@ -79,28 +132,26 @@ def replace_table(df: DataFrame, name: str, root: str, tag: str | None = None,
     without one keeps the last. Rows of another shape than the table's are refused.
     ``cluster_by`` sorts rows within each write task (no shuffle), so each
     parquet row group covers a narrow range of those columns and range
-    filters on them skip row groups.
+    filters on them skip row groups. With ``skip_empty`` (A8) a table is only
+    replaced if rows came, as counted while they were staged; otherwise it
+    stays, and None is returned. ``df`` is computed once in any case.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        shape = lambda s: [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
-        if shape(df.schema) != shape(spark.table(name).schema):
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        if _shape(df.schema) != _shape(spark.table(name).schema):
             raise ValueError(f"columns of the new rows differ from those of table {name}")
         if tag is None:  # what streams have committed stays on record
-            tag = (table_location(spark, name) or "").rstrip("/").rpartition("/v-")[2].rpartition("-")[0]
-    version = f"{tag}-{uuid.uuid4().hex}" if tag else uuid.uuid4().hex
-    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-{version}"
-    out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    out.write.mode("errorifexists").parquet(path)
-    if spark.catalog.tableExists(name):
+            at = (table_location(spark, name) or "").rstrip("/")
+            tag = at.rpartition("/v-")[2].rpartition("-")[0] if "/v-" in at else None
+    path, rows = _stage(df, name, root, tag, cluster_by)
+    if skip_empty and rows == 0:
+        return None
+    if exists:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
     else:
-        db = name.split(".")[0] if "." in name else None
-        if db:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{path}'")
+        _create_over(spark, name, df.schema, path)
     return path
 
 
@@ -109,22 +160,15 @@ def full_refresh(df: DataFrame, name: str, schema: T.StructType | None = None,
     """A11 + A12 + A13: replace an existing table's rows with ``df``.
 
     ``df`` is shaped like the table first (positional by default, with store
-    casts, as ``INSERT INTO t SELECT`` does). With ``root`` the rows are
-    staged under it and swapped in with one catalog change
-    (``replace_table``): readers never see an empty table and a failed run
-    changes nothing. Without ``root`` this is Spark's ``INSERT OVERWRITE``,
-    which removes the old files when the job starts (like the reference's
-    TRUNCATE + INSERT, S12).
+    casts, as ``INSERT INTO t SELECT`` does). The rows are staged under
+    ``root`` (by default beside the table's folder) and swapped in with one
+    catalog change (``replace_table``): readers never see an empty table and
+    a failed run changes nothing, unlike the reference's TRUNCATE + INSERT (S12).
     """
     from claimlake.operators.conform import conform_to
 
     spark = df.sparkSession
-    target = schema or spark.table(name).schema
-    shaped = conform_to(df, target, by=by)
-    if root is not None:
-        replace_table(shaped, name, root)
-    else:
-        shaped.write.insertInto(name, overwrite=True)
+    replace_table(conform_to(df, schema or spark.table(name).schema, by=by), name, root or _versions_root(spark, name))
 
 
 def table_location(spark: SparkSession, name: str) -> str | None:

@@ -136,3 +136,58 @@ def test_hierarchy_many_paths_counts(spark):
     assert {r["code"] for r in counted} == {"LEAF"} and len(counted) == k + 1
     assert sum(r["paths"] for r in counted) == 2 ** k
     assert hierarchy_leaves(ndf, edf, roots).count() == 2 ** k
+
+
+def test_rejected_documents_are_output(spark):
+    """One parse: a good row, and the text of each document that cannot be read."""
+    good = json.dumps({"results": [{"number": "1", "enumeration_type": "NPI-1", "basic": {"first_name": "Ann"}}]})
+    raw = docs(spark, [good, "{broken", json.dumps({"results": "none"}), json.dumps({"results": []}), None])
+    out = flatten_registry(raw, DAY, malformed="reject")
+    assert rows(out.filter("rejected IS NULL").drop("rejected")) == [("1", "Ann", "", "", "", "", DAY)]
+    assert rows(out.filter("rejected IS NOT NULL")) == [(None,) * 7 + (t,) for t in (json.dumps({"results": "none"}), "{broken")]
+    parsed = explode_results(raw, malformed="reject")
+    assert parsed.columns == ["number", "rejected", "result"]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") == 1 and "get_json_object" not in plan
+    assert explode_results(raw, malformed="skip").count() == 1
+
+
+NODE = "url string, has_child boolean, code string, title struct<`@value`:string>"
+
+
+def test_small_cycle_in_a_large_graph(spark):
+    """Three nodes in a ring below a root, beside 100,000 others: found within a few levels."""
+    import claimlake.operators.nested as nested_module
+
+    wide = spark.range(100000).select(F.concat(F.lit("w"), "id").alias("url"), F.lit(False).alias("has_child"),
+                                      F.concat(F.lit("W"), "id").alias("code"), F.struct(F.lit("t").alias("@value")).alias("title"))
+    nodes = spark.createDataFrame([(u, True, None, None) for u in ("root", "x", "y", "z")], NODE).unionByName(wide)
+    edges = spark.createDataFrame([("root", "x"), ("x", "y"), ("y", "z"), ("z", "x")], "url string, child_url string").unionByName(
+        wide.select(F.lit("root").alias("url"), F.col("url").alias("child_url")))
+    levels, real = [], nested_module._stored_level
+    nested_module._stored_level = lambda level: levels.append(1) or real(level)
+    try:
+        with pytest.raises(RuntimeError, match="cycle"):
+            hierarchy_leaves(nodes, edges, spark.createDataFrame([("root",)], "url string"))
+    finally:
+        nested_module._stored_level = real
+    assert len(levels) <= 9
+
+
+def test_paths_of_different_length_are_no_cycle(spark):
+    """A DAG whose nodes are met at many levels is walked to its end."""
+    k = 9
+    nodes = spark.createDataFrame([(f"n{i}", i < k, f"C{i}", ("t",)) for i in range(k + 1)], NODE)
+    edges = spark.createDataFrame([(f"n{i}", f"n{j}") for i in range(k) for j in (i + 1, i + 2) if j <= k], "url string, child_url string")
+    got = hierarchy_leaves(nodes, edges, spark.createDataFrame([("n0",)], "url string"), expand=False)
+    ways = [1, 1]
+    for _ in range(k - 1):
+        ways.append(ways[-1] + ways[-2])
+    assert sum(r["paths"] for r in got.collect()) == ways[k]
+
+
+def test_walk_from_unknown_or_no_roots(spark):
+    nodes, edges = _tree(spark)
+    roots = spark.createDataFrame([("nowhere",)], "url string")
+    assert hierarchy_leaves(nodes, edges, roots).count() == 0
+    assert hierarchy_leaves(nodes, edges, roots.limit(0)).count() == 0

@@ -116,3 +116,101 @@ def test_replace_table_refuses_another_shape(spark, tmp_dir):
     with pytest.raises(ValueError, match="differ"):
         tables.replace_table(spark.createDataFrame([(1, "a")], "id int, title string"), "shape_t", tmp_dir)
     assert [tuple(r) for r in spark.table("shape_t").collect()] == [(1, "a")]
+
+
+def _mapping(name):
+    return [{"Container": "raw", "FilePath": "H", "FileName": name, "DatabaseName": "db", "TableName": "T"}]
+
+
+def _file(root, name, text):
+    import os
+
+    os.makedirs(f"{root}/raw/H", exist_ok=True)
+    with open(f"{root}/raw/H/{name}", "w") as f:
+        f.write(text)
+
+
+def test_csv_is_bound_by_header_name(spark, tmp_dir):
+    import pytest
+
+    shape = {"t": schema("a int, b string")}
+    _file(tmp_dir, "swapped.csv", "B,x,a\nfoo,9,1\nbar,8,2\n")
+    assert rows(ingest.load_mapped_files(spark, _mapping("swapped.csv"), tmp_dir, shape)["db.T"]) == [(1, "foo"), (2, "bar")]
+    _file(tmp_dir, "short.csv", "a,c\n1,x\n")
+    with pytest.raises(ValueError, match="lacks"):
+        ingest.load_mapped_files(spark, _mapping("short.csv"), tmp_dir, shape)
+    _file(tmp_dir, "bad.csv", "b,a\nfoo,1\nbar,two\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest.load_mapped_files(spark, _mapping("bad.csv"), tmp_dir, shape)["db.T"].collect()
+
+
+def test_csv_rejects_are_an_output(spark, tmp_dir):
+    _file(tmp_dir, "t.csv", "b,a\nfoo,1\nbar,two\nonly\nx,1,2\n,3\n")
+    got = ingest.land_mapped_files(spark, _mapping("t.csv"), tmp_dir, {"T": schema("a int, b string")}, f"{tmp_dir}/landed")["db.T"]
+    assert rows(got.rows) == [(1, "foo"), (3, None)] and got.rows.columns == ["a", "b"]
+    assert rows(got.rejects) == [("bar,two",), ("only",), ("x,1,2",)]
+    assert (got.n_rows, got.n_rejects) == (2, 3)
+    _file(tmp_dir, "clean.csv", "a,b\n1,x\n")
+    clean = ingest.land_mapped_files(spark, _mapping("clean.csv"), tmp_dir, {"T": schema("a int, b string")}, f"{tmp_dir}/clean")["db.T"]
+    assert rows(clean.rows) == [(1, "x")] and clean.rejects.count() == 0 and clean.n_rejects == 0
+
+
+def test_csv_folder_with_another_header_fails(spark, tmp_dir):
+    import pytest
+
+    import os
+
+    os.makedirs(f"{tmp_dir}/raw/H/many")
+    for name, text in (("1.csv", "a,b\n1,x\n"), ("2.csv", "b,a\ny,2\n")):
+        with open(f"{tmp_dir}/raw/H/many/{name}", "w") as f:
+            f.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.load_mapped_files(spark, _mapping("many"), tmp_dir, {"T": schema("a int, b string")})["db.T"].collect()
+
+
+def _counted(spark, df):
+    """``df`` and an accumulator of the rows that were computed for it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    return df.mapInPandas(touch, df.schema), seen
+
+
+def test_guarded_overwrite_computes_its_input_once(spark, tmp_dir):
+    df = spark.createDataFrame([(i,) for i in range(100)], "x int")
+    counted, seen = _counted(spark, df)
+    assert tables.write_bronze(counted, f"{tmp_dir}/p", "overwrite", skip_empty=True)
+    assert seen.value == 100 and spark.read.parquet(f"{tmp_dir}/p").count() == 100
+    counted, seen = _counted(spark, df)
+    path = tables.replace_table(counted, "guarded_t", tmp_dir, skip_empty=True)
+    assert seen.value == 100 and tables.table_location(spark, "guarded_t").endswith(path.rpartition("/")[2])
+    assert tables.replace_table(df.where("x < 0"), "guarded_t", tmp_dir, skip_empty=True) is None
+    assert spark.table("guarded_t").count() == 100
+    tables.replace_table(df.where("x < 0"), "guarded_t", tmp_dir)
+    assert spark.table("guarded_t").count() == 0
+
+
+def test_refresh_that_fails_leaves_the_table(spark, tmp_dir):
+    """The default refresh and overwrite stage their rows: a failed one changes nothing."""
+    import pytest
+
+    name = "dim_department_fail_t"
+    tables.ensure_table(spark, name, gold("dim_department"), location=f"{tmp_dir}/dd")
+    src = spark.createDataFrame([("D1-hos-a", "D1", "Cardio", "hos-a")], "a string, b string, c string, d string")
+    tables.full_refresh(src, name)
+    broken = src.withColumn("c", F.raise_error(F.lit("gone")).cast("string"))
+    for write in (lambda: tables.full_refresh(broken, name), lambda: tables.overwrite_table(broken.toDF(*spark.table(name).columns), name)):
+        with pytest.raises(Exception, match="gone"):
+            write()
+        assert rows(spark.table(name)) == [("D1-hos-a", "D1", "Cardio", "hos-a")]
+
+
+def test_overwrite_with_other_columns(spark, tmp_dir):
+    tables.overwrite_table(spark.createDataFrame([(1,)], "x int"), "ow_shape_t", tmp_dir)
+    tables.overwrite_table(spark.createDataFrame([("a", 2)], "y string, z int"), "ow_shape_t")
+    tables.overwrite_table(spark.createDataFrame([("b", 3)], "y string, z int"), "ow_shape_t")
+    assert rows(spark.table("ow_shape_t")) == [("b", 3)] and spark.table("ow_shape_t").columns == ["y", "z"]
