@@ -215,22 +215,19 @@ def _expire(target: DataFrame, batch: _Batch, key: str, diff: Column, audit: Aud
             unique: bool) -> DataFrame:
     """Pass 1: the whole table, current rows that met a changed batch row expired.
 
-    ``unique``: batch keys are unique (checked or vouched for), so one outer
-    join does it. Otherwise a semi and an anti join, which repeat no row, and
-    a check that no current row meets several changed batch rows.
+    One outer join does it. ``unique``: batch keys are unique (checked or
+    vouched for). Otherwise the join is on changed batch rows, and a branch
+    without rows raises if a current row meets several of them.
     """
     passed, rows = _split(target, batch, key, audit)
     vals = {audit.current: F.lit(False), audit.modified: ts}
     cols = target.columns
     match = (_c(key) == _c(_SRC + key)) & _is_current(audit)
-    if unique:
-        hit = _c(_SRC + key).isNotNull() & diff
-        out = rows.join(batch.rows, match, "left").select(*[
-            (F.when(hit, vals[c]).otherwise(_c(c)) if c in vals else _c(c)).alias(c) for c in cols])
-    else:
-        kept = rows.join(batch.rows, match & diff, "left_anti")
-        gone = rows.filter(_is_current(audit)).join(batch.rows, match & diff, "left_semi")
-        out = kept.unionByName(gone.select(*[vals.get(c, _c(c)).alias(c) for c in cols]))
+    # a row that met several changed batch rows comes out several times, but then the run fails
+    hit = _c(_SRC + key).isNotNull() & (diff if unique else F.lit(True))
+    out = rows.join(batch.rows, match if unique else match & diff, "left").select(*[
+        (F.when(hit, vals[c]).otherwise(_c(c)) if c in vals else _c(c)).alias(c) for c in cols])
+    if not unique:
         met = (rows.filter(_is_current(audit)).withColumn("__row", F.monotonically_increasing_id())
                .join(batch.rows, match & diff).groupBy("__row")
                .agg(F.count(F.lit(1)).alias("__cnt"), F.min(_c(key)).alias("__key")))

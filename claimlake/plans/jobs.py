@@ -93,13 +93,15 @@ def icd_silver(target: DataFrame, staged: DataFrame) -> DataFrame:
                           updates={"code_description": "code_description", "updated_date": "updated_date"})
 
 
+#: The descriptive fields whose change makes a new version.
+NPI_TRACKED = ["first_name", "last_name", "position", "organisation_name", "last_updated"]
+
+
+def npi_batch(bronze_npi: DataFrame) -> DataFrame:
+    """P8 (view part): the registry extract without its refresh date."""
+    return bronze_npi.select("npi_id", *NPI_TRACKED)
+
+
 def npi_silver(target: DataFrame, bronze_npi: DataFrame, run_date: _dt.date | Column) -> DataFrame:
-    """NPI extract -> SCD2 with dates (``current_date``) as audit values.
-
-    Tracked: the five descriptive fields (B12 over 5 columns).
-    """
-    src = bronze_npi.select("npi_id", "first_name", "last_name", "position", "organisation_name",
-                            "last_updated")
-    return scd2_apply(target, src, "npi_id",
-                      tracked=["first_name", "last_name", "position", "organisation_name", "last_updated"],
-                      ts=run_date, audit=NPI_AUDIT)
+    """NPI extract -> SCD2 with dates (``current_date``) as audit values."""
+    return scd2_apply(target, npi_batch(bronze_npi), "npi_id", tracked=NPI_TRACKED, ts=run_date, audit=NPI_AUDIT)

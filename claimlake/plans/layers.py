@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from claimlake.operators import marts, nested, reports
 from claimlake.operators.conform import union_sources
-from claimlake.operators.history import PATIENT_AUDIT, TX_AUDIT
+from claimlake.operators.history import NPI_AUDIT, PATIENT_AUDIT, TX_AUDIT
 from claimlake.plans import jobs
 from claimlake.sources import history_table, loads, schemas
 from claimlake.sources.history_table import HistoryTable
@@ -87,13 +87,14 @@ def quality_batch(spark: SparkSession, entity: str, paths: Mapping[str, str]) ->
 
 def build_silver_from_loads(spark: SparkSession, runs_table: str, table_root: str, ts: _dt.datetime | Column,
                             names: Names | None = None, shapes: Mapping[str, T.StructType] | None = None,
-                            buckets: int | None = None) -> int:
-    """P1-P5 from published loads; returns the last run applied.
+                            buckets: int | None = None, cptcodes: DataFrame | None = None) -> int:
+    """P1-P6 from published loads; returns the last run applied.
 
     Each SCD2 table takes the runs that it has not applied yet, one after the
     other, and records the run in the commit of its rows: a job that failed
     between two tables goes on where each of them is. Providers and
     departments are reloaded from their sources' last full loads.
+    ``cptcodes``: the CPT code file's rows, on days when one has landed.
     """
     nm, shapes = names or Names(), shapes or {}
     through = loads.last_run(spark, runs_table)
@@ -106,6 +107,9 @@ def build_silver_from_loads(spark: SparkSession, runs_table: str, table_root: st
                 done[entity] = history_table.apply_stored(spark, table, quality_batch(spark, entity, paths), ts, run).applied
         if done[entity] < through:
             history_table.mark_applied(spark, table, through)
+    if cptcodes is not None:
+        table = silver_history("cptcodes", table_root, nm, shapes.get("cptcodes"), buckets)
+        history_table.apply_stored(spark, table, jobs.cpt_quality(cptcodes), ts)
     for entity, build in (("providers", jobs.providers_silver), ("departments", jobs.departments_silver)):
         paths = loads.last_full_loads(spark, runs_table, entity, through)
         if paths:
@@ -146,10 +150,14 @@ def icd_to_bronze(nodes: DataFrame, edges: DataFrame, roots: DataFrame, batch_da
     return write_bronze(rows, path, mode="append")
 
 
-def npi_to_bronze(list_docs: DataFrame, detail_docs: DataFrame, batch_date: _dt.date, path: str) -> bool:
+def npi_to_bronze(list_docs: DataFrame, detail_docs: DataFrame, batch_date: _dt.date, path: str,
+                  table: str | None = None) -> bool:
     """P10: listed numbers -> detail answers -> flat NPI rows; overwrite bronze
-    only when something came back (A8)."""
+    only when something came back (A8): the folder ``path``, or with ``table``
+    that table, whose versions go below ``path``."""
     rows = nested.flatten_registry(nested.detail_for(list_docs, detail_docs), batch_date)
+    if table is not None:
+        return replace_table(rows, table, path, skip_empty=True) is not None
     return write_bronze(rows, path, mode="overwrite", skip_empty=True)
 
 
@@ -161,9 +169,17 @@ def icd_silver_from_bronze(spark: SparkSession, bronze_path: str, table_root: st
     replace_table(jobs.icd_silver(current, spark.read.parquet(bronze_path)), n, table_root)
 
 
+def npi_history(table_root: str, names: Names | None = None, buckets: int | None = None) -> HistoryTable:
+    """The stored SCD2 table of the NPI registry."""
+    return HistoryTable((names or Names()).silver["npi_extract"], table_root, schemas.SCD2_KEYS["npi_extract"],
+                        schemas.silver("npi_extract"), NPI_AUDIT, buckets)
+
+
+def apply_npi(spark: SparkSession, table: HistoryTable, bronze_npi: DataFrame, run_date: _dt.date) -> history_table.State:
+    return history_table.apply_stored(spark, table, jobs.npi_batch(bronze_npi), run_date, tracked=jobs.NPI_TRACKED)
+
+
 def npi_silver_from_bronze(spark: SparkSession, bronze_path: str, table_root: str, run_date: _dt.date,
                            names: Names | None = None) -> None:
     """NPI bronze -> SCD2 silver with dates as audit values."""
-    n = (names or Names()).silver["npi_extract"]
-    current = _current(spark, n, schemas.silver("npi_extract"))
-    replace_table(jobs.npi_silver(current, spark.read.parquet(bronze_path), run_date), n, table_root)
+    apply_npi(spark, npi_history(table_root, names), spark.read.parquet(bronze_path), run_date)

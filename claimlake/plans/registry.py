@@ -216,9 +216,17 @@ def d1_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("d2_insert")
 def d2_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's two passes: D1 then D2 (must equal D5)."""
-    return hist.scd2_insert(d1_expire(spark, sf_dir), _enc_quality(spark, sf_dir, 2), "EncounterID",
-                            ts=st.ts_ntz(st.BATCH_TS_2), audit=hist.TX_AUDIT)
+    """The reference's two passes over a stored table: D1 is written, then D2 reads it (must equal D5)."""
+    root = scratch_path(spark, "passes")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    batch = stored(_enc_quality(spark, sf_dir, 2), "batch")
+    day1 = stored(_enc_loaded_day1(spark, sf_dir), "day1")
+    expired = stored(hist.scd2_expire(day1, batch, "EncounterID", ts=st.ts_ntz(st.BATCH_TS_2), audit=hist.TX_AUDIT), "pass1")
+    return hist.scd2_insert(expired, batch, "EncounterID", ts=st.ts_ntz(st.BATCH_TS_2), audit=hist.TX_AUDIT)
 
 
 @register("b12_changed")
@@ -274,12 +282,14 @@ def p15_dim_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p6_silver_cptcodes")
 def p6_silver_cptcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P6 over two days: new, retired and quarantined codes."""
-    silver = st.empty_silver(spark, "cptcodes")
+    """P6 over two days, stored: new, retired and quarantined codes."""
+    import uuid
+
+    names = layers.Names(silver={"cptcodes": f"claimlake_cptcodes_{uuid.uuid4().hex[:8]}"})
+    table = layers.silver_history("cptcodes", scratch_path(spark, "silver"), names, st.ntz_schema("cptcodes"))
     for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2)):
-        silver = jobs.apply_batch(silver, jobs.cpt_quality(st.cpt_bronze(spark, sf_dir, day)), "cptcodes",
-                                  st.ts_ntz(ts))
-    return silver
+        history_table.apply_stored(spark, table, jobs.cpt_quality(st.cpt_bronze(spark, sf_dir, day)), st.ts_ntz(ts))
+    return spark.table(table.name)
 
 
 @register("p14_dim_cpt_code")
@@ -312,11 +322,13 @@ def p16_dim_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p8_npi_scd2")
 def p8_npi_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P8 over two days: dates as audit values, five tracked fields."""
-    day1 = nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, 1), NPI_DATE)
-    day2 = nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, 2), NPI_DATE_2)
-    silver = jobs.npi_silver(st.empty_silver(spark, "npi_extract"), day1, NPI_DATE)
-    return jobs.npi_silver(silver, day2, NPI_DATE_2)
+    """P8 over two days, stored: dates as audit values, five tracked fields."""
+    import uuid
+
+    table = layers.npi_history(scratch_path(spark, "silver"), layers.Names(silver={"npi_extract": f"claimlake_npi_{uuid.uuid4().hex[:8]}"}))
+    for day, date in ((1, NPI_DATE), (2, NPI_DATE_2)):
+        layers.apply_npi(spark, table, nested.flatten_registry(st.npi_detail_docs(spark, sf_dir, day), date), date)
+    return spark.table(table.name)
 
 
 @register("j6_hierarchy_leaves")

@@ -86,5 +86,9 @@ def test_registry_loads(spark, tmp_dir):
     npath = f"{tmp_dir}/bronze/npi"
     assert layers.npi_to_bronze(listing, detail, dt.date(2024, 1, 1), npath)
     assert not layers.npi_to_bronze(listing.limit(0), detail, dt.date(2024, 1, 2), npath)  # kept
+    name = "npi_bronze_t"  # the same as a table
+    assert layers.npi_to_bronze(listing, detail, dt.date(2024, 1, 1), f"{tmp_dir}/npi", table=name)
+    assert not layers.npi_to_bronze(listing.limit(0), detail, dt.date(2024, 1, 2), f"{tmp_dir}/npi", table=name)
+    assert spark.table(name).count() == 1
     layers.npi_silver_from_bronze(spark, npath, f"{tmp_dir}/tables", dt.date(2024, 1, 1), names)
     assert spark.table(names.silver["npi_extract"]).first()["first_name"] == "Ann"
