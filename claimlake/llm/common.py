@@ -103,6 +103,11 @@ def lookup(left: DataFrame, right: DataFrame, key: str, hot: Hot) -> DataFrame:
     return left.where(often).join(F.broadcast(right.where(often)), key).unionByName(left.where(~often).join(right.where(~often), key))
 
 
+def quoted(names: Sequence[str]) -> list[Column]:
+    """Columns by their exact names, dots included."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def ranked(df: DataFrame, part: Sequence[str], cell: Column, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """0-based rank within ``part`` in the order (cell, order), in two levels.
 

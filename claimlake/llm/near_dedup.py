@@ -17,6 +17,9 @@ by finer sketches (1024 samples), per pair of chunks first the most promising
 pairs of each two components, then, where these did not link them, every pair
 that the sketches allow. So groups
 of near copies never become all pairs, and no candidate is capped or dropped.
+Buckets, pivots, classes and components that hold a large share of the rows
+are hot keys: what belongs to them is looked up by broadcast, and the chunks of
+a large bucket are dealt over several tasks.
 
 Defined cases: a document without words or text has an empty set and is linked
 with nothing; a document with fewer words than ``width`` has its whole sequence
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import arrow_batches, hot_keys, lookup, stored
+from claimlake.llm.common import arrow_batches, hot_keys, lookup, quoted, stored
 from claimlake.llm.graph import components
 from claimlake.llm.textscan import mix64, shingle_sets
 
@@ -49,6 +52,10 @@ FINE_SAMPLES, FINE_WORDS, FINE_MARGIN = 1024, 32, 0.05
 CHUNK = 512
 #: Pairs of two components that one pair of chunks offers first.
 FIRST = 4
+#: Chunks of a bucket that one task compares with all chunks of the bucket.
+DEAL = 8
+#: Shingles of the sets of often needed classes that are broadcast (64 MB); beyond it they shuffle like the others.
+HOT_ITEMS = 1 << 23
 #: Rows of one Arrow batch that leave a task.
 SLICE = 512
 #: The filter that picks the texts to read again has at most this many bits (128 MB).
@@ -186,18 +193,26 @@ def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _cross_pairs(rows: DataFrame, fine: DataFrame, cut: float, first: int | None) -> DataFrame:
     """Candidate pairs within unsettled buckets between different components (columns a < b, distinct)."""
-    per = rows.groupBy("key", "label").count()
-    small = per.where(f"count <= {CHUNK}").groupBy("key").agg(F.ceil(F.sum("count") / CHUNK).cast("int").alias("parts"))
+    rows = stored(rows.withColumn("cell", F.struct("key", "label")), "bucket-cells")
+    per = stored(rows.groupBy("key", "label").count(), "cell-sizes")
+    small = F.sum(F.when(F.col("count") <= CHUNK, F.col("count")))
+    parts = per.groupBy("key").agg(F.ceil(F.coalesce(small, F.lit(1)) / CHUNK).cast("int").alias("parts"))
     # a large component has chunks of its own; the small ones of a bucket share chunks
-    big = per.where(f"count > {CHUNK}").select("key", "label", F.ceil(F.col("count") / CHUNK).cast("int").alias("own"))
-    rows = rows.join(big, ["key", "label"], "left").join(small, "key", "left")
+    own = F.when(F.col("count") > CHUNK, F.ceil(F.col("count") / CHUNK).cast("int"))
+    cells = per.select(F.struct("key", "label").alias("cell"), own.alias("own"))
+    rows = lookup(lookup(rows, cells, "cell", hot_keys(rows, "cell")), parts, "key", hot_keys(rows, "key"))
     chunk = F.when(F.col("own").isNotNull(), F.struct(F.col("label").alias("of"), F.pmod(F.xxhash64("rep"), "own").alias("part"))).otherwise(
         F.struct(F.lit(None).cast("long").alias("of"), F.pmod(F.xxhash64("label"), "parts").alias("part")))
     rows = rows.select("key", "rep", "label", chunk.alias("chunk")).join(fine, "rep")
     chunks = stored(rows.groupBy("key", "chunk").agg(
         *(F.collect_list(c).alias(c) for c in ("rep", "label", "sketch", "bands"))), "chunks")
-    x, y = (chunks.select("key", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch", "bands"))) for s in "xy")
-    pairs = x.join(y, "key").where(
+    # a bucket of many chunks is dealt over several tasks: one side by its chunks, the other to all of them
+    dealt = chunks.groupBy("key").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("salts"))
+    chunks = chunks.join(dealt, "key")
+    x, y = (chunks.select("key", "salts", *(F.col(c).alias(f"{c}{s}") for c in ("chunk", "rep", "label", "sketch", "bands"))) for s in "xy")
+    x = x.withColumn("salt", F.pmod(F.xxhash64("chunkx"), "salts").cast("int")).drop("salts")
+    y = y.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    pairs = x.join(y, ["key", "salt"]).drop("salt").where(
         "(chunkx < chunky OR (chunkx = chunky AND chunkx.of IS NULL)) AND NOT (chunkx.of <=> chunky.of AND chunkx.of IS NOT NULL)")
     with arrow_batches(rows.sparkSession, 16):  # a row holds two chunks
         pairs = pairs.drop("chunkx", "chunky").mapInArrow(_compare(cut, first), "a long, b long")
@@ -230,8 +245,12 @@ def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, te
     """The pairs (a, b) that reach the threshold on their full sets."""
     ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     sets = _read_again(ends, docs, reps, id_col, text, width, lambda h: h.view(np.int64))
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("x")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
+    both = pairs
+    for end, items in (("a", "x"), ("b", "y")):
+        hot = hot_keys(pairs.select(end), end)
+        side = sets.select(F.col("rep").alias(end), F.col("items").alias(items))
+        held = side.where(hot.holds(end)).agg(F.sum(F.size(items))).first()[0] or 0
+        both = lookup(both, side, end, hot) if held <= HOT_ITEMS else both.join(side, end)
     shared = F.size(F.array_intersect("x", "y"))
     linked = 100 * shared >= round(100 * threshold) * (F.size("x") + F.size("y") - shared)
     return stored(both.where(linked).select("a", "b"), "links")
@@ -257,7 +276,9 @@ def _marks(docs: DataFrame, row: Column, id_col: str, text: str, width: int, thr
     buckets = stored(lookup(banded, pivots.select("key", "pivot"), "key", hot_keys(banded, "key")), "buckets")
     sketches = reps.select("rep", "sketch")
     stars = buckets.where("rep != pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    stars = stars.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
+    stars = stored(stars, "star-pairs")
+    for end, sketch in (("a", "x"), ("b", "y")):  # a bucket's pivot is in all its pairs
+        stars = lookup(stars, sketches.toDF(end, sketch), end, hot_keys(stars.select(end), end))
     stars = stored(stars.where(estimate(F.col("x"), F.col("y")) >= cut).select("a", "b"), "stars")
     links = _confirm(stars, docs, reps, id_col, text, width, threshold)
     labels = components(links)
@@ -280,8 +301,8 @@ def _marks(docs: DataFrame, row: Column, id_col: str, text: str, width: int, thr
     of_class = stored(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", "best", F.coalesce("label", "rep").alias("label")), "class-labels")
     best = of_class.groupBy("label").agg(F.min("best").alias("component"))
-    of_class = of_class.join(best, "label").select("rep", "component", F.col("best.id").alias("class_id"))
-    grouped = members.drop("best").join(of_class, "rep").select(
+    of_class = lookup(of_class, best, "label", hot_keys(of_class, "label")).select("rep", "component", F.col("best.id").alias("class_id"))
+    grouped = lookup(members.drop("best"), of_class, "rep", hot_keys(members, "rep")).select(
         "row", "id", "n", F.col("component.id").alias("component_id"), (F.col("row") == F.col("component.row")).alias("kept"), "class_id")
     alone = rows.where("set_key IS NULL").select("row", "id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"), F.col("id").alias("class_id"))
     return grouped.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept", "class_id", F.col("row").alias("__row"))
@@ -306,4 +327,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     if rows is not docs:  # one number per row, so rows without an id do not meet under one key
         own = F.when(unknown, F.col("__row"))
         same = F.col(id_col).eqNullSafe(F.col("__id")) & own.eqNullSafe(F.col("__own"))
-    return rows.join(gone, same, "left_anti").select(*docs.columns)
+    return rows.join(gone, same, "left_anti").select(*quoted(docs.columns))
