@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import ascii_lower, hot_keys, stored
+from claimlake.llm.common import ascii_lower, hot_keys, quoted, stored
 
 
 def text_digest(text: str) -> Column:
@@ -53,6 +53,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     winners = hot_keys(digests, "__digest", [F.max("id").alias("__keep")]).rows.drop("n")
     left = docs.withColumn("__digest", text_digest(text)).join(F.broadcast(winners.withColumn("__hot", F.lit(True))), "__digest", "left")
     left = left.where(F.col("__hot").isNull() | F.col(id_col).eqNullSafe(F.col("__keep")))
-    ties = [F.col(c) for c, kind in docs.dtypes if c not in (id_col, text) and not kind.startswith(("map", "variant"))]
+    ties = quoted([c for c, kind in docs.dtypes if c not in (id_col, text) and not kind.startswith(("map", "variant"))])
     first = Window.partitionBy("__digest").orderBy(F.col(id_col).desc_nulls_last(), F.col(text), *ties)
-    return left.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    return left.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*quoted(docs.columns))

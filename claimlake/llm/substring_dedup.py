@@ -22,7 +22,8 @@ Defined cases: a null or empty text and one of fewer than ``min_words`` words
 have no windows; a null id ranks last; rows that repeat id and text count as
 one document and get the same spans; a passage repeated within one document
 keeps its first place, and a window that overlaps its own first place is no
-repeat; other columns pass through ``drop_repeats``; an empty table gives an
+repeat; other columns pass through ``drop_repeats``, but columns named
+``cleaned`` and ``removed`` give way to the results; an empty table gives an
 empty result.
 """
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import arrow_batches, hot_keys, stored
+from claimlake.llm.common import arrow_batches, hot_keys, quoted, stored
 from claimlake.llm.textscan import Words, groups, run_hashes, utf8
 
 MIN_WORDS = 50
@@ -160,12 +161,14 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     later = rows.where(~own | (F.col("begin") >= F.col("first.begin") + min_words))
     found = later.groupBy("id", "body").agg(F.collect_set(F.struct("begin", F.col("first.id").alias("first_id"))).alias("__repeats"))
     found = stored(found.withColumnsRenamed({"id": "__id", "body": "__body"}), "repeats")
-    keep = [c for c in docs.columns if c != text]
-    joined = docs.select(*keep, F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"), F.col(id_col).alias("__key"))
+    keep = [c for c in docs.columns if c not in (text, "cleaned", "removed")]
+    names = [f"c{i}" for i in range(len(keep))]  # mapInArrow takes no names with dots
+    joined = docs.select(*[c.alias(n) for c, n in zip(quoted(keep), names)], F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"), F.col(id_col).alias("__key"))
     joined = joined.join(found, (F.col("__hash") == F.col("__body")) & F.col("__key").eqNullSafe(F.col("__id")), "left")
-    joined = joined.select(*keep, "__text", "__repeats")
-    out = joined.select(*keep, F.col("__text").alias("cleaned"), F.lit(None).cast(f"array<struct<start:int,end:int,first_id:{id_type}>>").alias("removed"))
-    return joined.mapInArrow(_clean(min_words, len(keep), [*keep, "cleaned", "removed"], _arrow_span(out)), out.schema)
+    joined = joined.select(*names, "__text", "__repeats")
+    out = joined.select(*names, F.col("__text").alias("cleaned"), F.lit(None).cast(f"array<struct<start:int,end:int,first_id:{id_type}>>").alias("removed"))
+    cleaned = joined.mapInArrow(_clean(min_words, len(keep), [*names, "cleaned", "removed"], _arrow_span(out)), out.schema)
+    return cleaned.toDF(*keep, "cleaned", "removed")
 
 
 def _arrow_span(out: DataFrame) -> pa.DataType:
