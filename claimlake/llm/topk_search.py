@@ -9,7 +9,7 @@ the scores from there on, and ties at the k-th score go to the smaller ids.
 
 Components are floor(1024 * x) as 64-bit integers. Products run as float64
 matrix products where all sums stay below 2^53, which is exact, else as 64-bit
-integers (which wrap around beyond 2^63, as SQL's would overflow).
+integers. Vectors so long that a score might not fit in 64 bits are refused.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part; vectors are compared with vectors of their length
@@ -140,7 +140,9 @@ def top_k(table: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vecto
         for i, v in enumerate(vectors):
             by_size[len(v)].append(i)
         queries = {n: (np.array(at), np.array([vectors[i] for i in at], np.int64)) for n, at in by_size.items()}
-        reach = np.array([min(2.0**62, np.sqrt((np.array(v, float) ** 2).sum()) * np.sqrt(longest or 0) + 1) for v in vectors])
+        reach = np.array([np.sqrt((np.array(v, float) ** 2).sum()) * np.sqrt(longest or 0) + 1 for v in vectors])
+        if (reach >= 2.0**62).any():
+            raise ValueError("components are too large: scores of these vectors may not fit in 64 bits")
         low = -np.ceil(reach).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
         width = -(-(-2 * low + 1) // BINS) if len(ids) else np.ones(0, np.int64)
         if len(ids):
