@@ -20,7 +20,7 @@ nothing. Texts are never shuffled; templates are broadcast.
 
 Defined cases: words are runs of a-z and 0-9 after lower-casing; a null or
 empty text matches nothing; a template without words is ignored; rows that
-repeat an id report together; an empty table gives an empty result.
+repeat an id report together, rows without one each for itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -164,13 +164,15 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     wanted = {w: sorted({h for r in kept if r["width"] == w for h in r["shingles"]}) for w in widths}
 
     # explode keeps the optimizer from copying the split into every shingle's expression
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(F.array(_words(F.col(text)))).alias("words"))
-    rows = rows.select("id", *[_shingles(F.col("words"), w).alias(f"s{w}") for w in widths])
+    known_id = F.col(id_col)
+    own = F.when(known_id.isNull(), F.monotonically_increasing_id())  # rows without an id report one by one
+    rows = docs.select(known_id.alias("id"), own.alias("own"), F.explode(F.array(_words(F.col(text)))).alias("words"))
+    rows = rows.select("id", "own", *[_shingles(F.col("words"), w).alias(f"s{w}") for w in widths])
     rows = rows.where(" OR ".join(f"arrays_overlap(s{w}, array({', '.join(f'{h}L' for h in wanted[w])}))" for w in widths))
     rows = stored(rows.select("*", *[_hits(F.col(f"s{w}"), wanted[w]).alias(f"h{w}") for w in widths]), "license-candidates")
     classes = sorted({(r["width"], r["length"]) for r in kept})
     per_class = [_windows(F.col(f"s{width}"), F.col(f"h{width}"), width, length) for width, length in classes]
-    windows = rows.select("id", F.explode(F.concat(*per_class)).alias("w")).select("id", "w.*").where("size(shingles) > 0")
+    windows = rows.select("id", "own", F.explode(F.concat(*per_class)).alias("w")).select("id", "own", "w.*").where("size(shingles) > 0")
     windows = windows.withColumn("samples", _samples(F.col("shingles"))).drop("shingles")
     banded = windows.select("*", F.posexplode("samples").alias("band", "sample"))
     shelf = known.select("license_id", "length", F.array_distinct("shingles").alias("template"), _samples(F.col("shingles")).alias("others"))
@@ -179,8 +181,8 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     first = F.array_position(F.zip_with("samples", "others", lambda x, y: x == y), True) - 1
     found = banded.join(shelf, ["length", "band", "sample"]).where(F.col("band") == first)
     found = found.where(F.size(F.array_intersect("around", "template")) / F.size("template") >= threshold)
-    found = found.select("id", "license_id", "length", _best_start().alias("at")).select("id", "license_id", "length", "at.*").where(F.col("containment") >= threshold)
+    found = found.select("id", "own", "license_id", "length", _best_start().alias("at")).select("id", "own", "license_id", "length", "at.*").where(F.col("containment") >= threshold)
     best = F.max(F.struct("containment", "before", "length")).alias("best")
-    return found.groupBy("id", "license_id").agg(best).select(
+    return found.groupBy("id", "own", "license_id").agg(best).select(
         F.col("id").alias(id_col), "license_id", F.col("best.containment").alias("containment"), (-F.col("best.before")).alias("start_word"),
         (F.col("best.length") - F.col("best.before")).cast("long").alias("end_word"))
