@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -367,3 +368,63 @@ def test_quality(spark, docs, empty):
     assert len(scored) == len(rows()) and all(0 <= r.score <= 1 for r in scored)
     assert quality.keep_good(docs, labels.limit(0)).count() == len(rows())  # without labels nothing is rejected
     assert quality.quality_scores(empty, labels).count() == 0
+
+
+def test_near_third_of_all_rows_in_one_bucket_and_class(spark):
+    """A third of the rows are one text, a third are linked near copies of one text in common buckets."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(120)]
+    table = [(i, " ".join(base)) for i in range(1500)]
+    for i in range(1500, 3000):
+        words = list(base)
+        words[rng.randrange(120)] = f"x{i}"
+        table.append((i, " ".join(words)))
+    table += [(i, " ".join(f"r{i}w{j}" for j in range(12))) for i in range(3000, 4500)]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(7)
+    for limit in ("-1", "32MB"):
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
+        got = {r.doc_id: r for r in near_dedup.near_groups(df, width=3, threshold=0.85).collect()}
+        assert all(got[i].component_id == 0 for i in range(3000))
+        assert all(got[i].component_id == i and got[i].kept for i in range(3000, 4500))
+        assert sum(r.kept for r in got.values()) == 1501
+
+
+def test_unsettled_bucket_of_many_chunks(spark, monkeypatch):
+    """Two groups that share buckets but not enough shingles stay apart, however their members are dealt."""
+    monkeypatch.setattr(near_dedup, "CHUNK", 4)
+    monkeypatch.setattr(near_dedup, "DEAL", 2)
+    rng = random.Random(9)
+    table = []
+    for i in range(160):
+        words = [f"c{j}" for j in range(70)] + [f"g{i % 2}n{j}" for j in range(14)]
+        for _ in range(i % 3):
+            words[rng.randrange(84)] = f"y{i}"
+        table.append((i, " ".join(words)))
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    _, groups = brute_groups(table, 3, 85)
+    want = {table[m][0]: min(table[x][0] for x in g) for g in groups for m in g}
+    assert {r.doc_id: r.component_id for r in near_dedup.near_groups(df, width=3, threshold=0.85).collect()} == want
+
+
+def test_names_with_dots_and_names_of_results(spark):
+    copies = [(1, BASE, "a", 1, "x"), (2, BASE.upper(), "b", 2, "y"), (3, "alone", "c", 3, "z")]
+    df = spark.createDataFrame(copies, "doc_id long, text string, `a.b` string, removed int, cleaned string")
+    got = exact_dedup.drop_copies(df)
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [2, 3]
+    assert near_dedup.drop_near_copies(df).columns == df.columns
+    out = substring_dedup.drop_repeats(df)
+    assert out.columns == ["doc_id", "a.b", "cleaned", "removed"]
+    assert {r.doc_id: (r["a.b"], r.cleaned, len(r.removed or [])) for r in out.collect()} == {1: ("a", BASE, 0), 2: ("b", "", 1), 3: ("c", "alone", 0)}
+
+
+def test_huge_components_are_refused(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        topk_search.top_k(df, lambda i: i == 0)
+
+
+def test_licenses_of_rows_without_an_id(spark):
+    notice = "Released under the MIT License."
+    df = spark.createDataFrame([(None, notice), (None, "x " + notice), (5, notice), (5, notice)], "doc_id long, text string")
+    got = license_scan.find_licenses(df).collect()
+    assert sorted((r.doc_id is None, r.start_word) for r in got) == [(False, 0), (True, 0), (True, 1)]
