@@ -13,10 +13,12 @@ a window, which so contains 0.71 of it or more: a Jaccard similarity of 0.55.
 With 16 bands of one sample such a window misses the template with a
 probability below 3e-6.
 
-Only windows that share a shingle with some template are built: all others
-have containment zero. That test compares every shingle of every text with the
-templates' (a literal list, as long as the templates are), so it drops
-nothing. Texts are never shuffled; templates are broadcast.
+Templates may be as long as whole licences. Two exact tests keep that cheap.
+Windows are only built where a text holds a shingle of some template, and only
+kept where the span around them holds as many as ``threshold`` asks for: all
+others stay below it. Both ask a bitmap of the templates' shingles (of bounded
+size; hashes that meet in a bit let more windows pass and lose none). Texts are
+never shuffled; templates are broadcast.
 
 Defined cases: words are runs of a-z and 0-9 after lower-casing; a null or
 empty text matches nothing; a template without words is ignored; rows that
@@ -25,16 +27,17 @@ repeat an id report together, rows without one each for itself; an empty table g
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import stored
 
 WIDTH, BANDS, THRESHOLD = 5, 16, 0.8
-#: Longest template in words: it bounds what a window can hold.
-LONGEST = 2000
+#: The bitmap of the templates' shingles has 32 bits for each of them, and at most this many (8 MB).
+MOST_BITS = 1 << 26
 
 # Public licence notices and opening paragraphs.
 TEMPLATES = (
@@ -110,17 +113,36 @@ def _samples(shingles: Column) -> Column:
     return F.array(*[sample(seed) for seed in range(BANDS)])
 
 
-def _hits(shingles: Column, wanted: list[int]) -> Column:
+class _Bitmap:
+    """Which shingles some template holds: a literal array of longs, made from one string."""
+
+    def __init__(self, wanted: Iterable[int]):
+        wanted = set(wanted)
+        self.bits = min(MOST_BITS, 1 << max(12, (32 * len(wanted)).bit_length()))
+        cells = [0] * (self.bits // 64)
+        for h in wanted:
+            cells[h % self.bits // 64] |= 1 << (h % 64)
+        signed = ",".join(str(c - (1 << 64) if c >> 63 else c) for c in cells)
+        # one literal for the plan, folded before the job starts
+        self.cells = F.split(F.lit(signed), ",").cast("array<bigint>")
+
+    def holds(self, shingle: Column) -> Column:
+        slot = F.pmod(shingle, F.lit(self.bits))
+        return F.getbit(F.get(self.cells, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")) == 1
+
+
+def _hits(shingles: Column, wanted: _Bitmap) -> Column:
     """Positions of the ``wanted`` shingles."""
     at = F.when(F.size(shingles) > 0, F.sequence(F.lit(0), F.size(shingles) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(at, lambda p: F.element_at(shingles, p + 1).isin(wanted))
+    return F.filter(at, lambda p: wanted.holds(F.get(shingles, p)))
 
 
-def _windows(shingles: Column, hits: Column, width: int, length: int) -> Column:
+def _windows(shingles: Column, hits: Column, width: int, length: int, need: int) -> Column:
     """The windows of ``length`` words, an eighth of it apart, that hold one of the ``hits``.
 
     ``around`` has the shingles of all spans of that length that start at
-    ``low`` to ``high``: nearer to this window than to the next one.
+    ``low`` to ``high``: nearer to this window than to the next one. ``need``
+    is the number of template shingles that a match holds at least.
     """
     step, count = max(1, length // 8), length - width + 1
 
@@ -130,7 +152,7 @@ def _windows(shingles: Column, hits: Column, width: int, length: int) -> Column:
 
     def window(a: Column) -> Column:
         low, high = F.greatest(a - step // 2, F.lit(0)), a + (step - 1 - step // 2)
-        return F.struct(F.lit(length).alias("length"), F.lit(count).alias("count"), low.alias("low"), high.alias("high"),
+        return F.struct(F.lit(length).alias("length"), F.lit(count).alias("count"), F.lit(width).alias("width"), F.lit(need).alias("need"), low.alias("low"), high.alias("high"),
                         F.array_distinct(F.slice(shingles, a + 1, count)).alias("shingles"),
                         F.slice(shingles, low + 1, high - low + count).alias("around"))
 
@@ -147,32 +169,50 @@ def _best_start() -> Column:
     return F.array_max(F.transform(F.sequence("low", "high"), span))
 
 
+def _once(*cols: Column) -> Column:
+    """A struct ``x`` of ``cols``; explode keeps the optimizer from copying a costly expression into every use of it."""
+    return F.explode(F.array(F.struct(*cols))).alias("x")
+
+
+def read_templates(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Templates from a folder (or glob) of text files, one whole licence each, named as the file is.
+
+    The list reaches the driver: it is a list of licences, not of documents.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "value")
+    return [(r["name"], r["value"]) for r in files.orderBy("name").collect()]
+
+
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """One row per (id, license_id) found: containment, start_word, end_word of the first best span."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(list(templates), "license_id string, body string").select("license_id", _words(F.col("body")).alias("words"))
-    known = known.where("size(words) > 0 AND words[0] != ''").withColumn("length", F.size("words")).withColumn("width", F.least("length", F.lit(WIDTH)))
-    widths = sorted({min(WIDTH, r["length"]) for r in known.select("length").collect()})  # as many rows as templates
-    if known.where(F.col("length") > LONGEST).count():
-        raise ValueError(f"a template has more than {LONGEST} words")
-    choose = lambda width, per: F.coalesce(*[F.when(width == w, per(w)) for w in widths])
-    known = known.withColumn("shingles", choose(F.col("width"), lambda w: _shingles(F.col("words"), w)))
-    kept = known.select("license_id", "length", "width", "shingles").collect()  # templates only
+    known = spark.createDataFrame(list(templates), "license_id string, body string").select("license_id", _once(_words(F.col("body")).alias("words")))
+    known = known.select("license_id", "x.words").where("size(words) > 0 AND words[0] != ''").withColumn("length", F.size("words"))
+    known = known.withColumn("width", F.least("length", F.lit(WIDTH)))
+    by_width = F.coalesce(*[F.when(F.col("width") == w, _shingles(F.col("words"), w)) for w in range(1, WIDTH + 1)])
+    known = stored(known.select("license_id", "length", "width", by_width.alias("shingles")), "license-templates")
+    kept = known.collect()  # templates only
+    widths = sorted({r["width"] for r in kept})
     if not kept:
         return docs.select(id_col).limit(0).selectExpr("*", "cast(null as string) license_id", "0D containment", "0L start_word", "0L end_word")
-    wanted = {w: sorted({h for r in kept if r["width"] == w for h in r["shingles"]}) for w in widths}
+    wanted = {w: _Bitmap(h for r in kept if r["width"] == w for h in r["shingles"]) for w in widths}
 
-    # explode keeps the optimizer from copying the split into every shingle's expression
     known_id = F.col(id_col)
     own = F.when(known_id.isNull(), F.monotonically_increasing_id())  # rows without an id report one by one
-    rows = docs.select(known_id.alias("id"), own.alias("own"), F.explode(F.array(_words(F.col(text)))).alias("words"))
-    rows = rows.select("id", "own", *[_shingles(F.col("words"), w).alias(f"s{w}") for w in widths])
-    rows = rows.where(" OR ".join(f"arrays_overlap(s{w}, array({', '.join(f'{h}L' for h in wanted[w])}))" for w in widths))
-    rows = stored(rows.select("*", *[_hits(F.col(f"s{w}"), wanted[w]).alias(f"h{w}") for w in widths]), "license-candidates")
-    classes = sorted({(r["width"], r["length"]) for r in kept})
-    per_class = [_windows(F.col(f"s{width}"), F.col(f"h{width}"), width, length) for width, length in classes]
+    rows = docs.select(known_id.alias("id"), own.alias("own"), _once(_words(F.col(text)).alias("words"))).select("id", "own", "x.*")
+    rows = rows.select("id", "own", _once(*[_shingles(F.col("words"), w).alias(f"s{w}") for w in widths])).select("id", "own", "x.*")
+    rows = rows.select("*", _once(*[_hits(F.col(f"s{w}"), wanted[w]).alias(f"h{w}") for w in widths]))
+    rows = stored(rows.where(" OR ".join(f"size(x.h{w}) > 0" for w in widths)).select("*", "x.*").drop("x"), "license-candidates")
+    need = {(r["width"], r["length"]): math.inf for r in kept}
+    for r in kept:
+        of = (r["width"], r["length"])
+        need[of] = min(need[of], math.ceil(threshold * len(set(r["shingles"])) - 1e-9))
+    per_class = [_windows(F.col(f"s{width}"), F.col(f"h{width}"), width, length, n) for (width, length), n in sorted(need.items())]
     windows = rows.select("id", "own", F.explode(F.concat(*per_class)).alias("w")).select("id", "own", "w.*").where("size(shingles) > 0")
+    # a span around the window with fewer of the templates' shingles than a match needs holds no match
+    enough = F.coalesce(*[F.when(F.col("width") == w, F.size(F.filter("around", wanted[w].holds)) >= F.col("need")) for w in widths])
+    windows = windows.where(enough)
     windows = windows.withColumn("samples", _samples(F.col("shingles"))).drop("shingles")
     banded = windows.select("*", F.posexplode("samples").alias("band", "sample"))
     shelf = known.select("license_id", "length", F.array_distinct("shingles").alias("template"), _samples(F.col("shingles")).alias("others"))
@@ -181,7 +221,8 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     first = F.array_position(F.zip_with("samples", "others", lambda x, y: x == y), True) - 1
     found = banded.join(shelf, ["length", "band", "sample"]).where(F.col("band") == first)
     found = found.where(F.size(F.array_intersect("around", "template")) / F.size("template") >= threshold)
-    found = found.select("id", "own", "license_id", "length", _best_start().alias("at")).select("id", "own", "license_id", "length", "at.*").where(F.col("containment") >= threshold)
+    found = found.select("id", "own", "license_id", "length", _once(_best_start().alias("at"))).select("id", "own", "license_id", "length", "x.at.*")
+    found = found.where(F.col("containment") >= threshold)
     best = F.max(F.struct("containment", "before", "length")).alias("best")
     return found.groupBy("id", "own", "license_id").agg(best).select(
         F.col("id").alias(id_col), "license_id", F.col("best.containment").alias("containment"), (-F.col("best.before")).alias("start_word"),
