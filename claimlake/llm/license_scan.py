@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 from claimlake.llm.common import stored
 
 WIDTH, BANDS, THRESHOLD = 5, 16, 0.8
-#: The bitmap of the templates' shingles has 32 bits for each of them, and at most this many (8 MB).
-MOST_BITS = 1 << 26
+#: The bitmap of the templates' shingles has 64 bits or more for each of them (another shingle passes with a
+#: probability below 2e-5), and at most this many (8 MB).
+MOST_BITS, PROBES = 1 << 26, 4
 
 # Public licence notices and opening paragraphs.
 TEMPLATES = (
@@ -114,21 +115,26 @@ def _samples(shingles: Column) -> Column:
 
 
 class _Bitmap:
-    """Which shingles some template holds: a literal array of longs, made from one string."""
+    """Which shingles some template holds, by PROBES bits each: a literal array of longs, made from one string."""
 
     def __init__(self, wanted: Iterable[int]):
-        wanted = set(wanted)
-        self.bits = min(MOST_BITS, 1 << max(12, (32 * len(wanted)).bit_length()))
-        cells = [0] * (self.bits // 64)
+        wanted = {h % (1 << 64) for h in wanted}
+        self.mask = min(MOST_BITS, 1 << max(16, (64 * len(wanted)).bit_length())) - 1
+        cells = [0] * ((self.mask + 1) // 64)
         for h in wanted:
-            cells[h % self.bits // 64] |= 1 << (h % 64)
+            for k in range(PROBES):
+                slot = h >> (12 * k) & self.mask
+                cells[slot // 64] |= 1 << (slot % 64)
         signed = ",".join(str(c - (1 << 64) if c >> 63 else c) for c in cells)
         # one literal for the plan, folded before the job starts
         self.cells = F.split(F.lit(signed), ",").cast("array<bigint>")
 
     def holds(self, shingle: Column) -> Column:
-        slot = F.pmod(shingle, F.lit(self.bits))
-        return F.getbit(F.get(self.cells, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")) == 1
+        met = F.lit(True)
+        for k in range(PROBES):
+            slot = F.shiftrightunsigned(shingle, 12 * k).bitwiseAND(F.lit(self.mask))
+            met = met & (F.getbit(F.get(self.cells, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        return met
 
 
 def _hits(shingles: Column, wanted: _Bitmap) -> Column:
