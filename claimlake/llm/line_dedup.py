@@ -8,13 +8,15 @@ aggregation; only lines whose estimate lies within five standard errors of the
 threshold get an exact distinct count.
 
 Lines with a large share of all rows are looked up by broadcast, the others
-shuffle; all that moves is a digest, a site and an id. A document's removed
+shuffle; all that moves is a digest, a site, an id and a hash of the text. A document's removed
 digests (no more than it has lines) then meet its text in one join.
 
 Defined cases: lines are compared without surrounding blanks and with A-Z in
 lower case; blank lines are never boilerplate; a null site is no site; a null
-text has one empty line and stays null; rows that repeat an id are cleaned
-alike; other columns pass through.
+text has one empty line and stays null; rows that repeat an id are cleaned each
+by its own text; other columns pass through, whatever their names, but columns
+named ``__lines`` and ``__removed`` give way to the results; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import Hot, ascii_lower, hot_keys, lookup, stored
+from claimlake.llm.common import Hot, ascii_lower, hot_keys, lookup, quoted, stored
 
 MIN_SITES = 10
 SKETCH_BITS = 12
@@ -50,15 +52,17 @@ def boilerplate(lines: DataFrame, hot: Hot, min_sites: int) -> DataFrame:
 
 def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with the text cleaned, and ``__lines`` and ``__removed`` (numbers of lines)."""
-    lines = docs.select(F.col(id_col).alias("id"), F.col(site).alias("site"), F.explode(F.split(text, "\n")).alias("line"))
-    lines = stored(lines.select("id", "site", line_digest(F.col("line")).alias("digest")).where("digest IS NOT NULL"), "lines")
+    docs = docs.select(*quoted([c for c in docs.columns if c not in ("__lines", "__removed")]))
+    body = F.xxhash64(text)  # rows without an id, or that repeat one, are told apart by their text
+    lines = docs.select(F.col(id_col).alias("id"), body.alias("body"), F.col(site).alias("site"), F.explode(F.split(text, "\n")).alias("line"))
+    lines = stored(lines.select("id", "body", "site", line_digest(F.col("line")).alias("digest")).where("digest IS NOT NULL"), "lines")
     hot = hot_keys(lines, "digest")
-    gone = lookup(lines.select("id", "digest"), boilerplate(lines, hot, min_sites), "digest", hot)
-    gone = gone.groupBy(F.col("id").alias("__id")).agg(F.collect_set("digest").alias("__gone"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")), "left").drop("__id")
+    gone = lookup(lines.select("id", "body", "digest"), boilerplate(lines, hot, min_sites), "digest", hot)
+    gone = gone.groupBy(F.col("id").alias("__id"), F.col("body").alias("__body")).agg(F.collect_set("digest").alias("__gone"))
+    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (body == F.col("__body")), "left").drop("__id", "__body")
     parts = F.split(text, "\n")
     left = F.filter(parts, lambda line: ~F.coalesce(F.array_contains("__gone", line_digest(line)), F.lit(False)))
     cleaned = joined.withColumn("__left", F.when(F.col("__gone").isNull(), parts).otherwise(left))
     count = lambda c: F.when(F.col(text).isNull(), 1).otherwise(F.size(c))
     cleaned = cleaned.withColumn("__lines", count(parts)).withColumn("__removed", F.col("__lines") - count("__left"))
-    return cleaned.withColumn(text, F.array_join("__left", "\n")).select(*docs.columns, "__lines", "__removed")
+    return cleaned.withColumn(text, F.array_join("__left", "\n")).select(*quoted(docs.columns), "__lines", "__removed")
