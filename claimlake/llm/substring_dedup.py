@@ -43,6 +43,8 @@ MIN_WORDS = 50
 SALTS = 256
 #: The filter on the windows' anchors has at most this many bits (128 MB).
 FILTER_BITS = 1 << 30
+#: Windows are equal if a hash of 64 bits and 32 bits of another one, under this salt, are: 10^13 windows make 10^-3 false matches.
+CHECK_SALT = 0x9E3779B97F4A7C15
 
 
 def anchors(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +89,8 @@ def _windows(length: int):
                 new = np.flatnonzero(np.diff(picked, prepend=-1))
                 first, doc = at[new], words.doc[at[new]]
                 rows, ends = pa.array(a + doc), np.append(new, len(at)).astype(np.int32)
-                found = run_hashes(words, length)[at].view(np.int64)
+                found = pa.StructArray.from_arrays([pa.array(run_hashes(words, length)[at].view(np.int64)),
+                                                    pa.array((run_hashes(words, length, CHECK_SALT)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))], ["digest", "check"])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(rows), batch.column("body").take(rows), pa.array(hashes[picked[new]].view(np.int64)),
                      pa.array((first - words.first[doc]).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(found))],
@@ -148,15 +151,15 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     with arrow_batches(docs.sparkSession, 512):
         repeated = texts.select("text").mapInArrow(_anchors(min_words), "anchor long").groupBy("anchor").count().where("count > 1")
         repeated = stored(repeated.select("anchor"), "anchors")
-        rows = texts.mapInArrow(_windows(min_words), f"id {id_type}, body long, anchor long, at int, digests array<long>")
-        rows = _held(rows, "anchor", repeated).select("id", "body", "at", F.posexplode("digests").alias("nth", "digest"))
-        rows = stored(rows.select("id", "body", "digest", (F.col("at") + F.col("nth")).alias("begin")), "windows")
+        rows = texts.mapInArrow(_windows(min_words), f"id {id_type}, body long, anchor long, at int, digests array<struct<digest:long,check:int>>")
+        rows = _held(rows, "anchor", repeated).select("id", "body", "at", F.posexplode("digests").alias("nth", "d"))
+        rows = stored(rows.select("id", "body", "d.digest", "d.check", (F.col("at") + F.col("nth")).alias("begin")), "windows")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "body", "begin")
-    hot = hot_keys(rows, "digest", [F.min(place).alias("first")]).rows
+    hot = hot_keys(rows.withColumn("window", F.struct("digest", "check")), "window", [F.min(place).alias("first")]).rows
     # all rows take one way: a hot digest knows its first place and is dealt over SALTS groups that need not meet
-    rows = rows.join(F.broadcast(hot.drop("n")), "digest", "left")
+    rows = rows.join(F.broadcast(hot.select("window.digest", "window.check", "first")), ["digest", "check"], "left")
     salt = F.when(F.col("first").isNotNull(), F.pmod(F.xxhash64("id", "begin"), F.lit(SALTS))).otherwise(F.lit(0))
-    rows = rows.withColumn("salt", salt).withColumn("first", F.coalesce("first", F.min(place).over(Window.partitionBy("digest", "salt"))))
+    rows = rows.withColumn("salt", salt).withColumn("first", F.coalesce("first", F.min(place).over(Window.partitionBy("digest", "check", "salt"))))
     own = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.body") == F.col("body"))
     later = rows.where(~own | (F.col("begin") >= F.col("first.begin") + min_words))
     found = later.groupBy("id", "body").agg(F.collect_set(F.struct("begin", F.col("first.id").alias("first_id"))).alias("__repeats"))

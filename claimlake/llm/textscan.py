@@ -112,11 +112,15 @@ def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return out, of
 
 
-def run_hashes(words: Words, length: int) -> np.ndarray:
-    """Hashes of every run of ``length`` words, by its first word; runs that cross two texts count too."""
-    forward, back = _powers(len(words.hash) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.hash * forward[:-1], dtype=np.uint64)))
-    n = max(0, len(words.hash) - length + 1)
+def run_hashes(words: Words, length: int, salt: int = 0) -> np.ndarray:
+    """Hashes of every run of ``length`` words, by its first word; runs that cross two texts count too.
+
+    Hashes under different salts are independent of each other.
+    """
+    each = mix64(words.hash ^ np.uint64(salt)) if salt else words.hash
+    forward, back = _powers(len(each) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(each * forward[:-1], dtype=np.uint64)))
+    n = max(0, len(each) - length + 1)
     return mix64((sums[length : length + n] - sums[:n]) * back[:n])
 
 
