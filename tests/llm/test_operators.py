@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import os
 import random
 import re
@@ -242,11 +243,88 @@ def test_mixing_targets(docs, empty, spark):
 def test_mixing_slices_are_even_for_every_weight(spark):
     for text in ("wort", "einwortohnezwischenraum"):
         df = spark.range(20000).selectExpr("id AS doc_id", f"'{text}' AS text", "'s' AS source")
-        rows = mixing._keyed(df, "doc_id", "text", "source")
+        rows = mixing._keyed(df, "doc_id", "text", "source", None)
         most = rows.groupBy("__slice").count().agg({"count": "max"}).first()[0]
         assert most <= 40  # two 4096ths are about ten
 
 
+def brute_targets(items):
+    """(sizes, targets) of the sources, by raising the level and closing those above their cap. items: (id, size, source)."""
+    sizes = collections.Counter()
+    for _, size, source in items:
+        sizes[source] += size
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(names)}
+    target, left, open_ = {}, float(sum(sizes.values())), set(names)
+    while True:
+        level = left / sum(w[s] for s in open_) if open_ else 0.0
+        over = {s for s in open_ if level * w[s] > 3 * sizes[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+        open_ -= over
+    return sizes, target | {s: level * w[s] for s in open_}
+
+
+def brute_mix(items, weight):
+    """({(id, size): words taken}, targets): documents one by one in key order."""
+    sizes, target = brute_targets(items)
+    key = lambda i: -math.log((int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) + 0.5) / 2**48) / weight(i)
+    taken = {}
+    for s in sizes:
+        epochs = int(target[s] // sizes[s]) if sizes[s] else 0
+        rest, up_to = target[s] - epochs * sizes[s], 0
+        for i, size in sorted(((i, n) for i, n, x in items if x == s), key=lambda r: (key(r[0]), r)):
+            up_to += size
+            taken[i, size] = size * (epochs + (rest > 0 and up_to - size / 2 <= rest))
+    return taken, target
+
+
+@pytest.mark.parametrize("column", [None, "score"])
+def test_mixing_against_brute_force(spark, column):
+    items = [(i, (i * 7) % 23, (None, "a", "b", "c", "d")[min(i % 11, 4)]) for i in range(900)]
+    weight = (lambda i: 1.0) if column is None else (lambda i: max(i % 5 / 4, 1 / 64))
+    df = spark.createDataFrame([(i, "wort " * n, s, i % 5 / 4 if i % 5 else None) for i, n, s in items], "doc_id long, text string, source string, score double")
+    got = mixing.mixed_sizes(df.repartition(5), quality=column).collect()
+    taken, target = brute_mix(items, weight)
+    # texts without words weigh less, but have nothing that can be taken
+    assert {(r.doc_id, r.size): r.taken for r in got} == taken
+    assert sorted({round(r.target, 6) for r in got}) == sorted({round(t, 6) for t in target.values()})
+    if column:
+        first = mixing.mixed_documents(df, quality=column)
+        assert collections.Counter(r.doc_id for r in first.collect()) == {i: n // size for (i, size), n in taken.items() if n} | {
+            r.doc_id: t for r in first.where("text = ''").groupBy("doc_id").count().collect() for t in [r["count"]]}
+
+
+def test_mixing_repeated_rows_at_the_border(spark):
+    df = spark.createDataFrame([(1, "x " * 10, "a")] * 9 + [(2, "x " * 10, "b")] * 9, "doc_id long, text string, source string")
+    got = mixing.mixed_sizes(df).collect()
+    # targets 128.6 and 51.4: an epoch of a and part of another, part of b; the border falls between equal rows, which are taken alike
+    assert {(r.doc_id, r.taken) for r in got} == {(1, 20), (2, 10)}
+
+
+def test_mixing_a_hundred_thousand_sources(spark):
+    df = spark.range(100000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 9 AS int)) AS text", "lpad(cast(id AS string), 6, '0') AS source")
+    got = mixing.mixed_sizes(df).collect()
+    _, target = brute_targets([(i, i % 9, f"{i:06d}") for i in range(100000)])
+    assert len(got) == 100000 and all(abs(r.target - target[f"{r.doc_id:06d}"]) < 1e-6 for r in got)
+
+
+def test_lines_of_long_texts_repeated_ids_and_extra_columns(spark):
+    text = "\n".join(["shared line"] * 3 + [f"own {i} " + "x" * 50 for i in range(20000)])
+    rows = [(i % 2, text if i == 0 else f"shared line\nown{i}", f"site{i}", i, None) for i in range(6)] + [(None, "shared line\nx", "site7", 9, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `n.lines` int, removed string")
+    got = line_dedup.drop_boilerplate(df, min_sites=4)
+    assert set(df.columns) < set(got.columns)
+    got = got.collect()
+    assert len(got) == 8 and all("shared" not in r.text for r in got)
+    long = [r for r in got if r["n.lines"] == 0][0]
+    assert long.text == text.replace("shared line\n", "") and long["__removed"] == 3
+    assert all(r.text == f"own{r['n.lines']}" for r in got if 0 < r["n.lines"] < 6) and [r.text for r in got if r["n.lines"] == 9] == ["x", "x"]
+
+
 def test_lines(spark, empty):
     lines = [(i, f"own {i}\n  Shared LINE\t\n\nrare {i % 2}" if i % 2 else f"shared line\nown {i}", f"site{i % 6}") for i in range(24)]
     df = spark.createDataFrame([*lines, (99, None, "z"), (100, "", None), (101, "shared line", None)], "doc_id long, text string, source string")
