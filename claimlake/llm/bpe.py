@@ -16,8 +16,9 @@ one arc, so a gadget takes constant space: ``target[c]`` starts as a copy of
 gadget made the cut; a token is cut too if it was built later upon a cut one.
 
 The automaton is deterministic in this sense: for every prefix of a word
-there is one accepted path, so encoding keeps one token per position and
-follows table entries (pieces by their bytes, arcs by state and token).
+there is one accepted path, so encoding follows table entries (pieces by their
+bytes, arcs by state and token), the longest piece first, and a place from
+which it had to turn back is not entered again.
 Decoding emits the arc labels.
 
 The file's normaliser (NFC, white space, lower case), its splitting pattern,
@@ -31,20 +32,22 @@ a special token's string in a text is that token; other columns pass through.
 from __future__ import annotations
 
 import json
-import pickle
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-#: Distinct words whose ids a worker keeps; beyond that it starts anew.
+#: Distinct words, and distinct strings between white space, whose ids a worker keeps; beyond that it starts anew.
 CACHED_WORDS = 150_000
+#: Longer words and strings are not kept.
+CACHED_LENGTH = 64
 #: Rows of one Arrow batch that leave a task.
 SLICE = 64
 _ANY = 1 << 60
@@ -73,7 +76,8 @@ class Automaton:
             (self.final if end else self.inner)["".join(chr(byte_of[c]) for c in body)] = i
         if not suffix:
             self.final = self.inner
-        self.begins = {piece[:k] for piece in (*self.inner, *self.final) for k in range(1, len(piece) + 1)}
+        # what a token begins with, and its id if it is a token inside a word (else -1)
+        self.begins = dict.fromkeys((piece[:k] for piece in (*self.inner, *self.final) for k in range(1, len(piece) + 1)), -1) | self.inner
         size = len(self.labels)
         # behind arc t lies a state with t's own cuts and, up to the gadget that made t, those behind its second half;
         # first[t]: the half that t begins with, and the gadget that made t
@@ -108,33 +112,42 @@ class Automaton:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of a word, given as its bytes (one character each)."""
-        n, inner, final, begins, arcs, size = len(word), self.inner, self.final, self.begins, self.arcs, self.size
-        last, begin = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(n):
-            before = last[j]  # settled: every piece that ends here begins earlier
-            if j and before < 0:
-                continue
-            for i in range(j + 1, n + 1):
-                piece = word[j:i]
-                if piece not in begins:
+        n, begins, arcs, size = len(word), self.begins.get, self.arcs.get, self.size
+        path, left, starts, dead, j, last = [], [], [], set(), 0, -1
+        while True:
+            options = []  # the tokens that begin here, the longest last
+            for i in range(j + 1, n):
+                token = begins(word[j:i])
+                if token is None:
                     break
-                token = inner.get(piece) if i < n else final.get(piece)
-                if token is None or last[i] >= 0:
+                if token >= 0:
+                    options.append((i, token))
+            else:
+                token = self.final.get(word[j:])
+                if token is not None:
+                    options.append((n, token))
+            while True:
+                if not options:  # no other path leads to this place
+                    if not path:
+                        raise ValueError("the vocabulary lacks a base symbol")
+                    dead.add(j)
+                    path.pop()
+                    options, j, last = left.pop(), starts.pop(), path[-1] if path else -1
                     continue
-                if j:
-                    arc = arcs.get(before * size + token)
-                    if arc is None:
-                        arc = self.arc(before, token)
-                    if not arc:
-                        continue
-                last[i], begin[i] = token, j
-        out, i = [], n
-        while i > 0:
-            if last[i] < 0:
-                raise ValueError("the vocabulary lacks a base symbol")
-            out.append(last[i])
-            i = begin[i]
-        return out[::-1]
+                i, token = options.pop()
+                if i in dead:
+                    continue
+                if last < 0:
+                    break
+                arc = arcs(last * size + token)
+                if arc or arc is None and self.arc(last, token):
+                    break
+            path.append(token)
+            if i == n:
+                return path
+            left.append(options)
+            starts.append(j)
+            j, last = i, token
 
 
 # Characters that Unicode 16 and 17 added, which Python's tables (15.1) lack.
@@ -153,6 +166,8 @@ _NEW_UPPER = re.compile("[" + "".join(map(chr, _LOWERED)) + "]")
 
 def lower(text: str) -> str:
     """Lower case character by character (a final sigma is like any other)."""
+    if text.isascii():
+        return text.lower()
     if _NEW_UPPER.search(text):
         text = text.translate(_LOWERED)
     return text.replace("Σ", "σ").lower()
@@ -160,21 +175,40 @@ def lower(text: str) -> str:
 
 def _class(kind: str) -> str:
     """The ranges of all characters of a Unicode category, as the inside of a character class."""
-    codes = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == kind]
-    begins = [c for p, c in zip([-2, *codes], codes, strict=False) if c != p + 1]
-    ends = [c for c, n in zip(codes, [*codes[1:], -2], strict=True) if n != c + 1]
-    return "".join(rf"\U{x:08x}-\U{y:08x}" for x, y in zip(begins, ends, strict=True)) + _ADDED[kind]
+    has = np.array([c[0] == kind for c in map(unicodedata.category, map(chr, range(0x110000)))])
+    edges = np.flatnonzero(np.diff(has, prepend=False, append=False))
+    return "".join(rf"\U{x:08x}-\U{y - 1:08x}" for x, y in edges.reshape(-1, 2).tolist()) + _ADDED[kind]
 
 
 #: White space of Unicode, as a pattern's \s has it.
 SPACES = r"\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: What ``str.split`` takes for white space beside those.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
-class Tokenizer(dict):
-    """Text to ids and back; as a dict, the ids of the words met last (as int32 bytes)."""
+class Recent(dict):
+    """``found`` of the strings asked for last; when it is full, those asked for before it was last full go."""
 
-    def __init__(self, spec: str):
+    def __init__(self, found: Callable[[str], bytes]):
         super().__init__()
+        self.found, self.before = found, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.found(key)
+        if len(key) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS // 2:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class Tokenizer:
+    """Text to ids and back. Call ``ready`` first."""
+
+    def __init__(self, spec: str):
         file = json.loads(spec)
         model = file["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
@@ -195,41 +229,43 @@ class Tokenizer(dict):
         if r"\p" in self.pattern or r"\s" in self.pattern:
             raise ValueError("the splitting pattern has a class that is not known")
 
+
     def ready(self) -> Tokenizer:
-        """Compiles the patterns (in the worker: they don't travel)."""
-        if "find" not in self.__dict__:
-            self.find = re.compile(self.pattern).findall
-            # characters of 16 bits are looked up in one table, others in a list of ranges
-            self.find_basic = re.compile(re.sub(r"\\U000[1-9a-f][0-9a-f]{4}(-\\U000[1-9a-f][0-9a-f]{4})?", "", self.pattern)).findall
-            self.beyond_basic = re.compile("[\U00010000-\U0010ffff]").search
-            marks = sorted(map(re.escape, self.special), key=len, reverse=True)
-            self.parts = re.compile("(" + "|".join(marks) + ")").split if marks else lambda text: [text]
+        """Compiles the patterns."""
+        self.find = re.compile(self.pattern).findall
+        # characters of 16 bits are looked up in one table, others in a list of ranges
+        self.find_basic = re.compile(re.sub(r"\\U000[1-9a-f][0-9a-f]{4}(-\\U000[1-9a-f][0-9a-f]{4})?", "", self.pattern)).findall
+        self.beyond_basic = re.compile("[\U00010000-\U0010ffff]").search
+        marks = sorted(map(re.escape, self.special), key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(marks) + ")").split if marks else lambda text: [text]
+        self.label_array = pa.array(self.labels, pa.string())
+        self.words, self.chunks = Recent(self.word), Recent(self.pieces)
         return self
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "find_basic", "beyond_basic", "parts")}
+    def word(self, word: str) -> bytes:
+        """The ids of a word, as int32 bytes."""
+        return array("i", self.automaton.encode_word(word.encode().decode("latin-1"))).tobytes()
 
-    def __reduce__(self):
-        return _revive, (self.__getstate__(),)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = np.array(self.automaton.encode_word(word.encode().decode("latin-1")), np.int32).tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+    def pieces(self, text: str) -> bytes:
+        """The ids of a text without special tokens, as int32 bytes."""
+        text = lower(unicodedata.normalize("NFC", text))
+        find = self.find_basic if text.isascii() or not self.beyond_basic(text) else self.find
+        return b"".join(map(self.words.__getitem__, find(text)))
 
     def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a whole text."""
-        out = []
-        for k, part in enumerate(self.parts(text or "")):
+        """The ids of a whole text.
+
+        No word holds white space, and neither NFC nor lower case reaches
+        across it, so a text is encoded string by string between white space.
+        """
+        text, chunks, out = text or "", self.chunks, []
+        for k, part in enumerate(self.parts(text) if any(mark in text for mark in self.special) else [text]):
             if k % 2:
                 out.append(np.array([self.special[part]], np.int32).tobytes())
-            elif part:
-                part = lower(unicodedata.normalize("NFC", part))
-                find = self.find_basic if part.isascii() or not self.beyond_basic(part) else self.find
-                out.extend([self[word] for word in find(part)])
+            elif any(c in part for c in SEPARATORS):
+                out.append(self.pieces(part))
+            else:
+                out.extend(map(chunks.__getitem__, part.split()))
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids) -> str:
@@ -237,11 +273,9 @@ class Tokenizer(dict):
         labels = self.labels
         return " ".join([labels[i] for i in ids])
 
-
-def _revive(state: dict) -> Tokenizer:
-    t = Tokenizer.__new__(Tokenizer)
-    t.__dict__.update(state)
-    return t
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """``decode`` of every list of ids, none of them null or a slice of others."""
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.label_array.take(ids.values)), " ")
 
 
 def _columns(batch: pa.RecordBatch, names: list[str], more: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -256,15 +290,16 @@ def _ids_array(rows: list[np.ndarray]) -> pa.Array:
 def encode(docs: DataFrame, path: str, columns: list[str], text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """``columns`` of every document and its ids; with ``decoded``, also what they decode to.
 
-    The vocabulary file is read and compiled once, on the driver, and
-    broadcast (a few MB, fixed by the file).
+    The vocabulary file is read on the driver and broadcast (a few MB, fixed
+    by the file); each worker process compiles it once, so the driver holds
+    its text only.
     """
     with open(path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Tokenizer(file.read())))
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not hasattr(shared, "tokenizer"):  # once in a worker process, whose next tasks find the words met so far
-            shared.tokenizer = pickle.loads(shared.value).ready()
+            shared.tokenizer = Tokenizer(shared.value).ready()
         tokenizer = shared.tokenizer
         for batch in batches:
             for a in range(0, batch.num_rows, SLICE):
@@ -272,7 +307,7 @@ def encode(docs: DataFrame, path: str, columns: list[str], text: str = "text", o
                 rows = [tokenizer.encode(t) for t in part.column(len(columns)).to_pylist()]
                 more = {out: _ids_array(rows)}
                 if decoded:
-                    more[decoded] = pa.array([tokenizer.decode(ids.tolist()) for ids in rows], pa.string())
+                    more[decoded] = tokenizer.decode_all(more[out])
                 yield _columns(part, columns, more)
 
     schema = docs.select(*columns).schema.add(out, ArrayType(IntegerType()))

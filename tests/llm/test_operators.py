@@ -154,6 +154,56 @@ def test_bpe_words_of_every_kind():
         assert list(mine.encode(t)) == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_bpe_normalises_a_string_once(monkeypatch):
+    path, tok = library()
+    with open(path, encoding="utf-8") as f:
+        mine = bpe.Tokenizer(f.read()).ready()
+    seen, lower = [], bpe.lower
+    monkeypatch.setattr(bpe, "lower", lambda text: seen.append(text) or lower(text))
+    text = "It's THE same, the same \u00dcber-word " * 500
+    assert list(mine.encode(text)) == tok.encode(text, add_special_tokens=False).ids
+    assert sum(map(len, seen)) < 100
+
+
+def test_bpe_white_space_of_every_kind():
+    import random
+
+    path, tok = library()
+    with open(path, encoding="utf-8") as f:
+        mine = bpe.Tokenizer(f.read()).ready()
+    rng = random.Random(5)
+    spaces = [chr(c) for c in (*range(0x1C, 0x21), *range(9, 14), 0x85, 0xA0, 0x180E, 0x2000, 0x2001, 0x200B, 0x2028, 0x3000)]
+    parts = ["ab", "E\u0301", "\u0301\u0323", "\u0323", "1", "!?", "'s", "<|endoftext|>", "<|END", "\U0001f600", "\u1100", "\u1161", *spaces]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(9))
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert list(mine.encode(text)) == ids, repr(text)
+        assert mine.decode_all(bpe._ids_array([mine.encode(text), mine.encode("")])).to_pylist() == [tok.decode(ids, skip_special_tokens=False), ""]
+
+
+def test_bpe_cache_that_is_full(monkeypatch):
+    path, tok = library()
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 6)
+    with open(path, encoding="utf-8") as f:
+        mine = bpe.Tokenizer(f.read()).ready()
+    text = " ".join(f"one two w{i} x{i % 5}" for i in range(50))
+    assert list(mine.encode(text)) == tok.encode(text, add_special_tokens=False).ids
+    assert len(mine.chunks) <= 3 and len(mine.chunks.before) <= 3
+
+
+def test_bpe_compiles_nothing_on_the_driver(docs):
+    import tracemalloc
+
+    path, _ = library()
+    tracemalloc.start()
+    try:
+        coded = bpe.encode(docs, path, ["doc_id"], decoded="decoded")
+        assert tracemalloc.get_traced_memory()[1] < 12 << 20  # the file's text, and what the broadcast makes of it
+    finally:
+        tracemalloc.stop()
+    assert coded.columns == ["doc_id", "ids", "decoded"]
+
+
 def brute_groups(items, width, percent):
     sets = []
     for _, t in items:
