@@ -87,8 +87,10 @@ def hot_keys(df: DataFrame, key: str, aggs: Sequence[Column] = ()) -> Hot:
     found = found.where(f"f.count * {HOT_ONE_IN} >= rows AND f.count > 1").select(F.col("f.item").alias("h"), "rows").collect()
     maybe, total = Hot(df, [r["h"] for r in found]), found[0]["rows"] if found else 0
     counted = df.where(maybe.holds(key)).groupBy(key).agg(F.count("*").alias("n"), *aggs)
+    if not found:
+        return Hot(counted, [])  # of no rows: nothing to count or to store
     rows = stored(counted.where(F.col("n") * HOT_ONE_IN >= total), "hot")
-    return Hot(rows, [r["h"] for r in rows.select(F.xxhash64(key).alias("h")).collect()] if found else [])
+    return Hot(rows, [r["h"] for r in rows.select(F.xxhash64(key).alias("h")).collect()])
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, hot: Hot) -> DataFrame:
