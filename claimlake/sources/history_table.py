@@ -37,6 +37,8 @@ from claimlake.operators.history import TX_AUDIT, Audit, BatchSize, duplicate_ch
 from claimlake.session import scratch_path
 
 CURRENT, HISTORY, KEYLESS = "current", "history", "keyless"
+#: Files that a task keeps open as it writes; a task that needs more sorts the rest of its rows.
+OPEN_FILES = 4
 _STATE = re.compile(r"/\* state (\{.*?\}) \*/", re.S)
 
 
@@ -91,7 +93,7 @@ def create(spark: SparkSession, table: HistoryTable) -> None:
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
     buckets = table.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table.files} ({cols}, version int, attempt string, part string) USING parquet "
-              f"PARTITIONED BY (version, attempt, part) CLUSTERED BY (`{table.key}`) INTO {buckets} BUCKETS "
+              f"OPTIONS (compression 'zstd') PARTITIONED BY (version, attempt, part) CLUSTERED BY (`{table.key}`) INTO {buckets} BUCKETS "
               f"LOCATION '{table.root.rstrip('/')}/{table.name.replace('.', '/')}'")
     spark.sql(f"CREATE VIEW IF NOT EXISTS {table.name} AS {_query(table, State())}")
 
@@ -119,14 +121,20 @@ def as_of(spark: SparkSession, table: HistoryTable, version: int) -> DataFrame:
 
 @contextmanager
 def _bucket_by_bucket(spark: SparkSession):
-    """Scans inside read bucketed tables one task a bucket, so what is written again has one file a bucket."""
-    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    """Scans inside read bucketed tables one task a bucket, so what is written again has one file a bucket.
+
+    A task then writes to few files, one for each part: they are open at once,
+    so its rows need no sort (which would spill) first.
+    """
+    values = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def changes(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts: _dt.datetime | _dt.date | Column,
@@ -151,16 +159,19 @@ def apply_batch(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts:
                 applied: int | None = None, **how) -> State:
     """D5 onto a stored table: write the new current part, append expired and keyless rows, publish.
 
-    The batch is read several times (measured, checked for repeated keys,
-    joined): ``apply_stored`` stores it first. ``applied`` is recorded in the same
-    commit, as the last load run that the table holds. ``how``: see ``changes``.
+    The batch is read several times (measured, joined): ``apply_stored`` stores
+    it first. ``applied`` is recorded in the same commit, as the last load run
+    that the table holds. ``how``: see ``changes``. A key that the batch
+    repeats is twice in the new current part too: it is looked for there,
+    bucket by bucket, without a shuffle, before the part is published.
     """
     create(spark, table)
     state = state_of(spark, table)
     new = State(state.version + 1, state.applied if applied is None else applied)
     live = F.coalesce(F.col(f"`{table.audit.current}`") == F.lit(True), F.lit(False))
     part = F.when(F.col(f"`{table.key}`").isNull(), KEYLESS).when(live, CURRENT).otherwise(HISTORY)
-    rows = changes(spark, table, batch, ts, **how).withColumn("part", part)
+    check = how.get("on_duplicate", "error") == "error"
+    rows = changes(spark, table, batch, ts, **how | ({"on_duplicate": "unchecked"} if check else {})).withColumn("part", part)
     _forget_beyond(spark, table, state.version)
     attempt = uuid.uuid4().hex
     rows.createOrReplaceTempView(f"claimlake_batch_{attempt}")
@@ -170,10 +181,21 @@ def apply_batch(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts:
                       f"SELECT * FROM claimlake_batch_{attempt}")
     finally:
         spark.catalog.dropTempView(f"claimlake_batch_{attempt}")
+    if check:
+        _check_keys(spark, table, batch, new.version)
     spark.sql(f"ALTER VIEW {table.name} AS {_query(table, new)}")
     return new
 
 
+def _check_keys(spark: SparkSession, table: HistoryTable, batch: DataFrame, version: int) -> None:
+    """Raises if the batch that made ``version`` holds a key twice."""
+    key = F.col(f"`{table.key}`")
+    if current_rows(spark, table, version).groupBy(key).agg(F.count(F.lit(1)).alias("__cnt")).where("__cnt > 1").count():
+        # an earlier, unchecked batch may have brought it
+        keys = batch.where(key.isNotNull()).select(key)
+        duplicate_check(keys, table.key, keys.schema, table.name).collect()
+
+
 def _partitions(spark: SparkSession, table: HistoryTable) -> list[dict[str, str]]:
     return [dict(p.split("=") for p in r["partition"].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table.files}").collect()]
 
@@ -197,7 +219,7 @@ def apply_stored(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts:
     batch whole only once anyway, and is not stored."""
     if state_of(spark, table).version:
         seen, path = Observation(), scratch_path(spark, "batch")
-        batch.observe(seen, *size_metrics(batch, table.key)).write.parquet(path)
+        batch.observe(seen, *size_metrics(batch, table.key)).write.parquet(path, compression="zstd")
         batch, how = spark.read.schema(batch.schema).parquet(path), how | {"size": BatchSize(**seen.get)}
     return apply_batch(spark, table, batch, ts, applied, **how)
 

@@ -51,6 +51,35 @@ def test_keys_of_another_type(spark, tmp_dir):
     assert rows(spark.table(t.name), "k", "v", "is_current") == [(1, 1, False), (1, 2, True), (2, 5, True), (None, 0, True), (None, 0, True)]
 
 
+def test_rows_are_shuffled_once_and_written_without_a_sort(spark, tmp_dir, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    t, ran, sql = table("hist_lean_t", tmp_dir), [], type(spark).sql
+
+    def watched(self, query, *args, **kwargs):
+        if query.startswith("INSERT"):
+            ran.append(sql(self, f"EXPLAIN {query}").first()[0])
+        return sql(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    ht.apply_stored(spark, t, spark.createDataFrame([(f"k{i}", i, "x") for i in range(50)], BATCH), DAY[0])
+    assert len(ran) == 1 and ran[0].count("Exchange") == 1 and "Sort" not in ran[0], ran
+    files = glob.glob(f"{tmp_dir}/tables/hist_lean_t/version=1/*/part=current/*.parquet")
+    assert len(files) == 3
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_keys_repeated_by_an_unchecked_batch_are_no_fault_of_the_next(spark, tmp_dir):
+    t = table("hist_unchecked_t", tmp_dir)
+    ht.apply_stored(spark, t, spark.createDataFrame([("a", 1, "x"), ("a", 2, "x")], BATCH), DAY[0], on_duplicate="unchecked")
+    ht.apply_stored(spark, t, spark.createDataFrame([("b", 1, "x")], BATCH), DAY[1])
+    assert rows(spark.table(t.name), "k", "v") == [("a", 1), ("a", 2), ("b", 1)]
+    with pytest.raises(Exception, match="several source rows for key c"):
+        ht.apply_stored(spark, t, spark.createDataFrame([("c", 1, "x"), ("c", 1, "x")], BATCH), DAY[2])
+
+
 def test_repeated_key_raises_and_changes_nothing(spark, tmp_dir):
     t = table("hist_dup_t", tmp_dir)
     ht.apply_stored(spark, t, spark.createDataFrame([("a", 1, "x")], BATCH), DAY[0])
