@@ -485,6 +485,56 @@ def test_substrings_of_any_length_cut_anywhere(spark):
         assert got[i].cleaned == left
 
 
+
+def stored_bytes(spark):
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return sum(os.path.getsize(os.path.join(folder, f)) for folder, _, files in os.walk(root) for f in files)
+
+
+def test_repeats_store_less_than_the_texts(spark, monkeypatch):
+    """Every text twice: no stored step takes a row per window, and places meet by anchor in one shuffle."""
+    monkeypatch.setattr(substring_dedup, "HOT_ONE_IN", 0)  # two copies are not hot
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(("wald", "feld", "haus")) + str(rng.randrange(10**6)) for _ in range(400)) for _ in range(300)]
+    df = spark.createDataFrame([(i, texts[i % 300]) for i in range(600)], "doc_id long, text string").repartition(4)
+    before = stored_bytes(spark)
+    got = {r.doc_id: r for r in substring_dedup.drop_repeats(df).collect()}
+    assert stored_bytes(spark) - before < sum(len(t) for t in texts)  # half of the input
+    assert all(got[i].cleaned == texts[i] and not got[i].removed for i in range(300))
+    assert all(got[i].cleaned == "" and [tuple(s) for s in got[i].removed] == [(0, len(texts[i - 300]), i - 300)] for i in range(300, 600))
+    places = spark.createDataFrame([(1, 2, 3, 4, [5], [6])], "id long, body long, anchor long, at int, digests array<long>, checks array<int>")
+    spans = substring_dedup._repeats(places, spark.createDataFrame([(3, 2)], "anchor long, count long"), 50)
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning(")
+
+
+@pytest.mark.parametrize("one_in", [0, 40, 1 << 40])
+def test_substrings_with_any_share_of_busy_anchors(spark, monkeypatch, one_in):
+    monkeypatch.setattr(substring_dedup, "HOT_ONE_IN", one_in)
+    rng = random.Random(6)
+    prose = lambda n: [rng.choice(("Wald", "Feld", "Haus")) + str(rng.randrange(500)) for _ in range(n)]
+    common, sources, texts = prose(70), [prose(160) for _ in range(8)], []
+    for i in range(60):
+        of, at = rng.choice(sources), rng.randrange(80)
+        cut = rng.randrange(4)
+        texts.append((rng.randrange(10**6), " ".join([*prose(rng.randrange(9)), *common[cut:], *prose(rng.randrange(3)), *of[at : at + rng.randrange(45, 80)]])))
+    texts += [(None, " ".join(common + sources[0])), (-1, "p q r " * 60), (-2, "p q r " * 40)]
+    df = spark.createDataFrame([*texts, *texts[:9]], "doc_id long, text string").repartition(5)
+    got = collections.defaultdict(list)
+    for r in substring_dedup.drop_repeats(df).collect():
+        got[r.doc_id].append([tuple(s) for s in r.removed])
+    expect = brute_spans(texts, 50)
+    assert sum(map(len, expect.values())) > 60 and expect[-1]
+    assert got == {i: [spans] * (2 if i in {t[0] for t in texts[:9]} else 1) for i, spans in expect.items()}
+
+
+def test_repeats_between_rows_without_an_id(spark):
+    df = spark.createDataFrame([(None, BASE + " a"), (None, "b " + BASE), (None, BASE + " a")], "doc_id long, text string")
+    got = collections.Counter((r.cleaned, tuple(map(tuple, r.removed))) for r in substring_dedup.drop_repeats(df).collect())
+    kept, cut = {(BASE + " a", ()): 2, ("b ", ((2, 2 + len(BASE), None),)): 1}, {("b " + BASE, ()): 1, (" a", ((0, len(BASE), None),)): 2}
+    assert got in (kept, cut)  # the smaller hash of the text stays
+
+
 def test_quality(spark, docs, empty):
     good = [" ".join(f"prose{(i * 31 + j * 17) % 900}" for j in range(80)) + "." for i in range(200)]
     bad = ["BUY!! " * (20 + i % 9) for i in range(60)]
