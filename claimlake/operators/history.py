@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlake.functions.packing import pack
 from claimlake.functions.predicates import changed
 
 _T, _S = "__t", "__s"
@@ -339,7 +340,7 @@ def scd2_current(current: DataFrame, source: DataFrame, key: str,
     twice, as its expired self and as the batch's. A batch that fits a
     broadcast needs one more scan, of the key column alone, for the keys that
     the table lacks; a larger one is full-outer-joined, so that only the batch
-    is shuffled if ``current`` is bucketed by ``key``. ``on_duplicate``:
+    is shuffled (packed) if ``current`` is bucketed by ``key``. ``on_duplicate``:
     ``error`` or ``unchecked``. ``size``: of the batch, if it was counted as
     it was written; otherwise the batch is measured.
     """
@@ -352,7 +353,12 @@ def scd2_current(current: DataFrame, source: DataFrame, key: str,
     batch = _measured(source, key, business, key_broadcast, max_key_rows, max_key_bytes, size)
     diff = F.coalesce(changed(((_c(c), _c(_SRC + c).cast(types[c])) for c in _tracked(source, key, tracked)),
                               null_safe), F.lit(False))
-    joined = current.join(batch.rows, _c(key) == _c(_SRC + key), "left" if batch.whole else "full_outer")
+    if batch.whole:
+        joined = current.join(batch.rows, _c(key) == _c(_SRC + key), "left")
+    else:
+        packed, whole = pack(batch.rows, keep=[_SRC + key])
+        joined = current.join(packed, _c(key) == _c(_SRC + key), "full_outer").select(
+            *[_c(c) for c in current.columns], *[c.alias(name) for name, c in whole.items()])
     mine, theirs = _c(key).isNotNull(), _c(_SRC + key).isNotNull()
     copies = F.when(mine & theirs & diff, F.array(F.lit(0), F.lit(1))).when(mine, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
     rows = joined.select("*", (theirs & diff).alias("__gone"), F.explode(copies).alias("__new"))

@@ -82,7 +82,7 @@ def p1_silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = layers.Names(silver={"transactions": f"claimlake_transactions_{uuid.uuid4().hex[:8]}"})
     table = layers.silver_history("transactions", scratch_path(spark, "silver"), names, st.ntz_schema("transactions"))
     for day, ts in ((1, st.BATCH_TS_1), (2, st.BATCH_TS_2)):
-        history_table.apply_stored(spark, table, _tx_quality(spark, sf_dir, day), st.ts_ntz(ts))
+        history_table.apply_stored(spark, table, _tx_quality(spark, sf_dir, day), st.ts_ntz(ts), repeatable=True)
     return spark.table(table.name)
 
 

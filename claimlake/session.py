@@ -84,3 +84,12 @@ def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/claimlake-{name}/{uuid.uuid4().hex}"
+
+
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Have the context cleaner remove the files of shuffles that nothing refers to any more.
+
+    It does so when the driver's JVM collects garbage, and a driver with little
+    to do may not collect any for half an hour (``spark.cleaner.periodicGC.interval``).
+    """
+    spark.sparkContext._jvm.System.gc()

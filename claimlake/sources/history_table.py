@@ -33,20 +33,26 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlake.functions.packing import pack
 from claimlake.operators.history import TX_AUDIT, Audit, BatchSize, duplicate_check, scd2_current, scd2_initial, size_metrics
-from claimlake.session import scratch_path
+from claimlake.session import drop_finished_shuffles, scratch_path
 
 CURRENT, HISTORY, KEYLESS = "current", "history", "keyless"
 #: Files that a task keeps open as it writes; a task that needs more sorts the rest of its rows.
 OPEN_FILES = 4
+#: Payload of a first load for each bucket: a join sorts both sides of a bucket, several times this, in one task's memory.
+BUCKET_BYTES = 64 * 1024 * 1024
+#: Pages of prefixes and differences, as rows come out of a join sorted by key.
+FILE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.writer.version": "v2"}
 _STATE = re.compile(r"/\* state (\{.*?\}) \*/", re.S)
 
 
 @dataclass(frozen=True)
 class HistoryTable:
     """``name``: the view that readers query. ``root``: where its files go.
-    ``buckets``: fixed when the table is created (default: the session's
-    shuffle partitions); size them for 256 MB or so of current rows each."""
+    ``buckets``: fixed when the table is created. By default the session's
+    shuffle partitions, or more if ``apply_stored`` creates the table from a
+    first load of more than ``BUCKET_BYTES`` for each."""
 
     name: str
     root: str
@@ -84,16 +90,17 @@ def state_of(spark: SparkSession, table: HistoryTable) -> State:
     raise ValueError(f"{table.name} is not the view of a history table")
 
 
-def create(spark: SparkSession, table: HistoryTable) -> None:
-    """The files table and its view, if absent."""
+def create(spark: SparkSession, table: HistoryTable, first_bytes: int = 0) -> None:
+    """The files table and its view, if absent; ``first_bytes``: payload that it is about to take."""
     if spark.catalog.tableExists(table.name):
         return
     if "." in table.name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.name.split('.')[0]}")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
-    buckets = table.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = table.buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-first_bytes // BUCKET_BYTES))
+    options = ", ".join(f"'{key}' '{value}'" for key, value in FILE_OPTIONS.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table.files} ({cols}, version int, attempt string, part string) USING parquet "
-              f"OPTIONS (compression 'zstd') PARTITIONED BY (version, attempt, part) CLUSTERED BY (`{table.key}`) INTO {buckets} BUCKETS "
+              f"OPTIONS ({options}) PARTITIONED BY (version, attempt, part) CLUSTERED BY (`{table.key}`) INTO {buckets} BUCKETS "
               f"LOCATION '{table.root.rstrip('/')}/{table.name.replace('.', '/')}'")
     spark.sql(f"CREATE VIEW IF NOT EXISTS {table.name} AS {_query(table, State())}")
 
@@ -146,10 +153,11 @@ def changes(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts: _dt.
         return scd2_current(current_rows(spark, table, version), batch, table.key, tracked, ts, table.audit, null_safe,
                             on_duplicate, key_broadcast, size=size)
     key = F.col(f"`{table.key}`")
+    packed, whole = pack(batch)
     # a key goes to its bucket's task; rows without one are spread over all tasks
-    spread = F.coalesce(key.cast("string"), F.monotonically_increasing_id().cast("string"))
-    dealt = batch.repartition(bucket_count(spark, table), key if table.schema[table.key].dataType != T.StringType() else spread)
-    first = scd2_initial(dealt, table.schema, ts, table.audit)
+    spread = F.coalesce(whole[table.key].cast("string"), F.monotonically_increasing_id().cast("string"))
+    dealt = packed.repartition(bucket_count(spark, table), whole[table.key] if table.schema[table.key].dataType != T.StringType() else spread)
+    first = scd2_initial(dealt.select(*[c.alias(name) for name, c in whole.items()]), table.schema, ts, table.audit)
     if on_duplicate == "error":
         first = first.unionByName(duplicate_check(batch.where(key.isNotNull()).select(key), table.key, first.schema, table.name))
     return first
@@ -160,7 +168,7 @@ def apply_batch(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts:
     """D5 onto a stored table: write the new current part, append expired and keyless rows, publish.
 
     The batch is read several times (measured, joined): ``apply_stored`` stores
-    it first. ``applied`` is recorded in the same commit, as the last load run
+    it first unless that does no harm. ``applied`` is recorded in the same commit, as the last load run
     that the table holds. ``how``: see ``changes``. A key that the batch
     repeats is twice in the new current part too: it is looked for there,
     bucket by bucket, without a shuffle, before the part is published.
@@ -184,6 +192,7 @@ def apply_batch(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts:
     if check:
         _check_keys(spark, table, batch, new.version)
     spark.sql(f"ALTER VIEW {table.name} AS {_query(table, new)}")
+    drop_finished_shuffles(spark)
     return new
 
 
@@ -212,12 +221,26 @@ def _forget_beyond(spark: SparkSession, table: HistoryTable, version: int) -> li
     return [_drop(spark, table, spec) for spec in _partitions(spark, table) if int(spec["version"]) > version]
 
 
+def _size(batch: DataFrame, key: str) -> BatchSize:
+    return BatchSize(**batch.agg(*size_metrics(batch, key)).first().asDict())
+
+
 def apply_stored(spark: SparkSession, table: HistoryTable, batch: DataFrame, ts: _dt.datetime | _dt.date | Column,
-                 applied: int | None = None, **how) -> State:
-    """``apply_batch`` of a batch that is computed once: stored below the
-    checkpoint folder, and measured as it is written. A first load reads its
-    batch whole only once anyway, and is not stored."""
-    if state_of(spark, table).version:
+                 applied: int | None = None, repeatable: bool = False, **how) -> State:
+    """``apply_batch`` of a batch that is measured first.
+
+    A batch is computed once: stored below the checkpoint folder, and measured
+    as it is written. One that reads the same each time (``repeatable``: a view
+    over files that stay) is measured where it lies, and not written again. A
+    first load is not stored either; if it creates the table, it is measured
+    for the number of buckets.
+    """
+    if not state_of(spark, table).version:
+        if table.buckets is None and not spark.catalog.tableExists(table.name):
+            create(spark, table, _size(batch, table.key).bytes)
+    elif repeatable:
+        how = how | {"size": _size(batch, table.key)}
+    else:
         seen, path = Observation(), scratch_path(spark, "batch")
         batch.observe(seen, *size_metrics(batch, table.key)).write.parquet(path, compression="zstd")
         batch, how = spark.read.schema(batch.schema).parquet(path), how | {"size": BatchSize(**seen.get)}

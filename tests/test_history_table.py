@@ -171,3 +171,64 @@ def test_empty_first_batch(spark, tmp_dir):
     assert spark.table(t.name).count() == 0
     ht.apply_stored(spark, t, spark.createDataFrame([("a", 1, "x")], BATCH), DAY[1])
     assert rows(spark.table(t.name), "k", "v") == [("a", 1)]
+
+
+@pytest.mark.parametrize("broadcast", ["auto", "never"])
+def test_repeatable_batches_are_not_stored_again(spark, tmp_dir, monkeypatch, broadcast):
+    t, want, stored = table(f"hist_repeat_{broadcast}_t", tmp_dir), spark.createDataFrame([], SHAPE), []
+    monkeypatch.setattr(ht, "scratch_path", lambda *a: stored.append(a))
+    for n, (day, batch) in enumerate(zip(DAY, batches(11, 4))):
+        spark.createDataFrame(batch, BATCH).write.parquet(f"{tmp_dir}/extract{n}")
+        source = spark.read.parquet(f"{tmp_dir}/extract{n}")
+        want = spark.createDataFrame(scd2_apply(want, source, "k", ts=day).collect(), SHAPE)
+        ht.apply_stored(spark, t, source, day, repeatable=True, key_broadcast=broadcast)
+        assert rows(spark.table(t.name)) == rows(want)
+    assert not stored
+    with pytest.raises(Exception, match="several source rows for key a"):
+        ht.apply_stored(spark, t, spark.createDataFrame([("a", 2, "x"), ("a", 3, "x")], BATCH), DAY[5], repeatable=True, key_broadcast=broadcast)
+
+
+def test_large_batches_are_shuffled_packed(spark, tmp_dir):
+    shape = schema(SHAPE.replace("w string", "w string, x string"))
+    t = ht.HistoryTable("hist_pack_t", f"{tmp_dir}/tables", "k", shape, buckets=3)
+    batch = spark.createDataFrame([(f"k{i}", i, "x", None) for i in range(50)], BATCH + ", x string")
+    with ht._bucket_by_bucket(spark):
+        ht.create(spark, t)
+        first = plan_of(ht.changes(spark, t, batch, DAY[0], on_duplicate="unchecked"))
+        ht.apply_stored(spark, t, batch, DAY[0])
+        second = plan_of(ht.changes(spark, t, batch, DAY[1], key_broadcast="never", on_duplicate="unchecked"))
+    for plan in (first, second):
+        below = plan.partition("Exchange hashpartitioning")[2].partition("- ")[2]
+        assert plan.count("Exchange hashpartitioning") == 1 and below.lstrip().startswith(("Project", "*")) and "__texts" in below.partition("\n")[0]
+    assert "FullOuter" in second
+
+
+def test_buckets_grow_with_the_first_load(spark, tmp_dir, monkeypatch):
+    """A bucket's rows fit a task, however few partitions the session has."""
+    data = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(0).alias("v"), F.lit("x" * 40).alias("w"))
+    monkeypatch.setattr(ht, "BUCKET_BYTES", 5000)
+    size = {}
+    for name, source, buckets in (("large", data, None), ("fixed", data, 3), ("small", data.limit(5), None)):
+        t = table(f"hist_size_{name}_t", tmp_dir, buckets)
+        ht.apply_stored(spark, t, source, DAY[0])
+        ht.apply_stored(spark, t, source.withColumn("v", F.lit(1)), DAY[1], key_broadcast="never")
+        size[name] = ht.bucket_count(spark, t)
+        assert rows(spark.table(t.name).groupBy("is_current").count()) == sorted([(False, source.count()), (True, source.count())])
+    assert size == {"large": -(-(2000 * (4 + 40) + 8890) // 5000), "fixed": 3, "small": int(spark.conf.get("spark.sql.shuffle.partitions"))}
+
+
+def test_shuffle_files_go_with_the_batch(spark, tmp_dir):
+    import glob
+    import time
+
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    found = lambda: {f for d in env.blockManager().diskBlockManager().localDirs() for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    t, before = table("hist_clean_t", tmp_dir), found()
+    batch = spark.createDataFrame([(f"k{i}", i, "x") for i in range(50)], BATCH)
+    ht.apply_stored(spark, t, batch, DAY[0])
+    first = found() - before
+    ht.apply_stored(spark, t, batch, DAY[1])
+    until = time.time() + 20
+    while first & found() and time.time() < until:
+        time.sleep(0.1)
+    assert not first & found()
