@@ -104,7 +104,7 @@ def build_silver_from_loads(spark: SparkSession, runs_table: str, table_root: st
     for entity, table in tables.items():
         for run, paths in sorted(loads.entity_loads(pending, entity).items()):
             if run > done[entity]:
-                done[entity] = history_table.apply_stored(spark, table, quality_batch(spark, entity, paths), ts, run).applied
+                done[entity] = history_table.apply_stored(spark, table, quality_batch(spark, entity, paths), ts, run, repeatable=True).applied
         if done[entity] < through:
             history_table.mark_applied(spark, table, through)
     if cptcodes is not None:

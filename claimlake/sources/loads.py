@@ -96,7 +96,7 @@ def publish_loads(spark: SparkSession, config: DataFrame, sources: Mapping[tuple
         seen, metrics = Observation(), [F.count(F.lit(1)).alias("rows")]
         if mark:
             metrics.append(F.max(F.col(mark)).cast("string").alias("high"))
-        extract_full(src, p["datasource"]).observe(seen, *metrics).write.parquet(path, compression="zstd")
+        extract_full(src, p["datasource"]).observe(seen, *metrics).write.option("parquet.compression.codec.zstd.level", "9").parquet(path, compression="zstd")
         return run, mode, path, *k, seen.get["rows"], mark, seen.get.get("high")
 
     with ThreadPoolExecutor(max(1, threads)) as pool:

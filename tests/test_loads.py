@@ -113,6 +113,24 @@ def test_days_from_sources_to_reports(spark, tmp_dir):
     assert {e: rows(spark.table(names.silver[e])) for e in before} == before
 
 
+def test_published_extracts_are_not_stored_again(spark, tmp_dir, monkeypatch):
+    """A silver run reads the folders of the loads: what it applies is written once, to the table."""
+    names, stored = layers.Names(silver={k: f"silver_once.{k}" for k in layers.Names().silver}), []
+    scratch = history_table.scratch_path
+    monkeypatch.setattr(history_table, "scratch_path", lambda *a: stored.append(a) or scratch(*a))
+    config = ingest.load_config(spark).withColumn("is_active", (F.col("tablename") == "dbo.transactions").cast("int"))
+    tx = hospital.transactions(spark)
+    days = (tx, tx.withColumn("Amount", F.lit(1.5)).withColumn("ModifiedDate", F.lit(D(2030, 1, 1))))
+    for n, rows_ in enumerate(days, 1):
+        at = dt.datetime(2024, 6, n)
+        loads.publish_loads(spark, config, sources(spark, rows_), f"{tmp_dir}/bronze", "runs_once_t", at)
+        assert layers.build_silver_from_loads(spark, "runs_once_t", f"{tmp_dir}/t", at, names, buckets=3) == n
+    keyed, table = tx.filter("TransactionID IS NOT NULL").count(), spark.table(names.silver["transactions"])
+    assert table.filter("TransactionID IS NOT NULL AND is_current AND Amount = 1.5").count() == keyed
+    assert table.count() == 2 * tx.count()
+    assert not stored
+
+
 def test_source_without_a_load(spark, tmp_dir):
     names = layers.Names(silver={k: f"silver_one.{k}" for k in layers.Names().silver})
     config = ingest.load_config(spark)  # patients of hospital B only
